@@ -79,11 +79,7 @@ def month_start(col: Column) -> Column:
 
 def date_key(col: Column) -> Column:
     """``yyyymmdd`` text of a date."""
-    return F.concat(
-        F.lpad(F.year(col).cast("string"), 4, "0"),
-        F.lpad(F.month(col).cast("string"), 2, "0"),
-        F.lpad(F.day(col).cast("string"), 2, "0"),
-    )
+    return F.translate(col.cast("date").cast("string"), "-", "")
 
 
 def in_calendar(col: Column) -> Column:

@@ -61,10 +61,18 @@ def strip_separators(col: Column) -> Column:
     return F.translate(col, "\\/-", "")
 
 
+# Texts of the right shape; only these are cast, since a cast that fails is slow.
+WHOLE_NUMBER = "^[+-]?[0-9]+$"
+UNSIGNED_NUMBER = "^[0-9]+$"
+EIGHT_DIGIT_DATE = "^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$"
+
+
 def parse_date(col: Column) -> Column:
     """DATE from ``yyyymmdd``, NULL for anything else or outside the calendar."""
-    digits = F.when(col.rlike("^[0-9]{8}$"), col)
-    day = F.try_to_date(digits, "yyyyMMdd")
+    dashed = F.concat_ws(
+        "-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2)
+    )
+    day = F.when(col.rlike(EIGHT_DIGIT_DATE), dashed.try_cast("date"))
     return F.when(in_calendar(day), day)
 
 
@@ -75,11 +83,11 @@ def is_date(col: Column) -> Column:
 def parse_int(col: Column) -> Column:
     """BIGINT from an unsigned whole number, NULL for anything else."""
     text = F.trim(col)
-    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
+    return F.when(text.rlike(UNSIGNED_NUMBER), text.try_cast("bigint"))
 
 
 def is_int(col: Column) -> Column:
-    return F.trim(col).rlike("^[0-9]+$")
+    return F.trim(col).rlike(UNSIGNED_NUMBER)
 
 
 def size_to_mb(col: Column) -> Column:
@@ -89,21 +97,18 @@ def size_to_mb(col: Column) -> Column:
     rest of the text is not a whole number; blank text counts as 0.
     """
     text = F.upper(F.trim(col))
-
-    def number(unit: str | None) -> Column:
-        rest = F.trim(F.replace(text, F.lit(unit), F.lit("")) if unit else text)
-        return F.when(rest == "", F.lit(0).cast("bigint")).otherwise(rest.try_cast("bigint"))
-
-    def in_mb(unit: str, times: int, per: int) -> Column:
-        scaled = F.try_multiply(number(unit), F.lit(times).cast("bigint"))
-        return scaled if per == 1 else F.call_function("div", scaled, F.lit(per).cast("bigint"))
-
-    first, *rest = SIZE_UNITS
-    return reduce(
-        lambda acc, u: acc.when(text.contains(u[0]), in_mb(*u)),
-        rest,
-        F.when(text.contains(first[0]), in_mb(*first)),
-    ).otherwise(number(None))
+    unit = reduce(
+        lambda acc, u: acc.when(text.contains(u[0]), u[0]), SIZE_UNITS, F
+    ).otherwise("")
+    rest = F.trim(F.replace(text, unit, F.lit("")))
+    number = F.when(rest == "", F.lit(0).cast("bigint")).when(
+        rest.rlike(WHOLE_NUMBER), rest.try_cast("bigint")
+    )
+    times = reduce(
+        lambda acc, u: acc.when(unit == u[0], u[1]), SIZE_UNITS, F
+    ).otherwise(1)
+    per = reduce(lambda acc, u: acc.when(unit == u[0], u[2]), SIZE_UNITS, F).otherwise(1)
+    return F.call_function("div", F.try_multiply(number, times.cast("bigint")), per.cast("bigint"))
 
 
 def limit_message(col: Column, n: int) -> Column:

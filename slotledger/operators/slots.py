@@ -18,7 +18,7 @@ from slotledger.functions.calendar import (
     start_of_week,
     us_week,
 )
-from slotledger.functions.text import contains_ci, parse_date, parse_int, strip_separators
+from slotledger.functions.text import contains_ci, is_int, parse_date, parse_int, strip_separators
 
 # Days per step back, and days back when no date is given.
 UNIT_DAYS = {"day": 1, "week": 7}
@@ -40,27 +40,25 @@ def resolve_requests(
     back = DEFAULT_DAYS_BACK[unit] if default_days_back is None else default_days_back
     today = as_date(as_of)
 
-    first = strip_separators(F.col("from_parm"))
-    first_date = parse_date(first)
-    digits = F.trim(first)
-    steps = parse_int(first)
     steps = (
-        F.when(steps <= MAX_STEPS_BACK, steps)
-        .when(digits.rlike("^[0-9]+$"), F.lit(1))
+        F.when(F.col("_steps") <= MAX_STEPS_BACK, F.col("_steps"))
+        .when(is_int(F.col("_first")), F.lit(1))
         .cast("int")
     )
-    start = F.coalesce(
-        first_date, F.date_sub(today, steps * days), F.date_sub(today, back)
-    )
-    end = F.coalesce(
-        F.when(first_date.isNotNull(), parse_date(strip_separators(F.col("to_parm")))), start
+    start = F.coalesce("_date", F.date_sub(today, steps * days), F.date_sub(today, back))
+    second = F.when(
+        F.col("_date").isNotNull(), parse_date(strip_separators(F.col("to_parm")))
     )
+    # one named column per step, so that no step is computed twice
     return (
-        df.withColumns({"_start": start, "_end": end})
+        df.withColumn("_first", strip_separators(F.col("from_parm")))
+        .withColumns({"_date": parse_date(F.col("_first")), "_steps": parse_int(F.col("_first"))})
+        .withColumns({"_start": start, "_second": second})
+        .withColumn("_end", F.coalesce("_second", "_start"))
         .withColumns(
             {"from_date": F.least("_start", "_end"), "to_date": F.greatest("_start", "_end")}
         )
-        .drop("_start", "_end")
+        .drop("_first", "_date", "_steps", "_start", "_second", "_end")
     )
 
 

@@ -93,22 +93,17 @@ def part_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _date_text(day: Column, sep: str) -> Column:
-    key = date_key(day)
-    return F.concat_ws(
-        sep, F.substring(key, 1, 4), F.substring(key, 5, 2), F.substring(key, 7, 2)
-    )
+    text = day.cast("string")
+    return text if sep == "-" else F.translate(text, "-", sep)
 
 
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per order, in every spelling the arguments may have."""
     key = F.col("o_orderkey")
     day = F.to_date("o_orderdate")
-    month_first = F.concat(
-        F.substring(date_key(day), 5, 2),
-        F.lit("/"),
-        F.substring(date_key(day), 7, 2),
-        F.lit("/"),
-        F.substring(date_key(day), 1, 4),
+    text = day.cast("string")
+    month_first = F.concat_ws(
+        "/", F.substring(text, 6, 2), F.substring(text, 9, 2), F.substring(text, 1, 4)
     )
     first, second, third = key % 9, key % 4, key % 7
     return read(spark, sf_dir, "orders").select(
