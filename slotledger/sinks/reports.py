@@ -99,11 +99,13 @@ def create_report_tables(
     """
     for report in REPORTS.values():
         path = f"{directory.rstrip('/')}/{report.name}"
-        if replace and not report.keep:
+        emptied = replace and not report.keep
+        if emptied:
             spark.sql(f"DROP TABLE IF EXISTS {report.name}")
-            spark.createDataFrame([], report.stored).write.mode("overwrite").partitionBy(
-                *report.partition
-            ).parquet(path)
+        # no rows: makes the folder, or empties it
+        spark.createDataFrame([], report.stored).write.mode(
+            "overwrite" if emptied else "append"
+        ).partitionBy(*report.partition).parquet(path)
         columns = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in report.stored.fields
         )

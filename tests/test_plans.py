@@ -1,0 +1,119 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registry
+from slotledger.operators.filters import disk_projection
+from slotledger.operators.latest import latest_audit_join
+from slotledger.plans import jobs
+from slotledger.workload import tables as t
+
+SF = "/root/testdata/sf0.001"
+QUERIES = registry.queries()
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_nested_loops_and_no_python(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    for bad in ("NestedLoop", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "InPandas"):
+        assert bad not in text
+
+
+def test_rollup_is_one_scan_and_one_shuffle_of_the_log(spark):
+    text = plan(QUERIES["component_rollup"](spark, SF))
+    assert text.count("events.parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin" in text
+    columns = re.search(r"ReadSchema: (struct<event_id.*?>)", text).group(1)
+    assert "props" not in columns and "event_type" not in columns
+    # both levels of the aggregate: readings are summed before they are shuffled
+    assert "partial_sum" in text
+
+
+def test_tolerance_is_a_residual_of_a_hash_or_merge_join(spark):
+    text = plan(QUERIES["insert_new_approx"](spark, SF))
+    anti = re.search(r"(BroadcastHashJoin|ShuffledHashJoin|SortMergeJoin)[^\n]*LeftAnti[^\n]*", text)
+    assert "1.0E-6" in anti.group(0)
+
+
+def test_first_rows_are_cut_before_the_shuffle(spark):
+    for name in ("latest_per_agent", "first_per_key", "top1_lookup"):
+        text = plan(QUERIES[name](spark, SF))
+        assert re.search(r"row_number\(\), 1, Partial", text), name
+
+
+def test_merged_events_are_shuffled_once(spark):
+    # a threshold of nothing stands for tables too large to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["events_report"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if "substring" in x.lower() or "Message" in x]
+    # batch and target, one exchange each: the distinct's partitioning serves the join
+    assert len(wide) == 2, wide
+
+
+def test_aqe_splits_a_hot_agent(spark):
+    """An agent with a third of all disks, joined to its latest audit."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+    }
+    disks = spark.range(0, 300_000, 1, 16).selectExpr(
+        "IF(id % 3 = 0, 7, id) AS agentGuid",
+        "1 AS resultGroup",
+        "1 AS locked",
+        "CONCAT('drive', id) AS driveLetter",
+        "'Data' AS volumeName",
+        "'Fixed' AS type",
+        "CAST(id AS double) AS totalMBytes",
+        "1.0D AS freeMBytes",
+    )
+    audits = spark.range(0, 300_000, 1, 4).selectExpr(
+        "id AS agentGuid",
+        "1 AS resultGroup",
+        "1 AS locked",
+        "TIMESTAMP_NTZ'2013-01-01' AS date",
+    )
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        df = latest_audit_join(disk_projection(disks), audits)
+        rows = df.collect()
+        text = plan(df)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert len(rows) == 300_000
+    assert all(r["outcome"] == "inserted" for r in rows)
+    assert "skew=true" in text
+
+
+def test_weekly_report_reads_the_disks_once(spark):
+    disks = t.disks(spark, SF)
+    new = jobs.weekly_disk_report(
+        disks,
+        t.audits(spark, SF),
+        t.audit_requests(spark, SF),
+        t.stored_disks(spark, SF).limit(0),
+        t.AS_OF,
+    )
+    text = plan(new)
+    # the second scan is the stored report's stand-in
+    assert text.count("lineitem.parquet") <= 2
+    assert new.where(F.col("DriveName") != F.trim("DriveName")).count() == 0
+
+
