@@ -12,5 +12,4 @@ __all__ = [
     "schemas",
     "sinks",
     "sources",
-    "streaming",
 ]

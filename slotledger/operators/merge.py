@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from slotledger.functions.calendar import in_calendar
 from slotledger.functions.text import near, null_or_equal
 from slotledger.operators.latest import ranked
 
@@ -45,8 +47,13 @@ def insert_new(
 def load_if_slot_empty(
     batch: DataFrame, target: DataFrame, slot_cols: Sequence[str]
 ) -> DataFrame:
-    """Rows of ``batch`` whose slot has no row in ``target`` at all."""
+    """Rows of ``batch`` whose slot has no row in ``target`` at all.
+
+    Occupied slots that are dates are broadcast: the calendar bounds their number.
+    """
     occupied = target.select(*slot_cols).distinct()
+    if [f.dataType for f in occupied.schema.fields] == [T.DateType()]:
+        occupied = F.broadcast(occupied.where(in_calendar(F.col(slot_cols[0]))))
     return batch.join(occupied, list(slot_cols), "left_anti").select(*batch.columns)
 
 

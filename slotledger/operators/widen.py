@@ -65,7 +65,7 @@ def _chunk_bounds(df: DataFrame, keys: list[str], order: str) -> DataFrame | Non
 def number_activities(
     df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str | Column] = ()
 ) -> DataFrame:
-    """Add ``_slot``: 1 for the first activity of a key, 2 for the next, and so on.
+    """Add ``slot``: 1 for the first activity of a key, 2 for the next, and so on.
 
     Keys with a large share of the rows are cut into chunks of the order column;
     each chunk is numbered on its own and shifted by the sizes of the chunks
@@ -75,9 +75,8 @@ def number_activities(
     by_order = [F.col(order), *ties]
     bounds = _chunk_bounds(df, keys, order)
     if bounds is None:
-        return df.withColumn(
-            "_slot", F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order))
-        )
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order))
+        return df.withColumn("slot", number.cast("bigint"))
     flagged = df.join(F.broadcast(bounds), keys, "left")
     below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
     chunked = flagged.withColumn(
@@ -97,10 +96,9 @@ def number_activities(
     in_chunk = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*by_order))
     # offsets: at most CHUNKS rows for each of the hot keys
     return (
-        chunked.withColumn("_slot", in_chunk)
+        chunked.withColumn("_number", in_chunk)
         .join(F.broadcast(offsets), [*keys, "_chunk"], "left")
-        .withColumn("_slot", F.col("_slot") + F.coalesce("_offset", F.lit(0)))
-        .select(*df.columns, "_slot")
+        .select(*df.columns, (F.col("_number") + F.coalesce("_offset", F.lit(0))).alias("slot"))
     )
 
 
@@ -129,7 +127,7 @@ def widen(
     else:
         rows = number_activities(rows, keys, order, ties=values)
         rows = rows.withColumn(
-            "Page", F.floor((F.col("_slot") - 1) / slots_per_row).cast("int") + 1
+            "Page", F.floor((F.col("slot") - 1) / slots_per_row).cast("int") + 1
         )
         n, pages, group = slots_per_row, [F.col("Page")], [*keys, "Page"]
     # a group holds at most slots_per_row rows here

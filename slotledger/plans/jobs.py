@@ -122,7 +122,9 @@ def events_report(
         day_slots(resolve_requests(requests, as_of)), "log_date"
     )
     stored = rows_on_days(target, "EventTime", requested)
-    slots = mark_slots(requested, stored, F.to_date("EventTime"))
+    # over a target partitioned by day, which days are held takes no column at all
+    held = F.col("SlotDate") if "SlotDate" in stored.columns else F.to_date("EventTime")
+    slots = mark_slots(requested, stored, held)
 
     dumped = in_day_slots(events, slots.where(~F.col("occupied"))).drop("log_date")
 

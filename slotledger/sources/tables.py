@@ -57,11 +57,11 @@ def scan_day_tables(
     return reduce(DataFrame.unionByName, shards)
 
 
-def load_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The inventory and audit tables, by name, with their declared columns."""
+def load_tables(spark: SparkSession, directory: str, *names: str) -> dict[str, DataFrame]:
+    """Inventory and audit tables (all, or the named) with their declared columns."""
     return {
-        name: spark.read.schema(schema).parquet(f"{directory.rstrip('/')}/{name}")
-        for name, schema in SOURCES.items()
+        name: spark.read.schema(SOURCES[name]).parquet(f"{directory.rstrip('/')}/{name}")
+        for name in names or SOURCES
     }
 
 

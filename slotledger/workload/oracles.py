@@ -396,6 +396,13 @@ for _log in ("counter_log", "event_log"):
         "log_requests",
         _log,
     )
+ORACLES["stored_on_days"] = _requested(
+    """
+SELECT * FROM stored_events
+WHERE CAST("EventTime" AS DATE) IN (SELECT log_date FROM day_slots)""",
+    "log_requests",
+    "stored_events",
+)
 ORACLES["events_in_day"] = _sql(
     """
 SELECT * FROM event_log
@@ -716,7 +723,7 @@ _NUMBERED = """
   SELECT *, row_number() OVER (PARTITION BY contact ORDER BY created_on, type) AS i
   FROM activities"""
 ORACLES["number_activities"] = _sql(
-    'SELECT contact, created_on, type, CAST(i AS INTEGER) AS "_slot" FROM numbered',
+    'SELECT contact, created_on, type, i AS slot FROM numbered',
     "activities",
     "numbered",
     numbered=_NUMBERED,

@@ -166,6 +166,12 @@ def scan_event_log(spark, sf_dir):
     return slots.in_day_slots(t.event_log(spark, sf_dir), _log_days(spark, sf_dir))
 
 
+@query
+def stored_on_days(spark, sf_dir):
+    days = slots.distinct_slots(_log_days(spark, sf_dir), "log_date")
+    return jobs.rows_on_days(t.stored_events(spark, sf_dir), "EventTime", days)
+
+
 @query
 def events_in_day(spark, sf_dir):
     day = F.col("log_date")

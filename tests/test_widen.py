@@ -61,7 +61,7 @@ def test_numbers_of_a_hot_contact(spark, skewed):
     assert len(numbered) == 30_000
     for group in by_contact.values():
         group.sort(key=lambda r: (r["created_on"], r["subject"]))
-        assert [r["_slot"] for r in group] == list(range(1, len(group) + 1))
+        assert [r["slot"] for r in group] == list(range(1, len(group) + 1))
 
 
 def test_hot_contact_is_numbered_in_chunks(spark, skewed):
