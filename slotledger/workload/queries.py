@@ -233,13 +233,13 @@ def disk_projection(spark, sf_dir):
 @query
 def null_defaults(spark, sf_dir):
     return filters.with_defaults(
-        t.inventory(spark, sf_dir)["userIpInfo"], {"ipAddress": "", "osInfo": ""}
+        t.ip_info(spark, sf_dir), {"ipAddress": "", "osInfo": ""}
     )
 
 
 @query
 def null_or_equal(spark, sf_dir):
-    reboots = t.inventory(spark, sf_dir)["lastReboot"]
+    reboots = t.reboots(spark, sf_dir)
     first = F.lit("1998-01-01").cast("timestamp_ntz")
     same = tx.null_or_equal(F.col("rebootTime"), first)
     return reboots.groupBy("agentGuid").agg(F.count_if(same).alias("n_rows"))
@@ -430,7 +430,7 @@ def join_back_latest(spark, sf_dir):
 
 @query
 def agents(spark, sf_dir):
-    return inventory.agents(t.inventory(spark, sf_dir)["machNameTab"])
+    return inventory.agents(t.machines(spark, sf_dir))
 
 
 @query
@@ -450,30 +450,24 @@ def unreadable_sizes(spark, sf_dir):
 
 @query
 def eav_pivot(spark, sf_dir):
-    source = t.inventory(spark, sf_dir)
-    return inventory.manual_fields(
-        source["auditRsltManualFieldValues"], source["auditRsltManualFields"]
-    )
+    return inventory.manual_fields(t.field_values(spark, sf_dir), t.fields(spark, sf_dir))
 
 
 @query
 def reporting_agents(spark, sf_dir):
-    source = t.inventory(spark, sf_dir)
-    return inventory.reporting_agents(
-        source["auditRsltManualFieldValues"], source["auditRsltManualFields"]
-    )
+    return inventory.reporting_agents(t.field_values(spark, sf_dir), t.fields(spark, sf_dir))
 
 
 @query
 def top1_lookup(spark, sf_dir):
     return latest.top_one(
-        t.inventory(spark, sf_dir)["userIpInfo"], "agentGuid", ["ipAddress", "osInfo"]
+        t.ip_info(spark, sf_dir), "agentGuid", ["ipAddress", "osInfo"]
     )
 
 
 @query
 def last_reboots(spark, sf_dir):
-    return inventory.last_reboots(t.inventory(spark, sf_dir)["lastReboot"])
+    return inventory.last_reboots(t.reboots(spark, sf_dir))
 
 
 def _snapshot(spark, sf_dir):

@@ -7,157 +7,128 @@ machines and their manual fields, ``conversations`` the contact activities.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from slotledger.functions.calendar import date_key
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 AS_OF = "2024-01-31"
 
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[str, T.StructType] = {}
 
 
-def _ntz(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables; its schema is looked up once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 # --- logs ------------------------------------------------------------------
 
-
-def _clocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their hour and minute; a shard ends with midnight of the next day."""
-    ts = F.col("ts")
-    day = F.to_date(ts)
-    hour = day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
-    minute = day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts))
-    at_midnight = (F.hour(ts) == 0) & (F.minute(ts) == 0)
-    return read(spark, sf_dir, "events").withColumns(
-        {
-            "to_hour": hour,
-            "to_minute": minute,
-            "log_date": F.when(at_midnight, F.date_sub(day, 1)).otherwise(day),
-        }
-    )
+_DAY = "CAST(ts AS DATE)"
+_TO_HOUR = f"CAST({_DAY} AS TIMESTAMP_NTZ) + make_dt_interval(0, hour(ts))"
+_TO_MINUTE = f"CAST({_DAY} AS TIMESTAMP_NTZ) + make_dt_interval(0, hour(ts), minute(ts))"
+# a shard ends with midnight of the next day
+_LOG_DATE = f"IF(hour(ts) = 0 AND minute(ts) = 0, date_sub({_DAY}, 1), {_DAY})"
 
 
 def counter_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clocked(spark, sf_dir).select(
-        F.col("user_id").alias("agentGuid"),
-        (F.col("event_id") % 25).alias("monitorCounterId"),
-        F.col("to_minute").alias("eventDateTime"),
-        (F.col("value") - 5.0).alias("counterValue"),
-        "log_date",
+    return read(spark, sf_dir, "events").selectExpr(
+        "user_id AS agentGuid",
+        "event_id % 25 AS monitorCounterId",
+        f"{_TO_MINUTE} AS eventDateTime",
+        "value - 5.0D AS counterValue",
+        f"{_LOG_DATE} AS log_date",
     )
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clocked(spark, sf_dir).select(
-        F.col("user_id").alias("agentGuid"),
-        F.col("to_hour").alias("eventTime"),
-        F.concat(F.lit(" "), "event_type", F.lit("  ")).alias("message"),
-        "log_date",
+    return read(spark, sf_dir, "events").selectExpr(
+        "user_id AS agentGuid",
+        f"{_TO_HOUR} AS eventTime",
+        "concat(' ', event_type, '  ') AS message",
+        f"{_LOG_DATE} AS log_date",
     )
 
 
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, name = F.col("n_nationkey"), F.col("n_name")
-    kind = key % 5
-    return read(spark, sf_dir, "nation").select(
-        key.cast("bigint").alias("monitorCounterId"),
-        F.when(kind == 0, F.concat(F.lit("% "), name, F.lit(" Processor Time")))
-        .when(kind == 1, F.concat(F.lit("Process "), name, F.lit(" % time")))
-        .when(kind == 2, F.concat(F.lit("Memory "), name, F.lit(" Bytes In Use")))
-        .when(kind == 3, F.concat(F.lit("Processor "), name, F.lit(" Time")))
-        .otherwise(F.concat(F.lit("% Process "), name, F.lit(" bytes in use")))
-        .alias("name"),
+    return read(spark, sf_dir, "nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS monitorCounterId",
+        """CASE n_nationkey % 5
+             WHEN 0 THEN concat('% ', n_name, ' Processor Time')
+             WHEN 1 THEN concat('Process ', n_name, ' % time')
+             WHEN 2 THEN concat('Memory ', n_name, ' Bytes In Use')
+             WHEN 3 THEN concat('Processor ', n_name, ' Time')
+             ELSE concat('% Process ', n_name, ' bytes in use') END AS name""",
     )
 
 
 def part_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A counter table that grows: one counter per part."""
-    size, name = F.col("p_size"), F.col("p_name")
-    return read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("monitorCounterId"),
-        F.when(size < 10, F.concat(F.lit("% "), name, F.lit(" PROCESSOR time")))
-        .when(size < 20, F.concat(F.lit("Process "), name, F.lit(" % Time")))
-        .when(size < 30, F.concat(name, F.lit(" Bytes in Use")))
-        .when(size < 40, F.concat(F.lit("Process "), name, F.lit(" Time")))
-        .otherwise(F.concat(F.lit("% Process "), name, F.lit(" bytes in use %")))
-        .alias("name"),
+    return read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS monitorCounterId",
+        """CASE WHEN p_size < 10 THEN concat('% ', p_name, ' PROCESSOR time')
+                WHEN p_size < 20 THEN concat('Process ', p_name, ' % Time')
+                WHEN p_size < 30 THEN concat(p_name, ' Bytes in Use')
+                WHEN p_size < 40 THEN concat('Process ', p_name, ' Time')
+                ELSE concat('% Process ', p_name, ' bytes in use %') END AS name""",
     )
 
 
 # --- requests --------------------------------------------------------------
 
 
-def _date_text(day: Column, sep: str) -> Column:
-    text = day.cast("string")
-    return text if sep == "-" else F.translate(text, "-", sep)
-
-
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per order, in every spelling the arguments may have."""
-    key = F.col("o_orderkey")
-    day = F.to_date("o_orderdate")
-    text = day.cast("string")
-    month_first = F.concat_ws(
-        "/", F.substring(text, 6, 2), F.substring(text, 9, 2), F.substring(text, 1, 4)
-    )
-    first, second, third = key % 9, key % 4, key % 7
-    return read(spark, sf_dir, "orders").select(
-        key.alias("req_id"),
-        F.when(third == 1, " ")
-        .when(third == 2, "ALL")
-        .when(third == 3, "cpu")
-        .when(third == 4, "Mem")
-        .when(third == 5, "CPUMEM")
-        .when(third == 6, "XYZ")
-        .alias("components"),
-        F.when(first == 1, _date_text(day, "-"))
-        .when(first == 2, _date_text(day, "/"))
-        .when(first == 3, date_key(day))
-        .when(first == 4, (F.col("o_custkey") % 20).cast("string"))
-        .when(first == 5, "-3")
-        .when(first == 6, month_first)
-        .when(first == 7, F.when(key % 2 == 0, "abc").otherwise("20130231"))
-        .when(first == 8, _date_text(day, "\\"))
-        .alias("from_parm"),
-        F.when(second == 1, _date_text(F.date_add(day, 9), "-"))
-        .when(second == 2, _date_text(F.date_sub(day, 17), "/"))
-        .when(second == 3, "n/a")
-        .alias("to_parm"),
+    return (
+        read(spark, sf_dir, "orders")
+        .selectExpr(
+            "o_orderkey",
+            "o_custkey",
+            "CAST(CAST(o_orderdate AS DATE) AS STRING) AS day",
+            "CAST(date_add(CAST(o_orderdate AS DATE), 9) AS STRING) AS later",
+            "CAST(date_sub(CAST(o_orderdate AS DATE), 17) AS STRING) AS earlier",
+        )
+        .selectExpr(
+            "o_orderkey AS req_id",
+            """CASE o_orderkey % 7 WHEN 1 THEN ' ' WHEN 2 THEN 'ALL' WHEN 3 THEN 'cpu'
+                 WHEN 4 THEN 'Mem' WHEN 5 THEN 'CPUMEM' WHEN 6 THEN 'XYZ' END AS components""",
+            r"""CASE o_orderkey % 9
+                 WHEN 1 THEN day
+                 WHEN 2 THEN translate(day, '-', '/')
+                 WHEN 3 THEN translate(day, '-', '')
+                 WHEN 4 THEN CAST(o_custkey % 20 AS STRING)
+                 WHEN 5 THEN '-3'
+                 WHEN 6 THEN concat_ws('/', substr(day, 6, 2), substr(day, 9, 2), substr(day, 1, 4))
+                 WHEN 7 THEN IF(o_orderkey % 2 = 0, 'abc', '20130231')
+                 WHEN 8 THEN translate(day, '-', '\\') END AS from_parm""",
+            """CASE o_orderkey % 4
+                 WHEN 1 THEN later
+                 WHEN 2 THEN translate(earlier, '-', '/')
+                 WHEN 3 THEN 'n/a' END AS to_parm""",
+        )
     )
 
 
 def log_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for days of the logs: ranges, single days, days back, defaults."""
-    key = F.col("n_nationkey")
-    return read(spark, sf_dir, "nation").select(
-        key.alias("req_id"),
-        F.when(key % 3 == 0, "ALL").when(key % 3 == 1, "cpu").otherwise("MEM").alias("components"),
-        F.when(key == 0, "2024-01-20")
-        .when(key == 1, "2024\\01\\22")
-        .when(key == 2, "20240101")
-        .when(key == 3, "5")
-        .when(key == 4, "99999")
-        .alias("from_parm"),
-        F.when(key == 0, "2024-01-12")
-        .when(key == 1, "2024/01/24")
-        .when(key == 2, "2024-01-04")
-        .when(key == 3, "2024-01-01")
-        .alias("to_parm"),
+    return read(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS req_id",
+        "CASE n_nationkey % 3 WHEN 0 THEN 'ALL' WHEN 1 THEN 'cpu' ELSE 'MEM' END AS components",
+        r"""CASE n_nationkey WHEN 0 THEN '2024-01-20' WHEN 1 THEN '2024\\01\\22'
+             WHEN 2 THEN '20240101' WHEN 3 THEN '5' WHEN 4 THEN '99999' END AS from_parm""",
+        """CASE n_nationkey WHEN 0 THEN '2024-01-12' WHEN 1 THEN '2024/01/24'
+             WHEN 2 THEN '2024-01-04' WHEN 3 THEN '2024-01-01' END AS to_parm""",
     )
 
 
 def audit_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for weeks of the audits: 25 ranges of a month each."""
-    start = F.date_add(F.lit("1996-01-01").cast("date"), F.col("n_nationkey") * 70)
-    return read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("req_id"),
-        _date_text(start, "-").alias("from_parm"),
-        _date_text(F.date_add(start, 30), "/").alias("to_parm"),
+    start = "date_add(DATE'1996-01-01', n_nationkey * 70)"
+    return read(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS req_id",
+        f"CAST({start} AS STRING) AS from_parm",
+        f"translate(CAST(date_add({start}, 30) AS STRING), '-', '/') AS to_parm",
     )
 
 
@@ -165,153 +136,134 @@ def audit_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def disks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quantity, flag, line = F.col("l_quantity"), F.col("l_returnflag"), F.col("l_linenumber")
-    return read(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("agentGuid"),
-        F.when(line <= 5, 1).otherwise(2).alias("resultGroup"),
-        F.when(F.col("l_tax") < 0.06, 1).otherwise(0).alias("locked"),
-        F.when(F.col("l_linestatus") == "O", "C")
-        .when(quantity > 25, "D")
-        .otherwise(" D")
-        .alias("driveLetter"),
-        F.when(flag == "A", "Archive")
-        .when(flag == "R", "Root ")
-        .when(quantity < 10, "Page File")
-        .when(quantity < 20, "SwapVol")
-        .when(quantity < 25, "pagefile")
-        .when(quantity >= 28, "Normal")
-        .alias("volumeName"),
-        F.when(line % 4 == 0, "Removable")
-        .when(line % 4 == 3, "CDROM")
-        .otherwise("Fixed")
-        .alias("type"),
-        F.when(F.col("l_discount") >= 0.09, 0.0)
-        .otherwise(F.col("l_extendedprice"))
-        .alias("totalMBytes"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("freeMBytes"),
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey AS agentGuid",
+        "IF(l_linenumber <= 5, 1, 2) AS resultGroup",
+        "IF(l_tax < 0.06D, 1, 0) AS locked",
+        """CASE WHEN l_linestatus = 'O' THEN 'C' WHEN l_quantity > 25 THEN 'D' ELSE ' D' END
+             AS driveLetter""",
+        """CASE WHEN l_returnflag = 'A' THEN 'Archive' WHEN l_returnflag = 'R' THEN 'Root '
+                WHEN l_quantity < 10 THEN 'Page File' WHEN l_quantity < 20 THEN 'SwapVol'
+                WHEN l_quantity < 25 THEN 'pagefile' WHEN l_quantity >= 28 THEN 'Normal' END
+             AS volumeName""",
+        """CASE l_linenumber % 4 WHEN 0 THEN 'Removable' WHEN 3 THEN 'CDROM' ELSE 'Fixed' END
+             AS type""",
+        "IF(l_discount >= 0.09D, 0.0D, l_extendedprice) AS totalMBytes",
+        "l_extendedprice * l_discount AS freeMBytes",
     )
 
 
 def audits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("agentGuid"),
-        F.when(F.col("o_orderstatus") == "P", 2).otherwise(1).alias("resultGroup"),
-        F.when(F.col("o_orderpriority") == "5-LOW", 0).otherwise(1).alias("locked"),
-        F.col("o_orderdate").alias("date"),
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS agentGuid",
+        "IF(o_orderstatus = 'P', 2, 1) AS resultGroup",
+        "IF(o_orderpriority = '5-LOW', 0, 1) AS locked",
+        "o_orderdate AS date",
     )
 
 
 # --- inventory -------------------------------------------------------------
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customer = read(spark, sf_dir, "customer")
-    orders = read(spark, sf_dir, "orders")
-    group = F.col("c_nationkey")
-    copy = F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")
-    machines = customer.select("c_custkey", "c_name", "c_mktsegment", copy).select(
-        F.col("c_custkey").alias("agentGuid"),
-        F.concat(
-            F.lit(" "), "c_name", F.when(F.col("copy") == 1, "-old").otherwise("")
-        ).alias("machName"),
-        F.concat("c_mktsegment", F.lit(" ")).alias("groupName"),
+def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        read(spark, sf_dir, "customer")
+        .selectExpr("c_custkey", "c_name", "c_mktsegment", "explode(array('', '-old')) AS suffix")
+        .selectExpr(
+            "c_custkey AS agentGuid",
+            "concat(' ', c_name, suffix) AS machName",
+            "concat(c_mktsegment, ' ') AS groupName",
+        )
     )
-    values = (
-        customer.select(
-            F.col("c_custkey").alias("agentGuid"),
-            F.explode(
-                F.array(
-                    F.struct(
-                        F.lit(0).cast("bigint").alias("fieldNameFK"),
-                        F.when(group % 4 == 0, "YES")
-                        .when(group % 4 == 1, "yes ")
-                        .when(group % 4 == 2, "NO")
-                        .alias("fieldValue"),
-                    ),
-                    F.struct(
-                        F.lit(1).cast("bigint").alias("fieldNameFK"),
-                        F.when(group % 5 != 0, F.concat(F.lit(" "), "c_mktsegment")).alias(
-                            "fieldValue"
-                        ),
-                    ),
-                    F.struct(
-                        F.lit(2).cast("bigint").alias("fieldNameFK"),
-                        F.lit("other").alias("fieldValue"),
-                    ),
-                )
-            ).alias("f"),
+
+
+def field_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flag, server type and another field; some agents lack the first two."""
+    return (
+        read(spark, sf_dir, "customer")
+        .selectExpr(
+            "c_custkey AS agentGuid",
+            """posexplode(array(
+                 CASE c_nationkey % 4 WHEN 0 THEN 'YES' WHEN 1 THEN 'yes ' WHEN 2 THEN 'NO' END,
+                 IF(c_nationkey % 5 <> 0, concat(' ', c_mktsegment), NULL),
+                 'other')) AS (field, fieldValue)""",
         )
-        .select("agentGuid", "f.fieldNameFK", "f.fieldValue")
-        .where(F.col("fieldValue").isNotNull())
+        .where("fieldValue IS NOT NULL")
+        .selectExpr("agentGuid", "CAST(field AS BIGINT) AS fieldNameFK", "fieldValue")
     )
-    key = F.col("r_regionkey")
-    fields = read(spark, sf_dir, "region").select(
-        key.cast("bigint").alias("id"),
-        F.when(key == 0, "ReportingEnabled")
-        .when(key == 1, "Server Type")
-        .otherwise(F.col("r_name"))
-        .alias("fieldName"),
+
+
+def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "region").selectExpr(
+        "CAST(r_regionkey AS BIGINT) AS id",
+        """CASE r_regionkey WHEN 0 THEN 'ReportingEnabled' WHEN 1 THEN 'Server Type'
+             ELSE r_name END AS fieldName""",
     )
-    address = F.concat(
-        F.lit(" 10.0."),
-        (F.col("o_orderkey") % 256).cast("string"),
-        F.lit("."),
-        (F.col("o_custkey") % 256).cast("string"),
+
+
+def ip_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS agentGuid",
+        """IF(o_custkey % 11 <> 0,
+              concat(' 10.0.', o_orderkey % 256, '.', o_custkey % 256), NULL) AS ipAddress""",
+        "concat('Windows ', o_orderstatus, ' ') AS osInfo",
     )
-    ip_info = orders.select(
-        F.col("o_custkey").alias("agentGuid"),
-        F.when(F.col("o_custkey") % 11 != 0, address).alias("ipAddress"),
-        F.concat(F.lit("Windows "), "o_orderstatus", F.lit(" ")).alias("osInfo"),
+
+
+def reboots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS agentGuid", "IF(o_orderstatus = 'F', o_orderdate, NULL) AS rebootTime"
     )
-    reboots = orders.select(
-        F.col("o_custkey").alias("agentGuid"),
-        F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).alias("rebootTime"),
+
+
+def memory_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        read(spark, sf_dir, "lineitem")
+        .selectExpr("l_partkey", "l_linenumber", "CAST(l_quantity AS BIGINT) AS n")
+        .selectExpr(
+            "l_partkey AS agentGuid",
+            """CASE l_linenumber
+                 WHEN 1 THEN concat(n, 'MB')
+                 WHEN 2 THEN concat(' ', n, 'gb ')
+                 WHEN 3 THEN concat(n, ' TB')
+                 WHEN 4 THEN concat(n * 1000, 'KB')
+                 WHEN 5 THEN CAST(n AS STRING)
+                 WHEN 6 THEN concat(n, '.5GB') END AS memSize""",
+        )
     )
-    size = F.col("p_size")
-    cpu = read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("agentGuid"),
-        F.col("p_type").alias("cpuDesc"),
-        F.explode(F.array(size + 1, size)).alias("cpuCount"),
+
+
+def processors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS agentGuid",
+        "p_type AS cpuDesc",
+        "explode(array(p_size + 1, p_size)) AS cpuCount",
     )
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        "machNameTab": machines,
-        "auditRsltManualFields": fields,
-        "auditRsltManualFieldValues": values,
-        "userIpInfo": ip_info,
-        "lastReboot": reboots,
+        "machNameTab": machines(spark, sf_dir),
+        "auditRsltManualFields": fields(spark, sf_dir),
+        "auditRsltManualFieldValues": field_values(spark, sf_dir),
+        "userIpInfo": ip_info(spark, sf_dir),
+        "lastReboot": reboots(spark, sf_dir),
         "auditRsltSimm": memory_modules(spark, sf_dir),
-        "auditRsltCpu": cpu,
+        "auditRsltCpu": processors(spark, sf_dir),
     }
 
 
-def memory_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    n = F.col("l_quantity").cast("bigint").cast("string")
-    kilo = (F.col("l_quantity").cast("bigint") * 1000).cast("string")
-    return read(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("agentGuid"),
-        F.when(line == 1, F.concat(n, F.lit("MB")))
-        .when(line == 2, F.concat(F.lit(" "), n, F.lit("gb ")))
-        .when(line == 3, F.concat(n, F.lit(" TB")))
-        .when(line == 4, F.concat(kilo, F.lit("KB")))
-        .when(line == 5, n)
-        .when(line == 6, F.concat(n, F.lit(".5GB")))
-        .alias("memSize"),
-    )
-
-
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contact = F.col("conv_id")
-    return read(spark, sf_dir, "conversations").select(
-        F.concat(F.lit("owner "), (contact % 10).cast("string")).alias("owner"),
-        contact.alias("contact"),
-        F.concat(F.lit("account "), (contact % 7).cast("string")).alias("account"),
-        F.concat(F.lit("source "), (contact % 3).cast("string")).alias("lead_source"),
-        F.substring("text", 1, 40).alias("subject"),
-        F.col("role").alias("type"),
-        F.col("turn").alias("created_on"),
-        F.concat("role", F.lit("@"), contact.cast("string")).alias("created_by"),
-        F.col("text").alias("description"),
+    return read(spark, sf_dir, "conversations").selectExpr(
+        "concat('owner ', conv_id % 10) AS owner",
+        "conv_id AS contact",
+        "concat('account ', conv_id % 7) AS account",
+        "concat('source ', conv_id % 3) AS lead_source",
+        "substr(text, 1, 40) AS subject",
+        "role AS type",
+        "turn AS created_on",
+        "concat(role, '@', conv_id) AS created_by",
+        "text AS description",
     )
 
 
@@ -321,12 +273,12 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First half of the month, without the errors that arrived late."""
     return (
-        _clocked(spark, sf_dir)
-        .where((F.col("to_hour") < _ntz("2024-01-16")) & (F.col("event_type") != "error"))
-        .select(
-            F.col("user_id").alias("AgentGUID"),
-            F.col("to_hour").alias("EventTime"),
-            F.concat(F.lit(" "), "event_type", F.lit("  ")).alias("Message"),
+        read(spark, sf_dir, "events")
+        .where("ts < TIMESTAMP_NTZ'2024-01-16' AND event_type <> 'error'")
+        .selectExpr(
+            "user_id AS AgentGUID",
+            f"{_TO_HOUR} AS EventTime",
+            "concat(' ', event_type, '  ') AS Message",
         )
     )
 
@@ -337,25 +289,26 @@ def stored_hours(spark: SparkSession, sf_dir: str, pattern: str) -> DataFrame:
     Readings on the hour are left out, so hours that have some differ now; the
     sums are off by less than the tolerance.
     """
-    names = counters(spark, sf_dir).where(F.col("name").ilike(pattern))
+    names = counters(spark, sf_dir).where(f"name ILIKE r'{pattern}'")
     log = counter_log(spark, sf_dir).where(
-        (F.col("log_date") < F.lit("2024-01-16").cast("date"))
-        & (F.col("counterValue") > 0)
-        & (F.minute("eventDateTime") > 0)
-    )
-    hour = F.col("log_date").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.hour("eventDateTime")
+        "log_date < DATE'2024-01-16' AND counterValue > 0 AND minute(eventDateTime) > 0"
     )
     return (
         log.join(names, "monitorCounterId")
-        .groupBy(
-            F.col("agentGuid").alias("AgentGUID"),
-            hour.alias("TheDate"),
-            F.hour("eventDateTime").alias("Hour"),
+        .selectExpr(
+            "agentGuid AS AgentGUID",
+            "CAST(log_date AS TIMESTAMP_NTZ) + make_dt_interval(0, hour(eventDateTime)) AS TheDate",
+            "hour(eventDateTime) AS Hour",
+            "counterValue",
         )
-        .agg(
-            (F.sum("counterValue") + 2e-7).alias("Sum"),
-            F.count(F.lit(1)).alias("DataPoints"),
+        .groupBy("AgentGUID", "TheDate", "Hour")
+        .agg({"counterValue": "sum", "*": "count"})
+        .selectExpr(
+            "AgentGUID",
+            "TheDate",
+            "Hour",
+            "`sum(counterValue)` + 2e-7D AS Sum",
+            "`count(1)` AS DataPoints",
         )
     )
 
@@ -371,12 +324,12 @@ def stored_disks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The C drives of the second week of 1996."""
     return (
         disks(spark, sf_dir)
-        .where(F.col("driveLetter") == "C")
-        .select(
-            F.col("agentGuid").alias("AgentGUID"),
-            F.lit(1996).alias("YearNum"),
-            F.lit(2).alias("WeekNum"),
-            F.trim("driveLetter").alias("DriveName"),
-            F.trim("volumeName").alias("DiskLabel"),
+        .where("driveLetter = 'C'")
+        .selectExpr(
+            "agentGuid AS AgentGUID",
+            "1996 AS YearNum",
+            "2 AS WeekNum",
+            "trim(driveLetter) AS DriveName",
+            "trim(volumeName) AS DiskLabel",
         )
     )
