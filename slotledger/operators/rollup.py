@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.operators.filters import is_cpu_counter, is_mem_counter
+from slotledger.operators.slots import distinct_slots
 
 COMPONENTS = ("CPU", "MEM")
 
@@ -63,6 +64,14 @@ def _hour_slots(ts: Column, log_date: Column, closed: str) -> tuple[Column, Colu
     return (ts >= day) & (ts <= next_day), slots
 
 
+def _in_slots(readings: DataFrame, slots: DataFrame | None) -> DataFrame:
+    """Readings of the ``(component, log_date)`` pairs asked for."""
+    if slots is None:
+        return readings
+    asked = F.broadcast(distinct_slots(slots, "log_date", "component"))
+    return readings.join(asked, ["component", "log_date"], "left_semi")
+
+
 def component_rollup(
     log: DataFrame,
     counters: DataFrame,
@@ -80,10 +89,7 @@ def component_rollup(
     ts, log_date = F.col("eventDateTime"), F.col("log_date")
     inside, hours = _hour_slots(ts, log_date, closed)
     readings = component_readings(log.where(inside), counters, components)
-    if slots is not None:
-        readings = readings.join(
-            F.broadcast(slots), ["component", "log_date"], "left_semi"
-        )
+    readings = _in_slots(readings, slots)
     if closed == "left":
         slotted = readings.withColumn("Hour", F.hour(ts))
     else:
@@ -118,11 +124,7 @@ def daily_rollup(
     slots: DataFrame | None = None,
 ) -> DataFrame:
     """Sum and count per component, agent and whole shard; the hour is always 1."""
-    readings = component_readings(log, counters, components)
-    if slots is not None:
-        readings = readings.join(
-            F.broadcast(slots), ["component", "log_date"], "left_semi"
-        )
+    readings = _in_slots(component_readings(log, counters, components), slots)
     return (
         readings.groupBy("component", "agentGuid", "log_date")
         .agg(F.sum("counterValue").alias("Sum"), F.count(F.lit(1)).alias("DataPoints"))

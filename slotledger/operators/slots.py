@@ -148,13 +148,12 @@ def join_day_slots(df: DataFrame, ts: str, slots: DataFrame) -> DataFrame:
 def join_week_slots(
     df: DataFrame, ts: str, weeks: DataFrame, week_start: int = 1
 ) -> DataFrame:
-    """Each row with the week slot its time falls in; ``weeks`` has one row per week."""
-    return (
-        df.withColumn("week_begin", start_of_week(F.col(ts), week_start))
-        .join(F.broadcast(weeks.where(in_calendar(F.col("week_begin")))), "week_begin")
+    """Each row whose time falls in one of the weeks, with that week."""
+    return df.withColumn("week_begin", start_of_week(F.col(ts), week_start)).join(
+        F.broadcast(distinct_weeks(weeks)), "week_begin"
     )
 
 
 def distinct_weeks(week_slot_rows: DataFrame) -> DataFrame:
-    """The weeks of a slot table, one row each (at most the calendar's weeks)."""
+    """The weeks of a slot table, one row each: at most the weeks of the calendar."""
     return distinct_slots(week_slot_rows, "week_begin", "YearNum", "WeekNum")

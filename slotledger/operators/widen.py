@@ -56,7 +56,7 @@ def _chunk_bounds(df: DataFrame, keys: list[str], order: str) -> DataFrame | Non
     bounds = (
         df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(order, points, 10 * CHUNKS)).alias("_bounds"))
+        .agg(F.percentile_approx(order, points, 10 * CHUNKS).alias("_bounds"))
     )
     rows = bounds.collect()
     return df.sparkSession.createDataFrame(rows, bounds.schema) if rows else None
@@ -67,26 +67,33 @@ def number_activities(
 ) -> DataFrame:
     """Add ``slot``: 1 for the first activity of a key, 2 for the next, and so on.
 
-    Keys with a large share of the rows are cut into chunks of the order column;
-    each chunk is numbered on its own and shifted by the sizes of the chunks
-    before it, so no task sees more than a chunk.
+    Equal order values are told apart by a hash of the ``ties`` columns, then by
+    the columns themselves. Keys with a large share of the rows are cut into
+    chunks of that order; each chunk is numbered on its own and shifted by the
+    sizes of the chunks before it, so no task sees more than a chunk.
     """
     keys = list(keys)
-    by_order = [F.col(order), *ties]
+    tie_hash = F.xxhash64(*ties) if ties else F.lit(0).cast("bigint")
+    by_order = [F.col(order), tie_hash, *ties]
     bounds = _chunk_bounds(df, keys, order)
     if bounds is None:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order))
         return df.withColumn("slot", number.cast("bigint"))
     flagged = df.join(F.broadcast(bounds), keys, "left")
     below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
+    # a value that fills several cut points is spread over as many chunks by its hash
+    filled = F.size(F.filter("_bounds", lambda b: b == F.col(order)))
+    spread = F.floor((tie_hash / F.lit(2.0**64) + 0.5) * filled)
+    chunk = below + F.least(spread, F.greatest(filled - 1, F.lit(0)))
     chunked = flagged.withColumn(
-        "_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(below)
-    ).drop("_bounds")
+        "_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(chunk).cast("int")
+    )
     counts = (
-        flagged.where(F.col("_bounds").isNotNull())
-        .groupBy(*keys, below.alias("_chunk"))
+        chunked.where(F.col("_bounds").isNotNull())
+        .groupBy(*keys, "_chunk")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    chunked = chunked.drop("_bounds")
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -41,9 +41,8 @@ from slotledger.schemas import DISK, MESSAGE_WIDTH, NTEVENT, SERVERS, SUM_TOLERA
 
 
 def component_slots(requests: DataFrame, as_of: AsOf) -> DataFrame:
-    """Distinct ``(component, log_date)`` pairs that the requests ask for."""
-    days = day_slots(resolve_requests(resolve_components(requests), as_of))
-    return distinct_slots(days, "log_date", "component")
+    """The ``(component, log_date)`` pairs that the requests ask for."""
+    return day_slots(resolve_requests(resolve_components(requests), as_of))
 
 
 def components_report(
@@ -172,7 +171,7 @@ def weekly_disk_report(
     drives whose names differ only in blanks are one drive.
     """
     resolved = resolve_requests(requests, as_of, unit="week")
-    weeks = distinct_weeks(week_slots(resolved, week_start, cover_all_weeks))
+    weeks = week_slots(resolved, week_start, cover_all_weeks)
     # One pass over the disks: does a drive qualify, and its first detail row.
     sizes = F.struct("totalMBytes", "freeMBytes")
     drives = (
@@ -199,7 +198,9 @@ def weekly_disk_report(
         DISK.keys,
         ["Stamp", "DriveName", F.asc_nulls_first("TotalSpaceGB"), F.asc_nulls_first("FreeSpaceGB")],
     )
-    return insert_new(once, target, DISK.keys)
+    asked = distinct_weeks(weeks).select("YearNum", "WeekNum")
+    stored = target.join(F.broadcast(asked), ["YearNum", "WeekNum"], "left_semi")
+    return insert_new(once, stored, DISK.keys)
 
 
 def current_disks(disks: DataFrame, audits: DataFrame) -> DataFrame:

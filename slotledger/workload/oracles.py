@@ -150,9 +150,12 @@ _CTES = {
   FROM events
   WHERE date_trunc('hour', ts) < TIMESTAMP '2024-01-16' AND event_type <> 'error'""",
     "stored_disks": """
-  SELECT "agentGuid" AS "AgentGUID", 1996 AS "YearNum", 2 AS "WeekNum",
-         trim("driveLetter", ' ') AS "DriveName", trim("volumeName", ' ') AS "DiskLabel"
-  FROM disks WHERE "driveLetter" = 'C'""",
+  SELECT l_partkey AS "AgentGUID", year(l_shipdate) AS "YearNum",
+         (dayofyear(l_shipdate) - 1 + dayofweek(date_trunc('year', l_shipdate))) // 7 + 1
+           AS "WeekNum",
+         CASE WHEN l_linestatus = 'O' THEN 'C' ELSE 'D' END AS "DriveName",
+         CASE WHEN l_returnflag = 'A' THEN 'Archive' ELSE 'Root' END AS "DiskLabel"
+  FROM lineitem""",
     "event_batch": """
   SELECT "agentGuid" AS "AgentGUID", "eventTime" AS "EventTime", message AS "Message"
   FROM event_log""",

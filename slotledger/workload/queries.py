@@ -193,8 +193,7 @@ def join_day_slots(spark, sf_dir):
 @query
 def join_week_slots(spark, sf_dir):
     resolved = slots.resolve_requests(t.audit_requests(spark, sf_dir), AS_OF, "week")
-    weeks = slots.distinct_weeks(slots.week_slots(resolved))
-    return slots.join_week_slots(t.audits(spark, sf_dir), "date", weeks)
+    return slots.join_week_slots(t.audits(spark, sf_dir), "date", slots.week_slots(resolved))
 
 
 # --- filters and projections -----------------------------------------------
@@ -408,7 +407,7 @@ def outcome_counts(spark, sf_dir):
 
 def _audit_weeks(spark, sf_dir):
     resolved = slots.resolve_requests(t.audit_requests(spark, sf_dir), AS_OF, "week")
-    return slots.distinct_weeks(slots.week_slots(resolved))
+    return slots.week_slots(resolved)
 
 
 @query

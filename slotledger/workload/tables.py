@@ -321,15 +321,12 @@ def stored_components(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def stored_disks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The C drives of the second week of 1996."""
-    return (
-        disks(spark, sf_dir)
-        .where("driveLetter = 'C'")
-        .selectExpr(
-            "agentGuid AS AgentGUID",
-            "1996 AS YearNum",
-            "2 AS WeekNum",
-            "trim(driveLetter) AS DriveName",
-            "trim(volumeName) AS DiskLabel",
-        )
+    """Two drives of every machine, stored for the weeks its parts were shipped in."""
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey AS AgentGUID",
+        "year(l_shipdate) AS YearNum",
+        """CAST(floor((dayofyear(l_shipdate) - 1 + dayofweek(trunc(l_shipdate, 'YEAR')) - 1) / 7) + 1
+             AS INT) AS WeekNum""",
+        "IF(l_linestatus = 'O', 'C', 'D') AS DriveName",
+        "IF(l_returnflag = 'A', 'Archive', 'Root') AS DiskLabel",
     )

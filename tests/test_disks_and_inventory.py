@@ -7,7 +7,7 @@ from slotledger.functions.text import size_to_mb
 from slotledger.operators.filters import current_disk_filter, weekly_disk_filter
 from slotledger.operators.inventory import memory_installed, unreadable_sizes
 from slotledger.operators.latest import join_back_latest, latest_audits, latest_stamp, top_one
-from slotledger.operators.slots import distinct_weeks, resolve_requests, week_slots
+from slotledger.operators.slots import resolve_requests, week_slots
 from slotledger.plans.jobs import (
     current_disk_outcomes,
     current_disk_report,
@@ -96,7 +96,7 @@ def test_weekly_disk_report(spark):
         (1, 1, 1, ts("2013-01-06T00:00:00")),
     )
     requests = frame(spark, REQUESTS, (1, None, "2013-01-05", None))
-    weeks = distinct_weeks(week_slots(resolve_requests(requests, AS_OF, "week")))
+    weeks = week_slots(resolve_requests(requests, AS_OF, "week"))
     stamps = latest_stamp(disks, audits, weeks)
     last = ts("2013-01-05T23:59:59")
     assert rows(stamps, "driveLetter", "YearNum", "WeekNum", "Stamp") == [

@@ -92,8 +92,8 @@ def test_load_tables(spark, tmp_path):
 
 def test_view_as_source(spark):
     df = spark.range(2)
-    df.createOrReplaceTempView("vw_ActivityContact")
-    assert contact_activity(df, "vw_ActivityContact").count() == 2
+    df.createOrReplaceTempView("contact_view")
+    assert contact_activity(df, "contact_view").count() == 2
     assert contact_activity(df) is df
 
 

@@ -64,6 +64,21 @@ def test_numbers_of_a_hot_contact(spark, skewed):
         assert [r["slot"] for r in group] == list(range(1, len(group) + 1))
 
 
+def test_numbers_of_a_hot_contact_with_equal_times(spark):
+    """Half of the hot contact's activities share one time."""
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 3 = 0, -1, id % 2000) AS contact",
+        "IF(id % 2 = 0, 100, id % 200) AS created_on",
+        "CONCAT('s', id) AS subject",
+    )
+    numbered = w.number_activities(df, ["contact"], "created_on", ["subject"])
+    hot = sorted(numbered.where("contact = -1").collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in hot] == list(range(1, len(hot) + 1))
+    times = [r["created_on"] for r in hot]
+    assert times == sorted(times)
+    assert numbered.select("subject").distinct().count() == 20_000
+
+
 def test_hot_contact_is_numbered_in_chunks(spark, skewed):
     bounds = w._chunk_bounds(skewed, ["contact"], "created_on")
     assert [r["contact"] for r in bounds.collect()] == [-1]
