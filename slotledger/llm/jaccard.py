@@ -28,8 +28,8 @@ PART = (90, 100)
 BAND_RATIO = 1.4
 #: Segments that may be left out for having fewer than two shingles.
 SPARE = 1
-#: Members aimed at in one block of a verification.
-BLOCK = 128
+#: Shingles aimed at in one block of a verification (8 bytes each).
+BLOCK_SHINGLES = 200_000
 
 
 # -- sets ----------------------------------------------------------------------------------------------------------------
@@ -309,17 +309,18 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
 def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n: int, part: tuple[int, int]) -> DataFrame:
     """(a, b): links between sets of one cluster, enough of them to connect whatever is linked.
 
-    A cluster is cut by size band and, within a band, into blocks of about BLOCK sets; blocks of one band or of bands that can
-    be linked meet in a unit of work of its own, so that no group is held whole.
+    A cluster is cut by size band and, within a band, into blocks of about BLOCK_SHINGLES; blocks of one band or of bands that
+    can be linked meet in a unit of work of its own, so that no group is held whole.
     """
     one = measured.filter("n > 0").groupBy("sid", "n").agg(F.min("rk").alias("rk"))
     members = one.join(clusters.select(F.col("node").alias("sid"), F.col("label").alias("cluster")), "sid")
     members = members.withColumn("band", _band_column("n"))
     members = stored(members, "members")
-    blocks = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k"))
+    blocks = members.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("k"))
     blocks = blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "k"))).alias("blocks"))
     members = members.join(blocks, "cluster")
-    texts = docs.select("rk", "text").join(members, "rk").select("sid", "cluster", "band", "blocks", "text")
+    wanted = small(members.select("rk"), BROADCAST_KEYS)  # other texts need not be moved
+    texts = docs.select("rk", "text").join(wanted, "rk", "left_semi").join(members, "rk").select("sid", "cluster", "band", "blocks", "text")
     sets = texts.mapInArrow(_sets(n), "sid long, cluster long, band int, blocks map<int,int>, grams array<bigint>")
     # a set goes, with all blocks of its own band (in order) and of the neighbouring bands, into one unit each
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")[F.col("band")]).cast("int")
