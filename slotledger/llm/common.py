@@ -73,6 +73,14 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def dealt_anew(df: DataFrame, key: str) -> DataFrame:
+    """`df` with its (long) key worked out anew: a join then deals out both sides itself and can split the rows of a hot key.
+
+    Without this, sums by the key stay where they are, and Spark does not split a join of them.
+    """
+    return df.withColumn(key, F.bitwise_not(F.bitwise_not(key)))
+
+
 #: A table of at most so many row keys (8 MB) is broadcast.
 BROADCAST_KEYS = 1_000_000
 
@@ -220,12 +228,12 @@ def connected(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
     seen = None
     for k in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = dealt_anew(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "a")
         # every larger neighbour hangs on the smallest
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.filter("a <> b").distinct()
         # every smaller neighbour, and the node itself, hangs on the smallest
-        below = large.groupBy("a").agg(F.min("b").alias("m"))
+        below = dealt_anew(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         hung = large.join(below, "a")
         star = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(below.select("a", F.col("m").alias("b")))
         now = stored(star.filter("a <> b").distinct(), f"{name}-{k}")

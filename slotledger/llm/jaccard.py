@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import BROADCAST_KEYS, connected, fresh_name, mix, pieces, row_key, small, sorted_groups, stored, word_hashes
+from slotledger.llm.common import BROADCAST_KEYS, connected, dealt_anew, fresh_name, mix, pieces, row_key, small, sorted_groups, stored, word_hashes
 
 SHINGLE = 3
 #: Similarity as a fraction: linked if PART[1] * intersection >= PART[0] * union.
@@ -302,6 +302,7 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     plans = {b: p for b, p in plans.items() if differences(band_range(b)[1], part)}
     rows = docs.select("text").mapInArrow(_index(plans, n, part), "sig long, sid long")
     met = rows.groupBy("sig").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).filter("lead < last").select("sig", "lead")
+    met = dealt_anew(met, "sig")
     links = rows.join(met, "sig").filter("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct()
     return stored(connected(links, "candidates"), "clusters")
 
@@ -361,7 +362,7 @@ def near_duplicate_groups(docs: DataFrame, n: int = SHINGLE, part: tuple[int, in
     """
     rows = grouped(docs, n, part)
     least = rows.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "label", "left").select("rk", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return rows.join(dealt_anew(least, "label"), "label", "left").select("rk", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame, n: int = SHINGLE, part: tuple[int, int] = PART) -> DataFrame:
@@ -373,7 +374,7 @@ def one_of_each_group(docs: DataFrame, n: int = SHINGLE, part: tuple[int, int] =
     # the place of a row in its group; a document without words is a group of its own
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rk")
     first = rows.filter("label is not null").groupBy("label").agg(F.min(order)["rk"].alias("first"))
-    gone = rows.join(first, "label").filter("rk <> first").select("rk").distinct()
+    gone = rows.join(dealt_anew(first, "label"), "label").filter("rk <> first").select("rk").distinct()
     key = fresh_name(docs, "rk")
     out = docs.withColumn(key, row_key()).join(small(stored(gone, "copies").withColumnRenamed("rk", key), BROADCAST_KEYS), key, "left_anti")
     if rows.groupBy("rk").count().filter("count > 1").limit(1).count():

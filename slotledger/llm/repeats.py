@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import mix, pieces, row_key, span_hashes, stored, word_hashes
+from slotledger.llm.common import dealt_anew, mix, pieces, row_key, span_hashes, stored, word_hashes
 
 WINDOW = 35
 ROUNDS = 2
@@ -199,12 +199,12 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     """
     rows = docs.select("rk", "text").mapInArrow(_anchor_rows(window, rounds), "key long, region long, rk long, place long")
     met = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("region").alias("r0"), F.max("region").alias("r1"))
-    met = met.filter("n > 1").select("key", (F.col("r0") == F.col("r1")).alias("same"))
+    met = dealt_anew(met.filter("n > 1").select("key", (F.col("r0") == F.col("r1")).alias("same")), "key")
     found = stored(rows.select("key", "rk", "place").join(met, "key").select("rk", "place", "same"), "shared-symbols")
     unsure = found.filter("not same").groupBy("rk").agg(F.collect_list("place").alias("places"))
     texts = docs.join(unsure, "rk").select("rk", "doc_id", "text", "places")
     windows = texts.mapInArrow(_window_rows(window), "window long, rk long, place long")
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+    again = dealt_anew(windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window"), "window")
     more = windows.join(again, "window").select("rk", "place")
     return found.filter("same").select("rk", "place").unionByName(more).groupBy("rk").agg(F.collect_list("place").alias("places"))
 
