@@ -80,6 +80,12 @@ def with_measures(docs: DataFrame) -> DataFrame:
     return at.select("row.*", measures.alias("measures"))
 
 
+def count_words(text: Column, gap: str = SPACE) -> Column:
+    """How many words a text has, parted by the characters of the pattern `gap`; none if it is null."""
+    line = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), gap, " "))
+    return F.when(line == "", 0).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("long")
+
+
 def base_rules(m: str = "") -> dict[str, Column]:
     """The rules of the base verdict over columns n_words and n_repeat_words."""
     c = lambda name: F.col(f"{m}{name}")
@@ -98,10 +104,10 @@ def host_rates(marked: DataFrame, host: str, rules: Mapping[str, Column]) -> Dat
     sums = stored(sums, "host-sums")
     raw = {name: F.col(f"bad_{name}") / F.col("n_docs") for name in rules}
     prior = sums.agg(*[f(raw[name]).alias(f"{k}_{name}") for name in rules for k, f in (("mean", F.avg), ("var", F.var_pop))])
-    out = sums.join(F.broadcast(prior))  # one row
+    out, known = sums, prior.first()  # one row of two numbers for each rule
     for name in rules:
-        mean, var = F.col(f"mean_{name}"), F.col(f"var_{name}")
-        weight = F.when(var > 0, F.greatest(mean * (1 - mean) / var - 1, F.lit(1e-3))).otherwise(1e6)
+        mean, var = known[f"mean_{name}"] or 0.0, known[f"var_{name}"] or 0.0
+        weight = max(mean * (1 - mean) / var - 1, 1e-3) if var > 0 else 1e6
         out = out.withColumn(f"rate_{name}", (F.col(f"bad_{name}") + mean * weight) / (F.col("n_docs") + weight))
     return out.select("host", "n_docs", *[f"rate_{name}" for name in rules])
 

@@ -70,8 +70,8 @@ def leaf_budgets(leaves: DataFrame, percent: int, epochs: int, weights: Mapping[
     """(domain, lang, source, tokens, docs, got) from the tokens and documents of every leaf."""
     leaves = leaves.withColumn("cap", F.col("tokens") * epochs)
     domains = leaves.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("w", _weight("domain", weights))
-    total = leaves.agg(F.least(F.expr(f"sum(tokens) * {int(percent)} div 100"), F.sum("cap")).alias("total"))
-    top = hand_down(domains.join(F.broadcast(total)).withColumn("root", F.lit(0)), ["root"], F.col("total"), "domain")
+    total = leaves.agg(F.least(F.expr(f"sum(tokens) * {int(percent)} div 100"), F.sum("cap"))).first()[0] or 0  # one number
+    top = hand_down(domains.withColumn("root", F.lit(0)), ["root"], F.lit(total).cast("long"), "domain")
     middle = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("w", _weight("lang", weights))
     middle = middle.join(top.select("domain", F.col("got").alias("above")), "domain")
     middle = hand_down(middle, ["domain"], F.col("above"), "lang")
