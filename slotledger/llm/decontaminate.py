@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.common import BROADCAST_KEYS, fresh_name, row_key, small, stored
-from slotledger.llm.host_rules import once
+from slotledger.llm.host_rules import count_words, once
 
 WINDOW = 10
 RAREST = 2
@@ -147,8 +147,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     covered = found.select("rk", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("len") - 1)).alias("at")).distinct()
     hits = covered.groupBy("rk").agg(F.count("*").alias("n_hit"))
     named = found.select("rk", "item").distinct().groupBy("rk").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    n_words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    base = docs.select(row_key().alias("rk"), "doc_id", n_words.cast("long").alias("n_words"))
+    n_words = count_words(F.col("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    base = docs.select(row_key().alias("rk"), "doc_id", n_words.alias("n_words"))
     out = base.join(hits.join(named, "rk"), "rk", "left")
     return out.select(
         "rk",
