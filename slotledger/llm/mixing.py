@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotledger.llm.common import fresh_name, row_key, small, stored
+from slotledger.llm.host_rules import count_words
 
 SEED = 17
 MAX_EPOCHS = 2
@@ -33,10 +34,6 @@ def domain_of(source: Column) -> Column:
     return F.when(digits == "", "other").otherwise(F.concat(F.lit("d"), (F.try_to_number(digits, F.lit("999999999")) % 4).cast("int").cast("string")))
 
 
-def n_tokens(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-
-
 def _named(value: Column) -> Column:
     """A null is a value of its own."""
     return F.coalesce(F.concat(F.lit("="), value), F.lit(""))
@@ -100,7 +97,7 @@ def select_documents(
         _named(domain_of(F.col("source")) if domain is None else domain).alias("domain"),
         _named(F.col("lang")).alias("lang"),
         _named(F.col("source")).alias("source"),
-        n_tokens(F.col("text")).alias("n"),
+        count_words(F.col("text")).alias("n"),
     )
     units = stored(units.groupBy("rk", "doc_id", *LEVELS, "n").agg(F.count("*").alias("copies")), "mix-units")
     cost = F.col("n") * F.col("copies")
