@@ -18,8 +18,9 @@ RAREST = 2
 #: Tables over the benchmark with at most so many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Letters beyond ASCII that lower() would change.
-FOREIGN_CAPITAL = r"[\p{Lu}\p{Lt}Ⅰ-ⅯⒶ-Ⓩ&&[^\x00-\x7F]]"
+#: Characters beyond ASCII that lower() might change: capitals, numerals and ringed letters, and all of the planes and ranges
+#: whose letters differ between versions of Unicode.
+FOREIGN_CAPITAL = r"[\p{Lu}\p{Lt}Ⅰ-ⅯⒶ-Ⓩ\x{1C80}-\x{1CBF}\x{2C00}-\x{2C7F}\x{A640}-\x{A7FF}\x{10000}-\x{10FFFF}&&[^\x00-\x7F]]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
