@@ -12,11 +12,14 @@ be read by itself, in any order. Shards are in ascending doc_id order, and so ar
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +34,8 @@ from slotledger.llm.common import new_folder
 END_ID = 2
 #: Rows aimed at in one shard.
 SHARD_ROWS = 20_000
-#: Distinct pieces whose ids a task keeps at hand; beyond that it starts afresh, which changes the speed only.
-CACHE_PIECES = 400_000
+#: Distinct pieces whose ids a worker keeps at hand; beyond that it starts afresh, which changes the speed only.
+CACHE_PIECES = 1_200_000
 MASK_DELTA = 0xA282EAD8
 HEAD, CHECK, FRONT = "<Q", "<I", "<qB"
 FRONT_BYTES = 9
@@ -40,6 +43,12 @@ NULL_ID, NARROW = 1, 2
 READ_BYTES = 1 << 20
 MANIFEST = "shard long, file string, record long, doc_id long, offset long, length long, n_tokens long"
 
+# A run of letters ends before these marks, and a run of marks is one token run; the apostrophe is not among them.
+_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%&*#$)]*)")
+# Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_ODD = re.compile(r"[\x00-\x1f\x7f-\xa0\xad]|(?<=.) ")
 # A space before a printable character always opens a new token, so texts may be cut there.
 _CUT = re.compile(r" (?=[!-~À-ɏ])")
 
@@ -53,6 +62,19 @@ def frame(payload: bytes) -> bytes:
     return b"".join((head, struct.pack(CHECK, masked(zlib.crc32(head))), payload, struct.pack(CHECK, masked(zlib.crc32(payload)))))
 
 
+class _Spaced(dict):
+    """The ids of pieces that follow a space, worked out when they are first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        ids = self[piece] = self.encode(" " + piece)
+        return ids
+
+
 class Encoder:
     """Token ids of whole texts as bytes of 4 per id; pieces that came before are looked up."""
 
@@ -61,45 +83,51 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # cutting needs: no normalizer, byte-level words, "\n" one id
-        self.cuts = self.tokenizer.normalizer is None and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and len(self.newline) == 1
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-        # pieces of one line each are encoded as the lines of one text
-        lines = [p for p in new if "\n" not in p and "\r" not in p and p.strip() and not p[-1].isspace()]
-        ids = np.array(self.tokenizer.encode("\n".join(lines), add_special_tokens=False).ids, dtype="<u4")
-        ends = np.flatnonzero(ids == self.newline[0])
-        if len(lines) and len(ends) == len(lines) - 1:
-            data, a = ids.tobytes(), 0
-            for piece, e in zip(lines, [*ends.tolist(), len(ids)]):
-                self.known[piece] = data[4 * a : 4 * e]
-                a = e + 1
-        for piece in new:
-            if piece not in self.known:
-                self.known[piece] = self._plain(piece)
+        # cutting needs words as byte-level tokenizers part them, and nothing done to the text before
+        words = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.cuts = self.tokenizer.normalizer is None and words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words["add_prefix_space"]
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.spaced = _Spaced(self._piece)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """The ids of one token run of letters or marks, straight from the merges."""
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= CACHE_PIECES:
+                self.words.clear()
+            line = word.encode().decode("latin-1")
+            if _ODD.search(line):
+                line = line.translate(_BYTES)
+            elif line[0] == " ":
+                line = "\u0120" + line[1:]
+            found = array("I", [t.id for t in self.model.tokenize(line)])
+            if sys.byteorder == "big":
+                found.byteswap()
+            ids = self.words[word] = found.tobytes()
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        if m := _SIMPLE.fullmatch(piece):
+            return self._word(m[1]) + (self._word(m[2]) if m[2] else b"")
+        lines = piece.split("\n")
+        if len(lines) > 1 and all(line.removeprefix(" " if not k else "").split() == [line.removeprefix(" " if not k else "")] for k, line in enumerate(lines)):
+            # single line breaks between words are tokens of their own
+            return self._word("\n").join([self._piece(line) for line in lines])
+        return self._plain(piece)
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.cuts or any(s in text for s in self.special):
             return self._plain(text)
-        pieces = _CUT.split(text)
-        pieces[1:] = [" " + p for p in pieces[1:]]
-        known = self.known
-        new = {p for p in pieces if p not in known}
-        if new:
-            self._learn(list(new))
-            if any(p not in known for p in pieces):  # the cache was started afresh
-                self._learn(list(set(pieces)))
-        return b"".join([known[p] for p in pieces])
+        first, *rest = _CUT.split(text)
+        spaced = self.spaced
+        return self._piece(first) + b"".join([spaced[p] for p in rest])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -127,8 +155,8 @@ def _writer(tokenizer: str, folder: str, end_id: int):
         end = struct.pack("<I", end_id)
         for batch in batches:
             made: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.frombuffer(codec.encode(text.as_py() or "") + end, dtype="<u4")
+            for doc_id, data in zip(batch.column("doc_id").to_pylist(), (codec.encode(t.as_py() or "") for t in batch.column("text"))):
+                ids = np.frombuffer(data + end, dtype="<u4")
                 narrow = int(ids.max()) < 65536
                 flags = (NULL_ID if doc_id is None else 0) | (NARROW if narrow else 0)
                 framed = frame(struct.pack(FRONT, doc_id or 0, flags) + ids.astype("<u2" if narrow else "<u4").tobytes())
