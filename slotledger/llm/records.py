@@ -44,7 +44,7 @@ READ_BYTES = 1 << 20
 MANIFEST = "shard long, file string, record long, doc_id long, offset long, length long, n_tokens long"
 
 # A run of letters ends before these marks, and a run of marks is one token run; the apostrophe is not among them.
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%&*#$)]*)")
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%&*#$)]*)")
 # Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
@@ -65,13 +65,20 @@ def frame(payload: bytes) -> bytes:
 class _Spaced(dict):
     """The ids of pieces that follow a space, worked out when they are first asked for."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, codec: Encoder):
+        self.codec = codec
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
             self.clear()
-        ids = self[piece] = self.encode(" " + piece)
+        word = _SIMPLE.fullmatch(piece)
+        if word is None:
+            ids = self.codec.other(" " + piece)
+        elif word[2]:
+            ids = self[word[1]] + self.codec.merged(word[2])
+        else:
+            ids = self.codec.merged(" " + piece)
+        self[piece] = ids
         return ids
 
 
@@ -88,38 +95,37 @@ class Encoder:
         words = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
         self.cuts = self.tokenizer.normalizer is None and words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words["add_prefix_space"]
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.spaced = _Spaced(self._piece)
+        self.spaced = _Spaced(self)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
+    def merged(self, word: str) -> bytes:
         """The ids of one token run of letters or marks, straight from the merges."""
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHE_PIECES:
-                self.words.clear()
-            line = word.encode().decode("latin-1")
-            if _ODD.search(line):
-                line = line.translate(_BYTES)
-            elif line[0] == " ":
-                line = "\u0120" + line[1:]
-            found = array("I", [t.id for t in self.model.tokenize(line)])
-            if sys.byteorder == "big":
-                found.byteswap()
-            ids = self.words[word] = found.tobytes()
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        if m := _SIMPLE.fullmatch(piece):
-            return self._word(m[1]) + (self._word(m[2]) if m[2] else b"")
-        lines = piece.split("\n")
-        if len(lines) > 1 and all(line.removeprefix(" " if not k else "").split() == [line.removeprefix(" " if not k else "")] for k, line in enumerate(lines)):
-            # single line breaks between words are tokens of their own
-            return self._word("\n").join([self._piece(line) for line in lines])
+        line = word if word.isascii() else word.encode().decode("latin-1")
+        if _ODD.search(line):
+            line = line.translate(_BYTES)
+        elif line[0] == " ":
+            line = "\u0120" + line[1:]
+        ids = array("I", [t.id for t in self.model.tokenize(line)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def other(self, piece: str) -> bytes:
+        """The ids of a piece that is not one word; single line breaks between words are tokens of their own."""
+        first, *rest = piece.split("\n")
+        lines = [first.removeprefix(" "), *rest]
+        if rest and all(line.split() == [line] for line in lines):
+            return self.merged("\n").join([self.line(first), *map(self.line, rest)])
         return self._plain(piece)
 
+    def line(self, line: str) -> bytes:
+        if line[:1] == " ":
+            return self.spaced[line[1:]]
+        word = _SIMPLE.fullmatch(line)
+        return self.merged(word[1]) + (self.merged(word[2]) if word[2] else b"") if word else self._plain(line)
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -127,7 +133,7 @@ class Encoder:
             return self._plain(text)
         first, *rest = _CUT.split(text)
         spaced = self.spaced
-        return self._piece(first) + b"".join([spaced[p] for p in rest])
+        return self.other(first) + b"".join([spaced[p] for p in rest])
 
 
 _encoders: dict[str, Encoder] = {}
