@@ -48,6 +48,7 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%&*#$)]*)")
 # Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_LITTLE = sys.byteorder == "little"
 _ODD = re.compile(r"[\x00-\x1f\x7f-\xa0\xad]|(?<=.) ")
 # A space before a printable character always opens a new token, so texts may be cut there.
 _CUT = re.compile(r" (?=[!-~À-ɏ])")
@@ -76,6 +77,8 @@ class _Spaced(dict):
             ids = self.codec.other(" " + piece)
         elif word[2]:
             ids = self[word[1]] + self.codec.merged(word[2])
+        elif piece.isascii():
+            ids = array("I", [t.id for t in self.codec.model.tokenize("\u0120" + piece)]).tobytes() if _LITTLE else self.codec.merged(" " + piece)
         else:
             ids = self.codec.merged(" " + piece)
         self[piece] = ids
@@ -108,7 +111,7 @@ class Encoder:
         elif line[0] == " ":
             line = "\u0120" + line[1:]
         ids = array("I", [t.id for t in self.model.tokenize(line)])
-        if sys.byteorder == "big":
+        if not _LITTLE:
             ids.byteswap()
         return ids.tobytes()
 
