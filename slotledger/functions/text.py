@@ -68,7 +68,8 @@ EIGHT_DIGIT_DATE = "^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$"
 
 
 def parse_date(col: Column) -> Column:
-    """DATE from ``yyyymmdd``, NULL for anything else or outside the calendar."""
+    """DATE from ``yyyymmdd`` in any blanks, NULL for anything else or outside the calendar."""
+    col = F.trim(col)
     dashed = F.concat_ws(
         "-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2)
     )

@@ -49,11 +49,14 @@ def load_if_slot_empty(
 ) -> DataFrame:
     """Rows of ``batch`` whose slot has no row in ``target`` at all.
 
-    Occupied slots that are dates are broadcast: the calendar bounds their number.
+    Occupied slots that are dates of the calendar are broadcast, since it bounds
+    their number; those outside it are tested by a join without a hint.
     """
     occupied = target.select(*slot_cols).distinct()
     if [f.dataType for f in occupied.schema.fields] == [T.DateType()]:
-        occupied = F.broadcast(occupied.where(in_calendar(F.col(slot_cols[0]))))
+        known = in_calendar(F.col(slot_cols[0]))
+        within, occupied = F.broadcast(occupied.where(known)), occupied.where(~known)
+        batch = batch.join(within, list(slot_cols), "left_anti")
     return batch.join(occupied, list(slot_cols), "left_anti").select(*batch.columns)
 
 

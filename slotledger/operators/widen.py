@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Activities per row of the wide table. Five columns each stay within a
+# Activities per row of a paged wide table. Five columns each stay within a
 # thousand columns, the width a SQL Server table may have.
 SLOTS_PER_ROW = 200
 # A contact with more than this share of all activities is numbered in chunks.
@@ -53,8 +54,9 @@ def _chunk_bounds(df: DataFrame, keys: list[str], order: str) -> DataFrame | Non
     total = df.agg(F.count(F.lit(1))).scalar()
     hot = sizes.where(F.col("n_rows") > F.greatest(total * F.lit(HOT_SHARE), F.lit(SLOTS_PER_ROW)))
     points = [i / CHUNKS for i in range(1, CHUNKS)]
+    named = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     bounds = (
-        df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        df.join(F.broadcast(named), _same(keys, "_hot_"), "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx(order, points, 10 * CHUNKS).alias("_bounds"))
     )
@@ -62,6 +64,11 @@ def _chunk_bounds(df: DataFrame, keys: list[str], order: str) -> DataFrame | Non
     return df.sparkSession.createDataFrame(rows, bounds.schema) if rows else None
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Equality of the keys with their prefixed names; NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 def number_activities(
     df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str | Column] = ()
 ) -> DataFrame:
@@ -79,32 +86,30 @@ def number_activities(
     if bounds is None:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order))
         return df.withColumn("slot", number.cast("bigint"))
-    flagged = df.join(F.broadcast(bounds), keys, "left")
+    points = bounds.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_bounds", F.lit(True).alias("_hot"))
+    flagged = df.join(F.broadcast(points), _same(keys, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
     below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
     # a value that fills several cut points is spread over as many chunks by its hash
     filled = F.size(F.filter("_bounds", lambda b: b == F.col(order)))
     spread = F.floor((tie_hash / F.lit(2.0**64) + 0.5) * filled)
     chunk = below + F.least(spread, F.greatest(filled - 1, F.lit(0)))
-    chunked = flagged.withColumn(
-        "_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(chunk).cast("int")
-    )
-    counts = (
-        chunked.where(F.col("_bounds").isNotNull())
-        .groupBy(*keys, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    chunked = chunked.drop("_bounds")
+    # rows without an order value come first, spread by their hash as well
+    unordered = F.floor((tie_hash / F.lit(2.0**64) + 0.5) * (CHUNKS - 1))
+    chunk = F.when(F.col(order).isNull(), unordered).otherwise(CHUNKS + chunk)
+    chunked = flagged.withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0)).cast("int"))
+    counts = chunked.where("_hot").groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    chunked = chunked.drop("_bounds", "_hot")
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = counts.select(
-        *keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        *[F.col(k).alias(f"_at_{k}") for k in keys], F.col("_chunk").alias("_at__chunk"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     in_chunk = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*by_order))
-    # offsets: at most CHUNKS rows for each of the hot keys
+    # offsets: at most 2 * CHUNKS rows for each of the hot keys
     return (
         chunked.withColumn("_number", in_chunk)
-        .join(F.broadcast(offsets), [*keys, "_chunk"], "left")
+        .join(F.broadcast(offsets), _same([*keys, "_chunk"], "_at_"), "left")
         .select(*df.columns, (F.col("_number") + F.coalesce("_offset", F.lit(0))).alias("slot"))
     )
 
@@ -114,30 +119,30 @@ def widen(
     key_cols: Mapping[str, str],
     order: str,
     value_cols: Mapping[str, str],
-    slots_per_row: int = SLOTS_PER_ROW,
+    slots_per_row: int | None = None,
 ) -> DataFrame:
     """One row per contact with the columns of every activity side by side.
 
     ``key_cols`` and ``value_cols`` map title to source column. The columns of
     the i-th activity in ``order`` are titled ``"i <title>"``; contacts with
-    fewer activities have NULLs there. The widest contact, one number, decides
-    how many there are. Should it exceed ``slots_per_row``, contacts go on over
-    further rows told apart by a ``Page`` column, so every activity is kept and
-    no row grows without bound.
+    fewer activities have NULLs there. Without ``slots_per_row`` a contact is one
+    row and the widest contact, one number, decides how many columns there are.
+    With it (``SLOTS_PER_ROW`` is a good choice) there are always a ``Page`` column
+    and columns for so many activities: contacts go on over further rows, so the
+    columns depend on the arguments alone and no row grows without bound.
     """
     keys, values = list(key_cols.values()), list(value_cols.values())
-    widest = max_group_size(df, keys).first()["max_rows"] or 0
     rows = df.select(*dict.fromkeys([*keys, order, *values]))
     titled_keys = [F.col(c).alias(t) for t, c in key_cols.items()]
-    if widest <= slots_per_row:
-        n, pages, group = widest, [], keys
+    if slots_per_row is None:
+        n, pages, group = max_group_size(df, keys).first()["max_rows"] or 0, [], keys
     else:
         rows = number_activities(rows, keys, order, ties=values)
         rows = rows.withColumn(
             "Page", F.floor((F.col("slot") - 1) / slots_per_row).cast("int") + 1
         )
         n, pages, group = slots_per_row, [F.col("Page")], [*keys, "Page"]
-    # a group holds at most slots_per_row rows here
+    # a group holds a contact, or at most slots_per_row of its rows
     position = [order, *[c for c in values if c != order]]
     wide = rows.groupBy(*group).agg(
         F.sort_array(F.collect_list(F.struct(*position))).alias("_list")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import AsOf, as_date, month_start, us_week
@@ -105,7 +105,8 @@ def events_report(
     A day without any stored event takes its whole shard as it is, duplicates
     and stray times included. Other days take only events timed inside the day,
     once each, that are not stored. All days are judged against the target as
-    it is when the job starts. The two kinds of days are disjoint, so over a
+    it is when the job starts. Events without a message, time or machine are
+    left out. The two kinds of days are disjoint, so over a
     log partitioned by day each partition is read once.
     """
     message = F.col("message")
@@ -120,6 +121,8 @@ def events_report(
     requested = distinct_slots(
         day_slots(resolve_requests(requests, as_of)), "log_date"
     )
+    # the report requires these; a NULL would equal nothing and be stored again on every run
+    events = events.dropna(subset=["AgentGUID", "EventTime", "Message"])
     stored = rows_on_days(target, "EventTime", requested)
     # over a target partitioned by day, which days are held takes no column at all
     held = F.col("SlotDate") if "SlotDate" in stored.columns else F.to_date("EventTime")
@@ -208,11 +211,20 @@ def current_disks(disks: DataFrame, audits: DataFrame) -> DataFrame:
     return latest_audit_join(disk_projection(current_disk_filter(disks)), audits)
 
 
-def current_disk_report(disks: DataFrame, audits: DataFrame, as_of: AsOf) -> DataFrame:
-    """Disk sizes at each agent's latest audit, dated by the run; always appended."""
+def current_disk_report(
+    disks: DataFrame, audits: DataFrame, as_of: AsOf, seen: Observation | None = None
+) -> DataFrame:
+    """Disk sizes at each agent's latest audit, dated by the run; always appended.
+
+    ``seen`` counts the disks inserted and skipped in the pass that writes the rows.
+    """
     today = as_date(as_of)
+    judged = current_disks(disks, audits)
+    if seen is not None:
+        counts = [F.count_if(F.col("outcome") == o).alias(o) for o in ("inserted", "skipped")]
+        judged = judged.observe(seen, *counts)
     return (
-        current_disks(disks, audits)
+        judged
         .where(F.col("outcome") == "inserted")
         .select(
             "AgentGUID",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from slotledger.functions.calendar import AsOf
 from slotledger.plans import jobs
@@ -101,10 +101,9 @@ def report_current_disks(
     """Disk sizes at the latest audits; returns the rows inserted and skipped."""
     source = load_tables(spark, tables, "auditRsltDisks", "auditRsltDate")
     disks, audits = source["auditRsltDisks"], source["auditRsltDate"]
-    new = jobs.current_disk_report(disks, audits, as_of)
-    append_report(new, reports, "Disk", as_of)
-    counts = dict(jobs.current_disk_outcomes(disks, audits).collect())
-    return {outcome: counts.get(outcome, 0) for outcome in ("inserted", "skipped")}
+    seen = Observation()
+    append_report(jobs.current_disk_report(disks, audits, as_of, seen), reports, "Disk", as_of)
+    return {outcome: seen.get[outcome] for outcome in ("inserted", "skipped")}
 
 
 def report_servers(spark: SparkSession, tables: str, reports: str, as_of: AsOf) -> int:

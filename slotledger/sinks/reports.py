@@ -102,8 +102,8 @@ def create_report_tables(
         emptied = replace and not report.keep
         if emptied:
             spark.sql(f"DROP TABLE IF EXISTS {report.name}")
-        # no rows: makes the folder, or empties it
-        spark.createDataFrame([], report.stored).write.mode(
+        # no rows: makes the folder, or empties it, whatever the session's overwrite mode
+        spark.createDataFrame([], report.stored).write.option("partitionOverwriteMode", "static").mode(
             "overwrite" if emptied else "append"
         ).partitionBy(*report.partition).parquet(path)
         columns = ", ".join(

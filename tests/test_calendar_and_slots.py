@@ -136,3 +136,13 @@ def test_week_functions_agree_with_python(spark):
         # %U counts from the first Sunday; week 1 holds January 1st
         first = dt.date(d.year, 1, 1)
         assert w == int(d.strftime("%U")) + (0 if first.isoweekday() == 7 else 1)
+
+
+def test_dates_in_blanks(spark):
+    from pyspark.sql import functions as F
+
+    from slotledger.functions import text as tx
+
+    df = spark.createDataFrame([(" 20130105",), ("20130105 ",), (" 20130105 ",), ("2013 0105",)], "t string")
+    got = [(r[0], r[1]) for r in df.select(tx.is_date(F.col("t")), tx.parse_date(F.col("t")).cast("string")).collect()]
+    assert got == [(True, "2013-01-05")] * 3 + [(False, None)]

@@ -230,3 +230,14 @@ def test_long_messages_are_found_again(spark):
 def test_outcome_counts(spark):
     df = frame(spark, "outcome string", ("inserted",), ("skipped",), ("inserted",))
     assert rows(outcome_counts(df)) == [("inserted", 2), ("skipped", 1)]
+
+
+from slotledger.operators import merge  # noqa: E402
+
+
+def test_slots_outside_the_calendar_are_tested_too(spark):
+    """An occupied day before 1753 holds its batch back, for dates and for times."""
+    for kind in ("date", "timestamp_ntz"):
+        batch = spark.sql(f"SELECT CAST(d AS {kind}) AS d FROM VALUES ('1700-01-01'), ('2013-01-05'), ('2013-01-06') AS t(d)")
+        held = spark.sql(f"SELECT CAST(d AS {kind}) AS d FROM VALUES ('1700-01-01'), ('2013-01-05') AS t(d)")
+        assert merge.load_if_slot_empty(batch, held, ["d"]).count() == 1

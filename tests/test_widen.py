@@ -91,6 +91,7 @@ def test_long_contacts_go_on_over_pages(spark, skewed):
         {"Contact": "contact"},
         "created_on",
         {"Created On": "created_on", "Subject": "subject"},
+        slots_per_row=w.SLOTS_PER_ROW,
     )
     assert "Page" in wide.columns
     hot = wide.where("Contact = -1").orderBy("Page").collect()
@@ -102,3 +103,32 @@ def test_long_contacts_go_on_over_pages(spark, skewed):
         s for r in wide.collect() for c, s in r.asDict().items() if c.endswith("Subject") and s
     ]
     assert len(subjects) == len(set(subjects)) == 30_000
+
+
+def test_columns_depend_on_the_arguments_alone(spark):
+    """200 and 201 activities of a contact give the same columns."""
+    titles = {"Contact": "contact"}, "created_on", {"Subject": "subject"}
+    wide = []
+    for n in (200, 201):
+        df = spark.range(n).selectExpr("1 AS contact", "id AS created_on", "CONCAT('s', id) AS subject")
+        wide.append(w.widen(df, *titles, slots_per_row=200))
+        assert len(w.widen(df, *titles).columns) == n + 1
+    assert wide[0].columns == wide[1].columns
+    assert [x.count() for x in wide] == [1, 2]
+
+
+def test_hot_contact_without_key_or_order_values(spark):
+    """A NULL in a key, and NULL times, are cut into chunks and numbered like others."""
+    df = spark.range(6_000).selectExpr(
+        "IF(id % 3 = 0, -1, id % 2000) AS contact",
+        "IF(id % 3 = 0, NULL, 'o') AS owner",
+        "IF(id % 2 = 0, NULL, id % 50) AS created_on",
+        "CONCAT('s', id) AS subject",
+    )
+    assert w._chunk_bounds(df, ["contact", "owner"], "created_on").count() == 1
+    numbered = w.number_activities(df, ["contact", "owner"], "created_on", ["subject"])
+    hot = numbered.where("contact = -1").orderBy("slot").collect()
+    assert [r["slot"] for r in hot] == list(range(1, 2001))
+    times = [r["created_on"] for r in hot]
+    assert times == sorted(times, key=lambda t: (t is not None, t or 0))
+    assert numbered.count() == 6_000
