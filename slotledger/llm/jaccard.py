@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.llm.common import BROADCAST_KEYS, connected, dealt_anew, fresh_name, mix, pieces, row_key, small, sorted_groups, stored, word_hashes
@@ -307,6 +307,24 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     return stored(connected(links, "candidates"), "clusters")
 
 
+def _beside(none: Column, mine: Column, step: Column) -> Column:
+    """The units in which a set meets the blocks of the band `step` above or below its own; `none` where there is no such band."""
+    other = F.col("band") + step
+    up = step > 0
+
+    def unit(block: Column) -> Column:
+        return F.struct(
+            F.least("band", other).alias("band"),
+            F.when(up, mine).otherwise(block).alias("i"),
+            F.greatest("band", other).alias("other"),
+            F.when(up, block).otherwise(mine).alias("j"),
+            (~up).alias("right"),
+        )
+
+    blocks = F.col("blocks")[other]
+    return F.when(blocks.isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), blocks - 1), unit))
+
+
 def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n: int, part: tuple[int, int]) -> DataFrame:
     """(a, b): links between sets of one cluster, enough of them to connect whatever is linked.
 
@@ -332,12 +350,9 @@ def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n:
             lambda j: F.struct(F.col("band").alias("band"), F.least(mine, j).alias("i"), F.col("band").alias("other"), F.greatest(mine, j).alias("j"), (mine > j).alias("right")),
         )
     ]
+    none = F.array().cast("array<struct<band:int,i:int,other:int,j:int,right:boolean>>")
     for k in range(1, reach + 1):
-        none = F.array().cast("array<struct<band:int,i:int,other:int,j:int,right:boolean>>")
-        above, below = F.col("blocks")[F.col("band") + k], F.col("blocks")[F.col("band") - k]
-        up = F.transform(F.sequence(F.lit(0), above - 1), lambda j, k=k: F.struct(F.col("band").alias("band"), mine.alias("i"), (F.col("band") + k).alias("other"), j.alias("j"), F.lit(False).alias("right")))
-        down = F.transform(F.sequence(F.lit(0), below - 1), lambda i, k=k: F.struct((F.col("band") - k).alias("band"), i.alias("i"), F.col("band").alias("other"), mine.alias("j"), F.lit(True).alias("right")))
-        units += [F.when(above.isNull(), none).otherwise(up), F.when(below.isNull(), none).otherwise(down)]
+        units += [_beside(none, mine, F.lit(k)), _beside(none, mine, F.lit(-k))]
     spread = sets.select("sid", "cluster", "grams", F.inline(F.concat(*units)))
     spread = spread.repartition("cluster", "band", "i", "other", "j").sortWithinPartitions("cluster", "band", "i", "other", "j")
     return spread.mapInArrow(_verify(part), "a long, b long")

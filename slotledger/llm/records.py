@@ -35,7 +35,7 @@ END_ID = 2
 #: Rows aimed at in one shard.
 SHARD_ROWS = 20_000
 #: Distinct pieces whose ids a worker keeps at hand; beyond that it starts afresh, which changes the speed only.
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 600_000
 MASK_DELTA = 0xA282EAD8
 HEAD, CHECK, FRONT = "<Q", "<I", "<qB"
 FRONT_BYTES = 9
@@ -156,6 +156,7 @@ def _writer(tokenizer: str, folder: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         shard = TaskContext.get().partitionId()
         codec, files, path = encoder(tokenizer), *open_folder(folder)
         # a name of its own for every attempt: only files named by the stored index count

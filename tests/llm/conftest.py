@@ -31,7 +31,7 @@ def rows() -> list[tuple]:
         texts.append(" ".join(changed))
     texts.append(sentence(rng, 20_000))  # very long
     out = [(i, t, ["de", "en", "fr", None][i % 4], ["src0", "src0", "src7", None, "odd"][i % 5], 7, 0.5, "x", 1) for i, t in enumerate(texts)]
-    out += [out[12], out[20], out[20], (None, "no id " * 40, "en", "src1", 1, None, None, None), (None, None, None, None, None, None, None, None), (3, texts[24], "en", "src1", 0, 0.0, "", 0)]
+    out += [out[12], out[20], out[20], (None, "no id " * 40, "en", "src1", 1, None, None, None), (None, None, None, None, None, None, None, None), (40, texts[24], "en", "src1", 0, 0.0, "", 0)]
     return out
 
 
