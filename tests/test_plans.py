@@ -14,7 +14,8 @@ from slotledger.plans import jobs
 from slotledger.workload import tables as t
 
 SF = "/root/testdata/sf0.001"
-QUERIES = registry.queries()
+# the document operators may run Python in tasks; their plans are tested with them
+QUERIES = {k: f for k, f in registry.queries().items() if not k.startswith(("op", "pipeline"))}
 
 
 def plan(df) -> str:
