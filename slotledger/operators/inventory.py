@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import AsOf, as_date, month_start
@@ -31,12 +31,13 @@ def memory_installed(simm: DataFrame) -> DataFrame:
     )
 
 
+def is_unreadable(size: Column) -> Column:
+    return size.isNotNull() & size_to_mb(size).isNull()
+
+
 def unreadable_sizes(simm: DataFrame) -> DataFrame:
     """How many module sizes were given but could not be read."""
-    size = F.col("memSize")
-    return simm.agg(
-        F.count_if(size.isNotNull() & size_to_mb(size).isNull()).alias("n_rows")
-    )
+    return simm.agg(F.count_if(is_unreadable(F.col("memSize"))).alias("n_rows"))
 
 
 def eav_pivot(

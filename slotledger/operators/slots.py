@@ -62,6 +62,11 @@ def resolve_requests(
     )
 
 
+def distinct_ranges(resolved: DataFrame, *also: str) -> DataFrame:
+    """The date ranges asked for, each once, before they are expanded."""
+    return resolved.select("from_date", "to_date", *also).distinct()
+
+
 def day_slots(resolved: DataFrame) -> DataFrame:
     """One row per request and day, as ``log_date``."""
     return resolved.withColumn("log_date", F.explode(F.sequence("from_date", "to_date")))
@@ -119,7 +124,9 @@ def distinct_slots(slots: DataFrame, day: str, *also: str) -> DataFrame:
 
     The calendar filter is what makes a broadcast of the result safe: there are
     some three million dates in the DATETIME range, whatever the number of
-    requests. It also lets Spark prune log partitions by these slots.
+    requests. It also lets Spark prune log partitions by these slots. Slots that
+    come from ``resolve_requests`` are always inside; a slot outside names no day
+    that a log or report can hold, and is left out.
     """
     return slots.where(in_calendar(F.col(day))).select(day, *also).distinct()
 
@@ -136,13 +143,18 @@ def rows_in_slot(df: DataFrame, ts: str, lo, hi) -> DataFrame:
 
 
 def join_day_slots(df: DataFrame, ts: str, slots: DataFrame) -> DataFrame:
-    """Each row of ``df`` with every request whose day range its time falls in.
+    """Rows whose time falls in a requested day, with ``n_requests``: how many slots name that day.
 
-    The slot day is derived from the time, so this is an equi-join and needs no
-    range condition.
+    Slots are counted per day before the join, so a row comes out once whatever
+    the number of requests. The day is derived from the time, so this is an
+    equi-join; the days are dates of the calendar and can be broadcast.
     """
-    days = slots.withColumnRenamed("log_date", "_day")
-    return df.withColumn("_day", F.to_date(ts)).join(days, "_day").drop("_day")
+    days = (
+        slots.where(in_calendar(F.col("log_date")))
+        .groupBy(F.col("log_date").alias("_day"))
+        .agg(F.count(F.lit(1)).alias("n_requests"))
+    )
+    return df.withColumn("_day", F.to_date(ts)).join(F.broadcast(days), "_day").drop("_day")
 
 
 def join_week_slots(

@@ -120,13 +120,17 @@ def widen(
     order: str,
     value_cols: Mapping[str, str],
     slots_per_row: int | None = None,
+    count_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per contact with the columns of every activity side by side.
 
     ``key_cols`` and ``value_cols`` map title to source column. The columns of
     the i-th activity in ``order`` are titled ``"i <title>"``; contacts with
     fewer activities have NULLs there. Without ``slots_per_row`` a contact is one
-    row and the widest contact, one number, decides how many columns there are.
+    row and the widest contact, one number, decides how many columns there are;
+    ``count_by`` names the source columns that make a contact for that number (all
+    of ``key_cols`` by default). A contact with several owners is a row for each of
+    them, so counted by contact alone the last columns may be empty in every row.
     With it (``SLOTS_PER_ROW`` is a good choice) there are always a ``Page`` column
     and columns for so many activities: contacts go on over further rows, so the
     columns depend on the arguments alone and no row grows without bound.
@@ -135,7 +139,8 @@ def widen(
     rows = df.select(*dict.fromkeys([*keys, order, *values]))
     titled_keys = [F.col(c).alias(t) for t, c in key_cols.items()]
     if slots_per_row is None:
-        n, pages, group = max_group_size(df, keys).first()["max_rows"] or 0, [], keys
+        widest = max_group_size(df, count_by or keys).first()["max_rows"]
+        n, pages, group = widest or 0, [], keys
     else:
         rows = number_activities(rows, keys, order, ties=values)
         rows = rows.withColumn(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import AsOf, as_date, month_start, us_week
@@ -26,6 +27,7 @@ from slotledger.operators.merge import (
 from slotledger.operators.rollup import COMPONENTS, component_rollup, daily_rollup
 from slotledger.operators.slots import (
     day_slots,
+    distinct_ranges,
     distinct_slots,
     distinct_weeks,
     in_day_slots,
@@ -34,7 +36,44 @@ from slotledger.operators.slots import (
     rows_in_slot,
     week_slots,
 )
-from slotledger.schemas import DISK, MESSAGE_WIDTH, NTEVENT, SERVERS, SUM_TOLERANCE
+from slotledger.schemas import (
+    CPU,
+    DISK,
+    MESSAGE_WIDTH,
+    NTEVENT,
+    SERVERS,
+    SUM_TOLERANCE,
+    Report,
+)
+
+
+# --- what a report requires ------------------------------------------------
+
+
+def lacks_required(df: DataFrame, report: Report) -> Column:
+    """Is a value missing that ``report`` declares NOT NULL?"""
+    needed = [
+        f.name for f in report.columns.fields if not f.nullable and f.name in df.columns
+    ]
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed])
+
+
+def with_required(
+    df: DataFrame, report: Report, seen: Observation | None = None
+) -> DataFrame:
+    """Rows that have every required value; a NULL key equals nothing and would be stored on every run.
+
+    ``seen`` counts the ``judged`` rows and the ``rejected`` ones among them, in
+    the pass that writes the others.
+    """
+    missing = lacks_required(df, report)
+    if seen is not None:
+        df = df.observe(
+            seen,
+            F.count(F.lit(1)).alias("judged"),
+            F.count_if(missing).alias("rejected"),
+        )
+    return df.where(~missing)
 
 
 # --- hourly and daily components -------------------------------------------
@@ -42,7 +81,8 @@ from slotledger.schemas import DISK, MESSAGE_WIDTH, NTEVENT, SERVERS, SUM_TOLERA
 
 def component_slots(requests: DataFrame, as_of: AsOf) -> DataFrame:
     """The ``(component, log_date)`` pairs that the requests ask for."""
-    return day_slots(resolve_requests(resolve_components(requests), as_of))
+    resolved = resolve_requests(resolve_components(requests), as_of)
+    return day_slots(distinct_ranges(resolved, "component"))
 
 
 def components_report(
@@ -51,16 +91,19 @@ def components_report(
     requests: DataFrame,
     targets: Mapping[str, DataFrame],
     as_of: AsOf,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Hourly CPU and memory rows that their targets do not hold yet.
 
     ``targets`` maps component to its report table. The result carries a
     ``component`` column, so both reports come from one scan of the log. A row
     of an hour the target has never seen cannot match anything, so bulk loading
-    of empty hours and merging into others are the same anti-join here.
+    of empty hours and merging into others are the same anti-join here. Hours
+    without a machine are rejected; ``seen`` as in ``with_required``.
     """
     slots = component_slots(requests, as_of)
     batch = component_rollup(in_day_slots(log, slots), counters, COMPONENTS, slots=slots)
+    batch = with_required(batch, CPU, seen)
     stored = None
     for component, target in targets.items():
         part = rows_on_days(target, "TheDate", slots).select(
@@ -85,20 +128,40 @@ def components_report(
 def daily_components(
     log: DataFrame, counters: DataFrame, requests: DataFrame, as_of: AsOf
 ) -> DataFrame:
-    """Daily component rows for the requested days and components."""
+    """Daily component rows for the requested days and components, those without a machine left out."""
     slots = component_slots(requests, as_of)
-    return daily_rollup(in_day_slots(log, slots), counters, COMPONENTS, slots=slots)
+    daily = daily_rollup(in_day_slots(log, slots), counters, COMPONENTS, slots=slots)
+    return with_required(daily, CPU)
 
 
 # --- events ----------------------------------------------------------------
 
 
+def _as_events(log: DataFrame, trim_message: bool) -> DataFrame:
+    """Log rows with the columns of the event report, and their ``log_date``."""
+    message = F.col("message")
+    if trim_message:
+        message = trim(message)
+    return log.select(
+        F.col("agentGuid").alias("AgentGUID"),
+        F.col("eventTime").alias("EventTime"),
+        limit_message(message, MESSAGE_WIDTH).alias("Message"),
+        "log_date",
+    )
+
+
+def _event_days(requests: DataFrame, as_of: AsOf) -> DataFrame:
+    resolved = resolve_requests(requests, as_of)
+    return distinct_slots(day_slots(distinct_ranges(resolved)), "log_date")
+
+
 def events_report(
     log: DataFrame,
     requests: DataFrame,
     target: DataFrame,
     as_of: AsOf,
     trim_message: bool = False,
+    seen: tuple[Observation, Observation] | None = None,
 ) -> DataFrame:
     """Events of the requested days that the target does not hold yet.
 
@@ -106,32 +169,24 @@ def events_report(
     and stray times included. Other days take only events timed inside the day,
     once each, that are not stored. All days are judged against the target as
     it is when the job starts. Events without a message, time or machine are
-    left out. The two kinds of days are disjoint, so over a
-    log partitioned by day each partition is read once.
+    rejected. The two kinds of days are disjoint, so over a log partitioned by
+    day each partition is read once; ``seen`` counts as in ``with_required``,
+    one for either kind.
     """
-    message = F.col("message")
-    if trim_message:
-        message = trim(message)
-    events = log.select(
-        F.col("agentGuid").alias("AgentGUID"),
-        F.col("eventTime").alias("EventTime"),
-        limit_message(message, MESSAGE_WIDTH).alias("Message"),
-        "log_date",
-    )
-    requested = distinct_slots(
-        day_slots(resolve_requests(requests, as_of)), "log_date"
-    )
-    # the report requires these; a NULL would equal nothing and be stored again on every run
-    events = events.dropna(subset=["AgentGUID", "EventTime", "Message"])
+    events = _as_events(log, trim_message)
+    requested = _event_days(requests, as_of)
+    of_empty, of_held = seen or (None, None)
     stored = rows_on_days(target, "EventTime", requested)
     # over a target partitioned by day, which days are held takes no column at all
     held = F.col("SlotDate") if "SlotDate" in stored.columns else F.to_date("EventTime")
     slots = mark_slots(requested, stored, held)
 
-    dumped = in_day_slots(events, slots.where(~F.col("occupied"))).drop("log_date")
+    dumped = in_day_slots(events, slots.where(~F.col("occupied")))
+    dumped = with_required(dumped, NTEVENT, of_empty).drop("log_date")
 
     day = F.col("log_date")
     merged = in_day_slots(events, slots.where(F.col("occupied")))
+    merged = with_required(merged, NTEVENT, of_held)
     merged = rows_in_slot(
         merged,
         "EventTime",
@@ -143,6 +198,35 @@ def events_report(
     return dumped.unionByName(merged)
 
 
+def event_outcomes(
+    log: DataFrame,
+    requests: DataFrame,
+    target: DataFrame,
+    as_of: AsOf,
+    trim_message: bool = False,
+) -> DataFrame:
+    """How many events of the requested days are new, lack a required value, or neither.
+
+    ``skipped`` are those stored already, repeated, or timed outside their day.
+    Counts are added up as signed rows, so no row meets another.
+    """
+    asked = in_day_slots(_as_events(log, trim_message), _event_days(requests, as_of))
+    new = events_report(log, requests, target, as_of, trim_message)
+    judged = asked.select(
+        F.when(lacks_required(asked, NTEVENT), "rejected").otherwise("skipped").alias("outcome"),
+        F.lit(1).alias("n"),
+    )
+    moved = F.array(
+        F.struct(F.lit("inserted").alias("outcome"), F.lit(1).alias("n")),
+        F.struct(F.lit("skipped").alias("outcome"), F.lit(-1).alias("n")),
+    )
+    return (
+        judged.unionByName(new.select(F.inline(moved)))
+        .groupBy("outcome")
+        .agg(F.sum("n").alias("n_rows"))
+    )
+
+
 def rows_on_days(target: DataFrame, ts: str, days: DataFrame) -> DataFrame:
     """Stored rows of the given days; prunes a target partitioned by ``SlotDate``."""
     wanted = F.broadcast(distinct_slots(days, "log_date"))
@@ -167,13 +251,17 @@ def weekly_disk_report(
     as_of: AsOf,
     week_start: int = 1,
     cover_all_weeks: bool = False,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Disk sizes at the latest audit of each requested week, new rows only.
 
     Of several detail rows of a drive the one with the smallest sizes is taken;
-    drives whose names differ only in blanks are one drive.
+    drives whose names differ only in blanks are one drive. The audit depends on
+    the machine and week alone, so drives are settled before they meet the weeks
+    and nothing behind that join keeps Spark from splitting a hot machine.
+    Drives without a machine or name are rejected; ``seen`` as in ``with_required``.
     """
-    resolved = resolve_requests(requests, as_of, unit="week")
+    resolved = distinct_ranges(resolve_requests(requests, as_of, unit="week"))
     weeks = week_slots(resolved, week_start, cover_all_weeks)
     # One pass over the disks: does a drive qualify, and its first detail row.
     sizes = F.struct("totalMBytes", "freeMBytes")
@@ -184,23 +272,27 @@ def weekly_disk_report(
             F.min(F.when(F.col("locked") == 1, sizes)).alias("_sizes"),
         )
         .where(F.col("_qualifies") & F.col("_sizes").isNotNull())
-        .where(F.col("driveLetter").isNotNull())
     )
-    staged = drives.join(weekly_stamps(audits, weeks, week_start), "agentGuid").select(
+    in_gb = F.struct(
+        mb_to_gb(F.col("_sizes.totalMBytes")).alias("total"),
+        mb_to_gb(F.col("_sizes.freeMBytes")).alias("free"),
+    )
+    named = drives.groupBy(
+        "agentGuid",
+        trim(F.col("volumeName")).alias("DiskLabel"),
+        trim(F.col("driveLetter")).alias("DriveName"),
+    ).agg(F.min(in_gb).alias("_gb"))
+    staged = named.join(weekly_stamps(audits, weeks, week_start), "agentGuid").select(
         F.col("agentGuid").alias("AgentGUID"),
         "YearNum",
         "WeekNum",
-        trim(F.col("volumeName")).alias("DiskLabel"),
-        trim(F.col("driveLetter")).alias("DriveName"),
-        mb_to_gb(F.col("_sizes.totalMBytes")).alias("TotalSpaceGB"),
-        mb_to_gb(F.col("_sizes.freeMBytes")).alias("FreeSpaceGB"),
+        "DiskLabel",
+        "DriveName",
+        F.col("_gb.total").alias("TotalSpaceGB"),
+        F.col("_gb.free").alias("FreeSpaceGB"),
         "Stamp",
     )
-    once = first_per_key(
-        staged,
-        DISK.keys,
-        ["Stamp", "DriveName", F.asc_nulls_first("TotalSpaceGB"), F.asc_nulls_first("FreeSpaceGB")],
-    )
+    once = with_required(staged, DISK, seen)
     asked = distinct_weeks(weeks).select("YearNum", "WeekNum")
     stored = target.join(F.broadcast(asked), ["YearNum", "WeekNum"], "left_semi")
     return insert_new(once, stored, DISK.keys)
@@ -216,13 +308,19 @@ def current_disk_report(
 ) -> DataFrame:
     """Disk sizes at each agent's latest audit, dated by the run; always appended.
 
-    ``seen`` counts the disks inserted and skipped in the pass that writes the rows.
+    Disks without a name are rejected. ``seen`` counts the disks inserted, skipped
+    and rejected in the pass that writes the rows.
     """
     today = as_date(as_of)
     judged = current_disks(disks, audits)
+    judged = judged.withColumn(
+        "outcome", F.when(_rejected_disk(judged), "rejected").otherwise(F.col("outcome"))
+    )
     if seen is not None:
-        counts = [F.count_if(F.col("outcome") == o).alias(o) for o in ("inserted", "skipped")]
-        judged = judged.observe(seen, *counts)
+        outcomes = ("inserted", "skipped", "rejected")
+        judged = judged.observe(
+            seen, *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes]
+        )
     return (
         judged
         .where(F.col("outcome") == "inserted")
@@ -239,6 +337,11 @@ def current_disk_report(
     )
 
 
+def _rejected_disk(judged: DataFrame) -> Column:
+    """A disk of the latest audit that lacks a value the report requires."""
+    return (F.col("outcome") == "inserted") & lacks_required(judged, DISK)
+
+
 def current_disk_outcomes(disks: DataFrame, audits: DataFrame) -> DataFrame:
     """How many disks were inserted and skipped."""
     return outcome_counts(current_disks(disks, audits))
@@ -247,15 +350,12 @@ def current_disk_outcomes(disks: DataFrame, audits: DataFrame) -> DataFrame:
 # --- servers ---------------------------------------------------------------
 
 
-def snapshot_outcomes(
-    tables: Mapping[str, DataFrame], target: DataFrame, as_of: AsOf
-) -> DataFrame:
-    """This month's servers with their outcome.
+# all keys but the one whose stored value may be NULL
+_SERVER_KEYS = [c for c in SERVERS.keys if c != "LastReboot"]
 
-    ``rejected`` rows lack a value the report requires, ``skipped`` rows are
-    stored already, the others are ``inserted``.
-    """
-    snapshot = assemble_snapshot(
+
+def _snapshot(tables: Mapping[str, DataFrame], as_of: AsOf) -> DataFrame:
+    return assemble_snapshot(
         tables["machNameTab"],
         tables["auditRsltManualFieldValues"],
         tables["auditRsltManualFields"],
@@ -265,15 +365,30 @@ def snapshot_outcomes(
         tables["auditRsltCpu"],
         as_of,
     )
-    keys = [c for c in SERVERS.keys if c != "LastReboot"]
+
+
+def _stored_month(target: DataFrame, as_of: AsOf) -> DataFrame:
+    """Stored servers of the run's month; prunes a target partitioned by ``SlotDate``."""
     month = month_start(as_date(as_of))
     stored = target.where(F.col("TheDate") == month.cast("timestamp_ntz"))
     if "SlotDate" in target.columns:
         stored = stored.where(F.col("SlotDate") == month)
-    incomplete = F.col("Server").isNull() | F.col("IPAddress").isNull()
-    return mark_existing(snapshot, stored, keys, "LastReboot").select(
+    return stored
+
+
+def snapshot_outcomes(
+    tables: Mapping[str, DataFrame], target: DataFrame, as_of: AsOf
+) -> DataFrame:
+    """This month's servers with their outcome.
+
+    ``rejected`` rows lack a value the report requires, ``skipped`` rows are
+    stored already, the others are ``inserted``.
+    """
+    snapshot = _snapshot(tables, as_of)
+    stored = _stored_month(target, as_of)
+    return mark_existing(snapshot, stored, _SERVER_KEYS, "LastReboot").select(
         *snapshot.columns,
-        F.when(incomplete, "rejected")
+        F.when(lacks_required(snapshot, SERVERS), "rejected")
         .when(F.col("existing"), "skipped")
         .otherwise("inserted")
         .alias("outcome"),
@@ -281,11 +396,16 @@ def snapshot_outcomes(
 
 
 def servers_snapshot(
-    tables: Mapping[str, DataFrame], target: DataFrame, as_of: AsOf
+    tables: Mapping[str, DataFrame],
+    target: DataFrame,
+    as_of: AsOf,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Server rows of this month that the target does not hold yet."""
-    return (
-        snapshot_outcomes(tables, target, as_of)
-        .where(F.col("outcome") == "inserted")
-        .drop("outcome")
+    """Server rows of this month that the target does not hold yet.
+
+    One anti-join over one scan of the target; ``seen`` as in ``with_required``.
+    """
+    complete = with_required(_snapshot(tables, as_of), SERVERS, seen)
+    return insert_new(
+        complete, _stored_month(target, as_of), _SERVER_KEYS, null_matches=["LastReboot"]
     )

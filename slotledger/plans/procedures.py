@@ -2,7 +2,11 @@
 
 Each call reads its sources, works out the new rows and appends them to the
 report under ``reports``. Calls may be repeated: what is stored is not stored
-again, except by ``report_current_disks``, which always appends.
+again, except by ``report_current_disks`` and ``report_daily_components``, which
+always append. A call returns its outcomes, counted in the pass that writes:
+``inserted`` rows, ``rejected`` ones that lack a required value, and ``skipped``
+ones, which are the others. The last two are counted ahead of a shuffle, so a task
+that is run again after a lost executor may count twice; rows are never affected.
 """
 
 from __future__ import annotations
@@ -10,12 +14,21 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import AsOf
+from slotledger.operators.inventory import is_unreadable
+from slotledger.operators.widen import ACTIVITY_COLUMNS, CONTACT_COLUMNS, widen
 from slotledger.plans import jobs
 from slotledger.schemas import REQUESTS
-from slotledger.sinks.reports import append_components, append_report
-from slotledger.sources.tables import load_tables, scan_counter_log, scan_event_log, scan_report
+from slotledger.sinks.reports import append_components, append_report, write_wide
+from slotledger.sources.tables import (
+    contact_activity,
+    load_tables,
+    scan_counter_log,
+    scan_event_log,
+    scan_report,
+)
 
 
 def request(
@@ -29,6 +42,11 @@ def request(
     return spark.createDataFrame([(1, components, start, to_date)], REQUESTS)
 
 
+def _outcomes(inserted: int, *seen: Observation) -> dict[str, int]:
+    judged, rejected = (sum(s.get[c] or 0 for s in seen) for c in ("judged", "rejected"))
+    return {"inserted": inserted, "skipped": judged - rejected - inserted, "rejected": rejected}
+
+
 def report_components(
     spark: SparkSession,
     log_path: str,
@@ -39,7 +57,8 @@ def report_components(
     from_date: str | int | None = None,
     to_date: str | None = None,
 ) -> Mapping[str, int]:
-    """Hourly CPU and memory rows; returns how many each report gained."""
+    """Hourly CPU and memory rows; returns how many each report gained, and the other outcomes."""
+    seen = Observation()
     new = jobs.components_report(
         scan_counter_log(spark, log_path),
         load_tables(spark, tables, "monitorCounter")["monitorCounter"],
@@ -49,8 +68,31 @@ def report_components(
             "MEM": scan_report(spark, reports, "Memory"),
         },
         as_of,
+        seen,
+    )
+    gained = append_components(new, reports, as_of)
+    rest = _outcomes(sum(gained.values()), seen)
+    return {**gained, "skipped": rest["skipped"], "rejected": rest["rejected"]}
+
+
+def report_daily_components(
+    spark: SparkSession,
+    log_path: str,
+    tables: str,
+    reports: str,
+    as_of: AsOf,
+    components: str | None = None,
+    from_date: str | int | None = None,
+    to_date: str | None = None,
+) -> Mapping[str, int]:
+    """Daily CPU and memory rows, always appended; returns how many each report gained."""
+    daily = jobs.daily_components(
+        scan_counter_log(spark, log_path),
+        load_tables(spark, tables, "monitorCounter")["monitorCounter"],
+        request(spark, components, from_date, to_date),
+        as_of,
     )
-    return append_components(new, reports, as_of)
+    return append_components(daily, reports, as_of)
 
 
 def report_events(
@@ -61,16 +103,18 @@ def report_events(
     from_date: str | int | None = None,
     to_date: str | None = None,
     trim_message: bool = False,
-) -> int:
-    """Events of the requested days; returns how many were new."""
+) -> Mapping[str, int]:
+    """Events of the requested days; skipped are those stored, repeated or timed outside their day."""
+    seen = Observation(), Observation()
     new = jobs.events_report(
         scan_event_log(spark, log_path),
         request(spark, None, from_date, to_date),
         scan_report(spark, reports, "NTEvent"),
         as_of,
         trim_message,
+        seen,
     )
-    return append_report(new, reports, "NTEvent", as_of)
+    return _outcomes(append_report(new, reports, "NTEvent", as_of), *seen)
 
 
 def report_weekly_disks(
@@ -81,8 +125,9 @@ def report_weekly_disks(
     from_date: str | int | None = None,
     to_date: str | None = None,
     cover_all_weeks: bool = False,
-) -> int:
-    """Disk sizes of the requested weeks; returns how many rows were new."""
+) -> Mapping[str, int]:
+    """Disk sizes of the requested weeks."""
+    seen = Observation()
     source = load_tables(spark, tables, "auditRsltDisks", "auditRsltDate")
     new = jobs.weekly_disk_report(
         source["auditRsltDisks"],
@@ -91,24 +136,49 @@ def report_weekly_disks(
         scan_report(spark, reports, "Disk"),
         as_of,
         cover_all_weeks=cover_all_weeks,
+        seen=seen,
     )
-    return append_report(new, reports, "Disk", as_of)
+    return _outcomes(append_report(new, reports, "Disk", as_of), seen)
 
 
 def report_current_disks(
     spark: SparkSession, tables: str, reports: str, as_of: AsOf
 ) -> Mapping[str, int]:
-    """Disk sizes at the latest audits; returns the rows inserted and skipped."""
+    """Disk sizes at the latest audits; skipped are those of other audits."""
     source = load_tables(spark, tables, "auditRsltDisks", "auditRsltDate")
     disks, audits = source["auditRsltDisks"], source["auditRsltDate"]
     seen = Observation()
     append_report(jobs.current_disk_report(disks, audits, as_of, seen), reports, "Disk", as_of)
-    return {outcome: seen.get[outcome] for outcome in ("inserted", "skipped")}
+    return {outcome: seen.get[outcome] for outcome in ("inserted", "skipped", "rejected")}
 
 
-def report_servers(spark: SparkSession, tables: str, reports: str, as_of: AsOf) -> int:
-    """This month's servers; returns how many rows were new."""
-    new = jobs.servers_snapshot(
-        load_tables(spark, tables), scan_report(spark, reports, "Servers"), as_of
+def report_servers(
+    spark: SparkSession, tables: str, reports: str, as_of: AsOf
+) -> Mapping[str, int]:
+    """This month's servers; also returns the memory sizes that were ``unreadable``."""
+    seen, modules = Observation(), Observation()
+    source = load_tables(spark, tables)
+    unreadable = F.count_if(is_unreadable(F.col("memSize"))).alias("unreadable")
+    source["auditRsltSimm"] = source["auditRsltSimm"].observe(modules, unreadable)
+    stored = scan_report(spark, reports, "Servers")
+    new = jobs.servers_snapshot(source, stored, as_of, seen)
+    counts = _outcomes(append_report(new, reports, "Servers", as_of), seen)
+    return {**counts, "unreadable": modules.get["unreadable"]}
+
+
+def report_activities(
+    spark: SparkSession, view: str, path: str, slots_per_row: int | None = None
+) -> None:
+    """Replaces the wide activity table at ``path`` by the contacts of ``view``.
+
+    Without ``slots_per_row`` the contact with the most activities decides the columns.
+    """
+    wide = widen(
+        contact_activity(spark, view),
+        CONTACT_COLUMNS,
+        "created_on",
+        ACTIVITY_COLUMNS,
+        slots_per_row,
+        count_by=["contact"],
     )
-    return append_report(new, reports, "Servers", as_of)
+    write_wide(wide, path)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +12,19 @@ from slotledger.functions.calendar import AsOf, as_timestamp
 from slotledger.schemas import COMPONENT_REPORTS, REPORTS, Report
 
 
+# Table property that holds the folder of a registered report.
+PATH_PROPERTY = "slotledger.path"
+# A setting of Spark, and the rule it names here.
+EXCLUDED_RULES = "spark.sql.adaptive.optimizer.excludedRules"
+EMPTY_RULE = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+
 def rec_id(keys: Sequence[str]) -> Column:
     """Stable key of a row: MD5 over its key values.
 
+    Rows with equal keys share it: copies of an event dumped into an empty day, and
+    a drive that two runs of the current disk report append in one week.
+
     Values are escaped, so neither NULLs nor a separator inside a value can make
     two different keys look alike.
     """
@@ -47,46 +57,88 @@ def to_report(df: DataFrame, report: Report, as_of: AsOf) -> DataFrame:
     return full.select(*report.stored.names)
 
 
+def report_path(directory: str, name: str) -> str:
+    return f"{directory.rstrip('/')}/{name}"
+
+
+def _registered(spark: SparkSession, name: str, path: str) -> bool:
+    """Did ``create_report_tables`` register the report over this folder?"""
+    if not spark.catalog.tableExists(name):
+        return False
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"]: r["value"] for r in properties}.get(PATH_PROPERTY) == path
+
+
+@contextmanager
+def _counts_kept(spark: SparkSession) -> Iterator[None]:
+    """Keeps AQE from replacing a part of the plan that turned out empty, since what was observed in it would go too."""
+    before = spark.conf.get(EXCLUDED_RULES, None)
+    spark.conf.set(EXCLUDED_RULES, f"{before},{EMPTY_RULE}" if before else EMPTY_RULE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(EXCLUDED_RULES)
+        else:
+            spark.conf.set(EXCLUDED_RULES, before)
+
+
 def append_report(df: DataFrame, directory: str, name: str, as_of: AsOf) -> int:
     """Append new rows to a report and return how many there were.
 
     Rows are rebalanced by partition before the write: small partitions are
     merged into few files, one that holds most of the rows is spread over many
     tasks. The count is taken in the writing stage, where a task that is run again
-    counts once.
+    counts once. Where the report is a registered table, rows go in through it, so
+    that Spark adds the partitions it wrote and the table shows them at once.
     """
-    report = REPORTS[name]
+    report, spark = REPORTS[name], df.sparkSession
+    path = report_path(directory, name)
     seen = Observation()
-    (
+    rows = (
         to_report(df, report, as_of)
         .hint("rebalance", *[F.col(c) for c in report.partition])
         .sortWithinPartitions(*report.partition, "AgentGUID")
         .observe(seen, F.count(F.lit(1)).alias("inserted"))
-        .write.mode("append")
-        .partitionBy(*report.partition)
-        .parquet(f"{directory.rstrip('/')}/{name}")
     )
+    with _counts_kept(spark):
+        if _registered(spark, name, path):
+            rows.select(*spark.table(name).columns).write.insertInto(name)
+        else:
+            rows.write.mode("append").partitionBy(*report.partition).parquet(path)
     return seen.get["inserted"]
 
 
+def settled(df: DataFrame, directory: str) -> DataFrame:
+    """``df`` checkpointed: worked out once, whatever is written or lost afterwards.
+
+    The folder is the one of ``spark.checkpoint.dir``; where none is set, one
+    beside the reports, which all executors reach.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        beside = report_path(directory, "_checkpoints")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", beside))
+    with _counts_kept(spark):
+        return df.checkpoint()
+
+
 def append_components(
     df: DataFrame, directory: str, as_of: AsOf
 ) -> Mapping[str, int]:
     """Append the rows of ``components_report`` to the report of each component.
 
-    The rolled-up rows are kept between the two writes so that the log is read
-    once; if an executor is lost with them, Spark computes them again.
+    The new rows are settled before the first write, so the log is read once: a
+    cached plan would be dropped when the write changes a report it reads.
     """
-    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {
-            component: append_report(
-                rows.where(F.col("component") == component), directory, report.name, as_of
-            )
-            for component, report in COMPONENT_REPORTS.items()
-        }
-    finally:
-        rows.unpersist()
+    rows = settled(df, directory)
+    return {
+        component: append_report(
+            rows.where(F.col("component") == component), directory, report.name, as_of
+        )
+        for component, report in COMPONENT_REPORTS.items()
+    }
 
 
 def create_report_tables(
@@ -98,7 +150,7 @@ def create_report_tables(
     is only ever created. Without it existing rows are kept and made visible.
     """
     for report in REPORTS.values():
-        path = f"{directory.rstrip('/')}/{report.name}"
+        path = report_path(directory, report.name)
         emptied = replace and not report.keep
         if emptied:
             spark.sql(f"DROP TABLE IF EXISTS {report.name}")
@@ -111,7 +163,8 @@ def create_report_tables(
         )
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {report.name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(report.partition)}) LOCATION '{path}'"
+            f"PARTITIONED BY ({', '.join(report.partition)}) LOCATION '{path}' "
+            f"TBLPROPERTIES ('{PATH_PROPERTY}' = '{path}')"
         )
         spark.catalog.recoverPartitions(report.name)
     return list(REPORTS)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotledger.operators.slots import in_day_slots
+from slotledger.operators.widen import ACTIVITY_COLUMNS, CONTACT_COLUMNS
 from slotledger.schemas import COUNTER_LOG, EVENT_LOG, REPORTS, SOURCES
 
 
@@ -40,17 +41,32 @@ def scan_event_log(
 
 
 def scan_day_tables(
-    spark: SparkSession, prefix: str, days: Iterable[dt.date], schema: T.StructType
+    spark: SparkSession,
+    prefix: str,
+    days: DataFrame | Iterable[dt.date],
+    schema: T.StructType,
 ) -> DataFrame:
     """Log kept as one catalog table per day, named ``<prefix>yyyymmdd``.
 
-    Days whose table does not exist are skipped.
+    ``days`` are dates or slots with a ``log_date``. Days whose table does not
+    exist are skipped. The catalog is listed once; of the slots only the days of
+    its tables come to the driver, at most one for each table.
     """
     columns = [f.name for f in schema.fields if f.name != "log_date"]
+    listed = [t.name for t in spark.catalog.listTables(pattern=f"{prefix}*")]
+    dated = {}
+    for name in listed:
+        if name.lower().startswith(prefix.lower()):
+            try:
+                dated[dt.datetime.strptime(name[len(prefix):], "%Y%m%d").date()] = name
+            except ValueError:
+                continue  # some other table whose name begins alike
+    if isinstance(days, DataFrame):
+        held = spark.createDataFrame([(d,) for d in dated], "log_date date")
+        days = [r["log_date"] for r in in_day_slots(held, days).collect()]
     shards = [
-        spark.table(name).select(*columns, F.lit(day).alias("log_date"))
-        for day in days
-        if spark.catalog.tableExists(name := f"{prefix}{day:%Y%m%d}")
+        spark.table(dated[day]).select(*columns, F.lit(day).alias("log_date"))
+        for day in sorted(set(days) & dated.keys())
     ]
     if not shards:
         return spark.createDataFrame([], schema)
@@ -82,6 +98,8 @@ def scan_report(
     return stored if slots is None else in_day_slots(stored, slots, "SlotDate")
 
 
-def contact_activity(df: DataFrame, view: str | None = None) -> DataFrame:
-    """A view (or any DataFrame) of contact activities, as ``widen`` takes it."""
-    return df if view is None else df.sparkSession.table(view)
+def contact_activity(spark: SparkSession, view: str) -> DataFrame:
+    """A view of contact activities with the columns that ``widen`` takes."""
+    return spark.table(view).select(
+        *CONTACT_COLUMNS.values(), *ACTIVITY_COLUMNS.values()
+    )

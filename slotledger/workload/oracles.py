@@ -53,13 +53,14 @@ _CTES = {
            WHEN 2 THEN strftime(o_orderdate, '%Y/%m/%d')
            WHEN 3 THEN strftime(o_orderdate, '%Y%m%d')
            WHEN 4 THEN CAST(o_custkey % 20 AS VARCHAR)
-           WHEN 5 THEN '-3'
+           WHEN 5 THEN CASE WHEN o_orderkey % 2 = 0 THEN '-3'
+                            ELSE ' ' || strftime(o_orderdate, '%Y%m%d') || '  ' END
            WHEN 6 THEN strftime(o_orderdate, '%m/%d/%Y')
            WHEN 7 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'abc' ELSE '20130231' END
            WHEN 8 THEN strftime(o_orderdate, '%Y\%m\%d') END AS from_parm,
          CASE o_orderkey % 4
            WHEN 1 THEN strftime(o_orderdate + INTERVAL 9 DAY, '%Y-%m-%d')
-           WHEN 2 THEN strftime(o_orderdate - INTERVAL 17 DAY, '%Y/%m/%d')
+           WHEN 2 THEN strftime(o_orderdate - INTERVAL 17 DAY, '%Y/%m/%d') || ' '
            WHEN 3 THEN 'n/a' END AS to_parm
   FROM orders""",
     "log_requests": r"""
@@ -166,10 +167,10 @@ _CTES = {
   FROM requests""",
     "dated": """
   SELECT *,
-         CASE WHEN regexp_full_match(f, '[0-9]{8}')
-              THEN CAST(try_strptime(f, '%Y%m%d') AS DATE) END AS fd,
-         CASE WHEN regexp_full_match(t, '[0-9]{8}')
-              THEN CAST(try_strptime(t, '%Y%m%d') AS DATE) END AS td
+         CASE WHEN regexp_full_match(trim(f, ' '), '[0-9]{8}')
+              THEN CAST(try_strptime(trim(f, ' '), '%Y%m%d') AS DATE) END AS fd,
+         CASE WHEN regexp_full_match(trim(t, ' '), '[0-9]{8}')
+              THEN CAST(try_strptime(trim(t, ' '), '%Y%m%d') AS DATE) END AS td
   FROM stripped""",
     "disk_rows": """
   SELECT "agentGuid" AS "AgentGUID", "resultGroup" AS "ResultGroup", locked AS "Locked",
@@ -346,7 +347,7 @@ FROM orders
 ORACLES["argument_tests"] = _sql(
     """
 SELECT req_id, f AS stripped, fd IS NOT NULL AS is_date,
-       coalesce(regexp_full_match(f, '[0-9]+'), FALSE) AS is_int
+       coalesce(regexp_full_match(trim(f, ' '), '[0-9]+'), FALSE) AS is_int
 FROM dated""",
     "order_requests",
     "requests",
@@ -415,8 +416,8 @@ WHERE "eventTime" >= CAST(log_date AS TIMESTAMP)
 )
 ORACLES["join_day_slots"] = _requested(
     """
-SELECT "agentGuid", "eventTime", message, req_id
-FROM event_log e JOIN day_slots d
+SELECT "agentGuid", "eventTime", message, n_requests
+FROM event_log e JOIN (SELECT log_date, count(*) AS n_requests FROM day_slots GROUP BY log_date) d
   ON "eventTime" >= CAST(d.log_date AS TIMESTAMP)
  AND "eventTime" < CAST(d.log_date AS TIMESTAMP) + INTERVAL 1 DAY""",
     "log_requests",
@@ -754,6 +755,31 @@ FROM numbered GROUP BY owner, contact, account, lead_source""",
     numbered=_NUMBERED,
 )
 
+_PAGE_COLUMNS = ",\n       ".join(
+    f'max({c}) FILTER (WHERE (i - 1) % 3 = {i - 1}) AS "{i} {title}"'
+    for i in range(1, 4)
+    for title, c in _TITLES
+)
+ORACLES["widen_paged"] = _sql(
+    f"""
+SELECT owner AS "Owner", contact AS "Contact", account AS "Account", lead_source AS "Lead Source",
+       CAST((i - 1) // 3 + 1 AS INTEGER) AS "Page",
+       {_PAGE_COLUMNS}
+FROM numbered GROUP BY owner, contact, account, lead_source, (i - 1) // 3""",
+    "activities",
+    "numbered",
+    numbered=_NUMBERED,
+)
+ORACLES["number_with_nulls"] = """
+SELECT contact, created_on, min(i) AS first_slot, max(i) AS last_slot, count(*) AS n_slots
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY contact ORDER BY created_on NULLS FIRST, o_orderkey) AS i
+  FROM (SELECT CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END AS contact,
+               CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS created_on, o_orderkey
+        FROM orders))
+GROUP BY contact, created_on
+"""
+
 # --- whole jobs ------------------------------------------------------------
 
 _ASKED = """
@@ -821,6 +847,27 @@ WHERE {_NOT_STORED}""",
     "event_log",
     "stored_events",
 )
+ORACLES["event_outcomes"] = _log_job(
+    f"""
+, asked_events AS (
+  SELECT "agentGuid" AS "AgentGUID", "eventTime" AS "EventTime",
+         CASE WHEN "agentGuid" % 7 > 0 THEN substring(message, 1, 2000) END AS "Message", log_date,
+         {_DAY_EMPTY.format(day="e.log_date")} AS empty_day
+  FROM event_log e WHERE log_date IN (SELECT log_date FROM day_slots)),
+complete AS (SELECT * FROM asked_events WHERE "AgentGUID" IS NOT NULL AND "Message" IS NOT NULL),
+counted AS (
+  SELECT (SELECT count(*) FROM asked_events) AS n_asked,
+         (SELECT count(*) FROM complete) AS n_complete,
+         (SELECT count(*) FROM complete WHERE empty_day) + (SELECT count(*) FROM (
+            SELECT DISTINCT "AgentGUID", "EventTime", "Message" FROM complete b
+            WHERE NOT empty_day AND CAST("EventTime" AS DATE) = log_date AND {_NOT_STORED}))
+           AS n_new)
+SELECT v.outcome, v.n_rows FROM counted, LATERAL (VALUES
+  ('inserted', n_new), ('skipped', n_complete - n_new), ('rejected', n_asked - n_complete)
+) AS v(outcome, n_rows)""",
+    "event_log",
+    "stored_events",
+)
 ORACLES["weekly_disk_report"] = _requested(
     f"""
 SELECT "AgentGUID", "YearNum", "WeekNum", "DiskLabel", "DriveName",

@@ -505,7 +505,40 @@ def number_activities(spark, sf_dir):
 @query
 def widen_conversations(spark, sf_dir):
     return widen.widen(
-        t.activities(spark, sf_dir), widen.CONTACT_COLUMNS, "created_on", widen.ACTIVITY_COLUMNS
+        t.activities(spark, sf_dir),
+        widen.CONTACT_COLUMNS,
+        "created_on",
+        widen.ACTIVITY_COLUMNS,
+        count_by=["contact"],
+    )
+
+
+@query
+def widen_paged(spark, sf_dir):
+    """Three activities in a row, further ones on further rows."""
+    return widen.widen(
+        t.activities(spark, sf_dir),
+        widen.CONTACT_COLUMNS,
+        "created_on",
+        widen.ACTIVITY_COLUMNS,
+        slots_per_row=3,
+    )
+
+
+@query
+def number_with_nulls(spark, sf_dir):
+    """Orders per status, a hot contact each; a third without one, some without a date."""
+    orders = t.read(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderstatus")).alias("contact"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderdate")).alias("created_on"),
+        "o_orderkey",
+    )
+    # which numbers a date has does not depend on how its orders are told apart
+    numbered = widen.number_activities(orders, ["contact"], "created_on", ["o_orderkey"])
+    return numbered.groupBy("contact", "created_on").agg(
+        F.min("slot").alias("first_slot"),
+        F.max("slot").alias("last_slot"),
+        F.countDistinct("slot").alias("n_slots"),
     )
 
 
@@ -549,6 +582,18 @@ def events_report(spark, sf_dir):
     )
 
 
+@query
+def event_outcomes(spark, sf_dir):
+    """The log with every seventh machine's messages missing."""
+    log = t.event_log(spark, sf_dir)
+    return jobs.event_outcomes(
+        log.withColumn("message", F.when(F.col("agentGuid") % 7 > 0, F.col("message"))),
+        t.log_requests(spark, sf_dir),
+        t.stored_events(spark, sf_dir),
+        AS_OF,
+    )
+
+
 @query
 def weekly_disk_report(spark, sf_dir):
     return jobs.weekly_disk_report(

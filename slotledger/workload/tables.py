@@ -98,13 +98,13 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                  WHEN 2 THEN translate(day, '-', '/')
                  WHEN 3 THEN translate(day, '-', '')
                  WHEN 4 THEN CAST(o_custkey % 20 AS STRING)
-                 WHEN 5 THEN '-3'
+                 WHEN 5 THEN IF(o_orderkey % 2 = 0, '-3', concat(' ', translate(day, '-', ''), '  '))
                  WHEN 6 THEN concat_ws('/', substr(day, 6, 2), substr(day, 9, 2), substr(day, 1, 4))
                  WHEN 7 THEN IF(o_orderkey % 2 = 0, 'abc', '20130231')
                  WHEN 8 THEN translate(day, '-', '\\') END AS from_parm""",
             """CASE o_orderkey % 4
                  WHEN 1 THEN later
-                 WHEN 2 THEN translate(earlier, '-', '/')
+                 WHEN 2 THEN concat(translate(earlier, '-', '/'), ' ')
                  WHEN 3 THEN 'n/a' END AS to_parm""",
         )
     )

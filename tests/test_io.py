@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from frames import COUNTERS, EVENTS, HOURS, LOG, REQUESTS, day, frame, rows, ts
 from slotledger.operators.slots import day_slots, resolve_requests
+from slotledger.operators.widen import ACTIVITY_COLUMNS, CONTACT_COLUMNS
 from slotledger.plans.jobs import components_report, events_report
 from slotledger.schemas import COUNTER_LOG, REPORTS, SOURCES
 from slotledger.sinks.reports import (
@@ -76,6 +77,8 @@ def test_one_table_per_day(spark):
         days = [day("2013-01-03"), day("2013-01-04")]
         log = scan_day_tables(spark, "monitorCounterLog", days, COUNTER_LOG)
         assert rows(log, "counterValue", "log_date") == [(4.0, day("2013-01-04"))]
+        slots = _days(spark, "2013-01-03", "2013-01-05")
+        assert scan_day_tables(spark, "monitorCounterLog", slots, COUNTER_LOG).count() == 1
         none = scan_day_tables(spark, "monitorCounterLog", days[:1], COUNTER_LOG)
         assert none.columns == COUNTER_LOG.names and none.count() == 0
     finally:
@@ -91,10 +94,10 @@ def test_load_tables(spark, tmp_path):
 
 
 def test_view_as_source(spark):
-    df = spark.range(2)
-    df.createOrReplaceTempView("contact_view")
-    assert contact_activity(df, "contact_view").count() == 2
-    assert contact_activity(df) is df
+    columns = [*CONTACT_COLUMNS.values(), *ACTIVITY_COLUMNS.values()]
+    spark.range(2).select(F.lit(1).alias("other"), *[F.col("id").alias(c) for c in columns]).createOrReplaceTempView("contact_view")
+    activity = contact_activity(spark, "contact_view")
+    assert activity.columns == columns and activity.count() == 2
 
 
 def test_events_load_is_idempotent(spark, tmp_path):
@@ -153,6 +156,36 @@ def test_components_load_is_idempotent(spark, tmp_path):
     assert rows(stored, "Hour", "Sum", "DataPoints") == [(3, 4.0, 1), (3, 5.0, 1), (3, 7.0, 1)]
 
 
+def test_the_log_is_read_once(spark, tmp_path):
+    """Both reports are stored, so the first write changes what the second one was compared to."""
+    path, reports = str(tmp_path / "log"), str(tmp_path / "reports")
+    _write_log(spark, path, LOG, _counter_rows())
+    counters = frame(spark, COUNTERS, (7, "% Process bytes in use"))
+    requests = frame(spark, REQUESTS, (1, None, "2013-01-04", "2013-01-07"))
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        read.add(1)
+        return value
+
+    def run(factor):
+        targets = {
+            "CPU": scan_report(spark, reports, "CPU"),
+            "MEM": scan_report(spark, reports, "Memory"),
+        }
+        log = scan_counter_log(spark, path).withColumn(
+            "counterValue", counted.asNondeterministic()("counterValue") * factor
+        )
+        new = components_report(log, counters, requests, targets, AS_OF)
+        return append_components(new, reports, AS_OF)
+
+    assert run(1) == {"CPU": 3, "MEM": 3}
+    assert read.value == 3
+    assert run(2) == {"CPU": 3, "MEM": 3}
+    assert read.value == 6
+
+
 def test_report_tables(spark, tmp_path):
     directory = str(tmp_path)
     names = create_report_tables(spark, directory)
@@ -167,14 +200,21 @@ def test_report_tables(spark, tmp_path):
             (1, 2013, 1, "Data", "C", 2.0, 1.0, ts("2013-01-05")),
         )
         append_report(disk, directory, "Disk", AS_OF)
-        create_report_tables(spark, directory)
+        # without another create
         assert rows(spark.table("CPU"), "Hour", "Sum") == [(3, 1.5)]
+        append_report(batch, directory, "CPU", AS_OF)
+        assert spark.table("CPU").count() == scan_report(spark, directory, "CPU").count() == 2
+        # a report of the same name elsewhere is not the table
+        append_report(batch, f"{directory}/other", "CPU", AS_OF)
+        assert spark.table("CPU").count() == 2
         assert rows(spark.table("Disk"), "YearNum", "DriveName") == [(2013, "C")]
         # replacing empties every report but the disks
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         create_report_tables(spark, directory, replace=True)
-        assert spark.table("CPU").count() == 0
+        assert spark.table("CPU").count() == scan_report(spark, directory, "CPU").count() == 0
         assert spark.table("Disk").count() == 1
     finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 

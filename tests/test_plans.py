@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from frames import REQUESTS, frame
 from slotledger.operators.filters import disk_projection
 from slotledger.operators.latest import latest_audit_join
 from slotledger.plans import jobs
+from slotledger.schemas import SERVERS
 from slotledger.workload import tables as t
 
 SF = "/root/testdata/sf0.001"
@@ -118,3 +120,59 @@ def test_weekly_report_reads_the_disks_once(spark):
     assert new.where(F.col("DriveName") != F.trim("DriveName")).count() == 0
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+}
+
+
+def test_weekly_report_splits_a_hot_agent(spark):
+    """An agent with a third of all drives."""
+    disks = spark.range(0, 300_000, 1, 16).selectExpr(
+        "IF(id % 3 = 0, 7, id) AS agentGuid",
+        "1 AS resultGroup",
+        "1 AS locked",
+        "CONCAT('drive', id) AS driveLetter",
+        "'Data' AS volumeName",
+        "'Fixed' AS type",
+        "CAST(id AS double) AS totalMBytes",
+        "1.0D AS freeMBytes",
+    )
+    audits = spark.range(0, 300_000, 1, 4).selectExpr(
+        "id AS agentGuid", "1 AS resultGroup", "1 AS locked", "TIMESTAMP_NTZ'2013-01-07' AS date"
+    )
+    requests = frame(spark, REQUESTS, (1, None, "2013-01-07", None))
+    stored = spark.createDataFrame(
+        [], "AgentGUID long, YearNum int, WeekNum int, DiskLabel string, DriveName string"
+    )
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    try:
+        new = jobs.weekly_disk_report(disks, audits, requests, stored, "2013-03-14")
+        n = len(new.collect())
+        text = plan(new)
+    finally:
+        for key in SKEW:
+            spark.conf.unset(key)
+    assert n == 300_000
+    assert "skew=true" in text
+    assert "Window" not in text
+
+
+def test_servers_read_the_target_once(spark):
+    tables = t.inventory(spark, SF)
+    stored = spark.createDataFrame([], SERVERS.stored)
+    text = plan(jobs.servers_snapshot(tables, stored.where("Cores > 3"), t.AS_OF))
+    joins = re.findall(r"(?:BroadcastHash|ShuffledHash|SortMerge)Join [^\n]*LeftAnti", text)
+    assert len(joins) <= 1
+    assert text.count("existing") == 0
+
+
+def test_requested_day_rows_come_out_once(spark):
+    events = t.event_log(spark, SF)
+    joined = QUERIES["join_day_slots"](spark, SF)
+    assert joined.count() <= events.count()
+    assert joined.agg(F.max("n_requests")).first()[0] > 1
