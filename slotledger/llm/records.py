@@ -29,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import new_folder
+from slotledger.llm.common import new_folder, small
 
 END_ID = 2
 #: Rows aimed at in one shard.
 SHARD_ROWS = 20_000
+#: The sums of at most so many shards are broadcast (16 MB); more are joined by a shuffle.
+BROADCAST_SHARDS = 1_000_000
 #: Distinct pieces whose ids a worker keeps at hand; beyond that it starts afresh, which changes the speed only.
 CACHE_PIECES = 600_000
 MASK_DELTA = 0xA282EAD8
@@ -208,7 +210,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
     sums = parts.groupBy("shard").agg(F.sum("n_tokens").alias("sum"))
     before = F.coalesce(F.sum("sum").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row per shard
     inside = F.sum("n_tokens").over(W.partitionBy("shard").orderBy("record").rowsBetween(W.unboundedPreceding, -1))
-    full = parts.join(F.broadcast(sums.select("shard", before.alias("before"))), "shard")
+    full = parts.join(small(sums.select("shard", before.alias("before")), BROADCAST_SHARDS), "shard")
     full = full.withColumn("start", F.col("before") + F.coalesce(inside, F.lit(0))).drop("before")
     full.write.parquet(f"{folder}/index")
     return read_index(spark, folder)
