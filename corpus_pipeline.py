@@ -15,10 +15,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.with_known_language(docs, language.learn(docs.filter(~language.held_out())))
 
 
+#: Near duplicates share so many of their shingles of so many words. The contract of op10 (three words, 0.9) is the query's own.
+DUPLICATE_WORDS, DUPLICATE_PART = 5, (80, 100)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     ship(spark)
-    return jaccard.one_of_each_group(docs)
+    return jaccard.one_of_each_group(docs, DUPLICATE_WORDS, DUPLICATE_PART)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

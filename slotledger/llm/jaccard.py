@@ -4,7 +4,8 @@ Shingles are hashed into m segments by the size band of a set. Two sets that are
 so with m = H + 1 + SPARE segments at least 1 + SPARE of them are the same in both, and sets are indexed by the contents of
 their segments. How the differences are paid for is decided by cost, band by band (`plan_band`): either every segment has to
 be met exactly, or fewer and larger segments are met up to one difference each, through neighbourhoods with one shingle
-deleted. Segments with fewer than two shingles say little and are left out where a set has no more than SPARE of them.
+deleted. Segments with fewer than two shingles say little and are left out where a set has no more than SPARE of them; where
+segments are thin, empty ones are left out, and there are as many more segments.
 Candidates are verified exactly.
 """
 
@@ -16,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,10 @@ PART = (90, 100)
 BAND_RATIO = 1.4
 #: Segments that may be left out for having fewer than two shingles.
 SPARE = 1
+#: Segments that hold fewer shingles on average are thin.
+THIN = 5.0
+#: Bits, as a power of two, of the sieve that keeps signatures of one set from a second shuffle (4 MB).
+SIEVE_BITS = 25
 #: Shingles aimed at in one block of a verification (8 bytes each).
 BLOCK_SHINGLES = 200_000
 
@@ -104,6 +110,13 @@ class Plan:
     segments: int
     deletions: bool  # segments are met up to one difference
     spare: int
+    weak: int = 2  # segments with fewer shingles are left out where a set has no more than `spare` of them
+
+
+def _most_empty(size: int, segments: int) -> int:
+    """So many of its segments a set of `size` shingles has empty, with few exceptions."""
+    mean = segments * (1 - 1 / segments) ** size
+    return math.ceil(mean + 3 * math.sqrt(mean))
 
 
 def plan_band(band: int, n_sets: int, part: tuple[int, int] = PART) -> Plan:
@@ -112,12 +125,22 @@ def plan_band(band: int, n_sets: int, part: tuple[int, int] = PART) -> Plan:
     Exact: H + 1 + SPARE segments, a row each. Deletions: a segment may take up one difference, so that two differences are
     needed to spoil it: H // 2 + 1 segments, with a row each for the whole and for each shingle left out. By chance two sets
     meet in a segment that both have empty.
+
+    Where a limit far below 1 makes segments thin, nearly every set has more weak segments than SPARE, and empty ones would
+    tie together whatever has them. There as many segments are added as the smallest sets of the band have empty ones, and
+    these are left out; small sets take deletions, whose segments are twice as thick.
     """
     low, high = band_range(band)
     h = differences(high, part)
     if h == 0:
         return Plan(band, 1, False, 0)
     exact = h + 1 + SPARE
+    if low / exact < THIN and exact * (1 + low / exact) * math.exp(-low / exact) > SPARE:
+        spare = SPARE
+        while spare <= h // 2 and (needed := _most_empty(low, h + 1 + spare)) > spare:
+            spare = needed
+        # in small sets more segments only make more empty ones
+        return Plan(band, h + 1 + spare, False, spare, 1) if spare <= h // 2 else Plan(band, h // 2 + 1, True, 0)
     fewer = h // 2 + 1
 
     def chance(m: int, least: int) -> float:
@@ -158,7 +181,7 @@ def signatures(s: np.ndarray, plan: Plan) -> np.ndarray:
         owner = np.repeat(np.arange(m), sizes)
         less = mix(mix(sums[owner] - values + (sizes[owner] - 1).astype(np.uint64)) + mix(at[owner] * np.uint64(2654435761) + seed))
         return np.unique(np.concatenate([names, less]))
-    weak = sizes < 2
+    weak = sizes < plan.weak
     if plan.spare and weak.sum() <= plan.spare:
         names = names[~weak]
     return names
@@ -179,7 +202,9 @@ def _measure(n: int):
     return measure
 
 
-def _index(plans: dict[int, Plan], n: int, part: tuple[int, int]):
+def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Broadcast | None = None):
+    """Rows of signature and set; of those that pass the sieve, where there is one."""
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # of this task's documents: copies need no rows of their own
         for batch in batches:
@@ -191,6 +216,10 @@ def _index(plans: dict[int, Plan], n: int, part: tuple[int, int]):
                         continue
                     seen.add(sid)
                     names.append(np.concatenate([signatures(s, plans[b]) for b in bands]))
+                    if sieve is not None:
+                        bit = names[-1] & np.uint64((1 << SIEVE_BITS) - 1)
+                        word = sieve.value[(bit >> np.uint64(6)).astype(np.int64)]
+                        names[-1] = names[-1][(word >> (bit & np.uint64(63))) & np.uint64(1) == 1]
                     ids.append(np.full(len(names[-1]), sid, dtype=np.int64))
                 if names:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(ids))], names=["sig", "sid"])
@@ -292,6 +321,15 @@ def _band_column(size: str):
         band += 1
 
 
+def _sieve(met: DataFrame) -> Broadcast:
+    """A bit for each remainder of the signatures in `met`: of a fixed size, it lets all of them pass and few others."""
+    bit = F.col("sig").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    words = met.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(sig & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return met.sparkSession.sparkContext.broadcast(out)
+
+
 def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple[int, int]) -> DataFrame:
     """(node, label): sets that meet in the index, directly or through others."""
     counts = measured.filter("n > 0").select("sid", "n").distinct().groupBy("n").agg(F.count("*").alias("sets"))
@@ -302,6 +340,10 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     plans = {b: p for b, p in plans.items() if differences(band_range(b)[1], part)}
     rows = docs.select("text").mapInArrow(_index(plans, n, part), "sig long, sid long")
     met = rows.groupBy("sig").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).filter("lead < last").select("sig", "lead")
+    if any(p.weak < 2 for p in plans.values()):
+        # thin segments make a row for every two or three shingles, and few of them meet: the others are not shuffled again
+        met = stored(met, "met")
+        rows = docs.select("text").mapInArrow(_index(plans, n, part, _sieve(met)), "sig long, sid long")
     met = dealt_anew(met, "sig")
     links = rows.join(met, "sig").filter("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct()
     return stored(connected(links, "candidates"), "clusters")

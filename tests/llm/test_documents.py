@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -259,6 +260,39 @@ def test_plans_meet_every_linked_pair():
                 assert len(np.intersect1d(jaccard.signatures(x, plan), jaccard.signatures(y, plan)))
 
 
+def test_thin_segments_meet_every_linked_pair_and_tie_no_others():
+    part = (80, 100)
+    rng = np.random.default_rng(8)
+    for size in (12, 35, 60, 120, 300, 900):
+        met = 0
+        for _ in range(60):
+            x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            for same in (0.895, 0.0):
+                y = np.unique(np.concatenate([x[rng.permutation(len(x))[: math.ceil(len(x) * same)]], rng.integers(0, 2**64, int(size * (0.1 if same else 1)), dtype=np.uint64)]))
+                both = len(np.intersect1d(x, y))
+                linked = 100 * both >= 80 * (len(x) + len(y) - both)
+                band = jaccard.band_limits(min(len(x), len(y)))
+                plan = jaccard.plan_band(band, 5000, part)
+                meets = len(np.intersect1d(jaccard.signatures(x, plan), jaccard.signatures(y, plan))) > 0
+                assert meets or not linked
+                met += meets and not same
+        assert met <= 12 or size < 80  # unrelated sets; by empty segments nearly all would meet
+
+
+def test_pipeline_links_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    base = [f"t{k}" for k in range(104)]  # 100 shingles of five words
+    changed = [*base[:50], "other", *base[51:]]  # 95 of 105 are the same
+    twice = [*base[:30], "one", *base[31:70], "two", *base[71:]]  # 90 of 110
+    thrice = [*base[:20], "x", *base[21:50], "y", *base[51:80], "z", *base[81:]]  # 85 of 115
+    rows = [(1, " ".join(base)), (2, " ".join(changed)), (3, " ".join(f"u{k}" for k in range(104))), (4, " ".join(["u", *(f"u{k}" for k in range(1, 104))]))]
+    rows += [(5, " ".join(w.replace("t", "v") for w in base)), (6, " ".join(w.replace("t", "v") for w in twice))]
+    rows += [(7, " ".join(w.replace("t", "w") for w in base)), (8, " ".join("w" + w if w in "xyz" else w.replace("t", "w") for w in thrice))]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 7, 8]
+
+
 def test_cost_decides_between_plans():
     assert not jaccard.plan_band(17, 1000).deletions
     assert jaccard.plan_band(6, 10**11).deletions  # small sets, very many: chance meetings cost more than rows
