@@ -77,6 +77,15 @@ def leaf_budgets(leaves: DataFrame, percent: int, epochs: int, weights: Mapping[
     return hand_down(low, ["domain", "lang"], F.col("above"), "source").select(*LEVELS, "tokens", "docs", "got")
 
 
+def _level_columns(domain: Column | None) -> list[Column]:
+    """The values of a document's levels, by which leaves are told apart."""
+    return [
+        _named(domain_of(F.col("source")) if domain is None else domain).alias("domain"),
+        _named(F.col("lang")).alias("lang"),
+        _named(F.col("source")).alias("source"),
+    ]
+
+
 def select_documents(
     docs: DataFrame,
     percent: int = BUDGET_PERCENT,
@@ -85,18 +94,17 @@ def select_documents(
     seed: int = SEED,
     domain: Column | None = None,
 ) -> DataFrame:
-    """(rk, doc_id, domain, lang, source, n_tokens, epoch): a row for every time a document is taken.
+    """(rk, doc_id, domain, lang, source, n_tokens, copies, epoch): a row for every time a document is taken.
 
     Documents need doc_id, text, lang and source. Null or empty texts have no tokens and cost nothing; they are taken
-    wherever the prefix reaches them. Null values of a level are a node of their own. Documents equal in id and text are
-    taken together, all or none; other ties are broken by the row key. An empty table gives an empty result.
+    wherever the prefix reaches them. Null values of a level are a node of their own. Documents equal in id, text and levels
+    are taken together, all `copies` of them or none (n_tokens is of one); other ties are broken by the row key. An empty
+    table gives an empty result.
     """
     units = docs.select(
         row_key().alias("rk"),
         "doc_id",
-        _named(domain_of(F.col("source")) if domain is None else domain).alias("domain"),
-        _named(F.col("lang")).alias("lang"),
-        _named(F.col("source")).alias("source"),
+        *_level_columns(domain),
         count_words(F.col("text")).alias("n"),
     )
     units = stored(units.groupBy("rk", "doc_id", *LEVELS, "n").agg(F.count("*").alias("copies")), "mix-units")
@@ -122,11 +130,18 @@ def select_documents(
     edge = placed.filter("not all and not none").withColumn("more", (F.col("before") + F.sum("cost").over(inside) <= F.col("rest")).cast("int"))
     taken = sure.unionByName(edge).withColumn("times", (F.col("whole") + F.col("more")).cast("int")).filter("times > 0")
     plain = [F.when(F.col(c) != "", F.substr(c, F.lit(2))).alias(c) for c in LEVELS]
-    return taken.select("rk", "doc_id", *plain, F.col("n").alias("n_tokens"), F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("epoch"))
+    return taken.select("rk", "doc_id", *plain, F.col("n").alias("n_tokens"), "copies", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("epoch"))
+
+
+def each_copy(taken: DataFrame) -> DataFrame:
+    """The rows of `select_documents` with one row for each of the equal documents that are taken together."""
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "copy")
 
 
-def mixed(docs: DataFrame, **options: object) -> DataFrame:
-    """The rows of `docs`, all columns, each as often as it is taken."""
-    key = fresh_name(docs, "rk")
-    taken = select_documents(docs, **options).select(F.col("rk").alias(key))
-    return docs.withColumn(key, row_key()).join(taken, key).drop(key)
+def mixed(docs: DataFrame, domain: Column | None = None, **options: object) -> DataFrame:
+    """The rows of `docs`, all columns, each as often as its leaf takes it."""
+    # one column of row key and levels: rows equal in id and text may stand in leaves of their own
+    key = fresh_name(docs, "unit")
+    taken = select_documents(docs, domain=domain, **options).select("rk", *(_named(F.col(c)) for c in LEVELS))
+    taken = taken.toDF("rk", *LEVELS).select(F.struct("rk", *LEVELS).alias(key))
+    return docs.withColumn(key, F.struct(row_key().alias("rk"), *_level_columns(domain))).join(taken, key).drop(key)

@@ -53,7 +53,7 @@ def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.select_documents(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+    return mixing.each_copy(mixing.select_documents(table(spark, sf_dir, "documents"))).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
 
 
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -432,6 +432,17 @@ def test_mixing(spark, docs, rows):
     assert Counter((r.doc_id, r.text) for r in everything.collect()) == copies
 
 
+def test_equal_documents_of_several_leaves(spark):
+    rows = [(1, "a b", "en", "src1"), (1, "a b", "de", "src1"), (1, "a b", "de", "src1"), (1, "a b", None, None), (2, "c d", "en", "src1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = mixing.mixed(df, percent=1000, epochs=1)
+    assert Counter(map(tuple, out.collect())) == Counter(rows)
+    only = mixing.mixed(df, percent=1000, epochs=1, weights={"lang": {"de": 0}})
+    assert Counter(map(tuple, only.collect())) == Counter(r for r in rows if r[2] != "de")
+    each = mixing.each_copy(mixing.select_documents(df, percent=1000, epochs=1)).select("doc_id", "lang", "source", "n_tokens")
+    assert Counter(map(tuple, each.collect())) == Counter((r[0], r[2], r[3], 2) for r in rows)
+
+
 @pytest.mark.parametrize("block", [1, 3, 4096])
 def test_blocks_do_not_matter(spark, docs, monkeypatch, block):
     monkeypatch.setattr(mixing, "BLOCK_ROWS", block)
