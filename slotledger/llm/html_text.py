@@ -68,7 +68,7 @@ def _is_part(tag: str, attrs: str, in_article: bool) -> bool:
 def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, int]]]:
     """(segments, subtrees) of a page.
 
-    A segment is (block, zone, text) of text that no part has marked as foreign; zone is 2 in an article, 1 in main, else 0.
+    A segment is (block, zone, text) of text that no part has marked as foreign; zone has bit 2 in an article, bit 1 in main.
     A subtree is (hash, first segment, end): what an element holds, foreign text included in the hash.
     """
     segments: list[tuple[int, int, str]] = []
@@ -120,8 +120,8 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
                 if tag in ("br", "hr", "wbr") and not foreign and tag != "wbr":
                     segments.append((block, zone, " "))
                 continue
-            zone = 2 if tag == "article" else max(zone, 1) if tag == "main" else zone
-            foreign = foreign or _is_part(tag, attrs, zone == 2)
+            zone |= {"article": 2, "main": 1}.get(tag, 0)
+            foreign = foreign or _is_part(tag, attrs, zone & 2 > 0)
             stack.append((tag, [tag, " ".join(attrs.split())], len(segments), foreign, zone))
         elif token["end"]:
             tag = token["end"].lower()
@@ -144,7 +144,11 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
 
 
 def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The text of the article: blocks in page order, one line each."""
+    """The text of the article: blocks in page order, one line each.
+
+    Subtrees in `template` go first. What is left outside article elements goes only if these hold at least half of its
+    words; otherwise the same holds for main elements, and otherwise all stays.
+    """
     if not page:
         return ""
     segments, subtrees = parse(page)
@@ -154,11 +158,12 @@ def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(
             if value in template:
                 gone[first:end] = b"\x01" * (end - first)
         segments = [s for s, g in zip(segments, gone) if not g]
-    zone = max((z for _, z, t in segments if not t.isspace()), default=0)
+    words = [len(t.split()) for _, _, t in segments]
+    zone = next((bit for bit in (2, 1) if 0 < sum(words) <= 2 * sum(n for n, s in zip(words, segments) if s[1] & bit)), 0)
     lines: list[str] = []
     last, held = None, []
     for block, z, t in segments:
-        if z != zone:
+        if z & zone != zone:
             continue
         if block != last and held:
             lines.append(" ".join("".join(held).split()))

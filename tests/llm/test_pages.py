@@ -76,6 +76,12 @@ CASES = [
 ]
 
 
+CASES += [
+    ("<article><p>teaser</p></article><div><p>the body of this page</p><p>goes on</p></div>", "teaser\nthe body of this page\ngoes on"),
+    ("<main><p>the body of this page</p><article>card</article></main><article>teaser</article>", "the body of this page\ncard"),
+]
+
+
 @pytest.mark.parametrize("page,text", CASES)
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
