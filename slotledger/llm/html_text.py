@@ -2,7 +2,9 @@
 
 Each element subtree of a page is hashed: its tag, its attributes, its text and its children. A subtree that stands on many
 different pages of a host is part of the host's template and is deleted; so are parts that say what they are (navigation,
-footers, forms, adverts, comments and the like) on any page.
+footers, forms, adverts, comments and the like) on any page. Many means half of the host's pages or, for a whole block outside
+any article, a number of different surroundings that does not grow with the host: copies of an article repeat its
+paragraphs too, but beside each other. Of what is left, text outside article or main goes only if these hold half of its words.
 """
 
 from __future__ import annotations
@@ -13,16 +15,19 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import small, stored
+from slotledger.llm.common import dealt_anew, stored
 
 #: A subtree is template if it stands on at least so many different pages of its host, and on so large a part of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.5
-#: A template table of at most so many hosts is broadcast; a larger one is joined by a shuffle, where a hot host can be split.
-BROADCAST_HOSTS = 20_000
+#: A block outside any article is template, however large the host, if it stands between so many different neighbours.
+MIN_SURROUNDINGS = 8
+#: A template table of at most so many subtrees is broadcast; a larger one meets the subtrees of every page in a join.
+BROADCAST_SUBTREES = 200_000
 
 # fixed values: element names of the HTML standard, and words by which sites name parts that are not the article
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,6 +37,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that are pieces of another one and mean little by themselves.
+PIECES = frozenset("body caption dd dt h1 h2 h3 h4 h5 h6 li main article tbody td tfoot th thead tr".split())
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 PART = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
@@ -65,30 +72,46 @@ def _is_part(tag: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, int]]]:
+def _number(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, int, int | None]]]:
     """(segments, subtrees) of a page.
 
     A segment is (block, zone, text) of text that no part has marked as foreign; zone has bit 2 in an article, bit 1 in main.
-    A subtree is (hash, first segment, end): what an element holds, foreign text included in the hash.
+    A subtree is (hash, first segment, end, surroundings): what an element holds, foreign text included in the hash, and for
+    a whole block outside any article a hash of what stands before and after it; an only child has its parent's.
     """
     segments: list[tuple[int, int, str]] = []
-    subtrees: list[tuple[int, int, int]] = []
-    # open elements: tag, parts of the hash, first segment, foreign, zone
-    stack: list[tuple[str, list[str], int, bool, int]] = [("", [], 0, False, 0)]
+    found: list[tuple[int, int, int, bool]] = []
+    around: dict[int, int] = {}
+    above: dict[int, int] = {}
+    # open elements: tag, parts of the hash, first segment, foreign, zone, places of child elements in the parts
+    stack: list[tuple[str, list[str], int, bool, int, list[tuple[int, int]]]] = [("", [], 0, False, 0, [])]
     block = 0
     at = 0
 
     def close() -> None:
-        tag, parts, first, _, _ = stack.pop()
+        tag, parts, first, _, zone, kids = stack.pop()
         value = xxhash.xxh3_64_intdigest("\x00".join(parts))
         if len(parts) > 2 or parts[1:] != [""]:
-            subtrees.append((value - (1 << 63), first, len(segments)))
+            surround(parts[2:], [(k - 2, n) for k, n in kids], len(found))
+            stack[-1][5].append((len(stack[-1][1]), len(found)))
+            found.append((value - (1 << 63), first, len(segments), tag in BLOCKS and tag not in PIECES and not zone & 2))
         stack[-1][1].append(f"\x01{value}")
 
+    def surround(parts: list[str], kids: list[tuple[int, int]], parent: int) -> None:
+        for k, n in kids:
+            if len(parts) == 1:
+                above[n] = parent
+            else:
+                around[n] = _number("\x00".join((parts[k - 1] if k else "", *parts[k + 1 : k + 2])))
+
     def text(data: str) -> None:
         if not data:
             return
-        _, parts, _, foreign, zone = stack[-1]
+        _, parts, _, foreign, zone, _ = stack[-1]
         if "&" in data:
             data = entities.unescape(data)
         line = " ".join(data.split())
@@ -122,7 +145,7 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
                 continue
             zone |= {"article": 2, "main": 1}.get(tag, 0)
             foreign = foreign or _is_part(tag, attrs, zone & 2 > 0)
-            stack.append((tag, [tag, " ".join(attrs.split())], len(segments), foreign, zone))
+            stack.append((tag, [tag, " ".join(attrs.split())], len(segments), foreign, zone, []))
         elif token["end"]:
             tag = token["end"].lower()
             if tag in BLOCKS:
@@ -140,22 +163,29 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
     text(page[at:])
     while len(stack) > 1:
         close()
-    return segments, subtrees
+    surround(stack[0][1], stack[0][5], -1)
+    for n in sorted(above, reverse=True):  # parents come after their children
+        around[n] = around.get(above[n], 0)
+    return segments, [(value, first, end, around[n] if whole else None) for n, (value, first, end, whole) in enumerate(found)]
+
 
+def subtree_key(host: str, value: int) -> int:
+    return _number(f"{host}\x00{value}")
 
-def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
+
+def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(), host: str | None = None) -> str:
     """The text of the article: blocks in page order, one line each.
 
-    Subtrees in `template` go first. What is left outside article elements goes only if these hold at least half of its
-    words; otherwise the same holds for main elements, and otherwise all stays.
+    `template` are hashes of subtrees or, with a host, their keys; they go first. What is left outside article elements goes
+    only if these hold at least half of its words; otherwise the same holds for main elements, and otherwise all stays.
     """
     if not page:
         return ""
     segments, subtrees = parse(page)
     if template:
         gone = bytearray(len(segments))
-        for value, first, end in subtrees:
-            if value in template:
+        for value, first, end, _ in subtrees:
+            if (value if host is None else subtree_key(host, value)) in template:
                 gone[first:end] = b"\x01" * (end - first)
         segments = [s for s, g in zip(segments, gone) if not g]
     words = [len(t.split()) for _, _, t in segments]
@@ -181,50 +211,75 @@ def host_of(url: Column) -> Column:
 
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = {"host": pa.string(), "subtree": pa.int64(), "page": pa.int64(), "around": pa.int64()}
     for batch in batches:
-        hosts, values, pages = [], [], []
+        hosts, values, pages, arounds = [], [], [], []
         for host, page, text in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html")):
-            found = {s[0] for s in parse(text.as_py())[1]}
+            found: dict[int, int | None] = {}
+            for value, _, _, around in parse(text.as_py())[1]:
+                if found.get(value) is None:
+                    found[value] = around
             hosts += [host] * len(found)
             pages += [page] * len(found)
-            values += found
-        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "subtree": pa.array(values, pa.int64()), "page": pa.array(pages, pa.int64())})
+            values += [subtree_key(host, value) for value in found]
+            arounds += found.values()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((hosts, values, pages, arounds), types.values())], names=list(types))
 
 
-def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        last, template = None, frozenset()
-        for page, known in zip(batch.column("html"), batch.column("template")):
-            if known.is_valid and known != last:
-                last, template = known, frozenset(known.as_py())
-            texts.append(main_text(page.as_py(), template if known.is_valid else frozenset()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
-        )
-
-
-def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, template): hashes of the subtrees that recur on a host. Copies of one page count once.
-
-    A host's list is bounded: each entry stands on `min_share` of its pages, so that there are at most 1 / min_share times as
-    many as one page has elements.
+def _text_rows(shared: Broadcast | None):
+    """Texts of pages without the subtrees whose keys are shared, or else stand in the column `template`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = frozenset(shared.value.tolist()) if shared is not None else None
+        for batch in batches:
+            lists = [known] * batch.num_rows if known is not None else (frozenset(t.as_py() or ()) for t in batch.column("template"))
+            hosts = batch.column("host").to_pylist()
+            texts = [main_text(page.as_py(), own if host is not None else frozenset(), host) for page, host, own in zip(batch.column("html"), hosts, lists)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
+            )
+
+    return run
+
+
+SUBTREE_ROWS = "host string, subtree long, page long, around long"
+
+
+def _known(pages: DataFrame) -> DataFrame:
+    return pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), "html").filter("host is not null and html is not null")
+
+
+def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, min_surroundings: int = MIN_SURROUNDINGS) -> DataFrame:
+    """(subtree), stored: keys of the subtrees that recur on a host. Copies of one page count once.
+
+    A subtree recurs if it stands on `min_share` of the host's pages, `min_pages` at least, or as a whole block outside any
+    article in `min_surroundings` different surroundings. Keys are of host and subtree; no list of a host is ever held.
     """
-    known = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), "html").filter("host is not null and html is not null")
-    seen = known.mapInArrow(_subtree_rows, "host string, subtree long, page long").distinct()
-    counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+    known = _known(pages)
+    seen = known.mapInArrow(_subtree_rows, SUBTREE_ROWS).distinct()
+    counts = seen.groupBy("host", "subtree", "around").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("host", "subtree").agg(F.sum("n").alias("n"), F.count("around").alias("surroundings")).filter(F.col("n") >= min_pages)
     totals = known.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
-    often = counts.join(totals, "host").filter(F.col("n") >= F.col("pages") * min_share)
-    return stored(often.groupBy("host").agg(F.collect_list("subtree").alias("template")), "templates")
+    often = counts.join(totals, "host").filter((F.col("n") >= F.col("pages") * min_share) | (F.col("surroundings") >= min_surroundings))
+    return stored(often.select("subtree"), "templates")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """Per row of `pages` (page_id, url, html): page_id, url, text, n_chars.
 
-    Null or empty html has an empty text. A page whose URL is null or has no host belongs to no template. Repeated rows get equal
-    texts; other columns are not looked at; an empty table gives an empty result.
+    Template goes first; of the rest, text outside article (or else main) elements goes if these hold at least half of its
+    words. Null or empty html has an empty text. A page whose URL is null or has no host belongs to no template. Repeated rows
+    get equal texts; other columns are not looked at; an empty table gives an empty result.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    templates = small(host_templates(pages, min_pages, min_share), BROADCAST_HOSTS)
-    rows = pages.withColumn("host", host_of(F.col("url"))).join(templates, "host", "left")
-    return rows.select("page_id", "url", "html", "template").mapInArrow(_text_rows, "page_id long, url string, text string, n_chars long")
+    templates = host_templates(pages, min_pages, min_share)
+    rows = pages.withColumn("host", host_of(F.col("url")))
+    shared = None
+    if templates.count() <= BROADCAST_SUBTREES:
+        shared = pages.sparkSession.sparkContext.broadcast(templates.toArrow().column("subtree").to_numpy())
+    else:
+        own = _known(pages).mapInArrow(_subtree_rows, SUBTREE_ROWS).select("subtree", "page").distinct().join(dealt_anew(templates, "subtree"), "subtree")
+        # keys name the host, too: a page that stands on several hosts has the keys of each
+        own = dealt_anew(own.groupBy("page").agg(F.collect_list("subtree").alias("template")), "page")
+        rows = rows.withColumn("page", F.xxhash64("html")).join(own, "page", "left").drop("page")
+    return rows.mapInArrow(_text_rows(shared), "page_id long, url string, text string, n_chars long")

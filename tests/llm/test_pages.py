@@ -104,3 +104,19 @@ def test_site_templates_go(spark):
     assert html_text.extract(spark.createDataFrame([], SCHEMA)).count() == 0
     empty = warc.archive_and_read_back(spark.createDataFrame([], SCHEMA))
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [html_text.BROADCAST_SUBTREES, 0])
+def test_block_on_a_fifth_of_a_large_host(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(html_text, "BROADCAST_SUBTREES", broadcast)
+
+    def page(k: int) -> str:
+        # a copied story of which each copy changes another paragraph
+        story = "".join(f"<p>story {j if j != k % 20 else f'changed {k}'}</p>" for j in range(20)) if k >= 170 else f"<p>Text number {k}.</p>"
+        return f"<body><div><p>Site line</p></div>{'<div class=x><p>Closed on Monday</p></div>' if k % 5 == 0 else ''}<div>{story}</div><div><p>Page {k} ends</p></div></body>"
+
+    rows = [(k, "https://large.example/", page(k), 1, "t") for k in range(200)] + [(1000, "https://other.example/", page(5), 1, "t")]
+    out = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(out[k] == f"Text number {k}.\nPage {k} ends" for k in range(170))
+    assert all(out[k].count("\n") == 20 for k in range(170, 200))
+    assert out[1000] == "Site line\nClosed on Monday\nText number 5.\nPage 5 ends"
