@@ -27,7 +27,7 @@ DATE = "2024-01-01T00:00:00Z"
 #: Payloads below this many bytes are always written whole.
 MIN_REVISIT_BYTES = 1000
 RANGE_BYTES = 4 << 20
-#: A header longer than this is no header.
+#: Bytes read beyond a range for a header that begins in it; where one is longer, reading goes on.
 MAX_HEADER = 1 << 16
 #: A table of at most so many revisits is broadcast; a larger one is joined by a shuffle.
 BROADCAST_REVISITS = 500_000
@@ -126,19 +126,37 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def parse_header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    """The fields of the record header at `at` and where its block begins; None if there is no header."""
-    end = data.find(END, at, at + MAX_HEADER)
-    if end < 0 or not data.startswith(MAGIC, at):
+    """The fields of the record header at `at` and where its block begins; None if there is no header, or not all of it."""
+    end = _header_end(data, at)
+    if end is None or end < 0:
         return None
     fields = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
-            return None
+    for line in data[at + len(MAGIC) : end - len(END)].split(b"\r\n"):
+        name, _, value = line.partition(b":")
         fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
     if not fields.get("content-length", "").isdigit():
         return None
-    return fields, end + len(END)
+    return fields, end
+
+
+def _header_end(data: bytes, at: int) -> int | None:
+    """Where the header at `at` ends; -1 if `data` ends before it, None if there is no header. Headers may have any length."""
+    if not data.startswith(MAGIC, at):
+        return None
+    line = at + len(MAGIC)
+    while (end := data.find(b"\r\n", line)) > line:
+        if data.find(b":", line, end) < 0:
+            return None
+        line = end + 2
+    if end < 0:
+        return -1
+    return end + 2 if line > at + len(MAGIC) else None
+
+
+def unfinished(data: bytes, high: int) -> bool:
+    """Whether a header that begins before `high` goes on beyond `data`; if any does, the last one does."""
+    at = data.rfind(MAGIC, 0, high + len(MAGIC) - 1)
+    return at >= 0 and _header_end(data, at) == -1
 
 
 def candidates(data: bytes, base: int, low: int, high: int) -> list[tuple[int, int, int]]:
@@ -166,6 +184,9 @@ def _ranges(folder: str):
             for row in batch.to_pylist():
                 with files.open_input_file(f"{path}/{row['file']}") as source:
                     data = source.read_at(min(row["high"] + MAX_HEADER, row["size"]) - row["low"], row["low"])
+                    while row["low"] + len(data) < row["size"] and unfinished(data, row["high"] - row["low"]):
+                        after = row["low"] + len(data)
+                        data += source.read_at(min(max(len(data), MAX_HEADER), row["size"] - after), after)
                 if found := candidates(data, row["low"], row["low"], row["high"]):
                     offset, after, out = zip(*found)
                     yield pa.RecordBatch.from_pydict(
@@ -185,7 +206,12 @@ def _read(folder: str):
                     data = source.read_at(min(row["high"] + MAX_HEADER, row["size"]) - row["entry"], row["entry"])
                     at = 0
                     while row["entry"] + at < row["high"]:
-                        fields, block = parse_header(data, at)
+                        while not (head := parse_header(data, at)):  # the header goes on beyond what was read
+                            more = source.read_at(max(len(data), MAX_HEADER), row["entry"] + len(data))
+                            if not more:
+                                raise ValueError(f"no record at {row['entry'] + at} of {row['file']}")
+                            data += more
+                        fields, block = head
                         length = int(fields["content-length"])
                         if block + length > len(data):  # the last record goes on beyond the range
                             data = data[at:] + source.read_at(block + length - len(data), row["entry"] + len(data))

@@ -41,6 +41,16 @@ def test_archives(spark, tmp_path, range_bytes):
     assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("range_bytes", [70_000, 1 << 22])
+def test_headers_of_any_length(spark, tmp_path, range_bytes):
+    urls = ["http://a.example/" + "x" * n for n in (3, 100_000, 65_000, 400_000, 5)]
+    rows = [(k, url, f"<p>page {k}</p>" + TRAP, 1, "t") for k, url in enumerate(urls)]
+    folder = f"file://{tmp_path}/warc"
+    listed = warc.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), folder)
+    got = warc.read_archives(folder, listed, range_bytes).select("page_id", "url", "html").collect()
+    assert sorted(map(tuple, got)) == [r[:3] for r in rows]
+
+
 def test_damage_is_found(spark, tmp_path):
     listed = warc.write_archives(spark.createDataFrame(pages()[2:5], SCHEMA).coalesce(1), f"file://{tmp_path}/warc")
     file = next((tmp_path / "warc").glob("*.warc"))
