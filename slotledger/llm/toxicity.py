@@ -2,7 +2,7 @@
 
 A document is the set of its terms (words and beginnings of words), hashed into buckets. The score is a logistic function of a bias, a weight for each bucket
 and, for each pair of buckets, the product of their factor vectors: what two terms mean together is learned even where
-neither says much alone. The model is fitted on a bounded sample of labelled rows; every document is scored on its whole text.
+neither says much alone, if both are among the PAIR_BUCKETS most frequent. The model is fitted on a bounded sample of labelled rows; every document is scored on its whole text.
 """
 
 from __future__ import annotations
@@ -28,6 +28,11 @@ MIN_DOCS = 3
 #: A bucket stays in the model if the classes' shares of it lie so many standard errors apart; without this the many chance
 #: differences of rare terms would outweigh the few terms that matter, all the more in long documents.
 MIN_Z = 4.0
+#: A bucket that only toxic documents of the sample have, so many at least, stays at any size of the sample.
+PURE_DOCS = 8
+#: Buckets that say nothing alone stay if a pair of them, among so many of the most frequent ones, has another share of toxic
+#: documents than its two buckets lead to expect, by so many standard errors (there are millions of pairs).
+PAIR_BUCKETS, PAIR_Z = 2048, 7.0
 EPOCHS = 8
 RATE, FACTOR_RATE = 0.05, 0.02
 DECAY = 1e-3
@@ -63,21 +68,55 @@ class Model:
 
 
 def _telling(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
-    """Which buckets at least MIN_DOCS documents have, and the two classes to clearly different shares."""
+    """Which buckets at least MIN_DOCS documents have, and the two classes to clearly different shares or only the toxic ones."""
     if not rows:
         return np.zeros(size, dtype=bool)
     docs = np.bincount(np.concatenate(rows), minlength=size)
     toxic = np.bincount(np.concatenate([r for r, y in zip(rows, labels) if y == 1] or [np.zeros(0, dtype=np.int64)]), minlength=size)
     share = labels.sum() / len(rows)
     error = np.sqrt(np.maximum(docs * share * (1 - share) * (1 - docs / len(rows)), 1e-12))
-    return (docs >= MIN_DOCS) & (np.abs(toxic - docs * share) >= MIN_Z * error)
+    return (docs >= MIN_DOCS) & ((np.abs(toxic - docs * share) >= MIN_Z * error) | ((docs >= PURE_DOCS) & (toxic == docs) & (share < 1)))
+
+
+def _in_telling_pair(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """Which of the most frequent buckets take part in a pair that says more than its two buckets say alone."""
+    found = np.zeros(size, dtype=bool)
+    docs = np.bincount(np.concatenate(rows), minlength=size) if rows else np.zeros(size, dtype=np.int64)
+    often = np.argsort(-docs, kind="stable")[:PAIR_BUCKETS]
+    often = often[(docs[often] >= MIN_DOCS) & (docs[often] < len(rows))]
+    share = labels.mean() if rows else 0.0
+    if len(often) < 2 or not 0 < share < 1:
+        return found
+    place = np.full(size, -1)
+    place[often] = np.arange(len(often))
+    both, toxic = np.zeros((2, len(often), len(often)), dtype=np.float32)
+    for start in range(0, len(rows), 2000):
+        part = rows[start : start + 2000]
+        has = np.zeros((len(part), len(often)), dtype=np.float32)
+        for i, r in enumerate(part):
+            at = place[r]
+            has[i, at[at >= 0]] = 1
+        both += has.T @ has
+        marked = has[labels[start : start + 2000] == 1]
+        toxic += marked.T @ marked
+    n, t = np.diag(both), np.diag(toxic)
+    alone = (t + share) / (n + 1)
+    odds = alone / (1 - alone)
+    for i, bucket in enumerate(often):
+        expected = odds[i] * odds * (1 - share) / share
+        expected = np.clip(expected / (1 + expected), 1e-3, 1 - 1e-3)
+        away = np.abs(toxic[i] - both[i] * expected) >= PAIR_Z * np.sqrt(np.maximum(both[i], 1) * expected * (1 - expected))
+        # a bucket that comes only with the other one makes no pair with it
+        away &= (both[i] >= MIN_DOCS) & (both[i] < 0.8 * np.minimum(n[i], n))
+        found[bucket] = away.any()
+    return found
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, bits: int = BITS, factors: int = FACTORS, epochs: int = EPOCHS) -> Model:
     """Logistic loss by stochastic steps with a rate of its own for each parameter; deterministic."""
     rng = np.random.default_rng(SEED)
     size = 1 << bits
-    seen = _telling(rows, labels, size)
+    seen = _telling(rows, labels, size) | _in_telling_pair(rows, labels, size)
     rows = [r[seen[r]] for r in rows]
     bias, weights = 0.0, np.zeros(size)
     vectors = np.where(seen[:, None], rng.normal(0, 0.01, (size, factors)), 0.0)

@@ -380,6 +380,32 @@ def test_pairs_are_learned():
     assert np.mean(right) > 0.98
 
 
+def test_balanced_pairs_are_learned():
+    """Each term is as common in both classes: one of the two without the other is toxic."""
+    rng = np.random.default_rng(9)
+    rows, labels = [], []
+    for k in range(3200):
+        a, b = k % 2, k // 2 % 2
+        rows.append(np.unique(np.concatenate([[1] if a else [], [2] if b else [], rng.integers(10, 200, 5)]).astype(np.int64)))
+        labels.append(float(a != b))
+    y = np.array(labels)
+    assert not toxicity._telling(rows, y, 256)[[1, 2]].any()
+    model = toxicity.fit(rows, y, np.ones(len(y)), bits=8, epochs=30)
+    right = [(model.score(r) > 0.5) == bool(v) for r, v in zip(rows, y)]
+    assert np.mean(right) > 0.98
+
+
+def test_rare_insults_of_a_large_sample_are_learned():
+    rng = np.random.default_rng(10)
+    y = np.repeat([1.0, 0.0], 8200)
+    insults = ["zorgblatter" if k < 9 else "moronic" if k < 8200 else "pleasant" for k in range(16400)]
+    texts = pa.array([f"{w} {' '.join(f'w{x}' for x in rng.integers(0, 400, 12))}" for w in insults])
+    rows = [r.astype(np.int64) for _, found in toxicity.term_buckets(texts) for r in found]
+    model = toxicity.fit(rows, y, np.where(y == 1, 0.22, 1.78))
+    right = [(model.score(r) >= toxicity.THRESHOLD) == bool(v) for r, v in zip(rows, y)]
+    assert all(right[:9]) and np.mean(right) > 0.99
+
+
 def test_toxicity(spark, docs, rows):
     insult = [(i, f"you are a rotten fool number {i} {'word ' * (i % 9)}", 1) for i in range(120)] + [(1000 + i, f"what a fine day number {i} {'word ' * (i % 9)}", 0) for i in range(360)]
     train = spark.createDataFrame([(i, t) for i, t, _ in insult], "doc_id long, text string")
