@@ -68,6 +68,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ours that nothing reads any more; what comes after it has been stored."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"not in the shared folder: {path}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """`df` marked for broadcasting if it is counted to have at most `rows` rows; otherwise as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slotledger.llm import mixing
+from slotledger.llm import clustering, mixing, search
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -124,6 +124,55 @@ SELECT d.doc_id, CAST(coalesce(any_value(size.n), 0) AS BIGINT) AS n_shingles, m
 FROM d LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """
 
+
+def _centroids() -> str:
+    """Rounds written out one after another: assignment by all squared distances, then floored means."""
+    rounds = []
+    for r in range(clustering.ROUNDS + 1):
+        rounds.append(f"""
+n{r} AS MATERIALIZED (
+  SELECT rid, least[1] AS d, least[2] AS k FROM (
+    SELECT rid, min([d, k]) AS least FROM (
+      SELECT v.rid, c{r}.k, CAST(sum((v.x - c{r}.x) * (v.x - c{r}.x)) AS BIGINT) AS d FROM v JOIN c{r} ON v.j = c{r}.j GROUP BY v.rid, c{r}.k)
+    GROUP BY rid)),
+s{r} AS (SELECT n{r}.k, v.j, sum(v.x) AS s, count(*) AS n FROM v JOIN n{r} USING (rid) GROUP BY n{r}.k, v.j),
+c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.k, c{r}.j, CAST(CASE WHEN n IS NULL THEN c{r}.x ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS x
+  FROM c{r} LEFT JOIN s{r} ON c{r}.k = s{r}.k AND c{r}.j = s{r}.j)""")
+    last = clustering.ROUNDS
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {clustering.COMPONENTS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {clustering.COMPONENTS}),
+v AS MATERIALIZED (
+  SELECT rid, j, CAST(floor({clustering.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT rid, unnest(embedding) AS x, unnest(generate_series(1, {clustering.COMPONENTS})) AS j FROM e)),
+f AS (SELECT rid, row_number() OVER (ORDER BY sha256('{clustering.SEED}:' || CAST(vec_id AS VARCHAR)), rid) - 1 AS k FROM e),
+c0 AS MATERIALIZED (SELECT k, j, x FROM f JOIN v USING (rid) WHERE k < {clustering.CENTROIDS}),
+{",".join(rounds)},
+t AS (SELECT k, CAST(sum(d) AS BIGINT) AS cluster_inertia, CAST(sum(sum(d)) OVER () AS BIGINT) AS inertia FROM n{last} GROUP BY k),
+h AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c{last} GROUP BY k)
+SELECT vec_id, CAST(k AS INT) AS cluster, d AS distance, cluster_inertia, inertia, centroid_sha256
+FROM n{last} JOIN e USING (rid) JOIN t USING (k) JOIN h USING (k)
+"""
+
+
+SEARCH = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+z AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS length FROM d WHERE len(w) > 0),
+q AS (
+  SELECT item_id, term, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+p AS (SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, z GROUP BY term, docs),
+m AS (SELECT rid, doc_id, 100 - 75 + (75 * CAST(len(w) AS BIGINT) * docs) // length AS m FROM d, z),
+s AS (
+  SELECT item_id, rid, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= {search.TOP}
+"""
+
 ORACLES: dict[str, str] = {
     "op4_host_rules": HOST_RULES,
     "op5_positional_index": POSITIONAL,
@@ -131,4 +180,6 @@ ORACLES: dict[str, str] = {
     "op7_hierarchical_mixing": MIXING,
     "op9_warc_chain": WARC,
     "op10_partition_jaccard": JACCARD,
+    "op11_incremental_centroids": _centroids(),
+    "op13_geometric_blocks": SEARCH,
 }

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import decontaminate, host_rules, html_text, jaccard, language, mixing, records, repeats, toxicity, warc
+from slotledger.llm import bpe, clustering, decontaminate, host_rules, html_text, jaccard, language, mixing, records, repeats, search, toxicity, warc
 from slotledger.llm.common import ship
 
 #: Where the public tokenizer files are found, unless a caller names another path.
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -68,6 +69,19 @@ def op10_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_incremental_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.digest(clustering.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_merge_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(WORD_TOKENIZER)
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
+def op13_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,5 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_binary_records,
         op9_warc_chain,
         op10_partition_jaccard,
+        op11_incremental_centroids,
+        op12_merge_queue_bpe,
+        op13_geometric_blocks,
     )
 }
