@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,11 @@ from slotledger.functions.calendar import in_calendar
 from slotledger.functions.text import near, null_or_equal
 from slotledger.operators.latest import ranked
 
+# Copies of one row that a task writes at most.
+COPY_BLOCK = 100_000
+# A key is numbered in 2 to the power of so many chunks.
+CHUNK_BITS = 10
+
 
 def insert_new(
     batch: DataFrame,
@@ -28,7 +34,14 @@ def insert_new(
     of stored copies of a row is one row in the join; tolerances are a residual
     condition of the hash or sort-merge join on ``keys``.
     """
-    approx = approx or {}
+    stored, condition = _matching(target, keys, approx or {}, null_matches)
+    return batch.join(stored, condition, "left_anti")
+
+
+def _matching(
+    target: DataFrame, keys: Sequence[str], approx: Mapping[str, float], null_matches: Sequence[str]
+) -> tuple[DataFrame, Column]:
+    """The distinct match columns of ``target``, and when a row matches them."""
     match = [*keys, *approx, *null_matches]
     stored = target.select(*[F.col(c).alias(f"_t_{c}") for c in match]).distinct()
     condition: Column | None = None
@@ -41,7 +54,27 @@ def insert_new(
         else:
             test = old == new
         condition = test if condition is None else condition & test
-    return batch.join(stored, condition, "left_anti")
+    return stored, condition
+
+
+def mark_stored(
+    batch: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    approx: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """``batch`` with ``stored``: does ``target`` hold the row? The test of ``insert_new``, but every row stays.
+
+    With exact keys a row meets one stored row at most. With a tolerance it may meet
+    several; then its rows are made one again where the join has left them, so
+    equal rows of such a batch come out once.
+    """
+    known, condition = _matching(target, keys, approx or {}, ())
+    found = F.col("_t_flag").isNotNull()
+    met = batch.join(known.withColumn("_t_flag", F.lit(True)), condition, "left")
+    if not approx:
+        return met.select(*batch.columns, found.alias("stored"))
+    return met.groupBy(*batch.columns).agg(F.bool_or(found).alias("stored"))
 
 
 def load_if_slot_empty(
@@ -118,6 +151,61 @@ def first_per_key(
     return ranked(df, keys, order, 1)
 
 
+def powers_of_two(n: Column) -> Column:
+    """The powers of two that add up to ``n`` (0 up to 2^62)."""
+    powers = F.array(*[F.lit(1 << k) for k in range(63)])
+    return F.when(n > 0, F.filter(powers, lambda p: p.bitwiseAND(n) != 0)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+
+
+def expand_copies(counted: DataFrame, number: str, copy: str) -> DataFrame:
+    """Each row as often as its ``number`` says, with ``copy`` counting 1, 2, ... from the column's value up.
+
+    Rows that stand for very many go out in blocks, so no task writes all copies of one.
+    """
+    columns = [c for c in counted.columns if c not in (number, copy)]
+    few = counted.where(F.col(number) <= COPY_BLOCK).withColumn("_block", F.lit(0).cast("bigint"))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col(number) - 1, F.lit(COPY_BLOCK).cast("bigint"))
+    many = counted.where(F.col(number) > COPY_BLOCK).withColumn("_block", F.explode(starts))
+    many = many.repartition("_block", *columns)
+    last = F.least(F.col("_block") + COPY_BLOCK, F.col(number))
+    copies = F.transform(F.sequence(F.col("_block") + 1, last), lambda k: k + F.col(copy))
+    return few.unionByName(many).select(*columns, F.explode(copies).alias(copy))
+
+
+def number_copies(df: DataFrame, keys: Sequence[str], copy: str = "copy") -> DataFrame:
+    """``df`` with the number of every row among those of its key: 1, 2, and so on.
+
+    Equal rows are counted, not compared, and rows of a key that differ are ordered by
+    a hash of their other columns and by these. So the numbers of a repeated run are the
+    same, no order of the input matters, and no key is numbered in one task: it is cut
+    into chunks of the hash, each numbered on its own and shifted by those before it.
+    """
+    keys, n = list(keys), "_n"
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n))
+    if not rest:
+        return expand_copies(rows.withColumn(copy, F.lit(0).cast("bigint")), n, copy).select(*df.columns, copy)
+    rows = rows.withColumn("_hash", F.xxhash64(*rest))
+    rows = rows.withColumn("_chunk", F.shiftrightunsigned("_hash", 64 - CHUNK_BITS))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*keys, "_chunk").agg(F.sum(n).alias("_sum"))
+    shifts = sums.select(
+        *[F.col(k).alias(f"_of_{k}") for k in [*keys, "_chunk"]],
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_shift"),
+    )
+    inside = (
+        Window.partitionBy(*keys, "_chunk")
+        .orderBy("_hash", *rest)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    rows = rows.withColumn("_inside", F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_chunk"]])
+    first = (F.col("_inside") + F.col("_shift")).alias(copy)
+    return expand_copies(rows.join(shifts, same).select(*df.columns, n, first), n, copy).select(*df.columns, copy)
+
+
 def slot_counts(df: DataFrame, slot_cols: Sequence[str]) -> DataFrame:
     """Rows per slot."""
     return df.groupBy(*slot_cols).agg(F.count(F.lit(1)).alias("n_rows"))

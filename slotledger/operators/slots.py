@@ -7,7 +7,7 @@ week; the jobs join logs and audits to those rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import (
@@ -23,6 +23,8 @@ from slotledger.functions.text import contains_ci, is_int, parse_date, parse_int
 # Days per step back, and days back when no date is given.
 UNIT_DAYS = {"day": 1, "week": 7}
 DEFAULT_DAYS_BACK = {"day": 1, "week": 8}
+# Windows are met through bins of 16^k seconds, the longest some 2000 years.
+BIN_FACTOR, BIN_LEVELS = 16, 10
 # Numbers above this are taken for a mistyped date and count as one step back.
 MAX_STEPS_BACK = 10000
 
@@ -166,6 +168,45 @@ def join_week_slots(
     )
 
 
+def _level(length) -> Column:
+    """The level whose bins are as long as a window, or shorter by less than ``BIN_FACTOR``."""
+    steps = [F.when(length >= BIN_FACTOR**k, F.lit(k)) for k in range(BIN_LEVELS - 1, 0, -1)]
+    return F.coalesce(*steps, F.lit(0))
+
+
+def join_windows(
+    df: DataFrame, ts: str, windows: DataFrame, lo: str = "window_start", hi: str = "window_end"
+) -> DataFrame:
+    """Rows with every window ``lo <= ts < hi`` that they fall in; windows may overlap and have any length.
+
+    Time is cut into bins of several lengths, each ``BIN_FACTOR`` times the one
+    below, from a second up. A window is put into the few bins of its own size that it
+    touches, a row into one bin of each size that a window has; they meet by equality
+    of bins, and the times then decide. So the work follows the matches, not the
+    product, and a window of years costs as few rows as one of a minute. Windows that
+    are empty, reversed or without a bound match nothing.
+    """
+    valid = windows.where(F.col(lo) < F.col(hi))
+    seconds = {c: _seconds(F.col(c)) for c in (lo, hi)}
+    sized = valid.withColumn("_level", _level(seconds[hi] - seconds[lo]))
+    width = F.element_at(F.array(*[F.lit(BIN_FACTOR**k) for k in range(BIN_LEVELS)]), F.col("_level") + 1)
+    # the last second is inclusive: a window may end within it
+    bins = F.sequence(F.floor(seconds[lo] / width), F.floor(seconds[hi] / width))
+    placed = sized.withColumn("_bin", F.explode(bins))
+    # at most BIN_LEVELS rows
+    levels = sorted(r["_level"] for r in sized.select("_level").distinct().collect())
+    at = [F.struct(F.lit(k).alias("_level"), F.floor(_seconds(F.col(ts)) / BIN_FACTOR**k).alias("_bin")) for k in levels]
+    none = F.array().cast("array<struct<_level:int,_bin:bigint>>")
+    binned = df.select("*", F.inline(F.array(*at) if at else none))
+    met = binned.join(placed, ["_level", "_bin"]).where((F.col(lo) <= F.col(ts)) & (F.col(ts) < F.col(hi)))
+    return met.select(*df.columns, *windows.columns)
+
+
+def _seconds(ts: Column) -> Column:
+    """Whole seconds since a fixed moment, rounded down."""
+    return F.floor(F.unix_micros(ts.cast("timestamp_ntz").cast("timestamp")) / 1_000_000)
+
+
 def distinct_weeks(week_slot_rows: DataFrame) -> DataFrame:
     """The weeks of a slot table, one row each: at most the weeks of the calendar."""
     return distinct_slots(week_slot_rows, "week_begin", "YearNum", "WeekNum")

@@ -14,6 +14,8 @@ SLOTS_PER_ROW = 200
 # A contact with more than this share of all activities is numbered in chunks.
 HOT_SHARE = 0.001
 CHUNKS = 1000
+# Keys that the summary of heavy hitters tracks; its error is below a tenth of HOT_SHARE.
+TRACKED = 1 << 16
 
 # Titles of the five columns every activity takes, and the source
 # column each is filled from.
@@ -43,25 +45,30 @@ def max_group_size(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return group_sizes(df, key).agg(F.max("n_rows").alias("max_rows"))
 
 
-def _chunk_bounds(df: DataFrame, keys: list[str], order: str) -> DataFrame | None:
-    """Cut points of the order column for each hot key, or None without hot keys.
+def _chunk_points(df: DataFrame, keys: list[str], order: str) -> tuple[list[int], list] | None:
+    """Hashes of the hot keys and cut points of the order column, or None without hot keys.
 
-    At most ``1 / HOT_SHARE`` keys can be hot and each gets ``CHUNKS`` points, so
-    the result has a fixed bound. It is brought to the driver to be the same
-    wherever it is used.
+    One pass and one row: heavy hitters and quantiles are summaries of bounded size
+    that tasks merge. Every key above ``HOT_SHARE`` is among the hitters, since they
+    are tracked to a much smaller share; a further key among them does no harm. The
+    cut points are those of all rows: between two of them no key can have more than
+    all rows there. They come to the driver to be the same wherever they are used.
     """
-    sizes = group_sizes(df, keys)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    hot = sizes.where(F.col("n_rows") > F.greatest(total * F.lit(HOT_SHARE), F.lit(SLOTS_PER_ROW)))
     points = [i / CHUNKS for i in range(1, CHUNKS)]
-    named = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    bounds = (
-        df.join(F.broadcast(named), _same(keys, "_hot_"), "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx(order, points, 10 * CHUNKS).alias("_bounds"))
+    most = int(2 / HOT_SHARE)
+    hitters = F.expr(f"approx_top_k(_key, {most}, {TRACKED})")
+    seen = (
+        df.select(F.xxhash64(*keys).alias("_key"), F.col(order).alias("_order"))
+        .agg(
+            F.count(F.lit(1)).alias("total"),
+            hitters.alias("hitters"),
+            F.percentile_approx("_order", points, 10 * CHUNKS).alias("points"),
+        )
+        .first()
     )
-    rows = bounds.collect()
-    return df.sparkSession.createDataFrame(rows, bounds.schema) if rows else None
+    least = max(seen["total"] * HOT_SHARE * 0.9, SLOTS_PER_ROW)
+    hot = sorted(h["item"] for h in seen["hitters"] or [] if h["count"] > least)
+    return (hot, seen["points"] or []) if hot else None
 
 
 def _same(keys: Sequence[str], prefix: str) -> Column:
@@ -82,15 +89,22 @@ def number_activities(
     keys = list(keys)
     tie_hash = F.xxhash64(*ties) if ties else F.lit(0).cast("bigint")
     by_order = [F.col(order), tie_hash, *ties]
-    bounds = _chunk_bounds(df, keys, order)
-    if bounds is None:
+    summary = _chunk_points(df, keys, order)
+    if summary is None:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order))
         return df.withColumn("slot", number.cast("bigint"))
-    points = bounds.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_bounds", F.lit(True).alias("_hot"))
-    flagged = df.join(F.broadcast(points), _same(keys, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
-    below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
+    hot, points = summary
+    spark = df.sparkSession
+    cut = f"_points array<{df.schema[order].dataType.simpleString()}>"
+    # one row for each of the hot keys
+    flags = spark.createDataFrame([(h, points) for h in hot], f"_hot_key bigint, {cut}")
+    flagged = df.withColumn("_key", F.xxhash64(*keys)).join(
+        F.broadcast(flags), F.col("_key") == F.col("_hot_key"), "left"
+    )
+    flagged = flagged.withColumn("_hot", F.col("_hot_key").isNotNull()).drop("_key", "_hot_key")
+    below = F.size(F.filter("_points", lambda b: b < F.col(order)))
     # a value that fills several cut points is spread over as many chunks by its hash
-    filled = F.size(F.filter("_bounds", lambda b: b == F.col(order)))
+    filled = F.size(F.filter("_points", lambda b: b == F.col(order)))
     spread = F.floor((tie_hash / F.lit(2.0**64) + 0.5) * filled)
     chunk = below + F.least(spread, F.greatest(filled - 1, F.lit(0)))
     # rows without an order value come first, spread by their hash as well
@@ -98,7 +112,7 @@ def number_activities(
     chunk = F.when(F.col(order).isNull(), unordered).otherwise(CHUNKS + chunk)
     chunked = flagged.withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0)).cast("int"))
     counts = chunked.where("_hot").groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    chunked = chunked.drop("_bounds", "_hot")
+    chunked = chunked.drop("_points", "_hot")
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )

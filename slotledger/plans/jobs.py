@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import AsOf, as_date, month_start, us_week
@@ -18,11 +18,14 @@ from slotledger.operators.filters import (
 from slotledger.operators.inventory import assemble_snapshot
 from slotledger.operators.latest import latest_audit_join, weekly_stamps
 from slotledger.operators.merge import (
+    expand_copies,
     first_per_key,
     insert_new,
     mark_existing,
     mark_slots,
+    mark_stored,
     outcome_counts,
+    powers_of_two,
 )
 from slotledger.operators.rollup import COMPONENTS, component_rollup, daily_rollup
 from slotledger.operators.slots import (
@@ -39,9 +42,12 @@ from slotledger.operators.slots import (
 from slotledger.schemas import (
     CPU,
     DISK,
+    INSERTED,
     MESSAGE_WIDTH,
     NTEVENT,
+    REJECTED,
     SERVERS,
+    SKIPPED,
     SUM_TOLERANCE,
     Report,
 )
@@ -58,22 +64,24 @@ def lacks_required(df: DataFrame, report: Report) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed])
 
 
-def with_required(
-    df: DataFrame, report: Report, seen: Observation | None = None
-) -> DataFrame:
-    """Rows that have every required value; a NULL key equals nothing and would be stored on every run.
+def with_required(df: DataFrame, report: Report) -> DataFrame:
+    """Rows that have every required value; a NULL key equals nothing and would be stored on every run."""
+    return df.where(~lacks_required(df, report))
 
-    ``seen`` counts the ``judged`` rows and the ``rejected`` ones among them, in
-    the pass that writes the others.
-    """
-    missing = lacks_required(df, report)
-    if seen is not None:
-        df = df.observe(
-            seen,
-            F.count(F.lit(1)).alias("judged"),
-            F.count_if(missing).alias("rejected"),
-        )
-    return df.where(~missing)
+
+def _judged(marked: DataFrame, report: Report) -> DataFrame:
+    """Rows with ``stored`` as rows with their ``outcome``."""
+    return marked.withColumn(
+        "outcome",
+        F.when(lacks_required(marked, report), REJECTED)
+        .when(F.col("stored"), SKIPPED)
+        .otherwise(INSERTED),
+    ).drop("stored")
+
+
+def inserted(judged: DataFrame) -> DataFrame:
+    """The rows that a judged job would store."""
+    return judged.where(F.col("outcome") == INSERTED).drop("outcome", "times", "copy")
 
 
 # --- hourly and daily components -------------------------------------------
@@ -85,25 +93,16 @@ def component_slots(requests: DataFrame, as_of: AsOf) -> DataFrame:
     return day_slots(distinct_ranges(resolved, "component"))
 
 
-def components_report(
+def _component_rows(
     log: DataFrame,
     counters: DataFrame,
     requests: DataFrame,
     targets: Mapping[str, DataFrame],
     as_of: AsOf,
-    seen: Observation | None = None,
-) -> DataFrame:
-    """Hourly CPU and memory rows that their targets do not hold yet.
-
-    ``targets`` maps component to its report table. The result carries a
-    ``component`` column, so both reports come from one scan of the log. A row
-    of an hour the target has never seen cannot match anything, so bulk loading
-    of empty hours and merging into others are the same anti-join here. Hours
-    without a machine are rejected; ``seen`` as in ``with_required``.
-    """
+) -> tuple[DataFrame, DataFrame | None]:
+    """Hourly rows of the requested slots, and what the targets hold of those days."""
     slots = component_slots(requests, as_of)
     batch = component_rollup(in_day_slots(log, slots), counters, COMPONENTS, slots=slots)
-    batch = with_required(batch, CPU, seen)
     stored = None
     for component, target in targets.items():
         part = rows_on_days(target, "TheDate", slots).select(
@@ -115,14 +114,47 @@ def components_report(
             "DataPoints",
         )
         stored = part if stored is None else stored.unionByName(part)
+    return batch, stored
+
+
+_COMPONENT_MATCH = ["component", "AgentGUID", "TheDate", "Hour", "DataPoints"]
+
+
+def components_report(
+    log: DataFrame,
+    counters: DataFrame,
+    requests: DataFrame,
+    targets: Mapping[str, DataFrame],
+    as_of: AsOf,
+) -> DataFrame:
+    """Hourly CPU and memory rows that their targets do not hold yet.
+
+    ``targets`` maps component to its report table. The result carries a
+    ``component`` column, so both reports come from one scan of the log. A row
+    of an hour the target has never seen cannot match anything, so bulk loading
+    of empty hours and merging into others are the same anti-join here. Hours
+    without a machine are rejected.
+    """
+    batch, stored = _component_rows(log, counters, requests, targets, as_of)
+    batch = with_required(batch, CPU)
     if stored is None:
         return batch
-    return insert_new(
-        batch,
-        stored,
-        ["component", "AgentGUID", "TheDate", "Hour", "DataPoints"],
-        approx={"Sum": SUM_TOLERANCE},
-    )
+    return insert_new(batch, stored, _COMPONENT_MATCH, approx={"Sum": SUM_TOLERANCE})
+
+
+def judged_components(
+    log: DataFrame,
+    counters: DataFrame,
+    requests: DataFrame,
+    targets: Mapping[str, DataFrame],
+    as_of: AsOf,
+) -> DataFrame:
+    """All hourly rows of the requested slots with their ``outcome``; those inserted are ``components_report``."""
+    batch, stored = _component_rows(log, counters, requests, targets, as_of)
+    if stored is None:
+        return _judged(batch.withColumn("stored", F.lit(False)), CPU)
+    approx = {"Sum": SUM_TOLERANCE}
+    return _judged(mark_stored(batch, stored, _COMPONENT_MATCH, approx), CPU)
 
 
 def daily_components(
@@ -155,13 +187,27 @@ def _event_days(requests: DataFrame, as_of: AsOf) -> DataFrame:
     return distinct_slots(day_slots(distinct_ranges(resolved)), "log_date")
 
 
+def _event_rows(
+    log: DataFrame, requests: DataFrame, target: DataFrame, as_of: AsOf, trim_message: bool
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events of the requested days without any stored event, those of the others, and what is stored."""
+    events = _as_events(log, trim_message)
+    requested = _event_days(requests, as_of)
+    stored = rows_on_days(target, "EventTime", requested)
+    # over a target partitioned by day, which days are held takes no column at all
+    held = F.col("SlotDate") if "SlotDate" in stored.columns else F.to_date("EventTime")
+    slots = mark_slots(requested, stored, held)
+    dumped = in_day_slots(events, slots.where(~F.col("occupied")))
+    merged = in_day_slots(events, slots.where(F.col("occupied")))
+    return dumped, merged, stored
+
+
 def events_report(
     log: DataFrame,
     requests: DataFrame,
     target: DataFrame,
     as_of: AsOf,
     trim_message: bool = False,
-    seen: tuple[Observation, Observation] | None = None,
 ) -> DataFrame:
     """Events of the requested days that the target does not hold yet.
 
@@ -170,23 +216,12 @@ def events_report(
     once each, that are not stored. All days are judged against the target as
     it is when the job starts. Events without a message, time or machine are
     rejected. The two kinds of days are disjoint, so over a log partitioned by
-    day each partition is read once; ``seen`` counts as in ``with_required``,
-    one for either kind.
+    day each partition is read once.
     """
-    events = _as_events(log, trim_message)
-    requested = _event_days(requests, as_of)
-    of_empty, of_held = seen or (None, None)
-    stored = rows_on_days(target, "EventTime", requested)
-    # over a target partitioned by day, which days are held takes no column at all
-    held = F.col("SlotDate") if "SlotDate" in stored.columns else F.to_date("EventTime")
-    slots = mark_slots(requested, stored, held)
-
-    dumped = in_day_slots(events, slots.where(~F.col("occupied")))
-    dumped = with_required(dumped, NTEVENT, of_empty).drop("log_date")
-
+    dumped, merged, stored = _event_rows(log, requests, target, as_of, trim_message)
+    dumped = with_required(dumped, NTEVENT).drop("log_date")
     day = F.col("log_date")
-    merged = in_day_slots(events, slots.where(F.col("occupied")))
-    merged = with_required(merged, NTEVENT, of_held)
+    merged = with_required(merged, NTEVENT)
     merged = rows_in_slot(
         merged,
         "EventTime",
@@ -198,6 +233,69 @@ def events_report(
     return dumped.unionByName(merged)
 
 
+def _counted_events(rows: DataFrame, outcome: Column) -> DataFrame:
+    """Equal events as one row with their number ``n``; of those not inserted only the outcome and number are left."""
+    kept = F.col("outcome") == INSERTED
+    return (
+        rows.select("*", outcome.alias("outcome"))
+        .select("outcome", *[F.when(kept, F.col(c)).alias(c) for c in NTEVENT.keys])
+        .groupBy("outcome", *NTEVENT.keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _judged_once(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Events timed inside their day, once each, that are not stored; of the others only their number."""
+    day, one = F.col("log_date"), F.lit(1).cast("bigint")
+    inside = (F.col("EventTime") >= day.cast("timestamp_ntz")) & (
+        F.col("EventTime") < F.date_add(day, 1).cast("timestamp_ntz")
+    )
+    missing = lacks_required(rows, NTEVENT)
+    counted = _counted_events(
+        rows, F.when(missing, REJECTED).when(inside, INSERTED).otherwise(SKIPPED)
+    )
+    marked = mark_stored(counted, stored, NTEVENT.keys)
+    new = (F.col("outcome") == INSERTED) & ~F.col("stored")
+    # of a new event one is inserted and its copies are skipped
+    label = F.when(F.col("outcome") == REJECTED, REJECTED).otherwise(SKIPPED)
+    others = powers_of_two(F.col("n") - F.when(new, 1).otherwise(0))
+    others = F.transform(others, lambda p: F.struct(label.alias("outcome"), p.alias("times")))
+    first = F.array(F.struct(F.lit(INSERTED).alias("outcome"), one.alias("times")))
+    told = F.when(new, F.concat(first, others)).otherwise(others)
+    judged = marked.select(*NTEVENT.keys, F.explode(told).alias("_told"))
+    return judged.select(*NTEVENT.keys, "_told.*", one.alias("copy"))
+
+
+def judged_new_events(log: DataFrame, target: DataFrame, trim_message: bool = False) -> DataFrame:
+    """All events of ``log`` with their ``outcome``, every day taken as one that has stored events already."""
+    stored = rows_on_days(target, "EventTime", log.select("log_date"))
+    return _judged_once(_as_events(log, trim_message), stored)
+
+
+def judged_events(
+    log: DataFrame,
+    requests: DataFrame,
+    target: DataFrame,
+    as_of: AsOf,
+    trim_message: bool = False,
+) -> DataFrame:
+    """The events of the requested days with their ``outcome``; those inserted are ``events_report``.
+
+    Of those skipped or rejected only their number is left, in rows that stand for
+    ``times`` events each. ``copy`` numbers equal events of a day that is stored whole.
+    """
+    dumped, merged, stored = _event_rows(log, requests, target, as_of, trim_message)
+    one = F.lit(1).cast("bigint")
+    missing = lacks_required(dumped, NTEVENT)
+    whole = _counted_events(dumped, F.when(missing, REJECTED).otherwise(INSERTED))
+    complete = whole.where(F.col("outcome") == INSERTED).withColumn("copy", F.lit(0).cast("bigint"))
+    copies = expand_copies(complete, "n", "copy").withColumn("times", one)
+    lacking = whole.where(F.col("outcome") != INSERTED).select(
+        *NTEVENT.keys, "outcome", F.explode(powers_of_two(F.col("n"))).alias("times"), one.alias("copy")
+    )
+    return copies.unionByName(lacking).unionByName(_judged_once(merged, stored))
+
+
 def event_outcomes(
     log: DataFrame,
     requests: DataFrame,
@@ -251,15 +349,44 @@ def weekly_disk_report(
     as_of: AsOf,
     week_start: int = 1,
     cover_all_weeks: bool = False,
-    seen: Observation | None = None,
 ) -> DataFrame:
-    """Disk sizes at the latest audit of each requested week, new rows only.
+    """Disk sizes at the latest audit of each requested week, new rows only; see ``judged_weekly_disks``."""
+    staged, stored = _weekly_disks(disks, audits, requests, target, as_of, week_start, cover_all_weeks)
+    return insert_new(with_required(staged, DISK), stored, DISK.keys)
+
+
+def judged_weekly_disks(
+    disks: DataFrame,
+    audits: DataFrame,
+    requests: DataFrame,
+    target: DataFrame,
+    as_of: AsOf,
+    week_start: int = 1,
+    cover_all_weeks: bool = False,
+) -> DataFrame:
+    """Disk sizes at the latest audit of each requested week with their ``outcome``.
+
+    Drives without a machine or name are rejected.
+    """
+    staged, stored = _weekly_disks(disks, audits, requests, target, as_of, week_start, cover_all_weeks)
+    return _judged(mark_stored(staged, stored, DISK.keys), DISK)
+
+
+def _weekly_disks(
+    disks: DataFrame,
+    audits: DataFrame,
+    requests: DataFrame,
+    target: DataFrame,
+    as_of: AsOf,
+    week_start: int,
+    cover_all_weeks: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """One row per drive and requested week, and what the target holds of those weeks.
 
     Of several detail rows of a drive the one with the smallest sizes is taken;
     drives whose names differ only in blanks are one drive. The audit depends on
     the machine and week alone, so drives are settled before they meet the weeks
     and nothing behind that join keeps Spark from splitting a hot machine.
-    Drives without a machine or name are rejected; ``seen`` as in ``with_required``.
     """
     resolved = distinct_ranges(resolve_requests(requests, as_of, unit="week"))
     weeks = week_slots(resolved, week_start, cover_all_weeks)
@@ -292,10 +419,8 @@ def weekly_disk_report(
         F.col("_gb.free").alias("FreeSpaceGB"),
         "Stamp",
     )
-    once = with_required(staged, DISK, seen)
     asked = distinct_weeks(weeks).select("YearNum", "WeekNum")
-    stored = target.join(F.broadcast(asked), ["YearNum", "WeekNum"], "left_semi")
-    return insert_new(once, stored, DISK.keys)
+    return staged, target.join(F.broadcast(asked), ["YearNum", "WeekNum"], "left_semi")
 
 
 def current_disks(disks: DataFrame, audits: DataFrame) -> DataFrame:
@@ -303,40 +428,32 @@ def current_disks(disks: DataFrame, audits: DataFrame) -> DataFrame:
     return latest_audit_join(disk_projection(current_disk_filter(disks)), audits)
 
 
-def current_disk_report(
-    disks: DataFrame, audits: DataFrame, as_of: AsOf, seen: Observation | None = None
-) -> DataFrame:
-    """Disk sizes at each agent's latest audit, dated by the run; always appended.
+def judged_current_disks(disks: DataFrame, audits: DataFrame, as_of: AsOf) -> DataFrame:
+    """Disk sizes at each agent's latest audit, dated by the run, with their ``outcome``.
 
-    Disks without a name are rejected. ``seen`` counts the disks inserted, skipped
-    and rejected in the pass that writes the rows.
+    Those of other audits are skipped, disks without a name rejected.
     """
     today = as_date(as_of)
     judged = current_disks(disks, audits)
-    judged = judged.withColumn(
-        "outcome", F.when(_rejected_disk(judged), "rejected").otherwise(F.col("outcome"))
-    )
-    if seen is not None:
-        outcomes = ("inserted", "skipped", "rejected")
-        judged = judged.observe(
-            seen, *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes]
-        )
-    return (
-        judged
-        .where(F.col("outcome") == "inserted")
-        .select(
-            "AgentGUID",
-            F.year(today).alias("YearNum"),
-            us_week(today).alias("WeekNum"),
-            "DiskLabel",
-            "DriveName",
-            "TotalSpaceGB",
-            "FreeSpaceGB",
-            "Stamp",
-        )
+    rejected = F.when(_rejected_disk(judged), REJECTED).otherwise(F.col("outcome"))
+    return judged.select(
+        "AgentGUID",
+        F.year(today).alias("YearNum"),
+        us_week(today).alias("WeekNum"),
+        "DiskLabel",
+        "DriveName",
+        "TotalSpaceGB",
+        "FreeSpaceGB",
+        "Stamp",
+        rejected.alias("outcome"),
     )
 
 
+def current_disk_report(disks: DataFrame, audits: DataFrame, as_of: AsOf) -> DataFrame:
+    """Disk sizes at each agent's latest audit, dated by the run; always appended."""
+    return inserted(judged_current_disks(disks, audits, as_of))
+
+
 def _rejected_disk(judged: DataFrame) -> Column:
     """A disk of the latest audit that lacks a value the report requires."""
     return (F.col("outcome") == "inserted") & lacks_required(judged, DISK)
@@ -396,16 +513,10 @@ def snapshot_outcomes(
 
 
 def servers_snapshot(
-    tables: Mapping[str, DataFrame],
-    target: DataFrame,
-    as_of: AsOf,
-    seen: Observation | None = None,
+    tables: Mapping[str, DataFrame], target: DataFrame, as_of: AsOf
 ) -> DataFrame:
-    """Server rows of this month that the target does not hold yet.
-
-    One anti-join over one scan of the target; ``seen`` as in ``with_required``.
-    """
-    complete = with_required(_snapshot(tables, as_of), SERVERS, seen)
+    """Server rows of this month that the target does not hold yet: one anti-join over one scan of the target."""
+    complete = with_required(_snapshot(tables, as_of), SERVERS)
     return insert_new(
         complete, _stored_month(target, as_of), _SERVER_KEYS, null_matches=["LastReboot"]
     )

@@ -1,27 +1,39 @@
 """The report jobs as calls with the arguments of the stored procedures.
 
-Each call reads its sources, works out the new rows and appends them to the
-report under ``reports``. Calls may be repeated: what is stored is not stored
-again, except by ``report_current_disks`` and ``report_daily_components``, which
-always append. A call returns its outcomes, counted in the pass that writes:
+Each call reads its sources, judges the rows it finds and publishes the new ones in
+the report under ``reports``, all or none of them, whatever else runs (see
+``sinks.publish``). Calls may be repeated, killed or not: what is stored is not
+stored again, except by ``report_current_disks`` and ``report_daily_components``,
+which always append. A call returns its outcomes as they were stored with the rows:
 ``inserted`` rows, ``rejected`` ones that lack a required value, and ``skipped``
-ones, which are the others. The last two are counted ahead of a shuffle, so a task
-that is run again after a lost executor may count twice; rows are never affected.
+ones, which are the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotledger.functions.calendar import AsOf
-from slotledger.operators.inventory import is_unreadable
+from slotledger.operators.inventory import unreadable_sizes
 from slotledger.operators.widen import ACTIVITY_COLUMNS, CONTACT_COLUMNS, widen
 from slotledger.plans import jobs
-from slotledger.schemas import REQUESTS
-from slotledger.sinks.reports import append_components, append_report, write_wide
+from slotledger.schemas import (
+    COMPONENT_REPORTS,
+    CPU,
+    DISK,
+    INSERTED,
+    NTEVENT,
+    REJECTED,
+    REQUESTS,
+    SERVERS,
+    SKIPPED,
+    Report,
+)
+from slotledger.sinks.publish import publish, run_name
+from slotledger.sinks.reports import append_components, judged_rows, write_wide
 from slotledger.sources.tables import (
     contact_activity,
     load_tables,
@@ -42,9 +54,53 @@ def request(
     return spark.createDataFrame([(1, components, start, to_date)], REQUESTS)
 
 
-def _outcomes(inserted: int, *seen: Observation) -> dict[str, int]:
-    judged, rejected = (sum(s.get[c] or 0 for s in seen) for c in ("judged", "rejected"))
-    return {"inserted": inserted, "skipped": judged - rejected - inserted, "rejected": rejected}
+Counts = Mapping[tuple[str, str], int]
+
+
+def _outcomes(counts: Counts) -> dict[str, int]:
+    """Rows by outcome, over all reports of a call."""
+    return {
+        outcome: sum(n for (_, o), n in counts.items() if o == outcome)
+        for outcome in (INSERTED, SKIPPED, REJECTED)
+    }
+
+
+def published(
+    spark: SparkSession,
+    reports: str,
+    report: Report,
+    as_of: AsOf,
+    judge: Callable[[], DataFrame],
+    *arguments: object,
+    depends: bool = True,
+) -> Counts:
+    """Publishes the judged rows of one report."""
+    run = run_name(report.name, as_of, *arguments)
+    return publish(spark, reports, report, run, lambda: judged_rows(judge(), report, as_of), depends)
+
+
+def published_components(
+    spark: SparkSession,
+    log: DataFrame,
+    counters: DataFrame,
+    requests: DataFrame,
+    reports: str,
+    as_of: AsOf,
+    *arguments: object,
+) -> Mapping[str, int]:
+    """Publishes the hourly rows of both reports together."""
+    named = {component: report.name for component, report in COMPONENT_REPORTS.items()}
+    report_of = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+
+    def judge() -> DataFrame:
+        stored = {c: scan_report(spark, reports, name) for c, name in named.items()}
+        judged = jobs.judged_components(log, counters, requests, stored, as_of)
+        return judged_rows(judged, CPU, as_of, report_of[F.col("component")])
+
+    counts = publish(spark, reports, CPU, run_name("components", as_of, *arguments), judge)
+    gained = {component: counts.get((name, INSERTED), 0) for component, name in named.items()}
+    rest = _outcomes(counts)
+    return {**gained, SKIPPED: rest[SKIPPED], REJECTED: rest[REJECTED]}
 
 
 def report_components(
@@ -57,22 +113,21 @@ def report_components(
     from_date: str | int | None = None,
     to_date: str | None = None,
 ) -> Mapping[str, int]:
-    """Hourly CPU and memory rows; returns how many each report gained, and the other outcomes."""
-    seen = Observation()
-    new = jobs.components_report(
+    """Hourly CPU and memory rows; returns how many each report gained, and the other outcomes.
+
+    The rows of both reports are published together.
+    """
+    return published_components(
+        spark,
         scan_counter_log(spark, log_path),
         load_tables(spark, tables, "monitorCounter")["monitorCounter"],
         request(spark, components, from_date, to_date),
-        {
-            "CPU": scan_report(spark, reports, "CPU"),
-            "MEM": scan_report(spark, reports, "Memory"),
-        },
+        reports,
         as_of,
-        seen,
+        components,
+        from_date,
+        to_date,
     )
-    gained = append_components(new, reports, as_of)
-    rest = _outcomes(sum(gained.values()), seen)
-    return {**gained, "skipped": rest["skipped"], "rejected": rest["rejected"]}
 
 
 def report_daily_components(
@@ -105,16 +160,17 @@ def report_events(
     trim_message: bool = False,
 ) -> Mapping[str, int]:
     """Events of the requested days; skipped are those stored, repeated or timed outside their day."""
-    seen = Observation(), Observation()
-    new = jobs.events_report(
-        scan_event_log(spark, log_path),
-        request(spark, None, from_date, to_date),
-        scan_report(spark, reports, "NTEvent"),
-        as_of,
-        trim_message,
-        seen,
-    )
-    return _outcomes(append_report(new, reports, "NTEvent", as_of), *seen)
+
+    def judge() -> DataFrame:
+        return jobs.judged_events(
+            scan_event_log(spark, log_path),
+            request(spark, None, from_date, to_date),
+            scan_report(spark, reports, "NTEvent"),
+            as_of,
+            trim_message,
+        )
+
+    return _outcomes(published(spark, reports, NTEVENT, as_of, judge, from_date, to_date))
 
 
 def report_weekly_disks(
@@ -127,18 +183,19 @@ def report_weekly_disks(
     cover_all_weeks: bool = False,
 ) -> Mapping[str, int]:
     """Disk sizes of the requested weeks."""
-    seen = Observation()
     source = load_tables(spark, tables, "auditRsltDisks", "auditRsltDate")
-    new = jobs.weekly_disk_report(
-        source["auditRsltDisks"],
-        source["auditRsltDate"],
-        request(spark, None, from_date, to_date),
-        scan_report(spark, reports, "Disk"),
-        as_of,
-        cover_all_weeks=cover_all_weeks,
-        seen=seen,
-    )
-    return _outcomes(append_report(new, reports, "Disk", as_of), seen)
+
+    def judge() -> DataFrame:
+        return jobs.judged_weekly_disks(
+            source["auditRsltDisks"],
+            source["auditRsltDate"],
+            request(spark, None, from_date, to_date),
+            scan_report(spark, reports, "Disk"),
+            as_of,
+            cover_all_weeks=cover_all_weeks,
+        )
+
+    return _outcomes(published(spark, reports, DISK, as_of, judge, from_date, to_date))
 
 
 def report_current_disks(
@@ -146,24 +203,24 @@ def report_current_disks(
 ) -> Mapping[str, int]:
     """Disk sizes at the latest audits; skipped are those of other audits."""
     source = load_tables(spark, tables, "auditRsltDisks", "auditRsltDate")
-    disks, audits = source["auditRsltDisks"], source["auditRsltDate"]
-    seen = Observation()
-    append_report(jobs.current_disk_report(disks, audits, as_of, seen), reports, "Disk", as_of)
-    return {outcome: seen.get[outcome] for outcome in ("inserted", "skipped", "rejected")}
+
+    def judge() -> DataFrame:
+        return jobs.judged_current_disks(source["auditRsltDisks"], source["auditRsltDate"], as_of)
+
+    return _outcomes(published(spark, reports, DISK, as_of, judge, "current", depends=False))
 
 
 def report_servers(
     spark: SparkSession, tables: str, reports: str, as_of: AsOf
 ) -> Mapping[str, int]:
     """This month's servers; also returns the memory sizes that were ``unreadable``."""
-    seen, modules = Observation(), Observation()
     source = load_tables(spark, tables)
-    unreadable = F.count_if(is_unreadable(F.col("memSize"))).alias("unreadable")
-    source["auditRsltSimm"] = source["auditRsltSimm"].observe(modules, unreadable)
-    stored = scan_report(spark, reports, "Servers")
-    new = jobs.servers_snapshot(source, stored, as_of, seen)
-    counts = _outcomes(append_report(new, reports, "Servers", as_of), seen)
-    return {**counts, "unreadable": modules.get["unreadable"]}
+
+    def judge() -> DataFrame:
+        return jobs.snapshot_outcomes(source, scan_report(spark, reports, "Servers"), as_of)
+
+    counts = _outcomes(published(spark, reports, SERVERS, as_of, judge))
+    return {**counts, "unreadable": unreadable_sizes(source["auditRsltSimm"]).first()["n_rows"]}
 
 
 def report_activities(

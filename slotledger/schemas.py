@@ -198,5 +198,8 @@ REPORTS: dict[str, Report] = {r.name: r for r in (SERVERS, CPU, MEMORY, NTEVENT,
 # Which report a component of the counter log goes to.
 COMPONENT_REPORTS: dict[str, Report] = {"CPU": CPU, "MEM": MEMORY}
 
+# What a run makes of a row.
+INSERTED, SKIPPED, REJECTED = "inserted", "skipped", "rejected"
+
 MESSAGE_WIDTH = 2000
 SUM_TOLERANCE = 1e-6

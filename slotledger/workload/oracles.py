@@ -907,3 +907,133 @@ ORACLES["servers_snapshot"] = _sql(
 ORACLES["snapshot_outcomes"] = _sql(
     "SELECT outcome, count(*) AS n_rows FROM outcomes GROUP BY 1", *_SERVERS
 )
+
+# --- further ways to the same results, and what was written and read back ---
+
+ORACLES["component_rollup_sums_first"] = ORACLES["component_rollup"]
+ORACLES["daily_rollup_sums_first"] = ORACLES["daily_rollup"]
+ORACLES["judged_event_outcomes"] = ORACLES["event_outcomes"]
+ORACLES["judged_components"] = _log_job(
+    f"""
+SELECT b.component, "AgentGUID", "TheDate", "Hour", round("Sum", 4) AS "Sum", "DataPoints",
+       CASE WHEN {_HOUR_NOT_STORED} THEN 'inserted' ELSE 'skipped' END AS outcome
+FROM hourly b JOIN asked a ON a.component = b.component AND a.log_date = b.log_date""",
+    "asked",
+    *_LOG,
+    "hourly",
+    "stored_hours",
+    asked=_ASKED,
+    readings=_READINGS,
+    hourly=_hourly("<="),
+    stored_hours=_STORED_HOURS,
+)
+ORACLES["judged_weekly_disks"] = _requested(
+    f"""
+SELECT *, CASE WHEN "DiskLabel" IS NULL OR "DriveName" IS NULL THEN 'rejected'
+  WHEN EXISTS (
+    SELECT * FROM stored_disks o WHERE o."AgentGUID" = b."AgentGUID"
+      AND o."YearNum" = b."YearNum" AND o."WeekNum" = b."WeekNum"
+      AND o."DriveName" = b."DriveName" AND o."DiskLabel" = b."DiskLabel") THEN 'skipped'
+  ELSE 'inserted' END AS outcome
+FROM (
+  SELECT DISTINCT s."agentGuid" AS "AgentGUID", s."YearNum", s."WeekNum",
+         trim(s."volumeName", ' ') AS "DiskLabel", trim(s."driveLetter", ' ') AS "DriveName"
+  {_JOINED_BACK}) b""",
+    "audit_requests",
+    *_STAMPED,
+    "stored_disks",
+    unit="week",
+)
+_MINUTES = """CASE WHEN o_orderkey % 360 = 0 THEN -30 WHEN o_orderkey % 3000 = 0 THEN 64800
+              WHEN o_orderkey % 1000 = 0 THEN 2880 WHEN o_orderkey % 80 = 0 THEN 420 ELSE 90 END"""
+ORACLES["join_windows"] = _sql(
+    f"""
+SELECT e."agentGuid", e."eventTime", e.message, w.* FROM event_log e JOIN (
+  SELECT o_orderkey AS window_id,
+         TIMESTAMP '2024-01-01' + to_minutes(o_orderkey % 43200) + to_seconds(o_orderkey % 7) AS window_start,
+         CASE WHEN o_orderkey % 320 <> 0 THEN TIMESTAMP '2024-01-01'
+           + to_minutes(o_orderkey % 43200 + {_MINUTES}) + to_seconds(o_orderkey % 11) END AS window_end
+  FROM orders WHERE o_orderkey % 40 = 0) w
+ON e."eventTime" >= w.window_start AND e."eventTime" < w.window_end""",
+    "event_log",
+)
+ORACLES["rec_id_copies"] = _sql(
+    """
+SELECT "AgentGUID", "Message",
+       md5("AgentGUID" || '|' || "Message" || CASE WHEN i > 1 THEN '|' || chr(92) || i ELSE '' END) AS "RecID"
+FROM (SELECT *, row_number() OVER (PARTITION BY "AgentGUID", "Message") AS i FROM event_batch)""",
+    "event_log",
+    "event_batch",
+)
+ORACLES["day_shards"] = _log_job(
+    """
+SELECT * FROM event_log
+WHERE log_date IN (SELECT log_date FROM day_slots) AND extract(day FROM log_date) % 5 > 0""",
+    "event_log",
+)
+ORACLES["load_tables"] = _sql(
+    """
+SELECT coalesce(a."agentGuid", m."agentGuid") AS "agentGuid", last_audit, n_modules
+FROM (SELECT "agentGuid", max(date) AS last_audit FROM audits GROUP BY 1) a
+FULL JOIN (SELECT "agentGuid", count("memSize") AS n_modules FROM simm GROUP BY 1) m
+  ON a."agentGuid" = m."agentGuid" """,
+    "audits",
+    "simm",
+)
+ORACLES["view_source"] = _sql(
+    """
+SELECT owner, contact, account, lead_source, subject, type, created_on, created_by, description
+FROM activities""",
+    "activities",
+)
+ORACLES["report_tables"] = _sql(
+    """
+SELECT *, CAST("EventTime" AS DATE) AS "SlotDate" FROM event_batch
+WHERE "Message" LIKE '%error%'""",
+    "event_log",
+    "event_batch",
+)
+ORACLES["sorted_events"] = _sql(
+    """
+SELECT message, "agentGuid", min(i) AS first_row, max(i) AS last_row, count(*) AS n_rows
+FROM (SELECT *, row_number() OVER (ORDER BY message, "agentGuid") AS i FROM event_log)
+GROUP BY message, "agentGuid" """,
+    "event_log",
+)
+_CALLED = """log_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-24'"""
+_EVENT_KEY = """"AgentGUID" || '|' || CAST("EventTime" AS VARCHAR) || '|' || "Message" """
+ORACLES["published_events"] = _sql(
+    f"""
+, found AS (
+  SELECT "agentGuid" AS "AgentGUID", "eventTime" AS "EventTime", message AS "Message", log_date,
+         {_DAY_EMPTY.format(day="e.log_date")} AS empty_day
+  FROM event_log e WHERE {_CALLED})
+SELECT *, CAST("EventTime" AS DATE) AS "SlotDate" FROM (
+  SELECT md5({_EVENT_KEY}) AS "RecID", * FROM stored_events
+  UNION ALL
+  SELECT md5({_EVENT_KEY} || CASE WHEN i > 1 THEN '|' || chr(92) || i ELSE '' END),
+         "AgentGUID", "EventTime", "Message"
+  FROM (SELECT *, row_number() OVER (PARTITION BY "AgentGUID", "EventTime", "Message") AS i
+        FROM found WHERE empty_day)
+  UNION ALL
+  SELECT DISTINCT md5({_EVENT_KEY}), "AgentGUID", "EventTime", "Message" FROM found b
+  WHERE NOT empty_day AND CAST("EventTime" AS DATE) = log_date AND {_NOT_STORED})""",
+    "event_log",
+    "stored_events",
+)
+ORACLES["published_components"] = _sql(
+    f"""
+SELECT CASE component WHEN 'MEM' THEN 'Memory' ELSE component END AS report,
+       "AgentGUID", "TheDate", "Hour", round("Sum", 4) AS "Sum", "DataPoints"
+FROM (
+  SELECT component, "AgentGUID", "TheDate", "Hour", "Sum", "DataPoints" FROM stored_hours
+  UNION ALL
+  SELECT component, "AgentGUID", "TheDate", "Hour", "Sum", "DataPoints" FROM hourly b
+  WHERE {_CALLED} AND {_HOUR_NOT_STORED})""",
+    *_LOG,
+    "hourly",
+    "stored_hours",
+    readings=_READINGS,
+    hourly=_hourly("<="),
+    stored_hours=_STORED_HOURS,
+)

@@ -196,6 +196,13 @@ def join_week_slots(spark, sf_dir):
     return slots.join_week_slots(t.audits(spark, sf_dir), "date", slots.week_slots(resolved))
 
 
+@query
+def join_windows(spark, sf_dir):
+    """Events in windows of an hour and a half up to 45 days that overlap; some are empty or reversed."""
+    windows = t.windows(spark, sf_dir)
+    return slots.join_windows(t.event_log(spark, sf_dir).drop("log_date"), "eventTime", windows)
+
+
 # --- filters and projections -----------------------------------------------
 
 
@@ -300,6 +307,19 @@ def component_rollup(spark, sf_dir):
     )
 
 
+@query
+def component_rollup_sums_first(spark, sf_dir):
+    """As ``component_rollup``, by the plan for counters too many to broadcast."""
+    log, counters = t.counter_log(spark, sf_dir), t.counters(spark, sf_dir)
+    return _rounded(rollup.component_rollup(log, counters, sums_first=True), "Sum")
+
+
+@query
+def daily_rollup_sums_first(spark, sf_dir):
+    log, counters = t.counter_log(spark, sf_dir), t.counters(spark, sf_dir)
+    return _rounded(rollup.daily_rollup(log, counters, sums_first=True), "Sum")
+
+
 @query
 def daily_rollup(spark, sf_dir):
     return _rounded(
@@ -380,6 +400,13 @@ def rec_id(spark, sf_dir):
     )
 
 
+@query
+def rec_id_copies(spark, sf_dir):
+    """A different key for every event of a machine with the same message, whatever its time."""
+    keyed = reports.with_rec_id(_event_batch(spark, sf_dir), ["AgentGUID", "Message"], copies=True)
+    return keyed.select("AgentGUID", "Message", "RecID")
+
+
 @query
 def report_rows(spark, sf_dir):
     rows = reports.to_report(_event_batch(spark, sf_dir), REPORTS["NTEvent"], AS_OF)
@@ -594,6 +621,44 @@ def event_outcomes(spark, sf_dir):
     )
 
 
+@query
+def judged_event_outcomes(spark, sf_dir):
+    """The counts of ``event_outcomes``, from the rows as a call stages them."""
+    log = t.event_log(spark, sf_dir)
+    judged = jobs.judged_events(
+        log.withColumn("message", F.when(F.col("agentGuid") % 7 > 0, F.col("message"))),
+        t.log_requests(spark, sf_dir),
+        t.stored_events(spark, sf_dir),
+        AS_OF,
+    )
+    return judged.groupBy("outcome").agg(F.sum("times").alias("n_rows"))
+
+
+@query
+def judged_components(spark, sf_dir):
+    """Hourly rows of the requested slots with their outcome."""
+    judged = jobs.judged_components(
+        t.counter_log(spark, sf_dir),
+        t.counters(spark, sf_dir),
+        t.log_requests(spark, sf_dir),
+        t.stored_components(spark, sf_dir),
+        AS_OF,
+    )
+    return _rounded(judged, "Sum")
+
+
+@query
+def judged_weekly_disks(spark, sf_dir):
+    judged = jobs.judged_weekly_disks(
+        t.disks(spark, sf_dir),
+        t.audits(spark, sf_dir),
+        t.audit_requests(spark, sf_dir),
+        t.stored_disks(spark, sf_dir),
+        AS_OF,
+    )
+    return judged.select("AgentGUID", "YearNum", "WeekNum", "DiskLabel", "DriveName", "outcome")
+
+
 @query
 def weekly_disk_report(spark, sf_dir):
     return jobs.weekly_disk_report(

@@ -132,6 +132,21 @@ def audit_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window per order: most last some hours, few for days or weeks, some are reversed or have no end."""
+    return read(spark, sf_dir, "orders").where("o_orderkey % 40 = 0").selectExpr(
+        "o_orderkey AS window_id",
+        """CAST(DATE'2024-01-01' AS TIMESTAMP_NTZ)
+             + make_dt_interval(0, 0, CAST(o_orderkey % 43200 AS INT), o_orderkey % 7) AS window_start""",
+        """CASE WHEN o_orderkey % 320 = 0 THEN NULL ELSE
+           CAST(DATE'2024-01-01' AS TIMESTAMP_NTZ)
+             + make_dt_interval(0, 0, CAST(o_orderkey % 43200 AS INT)
+                 + CASE WHEN o_orderkey % 360 = 0 THEN -30 WHEN o_orderkey % 3000 = 0 THEN 64800
+                        WHEN o_orderkey % 1000 = 0 THEN 2880 WHEN o_orderkey % 80 = 0 THEN 420 ELSE 90 END,
+               o_orderkey % 11) END AS window_end""",
+    )
+
+
 # --- disks and audits ------------------------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import glob
+import re
 
 from pyspark.sql import functions as F
 
@@ -21,8 +23,10 @@ from slotledger.sinks.reports import (
 )
 from slotledger.sources.tables import (
     contact_activity,
+    in_file_order,
     load_tables,
     scan_counter_log,
+    scan_day_shards,
     scan_day_tables,
     scan_event_log,
     scan_report,
@@ -224,16 +228,66 @@ def test_rec_ids_tell_rows_apart(spark):
     assert df.select(rec_id(["a", "b"])).distinct().count() == 5
 
 
-def test_sorted_and_wide_writes(spark, tmp_path):
+def test_sorted_writes(spark, tmp_path):
+    """A value that a third of the rows share is spread over files, and all files by name are in order."""
+    path = str(tmp_path / "sorted")
+    df = spark.range(30_000).selectExpr(
+        "IF(id % 3 = 0, 50, IF(id % 97 = 0, NULL, id * 37 % 100)) AS k", "id * 7919 % 30000 AS v"
+    )
+    sorted_write(df, path, ["k"], files=12)
+    found = sorted(in_file_order(spark, path).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in found] == list(range(1, 30_001))
+    keys = [r["k"] for r in found]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    names = [r["file_name"] for r in found]
+    assert names == sorted(names)
+    assert len(set(names)) >= 8
+    assert len({r["file_name"] for r in found if r["k"] == 50}) >= 3
+    sorted_write(df.limit(10), path, ["k", "v"])
+    assert in_file_order(spark, path).count() == 10
+
+
+def test_wide_writes(spark, tmp_path):
     df = spark.range(100).selectExpr("id * 37 % 100 AS k", "CAST(id AS string) AS `1 Subject`")
-    sorted_write(df, str(tmp_path / "sorted"), ["k"])
-    parts = spark.read.parquet(str(tmp_path / "sorted")).select(
-        "k", F.input_file_name().alias("f")
-    ).collect()
-    by_file: dict[str, list[int]] = {}
-    for k, f in parts:
-        by_file.setdefault(f, []).append(k)
-    assert all(ks == sorted(ks) for ks in by_file.values())
     for _ in range(2):
         write_wide(df, str(tmp_path / "wide"))
     assert spark.read.parquet(str(tmp_path / "wide")).count() == 100
+
+
+def test_day_shards_are_one_scan(spark, tmp_path):
+    """However many days are read, the plan stays the same."""
+    log = frame(spark, LOG, *_counter_rows()[:1]).drop("log_date").withColumn("agentGuid", F.col("agentGuid").cast("decimal(26,0)"))
+    days = [day("2013-01-01") + dt.timedelta(k) for k in range(40)]
+    for d in days:
+        if d.day % 4:
+            log.withColumn("counterValue", F.lit(float(d.toordinal()))).coalesce(1).write.parquet(f"{tmp_path}/Log{d:%Y%m%d}")
+    frame(spark, LOG).write.parquet(f"{tmp_path}/LogOther")
+    few, all_days = (scan_day_shards(spark, str(tmp_path), "log", d, COUNTER_LOG) for d in (days[:2], days))
+    assert few.columns == all_days.columns == COUNTER_LOG.names
+    sizes = [len(re.sub(r"InMemoryFileIndex.*?\]", "", x._jdf.queryExecution().executedPlan().toString())) for x in (few, all_days)]
+    assert abs(sizes[0] - sizes[1]) < 20
+    assert rows(few, "log_date") == [(d,) for d in days[:2] if d.day % 4]
+    got = all_days.select("log_date", "counterValue").collect()
+    assert sorted((r[0], r[1]) for r in got) == [(d, float(d.toordinal())) for d in days if d.day % 4]
+    assert scan_day_shards(spark, str(tmp_path), "Log", [day("2013-01-04")], COUNTER_LOG).count() == 0
+    asked = _days(spark, "2013-01-03", "2013-01-05")
+    assert rows(scan_day_shards(spark, str(tmp_path), "Log", asked, COUNTER_LOG), "log_date") == [(day("2013-01-03"),), (day("2013-01-05"),)]
+
+
+def test_day_tables_are_one_scan(spark):
+    names = [f"oneScanLog2013010{k}" for k in range(1, 6)]
+    try:
+        for k, name in enumerate(names):
+            df = frame(spark, LOG, (k, 7, ts("2013-01-04T03:30:00"), float(k), day("2013-01-04"))).drop("log_date")
+            df = df.withColumn("agentGuid", F.col("agentGuid").cast("decimal(26,0)"))
+            if k == 4:
+                df.createOrReplaceTempView(name)  # not a table in a folder of its own
+            else:
+                df.write.mode("overwrite").saveAsTable(name)
+        log = scan_day_tables(spark, "oneScanLog", [day(f"2013-01-0{k}") for k in range(1, 8)], COUNTER_LOG)
+        assert sorted(map(tuple, log.select("log_date", "counterValue").collect())) == [(day(f"2013-01-0{k + 1}"), float(k)) for k in range(5)]
+        assert log._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    finally:
+        for name in names[:4]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.dropTempView(names[4])

@@ -42,6 +42,80 @@ def test_rollup_is_one_scan_and_one_shuffle_of_the_log(spark):
     assert "partial_sum" in text
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.mark.parametrize("name", ["component_rollup", "component_rollup_sums_first", "daily_rollup_sums_first"])
+def test_no_reading_is_shuffled_by_its_counter(spark, name):
+    for key, value in NO_BROADCAST.items():
+        spark.conf.set(key, value)
+    try:
+        text = plan(QUERIES[name](spark, SF))
+    finally:
+        for key in NO_BROADCAST:
+            spark.conf.unset(key)
+    for exchange in re.finditer(r"Exchange hashpartitioning\(monitorCounterId#\d+L?, \d+\)", text):
+        below = text[exchange.end() :]
+        # the next step below is the counter table's, or sums
+        step = re.search(r"HashAggregate|Scan parquet|FileScan", below)
+        assert step.group(0) == "HashAggregate" or "nation.parquet" in below[: below.index("\n", step.start())]
+    assert ("_sum_above" in text) == ("first" in name)
+
+
+def test_many_counters_turn_to_sums_first(spark, monkeypatch):
+    from slotledger.operators import rollup
+
+    log, counters = t.counter_log(spark, SF), t.counters(spark, SF)
+    few = rollup.component_rollup(log, counters)
+    monkeypatch.setattr(rollup, "BROADCAST_COUNTERS", 3)
+    many = rollup.component_rollup(log, counters)
+    assert "_sum_above" in plan(many) and "_sum_above" not in plan(few)
+    rounded = [sorted(map(repr, x.withColumn("Sum", F.round("Sum", 6)).collect())) for x in (few, many)]
+    assert rounded[0] == rounded[1]
+
+
+def test_a_hot_counter_is_a_few_sums(spark):
+    """A counter with a third of all readings; what is shuffled are sums per machine and hour."""
+    from slotledger.operators.rollup import component_rollup
+
+    log = spark.range(0, 300_000, 1, 8).selectExpr(
+        "id % 10 AS agentGuid",
+        "IF(id % 3 = 0, 7, id % 1000 + 100) AS monitorCounterId",
+        "TIMESTAMP_NTZ'2013-01-05 08:30:00' AS eventDateTime",
+        "CAST(id % 2 AS double) AS counterValue",
+        "DATE'2013-01-05' AS log_date",
+    )
+    counters = frame(spark, "monitorCounterId long, name string", (7, "% Process bytes in use"), (101, "% Process"))
+    got = [
+        sorted(map(tuple, component_rollup(log, counters, sums_first=s).collect())) for s in (True, False, None)
+    ]
+    assert got[0] == got[1] == got[2]
+    assert sum(r[-1] for r in got[0] if r[0] == "CPU") > 100_000
+
+
+def test_attributes_of_servers_are_shuffled_once(spark):
+    for key, value in NO_BROADCAST.items():
+        spark.conf.set(key, value)
+    try:
+        text = plan(QUERIES["assemble_snapshot"](spark, SF))
+    finally:
+        for key in NO_BROADCAST:
+            spark.conf.unset(key)
+    below = re.findall(r"Exchange hashpartitioning\(agentGuid#\d+L?, \d+\)[^\n]*\n[ :|+-]*(\w+)\(keys?=\[agentGuid#\d+L?\], functions=\[([^\n]*)", text)
+    # sums of the attributes of all sources in one exchange; the others make the reporting agents distinct
+    assert len(below) == text.count("Exchange hashpartitioning(agentGuid#")
+    assert [kind for kind, functions in below if not functions.startswith("]")] == ["SortAggregate"]
+    assert "partial_min(_names" in text and text.count("Union") == 1 and "Window [" not in text
+
+
+def test_windows_meet_by_bins(spark):
+    text = plan(QUERIES["join_windows"](spark, SF))
+    assert re.search(r"(BroadcastHash|ShuffledHash|SortMerge)Join \[_level#", text)
+
+
 def test_tolerance_is_a_residual_of_a_hash_or_merge_join(spark):
     text = plan(QUERIES["insert_new_approx"](spark, SF))
     anti = re.search(r"(BroadcastHashJoin|ShuffledHashJoin|SortMergeJoin)[^\n]*LeftAnti[^\n]*", text)

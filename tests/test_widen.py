@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 
 from frames import frame, rows, ts
+from pyspark.sql import functions as F
+
 from slotledger.operators import widen as w
 
 ACTIVITIES = (
@@ -80,9 +82,20 @@ def test_numbers_of_a_hot_contact_with_equal_times(spark):
 
 
 def test_hot_contact_is_numbered_in_chunks(spark, skewed):
-    bounds = w._chunk_bounds(skewed, ["contact"], "created_on")
-    assert [r["contact"] for r in bounds.collect()] == [-1]
-    assert len(bounds.first()["_bounds"]) > 100
+    hot, points = w._chunk_points(skewed, ["contact"], "created_on")
+    assert hot == [skewed.select(F.xxhash64(F.lit(-1).cast(skewed.schema["contact"].dataType))).first()[0]]
+    assert len(set(points)) > 100
+
+
+def test_hot_contacts_are_found_in_one_pass(spark):
+    """Contacts just above the share among very many small ones: all found, none of the small ones."""
+    df = spark.range(0, 400_000, 1, 16).selectExpr(
+        "IF(id % 100 = 0, -1, IF(id % 500 = 1, -2, id)) AS contact", "id AS created_on"
+    )
+    hot, points = w._chunk_points(df, ["contact"], "created_on")
+    keys = spark.createDataFrame([(-1,), (-2,)], "contact long").select(F.xxhash64("contact")).collect()
+    assert hot == sorted(r[0] for r in keys)
+    assert points == sorted(points)
 
 
 def test_long_contacts_go_on_over_pages(spark, skewed):
@@ -125,7 +138,7 @@ def test_hot_contact_without_key_or_order_values(spark):
         "IF(id % 2 = 0, NULL, id % 50) AS created_on",
         "CONCAT('s', id) AS subject",
     )
-    assert w._chunk_bounds(df, ["contact", "owner"], "created_on").count() == 1
+    assert len(w._chunk_points(df, ["contact", "owner"], "created_on")[0]) == 1
     numbered = w.number_activities(df, ["contact", "owner"], "created_on", ["subject"])
     hot = numbered.where("contact = -1").orderBy("slot").collect()
     assert [r["slot"] for r in hot] == list(range(1, 2001))
