@@ -65,7 +65,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet to the shared folder and read again: later work survives lost executors."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that `stored` has written and that nothing reads any more."""
+    for table in tables:
+        if path := getattr(table, "stored_at", None):
+            discard(table.sparkSession, path)
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -166,6 +175,49 @@ def word_spans(raw: np.ndarray, limits: np.ndarray, gap: np.ndarray = _SPACE) ->
     return starts, ends, np.searchsorted(starts, limits)
 
 
+_PLACES = 64
+
+
+def _byte_table() -> np.ndarray:
+    """A 64-bit number for each byte at each of the first places of a word."""
+    return mix((np.arange(_PLACES * 256, dtype=np.uint64) + np.uint64(1)) * np.uint64(MULTIPLIER))
+
+
+_bytes_at = None
+
+
+def word_names(raw: np.ndarray, limits: np.ndarray, *, lower: bool = False, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit name for every word of the rows in `raw`, and the words before each row limit.
+
+    The sum over a word of a number drawn for each byte and its place: no pattern of bytes makes the numbers of two words
+    cancel, as it can with powers of one factor.
+    """
+    global _bytes_at
+    if _bytes_at is None:
+        _bytes_at = _byte_table()
+    if not len(raw):
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(limits), dtype=np.int64)
+    starts, ends, counts = word_spans(raw, limits, gap)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), counts
+    lengths = ends - starts
+    total = int(lengths.sum())
+    # the bytes of all words on end, each with its place in its word
+    kind = np.int32 if len(raw) < 1 << 31 else np.int64
+    begin = np.cumsum(lengths) - lengths
+    at = np.arange(total, dtype=kind)
+    data = raw[at + np.repeat((starts - begin).astype(kind), lengths)]
+    if lower:
+        data = _LOWER[data]
+    place = at - np.repeat(begin.astype(kind), lengths)
+    value = _bytes_at[(np.minimum(place, _PLACES - 1) << 8) | data]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        value[far] = mix(((place[far].astype(np.uint64) << np.uint64(8)) + data[far] + np.uint64(1)) * np.uint64(MULTIPLIER))
+    sums = np.add.reduceat(value, begin)
+    return mix(sums + lengths.astype(np.uint64)), counts
+
+
 def word_hashes(
     raw: np.ndarray, limits: np.ndarray, *, lower: bool = False, gap: np.ndarray = _SPACE, prefixes: tuple[int, ...] = ()
 ) -> tuple[np.ndarray, ...]:
@@ -244,8 +296,9 @@ def connected(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
         below = dealt_anew(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         hung = large.join(below, "a")
         star = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(below.select("a", F.col("m").alias("b")))
-        now = stored(star.filter("a <> b").distinct(), f"{name}-{k}")
+        last, now = now, stored(star.filter("a <> b").distinct(), f"{name}-{k}")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        release(last)
         if state == seen:
             break
         seen = state

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import BROADCAST_KEYS, connected, dealt_anew, fresh_name, mix, pieces, row_key, small, sorted_groups, stored, word_hashes
+from slotledger.llm.common import BROADCAST_KEYS, connected, dealt_anew, fresh_name, mix, pieces, release, row_key, small, sorted_groups, stored, word_names
 
 SHINGLE = 3
 #: Similarity as a fraction: linked if PART[1] * intersection >= PART[0] * union.
@@ -32,8 +32,12 @@ BAND_RATIO = 1.4
 SPARE = 1
 #: Segments that hold fewer shingles on average are thin.
 THIN = 5.0
-#: Bits, as a power of two, of the sieve that keeps signatures of one set from a second shuffle (4 MB).
-SIEVE_BITS = 25
+#: Signatures are first compared by so many more bits than it takes to number them.
+PRINT_BITS = 14
+#: Signatures of a task that are sorted and packed at once, and about as many as are compared at once.
+PACKED, IN_RANGE = 1 << 22, 1 << 20
+#: The sieve has a bit for each signature that is indexed, up to 2 to the power of this (64 MB); beyond, it lets more pass.
+SIEVE_BITS = 29
 #: Shingles aimed at in one block of a verification (8 bytes each).
 BLOCK_SHINGLES = 200_000
 
@@ -44,7 +48,7 @@ BLOCK_SHINGLES = 200_000
 def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, sorted distinct 64-bit shingle names of each row) in runs; A-Z lowered, words parted by white space."""
     for first, last, raw, limits in pieces(texts):
-        words, at = word_hashes(raw, limits, lower=True)
+        words, at = word_names(raw, limits, lower=True)
         if len(words) >= n:
             grams = words[: len(words) - n + 1].copy()
             for k in range(1, n):
@@ -202,27 +206,123 @@ def _measure(n: int):
     return measure
 
 
-def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Broadcast | None = None):
-    """Rows of signature and set; of those that pass the sieve, where there is one."""
+@dataclass(frozen=True)
+class Sieve:
+    """Signatures are cut to `prints` bits and dealt by the first `ranges` of them; `bits` number the places of the sieve."""
+
+    prints: int
+    ranges: int
+    bits: int
+
+    @staticmethod
+    def for_rows(rows: int) -> Sieve:
+        size = max(1, rows).bit_length()
+        bits = min(max(size, 16), SIEVE_BITS)
+        ranges = min(max(size - IN_RANGE.bit_length() + 1, 3), bits - 6)
+        return Sieve(min(max(size + PRINT_BITS, bits), 62), ranges, bits)
+
+    def passing(self, names: np.ndarray, words: np.ndarray) -> np.ndarray:
+        bit = names >> np.uint64(64 - self.bits)
+        word = words[(bit >> np.uint64(6)).astype(np.int64)]
+        return names[(word >> (bit & np.uint64(63))) & np.uint64(1) == 1]
+
+
+def _signed(batches: Iterator[pa.RecordBatch], plans: dict[int, Plan], n: int, part: tuple[int, int]) -> Iterator[tuple[int, np.ndarray]]:
+    """The name and the signatures of each set of a task, equal sets once."""
+    seen: set[int] = set()
+    for batch in batches:
+        for _, sets in shingle_sets(batch.column("text"), n):
+            for s in sets:
+                bands = [b for b in bands_of(len(s), part) if b in plans] if len(s) else []
+                if bands and (sid := set_name(s)) not in seen:
+                    seen.add(sid)
+                    yield sid, np.concatenate([signatures(s, plans[b]) for b in bands])
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Sorted numbers below 2^63 as the first and the steps between them, with as many bytes for each as the largest step needs."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    width = max(1, -(-int(steps[1:].max(initial=0)).bit_length() // 8))
+    return int(values[0]).to_bytes(8, "little") + bytes([width]) + steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    width = data[8]
+    body = np.frombuffer(data, dtype=np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(body) + 1, 8), dtype=np.uint8)
+    steps[1:, :width] = body
+    steps[0] = np.frombuffer(data, dtype=np.uint8, count=8)
+    return np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64)
+
+
+def _prints(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve):
+    """(range, packed): the signatures of a task's sets, cut short, sorted, and packed by range."""
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.sort(np.concatenate(held) >> np.uint64(64 - sieve.prints))
+        of = values >> np.uint64(sieve.prints - sieve.ranges)
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        parts = [pack(values[a:b]) for a, b in zip(first, np.append(first[1:], len(values)))]
+        return pa.RecordBatch.from_arrays([pa.array(of[first].astype(np.int32)), pa.array(parts, pa.binary())], names=["range", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for _, names in _signed(batches, plans, n, part):
+            held.append(names)
+            count += len(names)
+            if count >= PACKED:
+                yield packed(held)
+                held, count = [], 0
+        if count:
+            yield packed(held)
+
+    return run
+
+
+def _met(sieve: Sieve):
+    """(range, words): for each range the places of the sieve whose signatures came more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["range"]):
+            values = np.sort(np.concatenate([unpack(x) for x in group.column("packed").to_pylist()]))
+            twice = values[1:][values[1:] == values[:-1]]
+            bit = (twice >> np.uint64(sieve.prints - sieve.bits)) & np.uint64((1 << (sieve.bits - sieve.ranges)) - 1)
+            places = np.zeros(1 << (sieve.bits - sieve.ranges), dtype=np.uint8)
+            places[bit.astype(np.int64)] = 1
+            yield pa.RecordBatch.from_arrays([group.column("range").combine_chunks()[:1], pa.array([np.packbits(places, bitorder="little").tobytes()])], names=["range", "words"])
+
+    return run
+
+
+def _sieve_words(docs: DataFrame, plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve) -> np.ndarray:
+    """The sieve, 64 places in a word. Tasks send what they have sorted and packed; the driver gets bits of a fixed number."""
+    prints = docs.select("text").mapInArrow(_prints(plans, n, part, sieve), "range int, packed binary")
+    prints = prints.repartition("range").sortWithinPartitions("range")
+    met = prints.mapInArrow(_met(sieve), "range int, words binary")
+    out = np.zeros((1 << sieve.ranges, 1 << (sieve.bits - sieve.ranges - 6)), dtype="<u8")
+    for r in met.toLocalIterator():
+        out[r["range"]] = np.frombuffer(r["words"], dtype="<u8")
+    return out.reshape(-1)
+
+
+def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve, words: Broadcast):
+    """Rows of signature and set, of the signatures that pass the sieve."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # of this task's documents: copies need no rows of their own
-        for batch in batches:
-            for _, sets in shingle_sets(batch.column("text"), n):
-                names, ids = [], []
-                for s in sets:
-                    bands = [b for b in bands_of(len(s), part) if b in plans] if len(s) else []
-                    if not bands or (sid := set_name(s)) in seen:
-                        continue
-                    seen.add(sid)
-                    names.append(np.concatenate([signatures(s, plans[b]) for b in bands]))
-                    if sieve is not None:
-                        bit = names[-1] & np.uint64((1 << SIEVE_BITS) - 1)
-                        word = sieve.value[(bit >> np.uint64(6)).astype(np.int64)]
-                        names[-1] = names[-1][(word >> (bit & np.uint64(63))) & np.uint64(1) == 1]
-                    ids.append(np.full(len(names[-1]), sid, dtype=np.int64))
-                if names:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(ids))], names=["sig", "sid"])
+        names, ids, count = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(ids))], names=["sig", "sid"])
+
+        for sid, own in _signed(batches, plans, n, part):
+            names.append(sieve.passing(own, words.value))
+            ids.append(np.full(len(names[-1]), sid, dtype=np.int64))
+            count += len(names[-1])
+            if count >= PACKED // 16:
+                yield rows()
+                names, ids, count = [], [], 0
+        if count:
+            yield rows()
 
     return index
 
@@ -321,32 +421,43 @@ def _band_column(size: str):
         band += 1
 
 
-def _sieve(met: DataFrame) -> Broadcast:
-    """A bit for each remainder of the signatures in `met`: of a fixed size, it lets all of them pass and few others."""
-    bit = F.col("sig").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
-    words = met.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(sig & 63 as int))")).alias("bits")).toArrow()
-    out = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.uint64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return met.sparkSession.sparkContext.broadcast(out)
+def _without_copies(docs: DataFrame, measured: DataFrame) -> DataFrame:
+    """`docs` with one row for each set, where the others are few enough to be named to all tasks; this changes the cost only."""
+    first = dealt_anew(measured.filter("n > 0").groupBy("sid").agg(F.min("rk").alias("first")), "sid")
+    copies = stored(measured.join(first, "sid").filter("rk <> first").select("rk").distinct(), "copies")
+    if copies.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS:
+        return docs
+    return docs.join(F.broadcast(copies), "rk", "left_anti")
 
 
 def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple[int, int]) -> DataFrame:
-    """(node, label): sets that meet in the index, directly or through others."""
+    """(node, label), stored: sets that meet in the index, directly or through others.
+
+    Nearly all signatures belong to one set. They are first sent cut short and packed, a few bytes each, to find those that
+    come more than once; only these are sent with their sets.
+    """
     counts = measured.filter("n > 0").select("sid", "n").distinct().groupBy("n").agg(F.count("*").alias("sets"))
     counts = counts.groupBy(_band_column("n").alias("band")).agg(F.sum("sets").alias("sets"))
     # at most a few hundred bands
-    plans = {r.band: plan_band(r.band, r.sets, part) for r in counts.collect()}
+    sets = {r.band: r.sets for r in counts.collect()}
     # where no difference is allowed, linked sets are equal and have one name already
-    plans = {b: p for b, p in plans.items() if differences(band_range(b)[1], part)}
-    rows = docs.select("text").mapInArrow(_index(plans, n, part), "sig long, sid long")
+    plans = {b: plan_band(b, k, part) for b, k in sets.items() if differences(band_range(b)[1], part)}
+
+    def rows_of(band: int) -> int:
+        """About so many signatures a set of the band has."""
+        high = band_range(band)[1]
+        return sum(plans[b].segments + high * plans[b].deletions for b in bands_of(high, part) if b in plans)
+
+    sieve = Sieve.for_rows(sum(k * rows_of(b) for b, k in sets.items()))
+    docs = _without_copies(docs, measured)
+    words = docs.sparkSession.sparkContext.broadcast(_sieve_words(docs, plans, n, part, sieve))
+    rows = stored(docs.select("text").mapInArrow(_index(plans, n, part, sieve, words), "sig long, sid long"), "signatures")
     met = rows.groupBy("sig").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).filter("lead < last").select("sig", "lead")
-    if any(p.weak < 2 for p in plans.values()):
-        # thin segments make a row for every two or three shingles, and few of them meet: the others are not shuffled again
-        met = stored(met, "met")
-        rows = docs.select("text").mapInArrow(_index(plans, n, part, _sieve(met)), "sig long, sid long")
-    met = dealt_anew(met, "sig")
-    links = rows.join(met, "sig").filter("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct()
-    return stored(connected(links, "candidates"), "clusters")
+    links = rows.join(dealt_anew(met, "sig"), "sig").filter("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct()
+    clusters = stored(connected(links, "candidates"), "clusters")
+    release(rows)
+    words.unpersist()
+    return clusters
 
 
 def _beside(none: Column, mine: Column, step: Column) -> Column:
@@ -406,6 +517,7 @@ def grouped(docs: DataFrame, n: int = SHINGLE, part: tuple[int, int] = PART) ->
     measured = stored(docs.mapInArrow(_measure(n), "rk long, doc_id long, n long, sid long"), "sets")
     clusters = candidate_clusters(docs, measured, n, part)
     links = stored(verified_links(docs, measured, clusters, n, part), "links")
+    release(clusters)
     groups = connected(links, "groups").withColumnsRenamed({"node": "sid"})
     return stored(measured.join(groups, "sid", "left").select("rk", "doc_id", "n", F.coalesce("label", "sid").alias("label")), "grouped")
 

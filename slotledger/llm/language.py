@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import stored
+from slotledger.llm.common import fresh_name, stored
 
 #: N-grams in a profile, and in a document's own list.
 PROFILE = 300
@@ -152,7 +152,14 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
 
 
 def with_known_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The rows of `docs`, all columns, for which a language is predicted; all rows where no language could be learned."""
+    """The rows of `docs`, all columns, for which a language is predicted, with the prediction as their `lang`.
+
+    What a row was given as `lang`, null or another, no longer counts. Rows without a letter, null texts among them, go. Equal
+    rows stay as many. Where no language could be learned nothing is predicted and all rows stay as they are.
+    """
     if not profiles.names:
         return docs
-    return docs.filter(prediction(profiles)["lang_pred"] != UNKNOWN)
+    found = fresh_name(docs, "found")
+    told = docs.withColumn(found, prediction(profiles)["lang_pred"])
+    kept = told.filter(F.col(found) != UNKNOWN)
+    return kept.select(*[F.col(found).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import dealt_anew, mix, pieces, row_key, span_hashes, stored, word_hashes
+from slotledger.llm.common import dealt_anew, mix, pieces, row_key, span_hashes, stored, word_names
 
 WINDOW = 35
 ROUNDS = 2
@@ -131,7 +131,7 @@ def _anchor_rows(window: int, rounds: int):
         for batch in batches:
             rk = batch.column("rk").to_numpy()
             for first, _, raw, limits in pieces(batch.column("text")):
-                words, at = word_hashes(raw, limits)
+                words, at = word_names(raw, limits)
                 row, begin, count, key, region = anchors(words, at, window, rounds)
                 if len(row):
                     yield pa.RecordBatch.from_arrays(
@@ -154,7 +154,7 @@ def _window_rows(window: int):
         for batch in batches:
             rk, places = batch.column("rk").to_numpy(), batch.column("places")
             for first, last, raw, limits in pieces(batch.column("text")):
-                words, at = word_hashes(raw, limits)
+                words, at = word_names(raw, limits)
                 starts = [_windows_of(np.array(places[i].as_py(), dtype=np.int64)) for i in range(first, last)]
                 n = [len(s) for s in starts]
                 begin = np.concatenate(starts)

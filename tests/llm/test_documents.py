@@ -354,6 +354,9 @@ def test_language(spark, docs, rows):
     assert len(unknown) == sum(not any(c.isalpha() for c in r[1] or "") for r in rows)
     kept = language.with_known_language(docs, profiles)
     assert kept.columns == docs.columns and kept.count() == len(rows) - len(unknown)
+    # the language is the predicted one, whatever was given
+    want = {r.doc_id: r.lang_pred for r in out.values()}
+    assert all(r.lang == want[r.doc_id] for r in kept.filter("doc_id is not null").collect())
 
 
 def test_language_accuracy(spark):
@@ -521,9 +524,57 @@ def test_word_names_and_pieces():
     seen = {}
     for limit in (1, 8, 1 << 20):
         for first, last, raw, limits in common.pieces(texts, limit):
-            names, at = common.word_hashes(raw, limits)
+            names, at = common.word_names(raw, limits)
             for i in range(first, last):
                 seen.setdefault(i, set()).add(tuple(names[at[i - first] : at[i - first + 1]].tolist()))
     assert all(len(v) == 1 for v in seen.values())
     one = {i: next(iter(v)) for i, v in seen.items()}
     assert one[4][:2] == one[0] and one[6][0] == one[0][1] and one[3] != one[0] and one[1] == one[2] == ()
+
+
+def alternating(n: int) -> tuple[str, str]:
+    """Two words that differ at every place and whose differences cancel in powers of any odd factor modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_whose_differences_cancel(spark):
+    x, y = alternating(1024)
+    raw = np.frombuffer(f"{x} {y} {x}".encode(), dtype=np.uint8)
+    names, _ = common.word_names(raw, np.array([0, len(raw)]))
+    assert names[0] == names[2] != names[1]
+    rest = [f"w{k}" for k in range(34)]
+    rows = [(k, " ".join([*rest[:20], w, *rest[20:]])) for k, w in enumerate((x, y))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(repeats.without_repeats(df), "doc_id", "n_words", "n_removed", "kept_sha256") == without_repeats(rows)
+    assert found(jaccard.near_duplicate_groups(df), "doc_id", "n_shingles", "component_id") == components(rows)
+    assert components(rows)[1][2] == 1
+
+
+def test_packed_signatures():
+    rng = np.random.default_rng(5)
+    for top in (3, 200, 1 << 20, 1 << 40, 1 << 62):
+        for n in (1, 2, 500):
+            values = np.sort(rng.integers(0, top, n, dtype=np.uint64))
+            assert (jaccard.unpack(jaccard.pack(values)) == values).all()
+    assert len(jaccard.pack(np.arange(1000, dtype=np.uint64) * np.uint64(200))) < 1100
+
+
+@pytest.mark.parametrize("number", [1, 3000, 10**7, 10**12])
+def test_the_sieve_keeps_what_meets(spark, docs, number, monkeypatch):
+    monkeypatch.setattr(jaccard, "PACKED", 1000)
+    monkeypatch.setattr(jaccard, "SIEVE_BITS", 20)
+    plans = {b: jaccard.plan_band(b, 100, (80, 100)) for b in range(1, 30)}
+    sieve = jaccard.Sieve.for_rows(number)
+    words = jaccard._sieve_words(docs, plans, 5, (80, 100), sieve)
+    assert len(words) == 1 << (sieve.bits - 6)
+    batch = pa.RecordBatch.from_pydict({"text": [r.text for r in docs.select("text").collect()]})
+    owners: dict[int, set] = {}
+    for sid, names in jaccard._signed([batch], plans, 5, (80, 100)):
+        for name in names.tolist():
+            owners.setdefault(name, set()).add(sid)
+    met = np.array([k for k, v in owners.items() if len(v) > 1], dtype=np.uint64)
+    alone = np.array([k for k, v in owners.items() if len(v) == 1], dtype=np.uint64)
+    assert len(met) > 20 and len(sieve.passing(met, words)) == len(met)
+    if sieve.bits >= 20:
+        assert len(sieve.passing(alone, words)) < len(alone) / 2  # copies in several tasks pass as well
