@@ -38,6 +38,8 @@ PRINT_BITS = 14
 PACKED, IN_RANGE = 1 << 22, 1 << 20
 #: The sieve has a bit for each signature that is indexed, up to 2 to the power of this (64 MB); beyond, it lets more pass.
 SIEVE_BITS = 29
+#: Leaders of the sets of one signature that are compared with further ones.
+LEADERS = 64
 #: Shingles aimed at in one block of a verification (8 bytes each).
 BLOCK_SHINGLES = 200_000
 
@@ -227,8 +229,8 @@ class Sieve:
         return names[(word >> (bit & np.uint64(63))) & np.uint64(1) == 1]
 
 
-def _signed(batches: Iterator[pa.RecordBatch], plans: dict[int, Plan], n: int, part: tuple[int, int]) -> Iterator[tuple[int, np.ndarray]]:
-    """The name and the signatures of each set of a task, equal sets once."""
+def _signed(batches: Iterator[pa.RecordBatch], plans: dict[int, Plan], n: int, part: tuple[int, int]) -> Iterator[tuple[int, np.ndarray, list[tuple[int, np.ndarray]]]]:
+    """The name, the shingles and, by band, the signatures of each set of a task, equal sets once."""
     seen: set[int] = set()
     for batch in batches:
         for _, sets in shingle_sets(batch.column("text"), n):
@@ -236,7 +238,7 @@ def _signed(batches: Iterator[pa.RecordBatch], plans: dict[int, Plan], n: int, p
                 bands = [b for b in bands_of(len(s), part) if b in plans] if len(s) else []
                 if bands and (sid := set_name(s)) not in seen:
                     seen.add(sid)
-                    yield sid, np.concatenate([signatures(s, plans[b]) for b in bands])
+                    yield sid, s, [(b, signatures(s, plans[b])) for b in bands]
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -267,9 +269,9 @@ def _prints(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for _, names in _signed(batches, plans, n, part):
-            held.append(names)
-            count += len(names)
+        for _, _, by_band in _signed(batches, plans, n, part):
+            held += [names for _, names in by_band]
+            count += sum(len(names) for _, names in by_band)
             if count >= PACKED:
                 yield packed(held)
                 held, count = [], 0
@@ -305,28 +307,121 @@ def _sieve_words(docs: DataFrame, plans: dict[int, Plan], n: int, part: tuple[in
     return out.reshape(-1)
 
 
+def outline_places(band: int) -> int:
+    """Into how many places the outlines of a band count: about a quarter of its smallest size."""
+    return 1 << max(4, (band_range(band)[0] // 4).bit_length())
+
+
+def outline(s: np.ndarray, band: int) -> bytes:
+    """How many shingles a set has in each place, up to 15, two in a byte, after the band.
+
+    The sum of the differences of two outlines is at most the number of shingles in which the sets differ.
+    """
+    places = outline_places(band)
+    counts = np.bincount((s >> np.uint64(65 - places.bit_length())).astype(np.int64), minlength=places)
+    counts = np.minimum(counts, 15).astype(np.uint8)
+    return bytes([band]) + (counts[::2] << 4 | counts[1::2]).tobytes()
+
+
+def counts_of(outlines: list[bytes]) -> np.ndarray:
+    """Outlines of one band as rows of counts."""
+    packed = np.frombuffer(b"".join(outlines), dtype=np.uint8).reshape(len(outlines), -1)[:, 1:]
+    return np.concatenate([packed >> 4, packed & 15], axis=1).astype(np.int16)
+
+
 def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve, words: Broadcast):
-    """Rows of signature and set, of the signatures that pass the sieve."""
+    """Rows of signature, set and outline, of the signatures that pass the sieve."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, ids, count = [], [], 0
+        names, ids, outlines, count = [], [], [], 0
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(ids))], names=["sig", "sid"])
-
-        for sid, own in _signed(batches, plans, n, part):
-            names.append(sieve.passing(own, words.value))
-            ids.append(np.full(len(names[-1]), sid, dtype=np.int64))
-            count += len(names[-1])
-            if count >= PACKED // 16:
+            columns = [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(outlines, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["sig", "sid", "outline"])
+
+        for sid, s, by_band in _signed(batches, plans, n, part):
+            for band, own in by_band:
+                own = sieve.passing(own, words.value)
+                if len(own):
+                    names.append(own)
+                    ids.append(np.full(len(own), sid, dtype=np.int64))
+                    outlines += [outline(s, band)] * len(own)
+                    count += len(own)
+            if count >= PACKED // 64:
                 yield rows()
-                names, ids, count = [], [], 0
+                names, ids, outlines, count = [], [], [], 0
         if count:
             yield rows()
 
     return index
 
 
+class Neighbours:
+    """The sets of one signature, seen one after another, tied together where they may be linked.
+
+    A tie has a leader and a radius, the largest distance of a member's outline from the leader's. A set whose outline is
+    farther from a leader than the radius and `h` differs from every member in more than `h` shingles, by the triangle
+    inequality; otherwise it joins. So sets that differ in `h` shingles or fewer are always tied, and only leaders are held.
+    Beyond LEADERS leaders all further sets are tied to the first.
+    """
+
+    def __init__(self, h: int):
+        self.h, self.ids, self.radius = h, [], []
+        self.outlines: np.ndarray | None = None
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs that tie these sets to each other and to those before."""
+        start = 0
+        if self.outlines is None:
+            self.ids, self.radius, self.outlines = [int(ids[0])], [0], counts[:1]
+            start = 1
+        if len(self.ids) == 1:
+            far = np.abs(counts[start:] - self.outlines[0]).sum(axis=1)
+            if far.max(initial=0) <= self.h:
+                self.radius[0] = max(self.radius[0], int(far.max(initial=0)))
+                yield from ((int(x), self.ids[0]) for x in ids[start:])
+                return
+        for x, own in zip(ids[start:].tolist(), counts[start:]):
+            far = np.abs(self.outlines - own).sum(axis=1)
+            near = np.flatnonzero(far <= np.array(self.radius) + self.h)
+            if len(near):
+                first = int(near[0])
+                self.radius[first] = max(self.radius[first], int(far[first]))
+                yield from ((x, self.ids[k]) for k in near.tolist())
+            elif len(self.ids) < LEADERS:
+                self.ids.append(x)
+                self.radius.append(0)
+                self.outlines = np.concatenate([self.outlines, own[None]])
+            else:
+                self.radius[0] = 1 << 30
+                yield x, self.ids[0]
+                yield from ((k, self.ids[0]) for k in self.ids[1:])
+
+
+def _ties(part: tuple[int, int]):
+    """(a, b): sets tied by a signature, from rows sorted by it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, found = None, Neighbours(0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig, sid, outlines = batch.column("sig").to_numpy(), batch.column("sid").to_numpy(), batch.column("outline").to_pylist()
+            edges = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]]).tolist()
+            ties: list[tuple[int, int]] = []
+            for a, b in zip(edges, edges[1:]):
+                if sig[a] != now:
+                    now, found = sig[a], Neighbours(differences(band_range(outlines[a][0])[1], part))
+                    if b - a == 1 and b < len(sig):
+                        continue  # alone
+                ties += found.add(sid[a:b], counts_of(outlines[a:b]))
+            if ties:
+                made = np.unique(np.array(ties, dtype=np.int64), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+
+    return run
+
+
 def _sets(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -434,7 +529,8 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     """(node, label), stored: sets that meet in the index, directly or through others.
 
     Nearly all signatures belong to one set. They are first sent cut short and packed, a few bytes each, to find those that
-    come more than once; only these are sent with their sets.
+    come more than once; only these are sent with their sets, and with outlines of them, by which most of the sets that have
+    met by chance are told apart at once.
     """
     counts = measured.filter("n > 0").select("sid", "n").distinct().groupBy("n").agg(F.count("*").alias("sets"))
     counts = counts.groupBy(_band_column("n").alias("band")).agg(F.sum("sets").alias("sets"))
@@ -451,11 +547,10 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     sieve = Sieve.for_rows(sum(k * rows_of(b) for b, k in sets.items()))
     docs = _without_copies(docs, measured)
     words = docs.sparkSession.sparkContext.broadcast(_sieve_words(docs, plans, n, part, sieve))
-    rows = stored(docs.select("text").mapInArrow(_index(plans, n, part, sieve, words), "sig long, sid long"), "signatures")
-    met = rows.groupBy("sig").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).filter("lead < last").select("sig", "lead")
-    links = rows.join(dealt_anew(met, "sig"), "sig").filter("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b")).distinct()
+    rows = docs.select("text").mapInArrow(_index(plans, n, part, sieve, words), "sig long, sid long, outline binary")
+    rows = rows.repartition("sig").sortWithinPartitions("sig")
+    links = rows.mapInArrow(_ties(part), "a long, b long").filter("a <> b").distinct()
     clusters = stored(connected(links, "candidates"), "clusters")
-    release(rows)
     words.unpersist()
     return clusters
 
