@@ -90,6 +90,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def light(df: DataFrame, size: Column, limit: int) -> DataFrame:
+    """`df` marked for broadcasting if its rows, each of about `size` bytes, are summed up to `limit` bytes at most."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
+
+
 def dealt_anew(df: DataFrame, key: str) -> DataFrame:
     """`df` with its (long) key worked out anew: a join then deals out both sides itself and can split the rows of a hot key.
 

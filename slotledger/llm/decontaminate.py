@@ -1,8 +1,9 @@
 """Benchmark decontamination by a positional inverted index over the training documents.
 
-Main path: DataFrame functions only. The index holds the postings (term, document, position) of the terms that the searches
-start from: the rarest two of every window, by counts over all documents. Lists are shifted by the term's place in its item;
-where the shifted lists of both terms meet, the window is compared word by word with the document.
+Main path: DataFrame functions only. Documents are cut into words once. The index, stored, holds the postings (term, document,
+position) of every term that an item has; all else comes from it: how often terms occur, the lists that a search starts from,
+and the proof. A search starts from the rarest two terms of every window. Lists are shifted by the term's place in its item;
+where the shifted lists of both meet, the postings of the window's other terms are asked for at their places.
 """
 
 from __future__ import annotations
@@ -10,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import BROADCAST_KEYS, fresh_name, row_key, small, stored
-from slotledger.llm.host_rules import count_words, once
+from slotledger.llm.common import BROADCAST_KEYS, fresh_name, light, row_key, small, stored
+from slotledger.llm.host_rules import once
 
 WINDOW = 10
 RAREST = 2
-#: Tables over the benchmark with at most so many rows are broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Tables over the benchmark of at most so many bytes are broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
+#: Stands in the index for the end of a document; no term has a blank.
+END = " "
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Characters beyond ASCII that lower() might change: capitals, numerals and ringed letters, and all of the planes and ranges
 #: whose letters differ between versions of Unicode.
@@ -34,11 +37,6 @@ def words(text: Column) -> Column:
     return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " ", -1))
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(rk, pos, term): the token stream of all documents."""
-    return docs.select(row_key().alias("rk"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
-
-
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(ik, item, words, starts): each distinct item with the starts of its windows; a shorter item is one window."""
     out = items.select(F.xxhash64("item_id", "text").alias("ik"), F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text")).alias("words"))
@@ -46,67 +44,77 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return out.filter(F.size("words") > 0).withColumn("starts", F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0))))
 
 
-def anchors(windows: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(ik, start, places): for each window that can occur, the places in the item of its rarest terms.
+def numbered_terms(terms: DataFrame) -> DataFrame:
+    """(term, t), stored: the distinct terms, and one for the end of a document, with 64-bit numbers of which no two are equal."""
+    distinct = terms.select("term").distinct().unionByName(terms.sparkSession.range(1).select(F.lit(END).alias("term")))
+    seed = 0
+    while True:
+        numbered = stored(distinct.withColumn("t", F.xxhash64(F.lit(seed), "term")).withColumn("seed", F.lit(seed)), "terms")
+        if numbered.groupBy("t").count().filter("count > 1").isEmpty():
+            return numbered
+        seed += 1
 
-    Counts are over all documents; a window with a term that no document has cannot occur and is left out.
-    """
-    places = windows.select("ik", F.posexplode("words").alias("q", "term"))
-    terms = small(places.select("term").distinct(), BROADCAST_ROWS)
-    counts = stored(tokens(docs).select("term").join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n")), "term-counts")
-    counted = places.join(small(counts, BROADCAST_ROWS), "term")
-    per_item = counted.groupBy("ik").agg(F.map_from_entries(F.collect_list(F.struct("q", F.struct("n", "q")))).alias("n_at"))
-    out = windows.join(per_item, "ik").select("ik", "words", "n_at", F.explode("starts").alias("start"))
-    span = F.sequence(F.col("start"), F.least(F.col("start") + window, F.size("words")) - 1)
-    out = once(out, "ranked", F.sort_array(F.transform(span, lambda q: F.col("n_at")[q])))
-    out = out.filter(~F.exists("ranked", lambda x: x.isNull()))
-    return out.select("ik", "start", F.transform(F.slice("ranked", 1, RAREST), lambda x: x["q"]).alias("places"))
 
+def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(t, rk, pos, doc_id), stored: every occurrence of the numbered `terms` in the documents, whole texts.
 
-def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """The stored index: (term, rk, pos) of every occurrence of `terms` in the documents."""
-    return stored(tokens(docs).join(small(terms, BROADCAST_ROWS), "term", "left_semi").select("term", "rk", "pos"), "postings")
+    Each row of `docs` ends in a posting of END, whose position is how many words it has; these alone carry the doc_id. Words
+    meet terms by number first and then as they are.
+    """
+    seed = terms.select("seed").first()["seed"]
+    spelt = docs.select(row_key().alias("rk"), "doc_id", F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "word"))
+    spelt = spelt.withColumn("t", F.xxhash64(F.lit(seed), "word"))
+    known = light(terms.select("t", "term"), F.octet_length("term") + 32, BROADCAST_BYTES)
+    met = spelt.join(known, "t").filter(F.col("word") == F.col("term"))
+    return stored(met.select("t", "rk", "pos", F.when(F.col("word") == END, F.col("doc_id")).alias("doc_id")), "postings")
 
 
-def meetings(docs: DataFrame, windows: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(ik, rk, shift, qs): item places `qs` of start terms that the document has `shift` further on; and the anchors."""
-    picked = stored(anchors(windows, docs, window), "anchors")
-    places = windows.join(picked.select("ik", F.explode("places").alias("q")).distinct(), "ik")
-    places = stored(places.select("ik", "q", F.get("words", F.col("q")).alias("term")), "start-terms")
-    index = postings(docs, places.select("term").distinct())
-    hits = index.join(small(places, BROADCAST_ROWS), "term").select("ik", "rk", (F.col("pos") - F.col("q")).alias("shift"), "q")
-    return hits.groupBy("ik", "rk", "shift").agg(F.collect_set("q").alias("qs")), picked
+def end_number(terms: DataFrame) -> int:
+    return terms.filter(F.col("term") == END).select("t").first()["t"]
 
 
-def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(rk, item, pos, len): every place where a whole window of an item occurs in a document, with equal windows once."""
-    windows = stored(item_windows(items, window), "items")
-    met, picked = meetings(docs, windows, window)
-    wanted = picked.groupBy("ik").agg(F.collect_list(F.struct("start", "places")).alias("wanted"))
-    both = met.join(small(wanted, BROADCAST_ROWS), "ik")
-    starts = F.transform(
-        F.filter("wanted", lambda w: (F.size(F.array_except(w["places"], F.col("qs"))) == 0) & (F.col("shift") + w["start"] >= 0)),
-        lambda w: w["start"],
-    )
-    found = both.select("ik", "rk", "shift", starts.alias("starts")).filter(F.size("starts") > 0)
-    found = found.join(small(windows.select("ik", "item", "words"), BROADCAST_ROWS), "ik")
-    found = found.groupBy("rk").agg(F.collect_list(F.struct("item", F.col("words").alias("item_words"), "shift", "starts")).alias("found"))
-    texts = docs.select(row_key().alias("rk"), "text").join(found, "rk")
-    texts = texts.select("rk", "found", words(F.col("text")).alias("doc_words"))
-    texts = once(texts.select("rk", F.struct("found", "doc_words").alias("pair")), "held", F.col("pair")).select("rk", "held.*")
-    rows = texts.select("rk", "doc_words", F.inline("found"))
-    checked = F.filter(
-        "starts",
-        lambda s: F.slice("doc_words", F.col("shift") + s + 1, F.lit(window)) == F.slice("item_words", s + 1, F.lit(window)),
-    )
-    rows = rows.select("rk", "item", "shift", F.least(F.size("item_words"), F.lit(window)).alias("len"), F.explode(_short(checked, window)).alias("start"))
-    return rows.select("rk", "item", (F.col("shift") + F.col("start")).alias("pos"), "len").distinct()
+def item_places(windows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(ik, q, t), stored: the term at each place of each item."""
+    places = windows.select("ik", F.posexplode("words").alias("q", "term"))
+    return stored(places.join(terms.select("term", "t"), "term").select("ik", "q", "t"), "places")
 
 
-def _short(checked: Column, window: int) -> Column:
-    """An item of fewer words than a window is compared in its own length."""
-    whole = F.slice("doc_words", F.col("shift") + 1, F.size("item_words")) == F.col("item_words")
-    return F.when(F.size("item_words") >= window, checked).when(whole, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+def anchors(windows: DataFrame, places: DataFrame, index: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(ik, start, len, q), stored: for each window that can occur, the places in the item of its rarest terms, a row for each.
+
+    Counts are over all documents; a window with a term that no document has cannot occur and is left out. A place is in ten
+    windows at most, so items of any length cost in proportion.
+    """
+    counts = index.groupBy("t").agg(F.count("*").alias("n"))
+    sizes = windows.select("ik", F.size("words").alias("size"), F.least(F.size("words"), F.lit(window)).alias("len"))
+    counted = places.join(counts, "t").join(sizes, "ik")
+    starts = F.sequence(F.greatest(F.col("q") - F.col("len") + 1, F.lit(0)), F.least(F.col("q"), F.col("size") - F.col("len")))
+    ranked = counted.select("ik", "len", "n", "q", F.explode(starts).alias("start")).groupBy("ik", "start", "len")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("n", "q"))).alias("ranked")).filter(F.size("ranked") == F.col("len"))
+    return stored(ranked.select("ik", "start", "len", F.explode(F.slice("ranked", 1, RAREST)["q"]).alias("q")), "anchors")
+
+
+def meetings(index: DataFrame, places: DataFrame, picked: DataFrame) -> DataFrame:
+    """(ik, rk, shift, start, len), stored: where the document has all rarest terms of the item's window at `start`, `shift` further on."""
+    needed = picked.groupBy("ik", "start", "len").agg(F.count("*").alias("needed"))
+    first = picked.join(places, ["ik", "q"]).join(needed, ["ik", "start", "len"])
+    hits = index.join(light(first, F.lit(64), BROADCAST_BYTES), "t").withColumn("shift", F.col("pos") - F.col("q"))
+    hits = hits.filter(F.col("shift") + F.col("start") >= 0).select("ik", "rk", "shift", "start", "len", "needed", "q").distinct()
+    met = hits.groupBy("ik", "rk", "shift", "start", "len", "needed").agg(F.count("*").alias("n")).filter("n = needed")
+    return stored(met.select("ik", "rk", "shift", "start", "len"), "meetings")
+
+
+def phrase_matches(index: DataFrame, windows: DataFrame, places: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(rk, item, pos, len): every place where a whole window of an item occurs in a document, with equal windows once."""
+    met = meetings(index, places, anchors(windows, places, index, window))
+    # the document must have every term of the window at its place
+    asked = met.withColumn("q", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)))
+    asked = asked.join(light(places, F.lit(48), BROADCAST_BYTES), ["ik", "q"]).withColumn("pos", F.col("shift") + F.col("q"))
+    here = index.join(small(met.select("rk").distinct(), BROADCAST_KEYS), "rk", "left_semi").select("rk", "t", "pos")
+    have = asked.join(here, ["rk", "t", "pos"], "left_semi")
+    whole = have.groupBy("ik", "rk", "shift", "start", "len").agg(F.count("*").alias("n")).filter(F.col("n") == F.col("len"))
+    names = light(windows.select("ik", "item"), F.octet_length("item") + 32, BROADCAST_BYTES)
+    return whole.join(names, "ik").select("rk", "item", (F.col("shift") + F.col("start")).alias("pos"), "len").distinct()
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slop: int, window: int = WINDOW) -> DataFrame:
@@ -116,7 +124,10 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int, window: int
     neighbours; the document's words from there on are then searched for every term.
     """
     windows = stored(item_windows(items, window), "items")
-    picked = stored(anchors(windows, docs, window), "anchors")
+    numbers = numbered_terms(windows.select(F.explode("words").alias("term")))
+    postings = build_index(docs, numbers)
+    picked = anchors(windows, item_places(windows, numbers), postings, window)
+    picked = picked.groupBy("ik", "start").agg(F.collect_list("q").alias("places"))
     spread = window + slop
     wanted = windows.join(picked, "ik").select(
         "item",
@@ -125,10 +136,11 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int, window: int
         F.get("words", F.coalesce(F.get("places", F.lit(1)), F.get("places", F.lit(0)))).alias("second"),
     )
     wanted = stored(wanted.distinct(), "wanted")
-    index = postings(docs, wanted.select(F.explode(F.array("first", "second")).alias("term")).distinct())
+    index = postings.join(light(numbers.select("t", "term"), F.octet_length("term") + 32, BROADCAST_BYTES), "t").select("term", "rk", "pos")
     a = index.withColumnsRenamed({"term": "first", "pos": "p"}).withColumn("block", F.explode(F.array(*[F.floor(F.col("p") / spread) + k for k in (-1, 0, 1)])))
     b = index.withColumnsRenamed({"term": "second", "pos": "r"}).withColumn("block", F.floor(F.col("r") / spread))
-    met = a.join(small(wanted, BROADCAST_ROWS), "first").join(b, ["rk", "second", "block"]).filter(F.abs(F.col("p") - F.col("r")) < spread)
+    long_wanted = F.octet_length(F.concat_ws(" ", "terms")) + 64 + F.octet_length("item")
+    met = a.join(light(wanted, long_wanted, BROADCAST_BYTES), "first").join(b, ["rk", "second", "block"]).filter(F.abs(F.col("p") - F.col("r")) < spread)
     met = met.select("rk", "item", "terms", "p").distinct().groupBy("rk").agg(F.collect_list(F.struct("item", "terms", "p")).alias("found"))
     texts = docs.select(row_key().alias("rk"), "text").join(met, "rk").select("rk", F.struct("found", words(F.col("text")).alias("doc_words")).alias("pair"))
     rows = once(texts, "held", F.col("pair")).select("rk", "held.doc_words", F.inline("held.found"))
@@ -141,15 +153,17 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """Per row of `docs`: rk, doc_id, n_words, n_hit, n_items, items (sorted ids as strings), contaminated.
 
     Null or empty text has no words and is never contaminated. Equal rows get equal results; a null item id counts as ''; an
-    item without words never occurs. Either table may be empty. Other columns are not looked at.
+    item without words never occurs, one of very many words costs in proportion to them. Either table may be empty. Other
+    columns are not looked at.
     """
-    docs = docs.select("doc_id", "text")
-    found = stored(phrase_matches(docs, items.select("item_id", "text"), window), "matches")
+    windows = stored(item_windows(items.select("item_id", "text"), window), "items")
+    terms = numbered_terms(windows.select(F.explode("words").alias("term")))
+    index = build_index(docs.select("doc_id", "text"), terms)
+    found = stored(phrase_matches(index, windows, item_places(windows, terms), window), "matches")
     covered = found.select("rk", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("len") - 1)).alias("at")).distinct()
     hits = covered.groupBy("rk").agg(F.count("*").alias("n_hit"))
     named = found.select("rk", "item").distinct().groupBy("rk").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    n_words = count_words(F.col("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    base = docs.select(row_key().alias("rk"), "doc_id", n_words.alias("n_words"))
+    base = index.filter(F.col("t") == end_number(terms)).select("rk", "doc_id", F.col("pos").cast("long").alias("n_words"))
     out = base.join(hits.join(named, "rk"), "rk", "left")
     return out.select(
         "rk",
