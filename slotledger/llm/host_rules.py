@@ -17,8 +17,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A host whose documents fail a rule at a higher shrunken rate than this is turned away whole.
-MAX_HOST_RATE = 0.8
+#: Rules that only hosts are judged by: symbols among the characters of words, repeated lines.
+MAX_SYMBOL_PERCENT, MAX_DUP_LINES = 10, 3
+#: A host is turned away whole if it fails a rule at more than so many times the rate of hosts at large, beyond so many
+#: standard deviations of doubt; where hosts fail often, if it is more than halfway from their rate to always.
+TIMES_PRIOR, DOUBT = 2.0, 2.0
 #: A host table of at most so many rows is broadcast; a larger one is joined by a shuffle, where a hot host can be split.
 BROADCAST_HOSTS = 200_000
 
@@ -92,11 +95,24 @@ def base_rules(m: str = "") -> dict[str, Column]:
     return {"short": c("n_words") < MIN_WORDS, "repeats": 100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words")}
 
 
+def host_rules(m: str = "") -> dict[str, Column]:
+    """The rules whose failures are added up by host: those of the base verdict and further ones."""
+    c = lambda name: F.col(f"{m}{name}")
+    return base_rules(m) | {
+        "symbols": 100 * c("n_symbols") > MAX_SYMBOL_PERCENT * c("word_chars"),
+        "lines": c("n_dup_lines") > MAX_DUP_LINES,
+    }
+
+
 def host_rates(marked: DataFrame, host: str, rules: Mapping[str, Column]) -> DataFrame:
-    """(host, n_docs, rate_<rule>...): failure rates of each host, shrunk towards an empirical beta prior.
+    """(host, n_docs, rate_<rule>..., failed): failure rates of each host, shrunk towards an empirical beta prior.
 
     The prior of a rule has the mean and variance of the hosts' raw rates (moments). Where hosts do not differ at all, its
     weight is that of a million documents; where they differ as much as they can, that of one thousandth. A null host is a host.
+
+    The shrunken rate is the mean of the host's posterior. `failed` is set if for some rule that mean, less DOUBT standard
+    deviations of the posterior, is above a limit taken from the prior: TIMES_PRIOR its mean, or halfway from it to 1 if that is
+    less. So a host of few documents is spared, and one that is like the others never fails, however often all of them do.
     """
     sums = marked.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n_docs"), *[F.sum(rule.cast("long")).alias(f"bad_{name}") for name, rule in rules.items()]
@@ -104,15 +120,19 @@ def host_rates(marked: DataFrame, host: str, rules: Mapping[str, Column]) -> Dat
     sums = stored(sums, "host-sums")
     raw = {name: F.col(f"bad_{name}") / F.col("n_docs") for name in rules}
     prior = sums.agg(*[f(raw[name]).alias(f"{k}_{name}") for name in rules for k, f in (("mean", F.avg), ("var", F.var_pop))])
-    out, known = sums, prior.first()  # one row of two numbers for each rule
+    out, known = sums.withColumn("failed", F.lit(False)), prior.first()  # one row of two numbers for each rule
     for name in rules:
         mean, var = known[f"mean_{name}"] or 0.0, known[f"var_{name}"] or 0.0
         weight = max(mean * (1 - mean) / var - 1, 1e-3) if var > 0 else 1e6
-        out = out.withColumn(f"rate_{name}", (F.col(f"bad_{name}") + mean * weight) / (F.col("n_docs") + weight))
-    return out.select("host", "n_docs", *[f"rate_{name}" for name in rules])
+        total = F.col("n_docs") + weight
+        rate = (F.col(f"bad_{name}") + mean * weight) / total
+        doubt = DOUBT * F.sqrt(rate * (1 - rate) / (total + 1))
+        limit = min(TIMES_PRIOR * mean, (1 + mean) / 2)
+        out = out.withColumn(f"rate_{name}", rate).withColumn("failed", F.col("failed") | (rate - doubt > limit))
+    return out.select("host", "n_docs", *[f"rate_{name}" for name in rules], "failed")
 
 
-def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     """Per row of `docs`: doc_id, host, the five measures, base_failed, host_failed, kept, n_host_docs and the host's rates.
 
     Null or empty text: zeros, base_failed. A null host is a host of its own; ties and repeated rows count as they stand; an
@@ -120,12 +140,11 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE
     """
     measured = with_measures(docs.select("doc_id", F.col(host).alias("host"), "text")).select("doc_id", "host", "measures.*")
     measured = stored(measured, "measures")
-    rules = base_rules()
-    failed = rules["short"] | rules["repeats"]
-    hosts = host_rates(measured, "host", rules).withColumnRenamed("host", "of")
+    rules, base = host_rules(), base_rules()
+    failed = base["short"] | base["repeats"]
+    hosts = host_rates(measured, "host", rules).withColumnsRenamed({"host": "of", "failed": "host_failed"})
     hosts = hosts.withColumnRenamed("n_docs", "n_host_docs")
     out = measured.join(small(hosts, BROADCAST_HOSTS), F.col("host").eqNullSafe(F.col("of")), "left").drop("of")
-    bad = F.greatest(*[F.col(f"rate_{name}") for name in rules]) > max_rate
     return out.select(
         "doc_id",
         "host",
@@ -135,8 +154,8 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
-        bad.alias("host_failed"),
-        (~failed & ~bad).alias("kept"),
+        "host_failed",
+        (~failed & ~F.col("host_failed")).alias("kept"),
         "n_host_docs",
         *[f"rate_{name}" for name in rules],
     )

@@ -20,13 +20,18 @@ m AS (
     CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
     CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
-f AS (SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats FROM m),
-h AS (SELECT source, count(*) AS n, avg(short::INT) AS r1, avg(repeats::INT) AS r2 FROM f GROUP BY source),
-prior AS (SELECT avg(r1) AS m1, var_pop(r1) AS v1, avg(r2) AS m2, var_pop(r2) AS v2 FROM h),
+f AS (
+  SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats,
+    [n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 10 * word_chars, n_dup_lines > 3] AS rules FROM m),
+h AS (
+  SELECT source, rule, count(*) AS n, sum(failed::INT) AS bad, avg(failed::INT) AS r
+  FROM (SELECT source, unnest(rules) AS failed, generate_subscripts(rules, 1) AS rule FROM f) GROUP BY source, rule),
+prior AS (SELECT rule, avg(r) AS mean, var_pop(r) AS var FROM h GROUP BY rule),
 k AS (
-  SELECT source, n, r1, r2, m1, m2, CASE WHEN v1 > 0 THEN greatest(m1 * (1 - m1) / v1 - 1, 0.001) ELSE 1e6 END AS k1,
-    CASE WHEN v2 > 0 THEN greatest(m2 * (1 - m2) / v2 - 1, 0.001) ELSE 1e6 END AS k2 FROM h, prior),
-bad AS (SELECT source, greatest((r1 * n + m1 * k1) / (n + k1), (r2 * n + m2 * k2) / (n + k2)) > 0.8 AS bad FROM k)
+  SELECT source, n, bad, mean, CASE WHEN var > 0 THEN greatest(mean * (1 - mean) / var - 1, 0.001) ELSE 1e6 END AS weight FROM h JOIN prior USING (rule)),
+p AS (SELECT source, mean, n + weight AS total, (bad + mean * weight) / (n + weight) AS rate FROM k),
+bad AS (
+  SELECT source, bool_or(rate - 2 * sqrt(rate * (1 - rate) / (total + 1)) > least(2 * mean, (1 + mean) / 2)) AS bad FROM p GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
   NOT (short OR repeats) AND NOT bad AS kept
 FROM f JOIN bad ON f.source IS NOT DISTINCT FROM bad.source

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -84,6 +85,23 @@ def test_host_verdict_turns_documents_away(spark):
     assert 0.9 < rate < 0.98  # drawn from .98 towards the other host
 
 
+def test_hosts_are_compared_with_each_other(spark):
+    """A third of one host's pages are mostly symbols, three times as many as elsewhere: its documents go, though each alone
+    would stay. A host of three documents, all bad, is too small to tell."""
+    good = " ".join(f"word{i}" for i in range(60))
+    signs = " ".join(f"w{i}##&" for i in range(60))
+    rows = [(h * 1000 + i, signs if i % 10 == h % 10 else good, f"h{h}") for h in range(30) for i in range(100)]
+    rows += [(50_000 + i, signs if i % 3 == 0 else good, "noisy") for i in range(300)]
+    rows += [(60_000 + i, signs, "small") for i in range(3)]
+    out = host_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).cache()
+    assert out.filter("base_failed").count() == 0
+    assert [r.host for r in out.filter("not kept").select("host").distinct().collect()] == ["noisy"]
+    assert out.filter("host = 'noisy' and kept").count() == 0
+    # where all hosts fail alike none is turned away
+    alike = [(i, signs if i % 2 else good, f"h{i % 20}") for i in range(0, 2000)] + [(9000 + i, good if i % 2 else signs, f"h{i % 20}") for i in range(2000)]
+    assert host_rules.judge(spark.createDataFrame(alike, "doc_id long, text string, source string")).filter("host_failed").count() == 0
+
+
 # -- decontamination -------------------------------------------------------------------------------------------------------
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -119,6 +137,18 @@ def test_contamination(spark, docs, rows):
     assert clean.count() == sum(not r[-1] for r in want)
 
 
+def test_contamination_by_items_of_very_many_words(spark):
+    """An item of 30,000 words, most of them the same few, against documents with some of it."""
+    rng = random.Random(9)
+    line = [rng.choice("abcdefghijklmnopqrst") * rng.randint(1, 3) for _ in range(30_000)]
+    rows = [(1, " ".join(line[100:140])), (2, " ".join(line[29_990:])), (3, "a b " * 3000), (4, " ".join(["x", *line[:11], "y", *line[500:509]])), (5, " ".join(line))]
+    items = spark.createDataFrame([(1, " ".join(line)), (2, "a b")], "item_id long, text string")
+    out = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in out.collect()}
+    assert got[1] == (40, 40, ["1"]) and got[5][:2] == (30_000, 30_000) and got[5][2][0] == "1"
+    assert got[2] == (10, 10, ["1"]) and got[3] == (6000, 6000, ["2"]) and got[4][1] >= 11 and "1" in got[4][2]
+
+
 def test_lowering_is_ascii_only(spark):
     points = [i for i in range(1, 0x11000) if not 0xD800 <= i < 0xE000]
     df = spark.createDataFrame([(chr(i),) for i in points], "text string")
@@ -570,11 +600,60 @@ def test_the_sieve_keeps_what_meets(spark, docs, number, monkeypatch):
     assert len(words) == 1 << (sieve.bits - 6)
     batch = pa.RecordBatch.from_pydict({"text": [r.text for r in docs.select("text").collect()]})
     owners: dict[int, set] = {}
-    for sid, names in jaccard._signed([batch], plans, 5, (80, 100)):
-        for name in names.tolist():
+    for sid, _, by_band in jaccard._signed([batch], plans, 5, (80, 100)):
+        for name in np.concatenate([names for _, names in by_band]).tolist():
             owners.setdefault(name, set()).add(sid)
     met = np.array([k for k, v in owners.items() if len(v) > 1], dtype=np.uint64)
     alone = np.array([k for k, v in owners.items() if len(v) == 1], dtype=np.uint64)
     assert len(met) > 20 and len(sieve.passing(met, words)) == len(met)
     if sieve.bits >= 20:
         assert len(sieve.passing(alone, words)) < len(alone) / 2  # copies in several tasks pass as well
+
+
+@pytest.mark.parametrize("leaders", [1, 3, 64])
+def test_ties_hold_all_near_sets_together(monkeypatch, leaders):
+    """Sets that differ little are tied, whatever the order; most others are not."""
+    monkeypatch.setattr(jaccard, "LEADERS", leaders)
+    rng = np.random.default_rng(leaders)
+    band = jaccard.band_limits(300)
+    h = jaccard.differences(jaccard.band_range(band)[1], (80, 100))
+    bases = [np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64)) for _ in range(30)]
+    sets = []
+    for k, base in enumerate(bases):
+        line = base
+        for _ in range(k % 5):  # a chain: each differs a little from the one before
+            line = np.unique(np.concatenate([line[rng.permutation(len(line))[h // 2 - 3 :]], rng.integers(0, 2**64, h // 2 - 3, dtype=np.uint64)]))
+            sets.append(line)
+        sets.append(base)
+    order = rng.permutation(len(sets))
+    sets = [sets[i] for i in order]
+    counts = jaccard.counts_of([jaccard.outline(s, band) for s in sets])
+    found = jaccard.Neighbours(h)
+    ids = np.arange(len(sets))
+    ties = [*found.add(ids[:10], counts[:10]), *found.add(ids[10:], counts[10:])]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in ties:
+        root[find(x)] = find(y)
+    for i, x in enumerate(sets):
+        for j in range(i):
+            apart = len(np.setxor1d(x, sets[j]))
+            assert np.abs(counts[i] - counts[j]).sum() <= apart
+            if apart <= h:
+                assert find(i) == find(j)
+
+
+def test_ties_leave_unlike_sets_apart():
+    """Thirty sets of one signature, each with a near copy."""
+    rng = np.random.default_rng(7)
+    band = jaccard.band_limits(300)
+    found = jaccard.Neighbours(jaccard.differences(jaccard.band_range(band)[1], (80, 100)))
+    bases = [np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64)) for _ in range(30)]
+    sets = [*bases, *(np.unique(np.append(b[5:], rng.integers(0, 2**64, 5, dtype=np.uint64))) for b in bases)]
+    ties = list(found.add(np.arange(60), jaccard.counts_of([jaccard.outline(s, band) for s in sets])))
+    assert sorted(ties) == [(30 + k, k) for k in range(30)]
