@@ -41,19 +41,92 @@ BLOCKS = frozenset(
 PIECES = frozenset("body caption dd dt h1 h2 h3 h4 h5 h6 li main article tbody td tfoot th thead tr".split())
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 PART = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
-    "header masthead menu nav navbar navigation newsletter notice notices pagination popup modal promo promotion related share sharing sidebar "
-    "skip social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs cmt cmts comment comments consent cookie cookies disqus "
+    "footer header masthead menu nav navbar navigation newsletter notice notices pagination popup modal promo promotion related replies reply "
+    "share sharing sidebar skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words for a thing that holds others: what it is, the word before says.
+HOLDERS = frozenset("area bar block body box buttons container content group inner item items links list panel row section slot text thread title unit wrap wrapper".split())
+#: Parts that a page and an article may both have, and words for an article; the article's own stay.
+OWN = frozenset("header footer".split())
+ARTICLE = frozenset("article entry post story".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+ROWS = frozenset("tr tbody thead tfoot".split())
+#: An end tag closes nothing outside the innermost of these, but for those that reach over them.
+WALLS = frozenset("article main body table td th".split())
+REACHING = frozenset("html body article main table div section".split())
 # what closes an open p
 SHUTS_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "summary"}
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?P<rattrs>[^>]*)>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>|</(?P<end>[a-z][\w:-]*)[^>]*>|<(?P<tag>[a-z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<tag2>[a-z][\w:-]*)(?P<attrs2>[^>]*)>",
-    re.S | re.I,
-)
+_NAME = re.compile(r"[a-z][\w:-]*", re.I)
+_RAW = re.compile(rf"({RAW})\b", re.I)
+_MARK = re.compile("[>\"']")
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, kind, name, rest) of the markup of a page: comments and the like (`skip`), `raw` elements with what they
+    hold, `end` tags, and start tags (`tag`) with their attributes. A `<` that begins none of these is text.
+
+    Whatever is left open, no stretch is searched again and again: where no `>` follows there is no further tag, an element that
+    holds raw text and is not closed goes on to the end, and quotes that were followed in vain are remembered.
+    """
+    at, size = 0, len(page)
+    vain: set[int] = set()  # quotes outside of quotes from which no end of a tag is found
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = size if end < 0 else end + 3
+            yield at, end, "skip", "", ""
+            at = end
+            continue
+        close = page.find(">", at)
+        if close < 0:  # only a comment can follow
+            at = page.find("<!--", at)
+            if at >= 0:
+                yield at, size, "skip", "", ""
+            return
+        if raw := _RAW.match(page, at + 1):
+            found = _ENDS[raw[1].lower()].search(page, close + 1)
+            yield at, found.end() if found else size, "raw", raw[1].lower(), page[close + 1 : found.start() if found else size]
+            at = found.end() if found else size
+            continue
+        if page[at + 1 : at + 2] in ("!", "?"):
+            yield at, close + 1, "skip", "", ""
+            at = close + 1
+            continue
+        ending = page.startswith("/", at + 1)
+        name = _NAME.match(page, at + 1 + ending)
+        if not name:
+            at += 1
+            continue
+        if ending:
+            yield at, close + 1, "end", name[0].lower(), ""
+            at = close + 1
+            continue
+        end = _tag_end(page, name.end(), vain)
+        end = close if end < 0 else end
+        yield at, end + 1, "tag", name[0].lower(), page[name.end() : end]
+        at = end + 1
+
+
+def _tag_end(page: str, at: int, vain: set[int]) -> int:
+    """The place of the `>` that ends a tag, those in quotes passed over; -1 if a quote stays open or none follows."""
+    tried: list[int] = []
+    while mark := _MARK.search(page, at):
+        if mark[0] == ">":
+            return mark.start()
+        if mark.start() in vain:
+            break
+        tried.append(mark.start())
+        other = page.find(mark[0], mark.end())
+        if other < 0:
+            break
+        at = other + 1
+    vain.update(tried)
+    return -1
+
+
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
@@ -67,11 +140,23 @@ def _is_part(tag: str, attrs: str, in_article: bool) -> bool:
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not PART.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and any(_names_part(x, in_article) for x in value.split()):
             return True
     return False
 
 
+def _names_part(name: str, in_article: bool) -> bool:
+    """Whether a class or id names a part that is not the article: by its last word, or the word before those for a holder.
+
+    `comment-list` is one of comments; `share-price` is a price, and `notice-board` a board.
+    """
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    while len(words) > 1 and words[-1] in HOLDERS:
+        words.pop()
+    own = words and words[-1] in OWN and (in_article or not ARTICLE.isdisjoint(words))
+    return bool(words) and words[-1] in PART and not own
+
+
 def _number(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
@@ -89,11 +174,27 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
     above: dict[int, int] = {}
     # open elements: tag, parts of the hash, first segment, foreign, zone, places of child elements in the parts
     stack: list[tuple[str, list[str], int, bool, int, list[tuple[int, int]]]] = [("", [], 0, False, 0, [])]
+    # where elements of each name, blocks, blocks other than parts of tables, and what end tags do not reach over are open
+    opened: dict[str, list[int]] = {}
+    blocks, firm, walls = [0], [0], [0]
     block = 0
     at = 0
 
+    def enter(tag: str, place: int) -> None:
+        opened.setdefault(tag, []).append(place)
+        if tag in BLOCKS:
+            blocks.append(place)
+            if tag not in ROWS:
+                firm.append(place)
+        if tag in WALLS:
+            walls.append(place)
+
     def close() -> None:
         tag, parts, first, _, zone, kids = stack.pop()
+        opened[tag].pop()
+        for places in (blocks, firm, walls):
+            if places[-1] == len(stack):
+                places.pop()
         value = xxhash.xxh3_64_intdigest("\x00".join(parts))
         if len(parts) > 2 or parts[1:] != [""]:
             surround(parts[2:], [(k - 2, n) for k, n in kids], len(found))
@@ -120,23 +221,19 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
         if not foreign:
             segments.append((block, zone, data))
 
-    for token in _TOKEN.finditer(page):
-        text(page[at : token.start()])
-        at = token.end()
-        tag = token["tag"] or token["tag2"]
-        if tag:
-            tag, attrs = tag.lower(), (token["attrs"] or token["attrs2"] or "").strip()
+    for start, end, kind, tag, rest in tokens(page):
+        text(page[at:start])
+        at = end
+        if kind == "tag":
+            attrs = rest.strip()
             if tag in BLOCKS:
                 block += 1
             shuts = CLOSES.get(tag)
-            for k in range(len(stack) - 1, 0, -1):
-                other = stack[k][0]
-                if (other == "p" and tag in SHUTS_P) or (shuts and other in shuts):
-                    while len(stack) > k:
-                        close()
-                    break
-                if other in BLOCKS and not (shuts and other in ("tr", "tbody", "thead", "tfoot")):
-                    break
+            ended = [*(shuts or ()), *(("p",) if tag in SHUTS_P else ())]
+            last = max((opened[x][-1] for x in ended if opened.get(x)), default=0)
+            if last and last >= (firm if shuts else blocks)[-1]:
+                while len(stack) > last:
+                    close()
             foreign, zone = stack[-1][3], stack[-1][4]
             if tag in VOID or attrs.endswith("/"):
                 stack[-1][1].append(f"\x02{tag}")
@@ -145,21 +242,17 @@ def parse(page: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, i
                 continue
             zone |= {"article": 2, "main": 1}.get(tag, 0)
             foreign = foreign or _is_part(tag, attrs, zone & 2 > 0)
+            enter(tag, len(stack))
             stack.append((tag, [tag, " ".join(attrs.split())], len(segments), foreign, zone, []))
-        elif token["end"]:
-            tag = token["end"].lower()
+        elif kind == "end":
             if tag in BLOCKS:
                 block += 1
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    while len(stack) > k:
-                        close()
-                    break
-                if stack[k][0] in ("article", "main", "body", "table", "td", "th") and tag not in ("html", "body", "article", "main", "table", "div", "section"):
-                    break
-        elif token["raw"]:
-            inside = token["inside"]
-            stack[-1][1].append(f"\x03{token['raw'].lower()} {xxhash.xxh3_64_intdigest(inside)}")
+            last = opened[tag][-1] if opened.get(tag) else 0
+            if last and (tag in REACHING or last >= walls[-1]):
+                while len(stack) > last:
+                    close()
+        elif kind == "raw":
+            stack[-1][1].append(f"\x03{tag} {xxhash.xxh3_64_intdigest(rest)}")
     text(page[at:])
     while len(stack) > 1:
         close()

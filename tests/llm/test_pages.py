@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import re
+import time
 
 import pytest
 
@@ -130,3 +133,69 @@ def test_block_on_a_fifth_of_a_large_host(spark, monkeypatch, broadcast):
     assert all(out[k] == f"Text number {k}.\nPage {k} ends" for k in range(170))
     assert all(out[k].count("\n") == 20 for k in range(170, 200))
     assert out[1000] == "Site line\nClosed on Monday\nText number 5.\nPage 5 ends"
+
+
+FILLER = "some more words of the article"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><p class='share-price'>A</p><p>{FILLER}</p></article>", f"A\n{FILLER}"),
+        ("<body><div id='social-history'>B</div></body>", "B"),
+        (f"<body><div class='article-header'><h1>T</h1></div><p>{FILLER}</p>", f"T\n{FILLER}"),
+        (f"<article><div class='post-header'><h1>T</h1></div><p>{FILLER}</p></article>", f"T\n{FILLER}"),
+        ("<p class='notice-board'>C</p>", "C"),
+        (f"<div class='page-header'>menu</div><p>{FILLER}</p>", FILLER),
+        (f"<p>{FILLER}</p><div class='cmt'>no</div><ol class='replies'><li>no</li></ol><div class='comment-list'>no</div>", FILLER),
+        (f"<p>{FILLER}</p><div class='ad'>no</div><div class='cookie-banner'>no</div><div id='related-links'>no</div>", FILLER),
+    ],
+)
+def test_names_of_parts(page, text):
+    assert html_text.main_text(page) == text
+
+
+# what a token is, as one pattern; it takes the square of the length on markup that is left open
+PATTERN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{html_text.RAW})\b[^>]*>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
+    r"|<[!?][^>]*>|</(?P<end>[a-z][\w:-]*)[^>]*>|<(?P<tag>[a-z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<tag2>[a-z][\w:-]*)(?P<attrs2>[^>]*)>",
+    re.S | re.I,
+)
+
+
+def plain_tokens(page):
+    for t in PATTERN.finditer(page):
+        if name := t["tag"] or t["tag2"]:
+            yield t.start(), t.end(), "tag", name.lower(), t["attrs"] if t["tag"] else t["attrs2"]
+        elif t["end"]:
+            yield t.start(), t.end(), "end", t["end"].lower(), ""
+        elif t["raw"]:
+            yield t.start(), t.end(), "raw", t["raw"].lower(), t["inside"]
+        else:
+            yield t.start(), t.end(), "skip", "", ""
+
+
+def test_tokens_of_odd_markup():
+    rng = random.Random(1)
+    bits = ["<", ">", "/", '"', "'", "!", "--", "<!--", "-->", "a", "script", "<script", "</script>", "<a ", "=", "x", " ", "<p>", "</p>", "<title>", "?", "</", '<b "', "\n"]
+    for _ in range(20_000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))
+        assert list(html_text.tokens(page)) == list(plain_tokens(page)), page
+
+
+@pytest.mark.parametrize(
+    "bit",
+    ["<script ", "<a ", '<a ">" ', '<a ">', "<!-- ", "<script>", "</script ", "<a '\"> ", "<p>word ", "<div>word ", "<b>word ", "<td>x</p>", "<li><b>x", "&amp;", "<"],
+)
+def test_a_megabyte_of_open_markup(bit):
+    page = bit * ((1 << 20) // len(bit)) + "the end"
+    begun = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begun < 12  # a second or two as a rule
+
+
+@pytest.mark.parametrize(("first", "then"), [("<b>", "</i>"), ("<i><main><b>", "</i>"), ("<span>", "<p></p>"), ("<tbody>", "<li></li>"), ("<b>", "<p></b>")])
+def test_deep_markup(first, then):
+    begun = time.process_time()
+    html_text.main_text(first * 40_000 + then * 40_000)
+    assert time.process_time() - begun < 12
