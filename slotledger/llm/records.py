@@ -38,6 +38,7 @@ SHARD_ROWS = 20_000
 BROADCAST_SHARDS = 1_000_000
 #: Distinct pieces whose ids a worker keeps at hand; beyond that it starts afresh, which changes the speed only.
 CACHE_PIECES = 600_000
+CACHE_MARKS = 10_000
 MASK_DELTA = 0xA282EAD8
 HEAD, CHECK, FRONT = "<Q", "<I", "<qB"
 FRONT_BYTES = 9
@@ -54,6 +55,7 @@ _LITTLE = sys.byteorder == "little"
 _ODD = re.compile(r"[\x00-\x1f\x7f-\xa0\xad]|(?<=.) ")
 # A space before a printable character always opens a new token, so texts may be cut there.
 _CUT = re.compile(r" (?=[!-~À-ɏ])")
+_UNCUT = re.compile(r" (?![!-~À-ɏ])")
 
 
 def masked(crc: int) -> int:
@@ -78,7 +80,7 @@ class _Spaced(dict):
         if word is None:
             ids = self.codec.other(" " + piece)
         elif word[2]:
-            ids = self[word[1]] + self.codec.merged(word[2])
+            ids = self[word[1]] + self.codec.mark(word[2])
         elif piece.isascii():
             ids = array("I", [t.id for t in self.codec.model.tokenize("\u0120" + piece)]).tobytes() if _LITTLE else self.codec.merged(" " + piece)
         else:
@@ -101,6 +103,7 @@ class Encoder:
         self.cuts = self.tokenizer.normalizer is None and words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words["add_prefix_space"]
         self.model = self.tokenizer.model
         self.spaced = _Spaced(self)
+        self.marks: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -117,6 +120,14 @@ class Encoder:
             ids.byteswap()
         return ids.tobytes()
 
+    def mark(self, marks: str) -> bytes:
+        """`merged`, remembered: few runs of marks come again and again."""
+        if (ids := self.marks.get(marks)) is None:
+            if len(self.marks) >= CACHE_MARKS:
+                self.marks.clear()
+            ids = self.marks[marks] = self.merged(marks)
+        return ids
+
     def other(self, piece: str) -> bytes:
         """The ids of a piece that is not one word; single line breaks between words are tokens of their own."""
         first, *rest = piece.split("\n")
@@ -129,16 +140,16 @@ class Encoder:
         if line[:1] == " ":
             return self.spaced[line[1:]]
         word = _SIMPLE.fullmatch(line)
-        return self.merged(word[1]) + (self.merged(word[2]) if word[2] else b"") if word else self._plain(line)
+        return self.merged(word[1]) + (self.mark(word[2]) if word[2] else b"") if word else self._plain(line)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.cuts or any(s in text for s in self.special):
             return self._plain(text)
-        first, *rest = _CUT.split(text)
-        spaced = self.spaced
-        return self.other(first) + b"".join([spaced[p] for p in rest])
+        # where every space is followed by a printable character, which is the rule, plain splitting does the same
+        first, *rest = text.split(" ") if _UNCUT.search(text) is None else _CUT.split(text)
+        return self.other(first) + b"".join(map(self.spaced.__getitem__, rest))
 
 
 _encoders: dict[str, Encoder] = {}
