@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotledger.llm.common import tidied
+
 #: Words, and stretches between white space, whose ids a worker keeps at hand (twice as many for a while); changes the speed only.
 CACHE = 300_000
 #: Ids (or characters) after which rows are handed on.
@@ -213,7 +215,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     in n log n steps; what is held is one batch of texts with its ids.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encoder(tokenizer), "doc_id long, ids array<int>")
+    return rows.mapInArrow(tidied(_encoder(tokenizer)), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -223,7 +225,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     as the library does it; with a byte-level decoder they are turned back into bytes.
     """
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(
-        _decoder(tokenizer), "doc_id long, ids array<int>, text string"
+        tidied(_decoder(tokenizer)), "doc_id long, ids array<int>, text string"
     )
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,17 @@ _LOWER[65:91] += 32
 _shipped: set[str] = set()
 
 
+#: Bytes of a batch that goes to or from a Python worker, where the session does not say otherwise than Spark's default.
+BATCH_SETTING, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each application; needed where they cannot import it themselves."""
+    """Sends this package to the executors, once for each application; needed where they cannot import it themselves.
+
+    Also makes batches smaller than Spark's default, which JVM and worker hold several times over.
+    """
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -43,6 +53,26 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def tidy() -> None:
+    """Gives back what earlier work of this Python worker has left in its pools; workers live through many tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of a task, with `tidy` before and after."""
+
+    def tidy_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
+        yield from run(batches)
+        tidy()
+
+    return tidy_run
+
+
 # -- tables in the shared folder ---------------------------------------------------------------------------------------
 
 

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import BROADCAST_KEYS, connected, dealt_anew, fresh_name, mix, pieces, release, row_key, small, sorted_groups, stored, word_names
+from slotledger.llm.common import BROADCAST_KEYS, connected, dealt_anew, fresh_name, mix, pieces, release, row_key, small, sorted_groups, stored, tidied, word_names
 
 SHINGLE = 3
 #: Similarity as a fraction: linked if PART[1] * intersection >= PART[0] * union.
@@ -35,7 +35,7 @@ THIN = 5.0
 #: Signatures are first compared by so many more bits than it takes to number them.
 PRINT_BITS = 14
 #: Signatures of a task that are sorted and packed at once, and about as many as are compared at once.
-PACKED, IN_RANGE = 1 << 22, 1 << 20
+PACKED, IN_RANGE = 1 << 20, 1 << 20
 #: The sieve has a bit for each signature that is indexed, up to 2 to the power of this (64 MB); beyond, it lets more pass.
 SIEVE_BITS = 29
 #: Leaders of the sets of one signature that are compared with further ones.
@@ -298,9 +298,9 @@ def _met(sieve: Sieve):
 
 def _sieve_words(docs: DataFrame, plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve) -> np.ndarray:
     """The sieve, 64 places in a word. Tasks send what they have sorted and packed; the driver gets bits of a fixed number."""
-    prints = docs.select("text").mapInArrow(_prints(plans, n, part, sieve), "range int, packed binary")
+    prints = docs.select("text").mapInArrow(tidied(_prints(plans, n, part, sieve)), "range int, packed binary")
     prints = prints.repartition("range").sortWithinPartitions("range")
-    met = prints.mapInArrow(_met(sieve), "range int, words binary")
+    met = prints.mapInArrow(tidied(_met(sieve)), "range int, words binary")
     out = np.zeros((1 << sieve.ranges, 1 << (sieve.bits - sieve.ranges - 6)), dtype="<u8")
     for r in met.toLocalIterator():
         out[r["range"]] = np.frombuffer(r["words"], dtype="<u8")
@@ -347,7 +347,7 @@ def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve,
                     ids.append(np.full(len(own), sid, dtype=np.int64))
                     outlines += [outline(s, band)] * len(own)
                     count += len(own)
-            if count >= PACKED // 64:
+            if count >= PACKED // 32:
                 yield rows()
                 names, ids, outlines, count = [], [], [], 0
         if count:
@@ -547,9 +547,9 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     sieve = Sieve.for_rows(sum(k * rows_of(b) for b, k in sets.items()))
     docs = _without_copies(docs, measured)
     words = docs.sparkSession.sparkContext.broadcast(_sieve_words(docs, plans, n, part, sieve))
-    rows = docs.select("text").mapInArrow(_index(plans, n, part, sieve, words), "sig long, sid long, outline binary")
+    rows = docs.select("text").mapInArrow(tidied(_index(plans, n, part, sieve, words)), "sig long, sid long, outline binary")
     rows = rows.repartition("sig").sortWithinPartitions("sig")
-    links = rows.mapInArrow(_ties(part), "a long, b long").filter("a <> b").distinct()
+    links = rows.mapInArrow(tidied(_ties(part)), "a long, b long").filter("a <> b").distinct()
     clusters = stored(connected(links, "candidates"), "clusters")
     words.unpersist()
     return clusters
@@ -588,7 +588,7 @@ def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n:
     members = members.join(blocks, "cluster")
     wanted = small(members.select("rk"), BROADCAST_KEYS)  # other texts need not be moved
     texts = docs.select("rk", "text").join(wanted, "rk", "left_semi").join(members, "rk").select("sid", "cluster", "band", "blocks", "text")
-    sets = texts.mapInArrow(_sets(n), "sid long, cluster long, band int, blocks map<int,int>, grams array<bigint>")
+    sets = texts.mapInArrow(tidied(_sets(n)), "sid long, cluster long, band int, blocks map<int,int>, grams array<bigint>")
     # a set goes, with all blocks of its own band (in order) and of the neighbouring bands, into one unit each
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")[F.col("band")]).cast("int")
     reach = max(1, math.ceil(math.log(part[1] / part[0]) / math.log(BAND_RATIO)))
@@ -603,13 +603,13 @@ def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n:
         units += [_beside(none, mine, F.lit(k)), _beside(none, mine, F.lit(-k))]
     spread = sets.select("sid", "cluster", "grams", F.inline(F.concat(*units)))
     spread = spread.repartition("cluster", "band", "i", "other", "j").sortWithinPartitions("cluster", "band", "i", "other", "j")
-    return spread.mapInArrow(_verify(part), "a long, b long")
+    return spread.mapInArrow(tidied(_verify(part)), "a long, b long")
 
 
 def grouped(docs: DataFrame, n: int = SHINGLE, part: tuple[int, int] = PART) -> DataFrame:
     """(rk, doc_id, n, label), stored: per row of `docs` the size of its set and the name of its group; null without words."""
     docs = docs.select(row_key().alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    measured = stored(docs.mapInArrow(_measure(n), "rk long, doc_id long, n long, sid long"), "sets")
+    measured = stored(docs.mapInArrow(tidied(_measure(n)), "rk long, doc_id long, n long, sid long"), "sets")
     clusters = candidate_clusters(docs, measured, n, part)
     links = stored(verified_links(docs, measured, clusters, n, part), "links")
     release(clusters)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import fresh_name, stored
+from slotledger.llm.common import fresh_name, stored, tidied
 
 #: N-grams in a profile, and in a document's own list.
 PROFILE = 300
@@ -120,7 +120,7 @@ def held_out(folds: int = FOLDS) -> Column:
 
 def learn(docs: DataFrame, size: int = PROFILE) -> Profiles:
     """Profiles from all rows of `docs` (text, lang) with a language; n-grams are summed in each task before the shuffle."""
-    counts = docs.filter("lang is not null and text is not null").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
+    counts = docs.filter("lang is not null and text is not null").select("lang", "text").mapInArrow(tidied(_count), "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = stored(counts.withColumn("rank", rank).filter(F.col("rank") <= size), "profiles")
