@@ -183,7 +183,11 @@ def digest(out: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs`, all columns, in which no window of an item occurs."""
+    """The rows of `docs`, all columns, in which no window of an item occurs.
+
+    Null and empty texts stay, and so do equal rows, as many as there are, unless a window occurs in them; where there are no
+    items all rows stay.
+    """
     found = contamination(docs, items, window).filter("contaminated").select("rk").distinct()
     key = fresh_name(docs, "rk")
     bad = small(stored(found, "contaminated").withColumnRenamed("rk", key), BROADCAST_KEYS)

@@ -147,7 +147,11 @@ def prediction(profiles: Profiles) -> Column:
 
 
 def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """Per row of `docs`: doc_id, held_out, lang_pred, score. Repeated rows, ties and empty tables need no care."""
+    """Per row of `docs`: doc_id, held_out, lang_pred, score.
+
+    Null and empty texts, and those without a letter, are `und` with score 0. Whole texts are read, however long. Repeated rows
+    get equal results, equal distances the first language by name; an empty table gives no rows; other columns are not looked at.
+    """
     return docs.select("doc_id", held_out().alias("held_out"), prediction(profiles).alias("found")).select("doc_id", "held_out", "found.*")
 
 

@@ -139,7 +139,11 @@ def each_copy(taken: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, domain: Column | None = None, **options: object) -> DataFrame:
-    """The rows of `docs`, all columns, each as often as its leaf takes it."""
+    """The rows of `docs`, all columns, each as often as its leaf takes it.
+
+    Null levels make a leaf of their own; null and empty texts cost nothing and are taken whole times only. Equal rows are taken
+    alike, each as often as it stands there; ties of the seeded order are told apart by the row key. An empty table stays empty.
+    """
     # one column of row key and levels: rows equal in id and text may stand in leaves of their own
     key = fresh_name(docs, "unit")
     taken = select_documents(docs, domain=domain, **options).select("rk", *(_named(F.col(c)) for c in LEVELS))
