@@ -10,7 +10,10 @@ from slotledger.llm.queries import tokenizer_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; profiles are learned from those that are not held out."""
+    """Documents whose language can be told, which becomes their `lang`; profiles are learned from those that are not held out.
+
+    Texts that are null or have no letter go. Equal rows and other columns stay.
+    """
     ship(spark)
     return language.with_known_language(docs, language.learn(docs.filter(~language.held_out())))
 
@@ -20,25 +23,31 @@ DUPLICATE_WORDS, DUPLICATE_PART = 5, (80, 100)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, that of the smallest doc_id; of equal rows one.
+
+    Documents without words are in no group and stay.
+    """
     ship(spark)
     return jaccard.one_of_each_group(docs, DUPLICATE_WORDS, DUPLICATE_PART)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
+    """Documents without a passage of a benchmark item; texts without words stay."""
     ship(spark)
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the budget of their domain, language and source takes them."""
+    """Documents as often as the budget of their domain, language and source takes them; null levels are values of their own."""
     ship(spark)
     return mixing.mixed(docs)
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids written as binary records and read back: doc_id, start, n_tokens, ids_crc32."""
+    """Token ids written as binary records and read back: doc_id, start, n_tokens, ids_crc32.
+
+    A row for each row, repeated ones too, in ascending doc_id; an empty text is the end id alone.
+    """
     ship(spark)
     return records.encode_and_read_back(docs, tokenizer_path(), new_folder(spark, "corpus"))
 
