@@ -17,7 +17,7 @@ from slotledger.workload import tables as t
 
 SF = "/root/testdata/sf0.001"
 # the document operators may run Python in tasks; their plans are tested with them
-QUERIES = {k: f for k, f in registry.queries().items() if not k.startswith(("op", "pipeline"))}
+QUERIES = {k: f for k, f in registry.queries().items() if k not in registry.LLM_QUERIES}
 
 
 def plan(df) -> str:
