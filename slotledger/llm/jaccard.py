@@ -12,7 +12,7 @@ Candidates are verified exactly.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -422,18 +422,59 @@ def _ties(part: tuple[int, int]):
     return run
 
 
-def _sets(n: int):
+def _sets(n: int, columns: list[str]):
+    """The shingles of the column `text`, as `grams`, beside other columns."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, found in shingle_sets(batch.column("text"), n):
                 limits = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(limits), pa.array(np.concatenate(found).view(np.int64)))
-                part = [batch.column(c).slice(first, len(found)) for c in ("sid", "cluster", "band", "blocks")]
-                yield pa.RecordBatch.from_arrays([*part, column], names=["sid", "cluster", "band", "blocks", "grams"])
+                part = [batch.column(c).slice(first, len(found)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*part, column], names=[*columns, "grams"])
 
     return sets
 
 
+def _arrays(table: pa.Table) -> list[np.ndarray]:
+    """The sets of a table."""
+    column = table.column("grams").combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = column.chunk(0)
+    limits = column.offsets.to_numpy()
+    values = column.values.to_numpy().view(np.uint64)
+    return [values[x:y] for x, y in zip(limits[:-1], limits[1:])]
+
+
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _stars(part: tuple[int, int]):
+    """(a, b): the sets of a block of a cluster that are linked with its leader, which bears the cluster's name."""
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out_a, out_b = [], []
+        for group in sorted_groups(batches, ["cluster", "at"]):
+            cluster, sid = group.column("cluster")[0].as_py(), group.column("sid").to_numpy()
+            sets, lead = _arrays(group), int(np.flatnonzero(sid == cluster)[0])
+            leader = sets[lead]
+            for k, s in enumerate(sets):
+                if k != lead:
+                    at = np.minimum(np.searchsorted(leader, s), len(leader) - 1)
+                    common = int((leader[at] == s).sum())
+                    if part[1] * common >= part[0] * (len(s) + len(leader) - common):
+                        out_a.append(int(sid[k]))
+                        out_b.append(cluster)
+            if len(out_a) > 10_000:
+                yield _pairs(out_a, out_b)
+                out_a, out_b = [], []
+        if out_a:
+            yield _pairs(out_a, out_b)
+
+    return stars
+
+
 def linked_pairs(a: list[np.ndarray], b: list[np.ndarray] | None, part: tuple[int, int]) -> Iterator[tuple[int, int]]:
     """Indices of linked sets: within `a`, or between `a` and `b`; leaves out pairs that others already connect.
 
@@ -468,26 +509,20 @@ def linked_pairs(a: list[np.ndarray], b: list[np.ndarray] | None, part: tuple[in
                 yield i, j
 
 
-def _verify(part: tuple[int, int]):
-    keys = ["cluster", "band", "i", "other", "j"]
+UNIT = ["cluster", "cross", "band", "i", "other", "j"]
 
-    def arrays(table: pa.Table) -> list[np.ndarray]:
-        column = table.column("grams").combine_chunks()
-        if isinstance(column, pa.ChunkedArray):
-            column = column.chunk(0)
-        limits = column.offsets.to_numpy()
-        values = column.values.to_numpy().view(np.uint64)
-        return [values[x:y] for x, y in zip(limits[:-1], limits[1:])]
 
+def _verify(part: tuple[int, int]):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_a, out_b = [], []
-        for group in sorted_groups(batches, keys):
+        for group in sorted_groups(batches, UNIT):
             if group.num_rows < 2:
                 continue
             sid = group.column("sid").to_numpy()
             right = group.column("right").to_numpy(zero_copy_only=False).astype(bool)
-            sets = arrays(group)
-            same = group.column("band")[0].as_py() == group.column("other")[0].as_py() and group.column("i")[0].as_py() == group.column("j")[0].as_py()
+            sets = _arrays(group)
+            cross, band, i, other, j = (group.column(c)[0].as_py() for c in UNIT[1:])
+            same = not cross and (band, i) == (other, j)
             a = np.flatnonzero(~right)
             b = None if same else np.flatnonzero(right)
             if not len(a) or (b is not None and not len(b)):
@@ -496,10 +531,10 @@ def _verify(part: tuple[int, int]):
                 out_a.append(sid[a[x]])
                 out_b.append(sid[a[y]] if b is None else sid[b[y]])
             if len(out_a) > 10_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+                yield _pairs(out_a, out_b)
                 out_a, out_b = [], []
         if out_a:
-            yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+            yield _pairs(out_a, out_b)
 
     return verify
 
@@ -555,55 +590,87 @@ def candidate_clusters(docs: DataFrame, measured: DataFrame, n: int, part: tuple
     return clusters
 
 
-def _beside(none: Column, mine: Column, step: Column) -> Column:
-    """The units in which a set meets the blocks of the band `step` above or below its own; `none` where there is no such band."""
-    other = F.col("band") + step
-    up = step > 0
+def _unit(cross: bool, band: Column, i: Column, other: Column, j: Column, right: Column) -> Column:
+    return F.struct(F.lit(cross).alias("cross"), band.alias("band"), i.alias("i"), other.alias("other"), j.alias("j"), right.alias("right"))
+
+
+_NO_UNITS = "array<struct<cross:boolean,band:int,i:int,other:int,j:int,right:boolean>>"
+
 
-    def unit(block: Column) -> Column:
-        return F.struct(
-            F.least("band", other).alias("band"),
-            F.when(up, mine).otherwise(block).alias("i"),
-            F.greatest("band", other).alias("other"),
-            F.when(up, block).otherwise(mine).alias("j"),
-            (~up).alias("right"),
-        )
+def _each_block(blocks: Column, unit: Callable[[Column], Column]) -> Column:
+    """A unit for each of so many blocks; none where there is no such band."""
+    return F.when(blocks.isNull(), F.array().cast(_NO_UNITS)).otherwise(F.transform(F.sequence(F.lit(0), blocks - 1), unit))
 
-    blocks = F.col("blocks")[other]
-    return F.when(blocks.isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), blocks - 1), unit))
+
+def _units(reach: int) -> Column:
+    """The units of work of a set: `rest` ones meet each other and all others, these meet only rest ones.
+
+    `rest_blocks` and `other_blocks` say how many blocks of either kind a band of the cluster has.
+    """
+    band, rest = F.col("band"), F.col("rest")
+    mine = F.pmod(F.xxhash64("sid"), F.when(rest, F.col("rest_blocks")[band]).otherwise(F.col("other_blocks")[band])).cast("int")
+    alone, among, across = F.lit(False), [], []
+    among.append(_each_block(F.col("rest_blocks")[band], lambda j: _unit(False, band, F.least(mine, j), band, F.greatest(mine, j), mine > j)))
+    for k in range(-reach, reach + 1):
+        far = band + k
+        if k:  # blocks of another band: the lower band stands first
+            among.append(
+                _each_block(
+                    F.col("rest_blocks")[far],
+                    (lambda j: _unit(False, band, mine, far, j, alone)) if k > 0 else (lambda j: _unit(False, far, j, band, mine, ~alone)),  # noqa: B023
+                )
+            )
+        with_rest = _each_block(F.col("rest_blocks")[far], lambda j: _unit(True, band, mine, far, j, alone))  # noqa: B023
+        with_others = _each_block(F.col("other_blocks")[far], lambda i: _unit(True, far, i, band, mine, ~alone))  # noqa: B023
+        across.append(F.when(rest, with_others).otherwise(with_rest))
+    return F.concat(F.when(rest, F.concat(*among)).otherwise(F.array().cast(_NO_UNITS)), *across)
+
+
+def _blocks_by_band(members: DataFrame, name: str) -> DataFrame:
+    blocks = members.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("k"))
+    return blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "k"))).alias(name))
 
 
 def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n: int, part: tuple[int, int]) -> DataFrame:
-    """(a, b): links between sets of one cluster, enough of them to connect whatever is linked.
+    """(a, b), stored: links between sets of one cluster, enough of them to connect whatever is linked.
 
-    A cluster is cut by size band and, within a band, into blocks of about BLOCK_SHINGLES; blocks of one band or of bands that
-    can be linked meet in a unit of work of its own, so that no group is held whole.
+    First every set meets the leader of its cluster, in blocks of about BLOCK_SHINGLES that the leader is sent to. Sets linked
+    with it are connected already, so of the others, the rest, each meets the rest and all those, but these not each other.
+    There a cluster is cut by size band and, within a band, into blocks; blocks of one band or of bands that can be linked
+    meet in a unit of work of its own, so that no group is held whole. A cluster of copies that are like its leader moves
+    once, however large it is.
     """
     one = measured.filter("n > 0").groupBy("sid", "n").agg(F.min("rk").alias("rk"))
     members = one.join(clusters.select(F.col("node").alias("sid"), F.col("label").alias("cluster")), "sid")
-    members = members.withColumn("band", _band_column("n"))
-    members = stored(members, "members")
-    blocks = members.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("k"))
-    blocks = blocks.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "k"))).alias("blocks"))
-    members = members.join(blocks, "cluster")
-    wanted = small(members.select("rk"), BROADCAST_KEYS)  # other texts need not be moved
-    texts = docs.select("rk", "text").join(wanted, "rk", "left_semi").join(members, "rk").select("sid", "cluster", "band", "blocks", "text")
-    sets = texts.mapInArrow(tidied(_sets(n)), "sid long, cluster long, band int, blocks map<int,int>, grams array<bigint>")
-    # a set goes, with all blocks of its own band (in order) and of the neighbouring bands, into one unit each
-    mine = F.pmod(F.xxhash64("sid"), F.col("blocks")[F.col("band")]).cast("int")
+    members = stored(members.withColumn("band", _band_column("n")), "members")
+
+    def sets(of: DataFrame, columns: list[str]) -> DataFrame:
+        wanted = small(of.select("rk"), BROADCAST_KEYS)  # other texts need not be moved
+        texts = docs.select("rk", "text").join(wanted, "rk", "left_semi").join(of, "rk").select(*columns, "text")
+        schema = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in columns)
+        return texts.mapInArrow(tidied(_sets(n, columns)), f"{schema}, grams array<bigint>")
+
+    parts = members.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    own = F.array(F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+    places = F.when(F.col("sid") == F.col("cluster"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)
+    spread = sets(members.join(parts, "cluster"), ["sid", "cluster", "parts"]).select("sid", "cluster", F.explode(places).alias("at"), "grams")
+    spread = spread.repartition("cluster", "at").sortWithinPartitions("cluster", "at")
+    stars = stored(spread.mapInArrow(tidied(_stars(part)), "a long, b long"), "stars")
+
+    others = members.filter("sid <> cluster").join(stars.select(F.col("a").alias("sid"), F.lit(False).alias("rest")), "sid", "left")
+    others = stored(others.withColumn("rest", F.coalesce("rest", F.lit(True))), "others")
+    # a single set that is unlike the leader has nothing else to meet
+    left = others.groupBy("cluster").agg(F.count("*").alias("sets"), F.bool_or("rest").alias("open")).filter("open and sets > 1").select("cluster")
+    left = others.join(dealt_anew(left, "cluster"), "cluster", "left_semi")
+    maps = _blocks_by_band(left.filter("rest"), "rest_blocks").join(_blocks_by_band(left.filter("not rest"), "other_blocks"), "cluster", "left")
+    maps = maps.withColumn("other_blocks", F.coalesce("other_blocks", F.create_map().cast("map<int,int>")))
+    columns = ["sid", "cluster", "band", "rest", "rest_blocks", "other_blocks"]
     reach = max(1, math.ceil(math.log(part[1] / part[0]) / math.log(BAND_RATIO)))
-    units = [
-        F.transform(
-            F.sequence(F.lit(0), F.col("blocks")[F.col("band")] - 1),
-            lambda j: F.struct(F.col("band").alias("band"), F.least(mine, j).alias("i"), F.col("band").alias("other"), F.greatest(mine, j).alias("j"), (mine > j).alias("right")),
-        )
-    ]
-    none = F.array().cast("array<struct<band:int,i:int,other:int,j:int,right:boolean>>")
-    for k in range(1, reach + 1):
-        units += [_beside(none, mine, F.lit(k)), _beside(none, mine, F.lit(-k))]
-    spread = sets.select("sid", "cluster", "grams", F.inline(F.concat(*units)))
-    spread = spread.repartition("cluster", "band", "i", "other", "j").sortWithinPartitions("cluster", "band", "i", "other", "j")
-    return spread.mapInArrow(tidied(_verify(part)), "a long, b long")
+    spread = sets(left.join(maps, "cluster"), columns).select("sid", "cluster", "grams", F.inline(_units(reach)))
+    spread = spread.repartition(*UNIT).sortWithinPartitions(*UNIT)
+    links = stored(spread.mapInArrow(tidied(_verify(part)), "a long, b long").unionByName(stars), "links")
+    release(others, stars, members)
+    return links
 
 
 def grouped(docs: DataFrame, n: int = SHINGLE, part: tuple[int, int] = PART) -> DataFrame:
@@ -611,7 +678,7 @@ def grouped(docs: DataFrame, n: int = SHINGLE, part: tuple[int, int] = PART) ->
     docs = docs.select(row_key().alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(docs.mapInArrow(tidied(_measure(n)), "rk long, doc_id long, n long, sid long"), "sets")
     clusters = candidate_clusters(docs, measured, n, part)
-    links = stored(verified_links(docs, measured, clusters, n, part), "links")
+    links = verified_links(docs, measured, clusters, n, part)
     release(clusters)
     groups = connected(links, "groups").withColumnsRenamed({"node": "sid"})
     return stored(measured.join(groups, "sid", "left").select("rk", "doc_id", "n", F.coalesce("label", "sid").alias("label")), "grouped")

@@ -657,3 +657,58 @@ def test_ties_leave_unlike_sets_apart():
     sets = [*bases, *(np.unique(np.append(b[5:], rng.integers(0, 2**64, 5, dtype=np.uint64))) for b in bases)]
     ties = list(found.add(np.arange(60), jaccard.counts_of([jaccard.outline(s, band) for s in sets])))
     assert sorted(ties) == [(30 + k, k) for k in range(30)]
+
+
+def hot_cluster(spark, copies: int, tmp: str, monkeypatch) -> tuple[int, int]:
+    """Near copies of one text: their groups, and how many sets were sent to be verified."""
+    rng = random.Random(copies)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(copies):
+        line = list(base)
+        line[rng.randrange(300)] = f"c{k}"
+        rows.append((k, " ".join(line)))
+    sent = spark.sparkContext.accumulator(0)
+    groups = jaccard.sorted_groups
+
+    def counting(batches, keys):
+        for group in groups(batches, keys):
+            if keys[0] == "cluster":
+                sent.add(group.num_rows)
+            yield group
+
+    monkeypatch.setattr(jaccard, "sorted_groups", counting)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 6000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = jaccard.near_duplicate_groups(df).select("component_id").distinct().count()
+    monkeypatch.undo()
+    return found, sent.value
+
+
+def test_a_hot_cluster_moves_in_proportion(spark, tmp_path, monkeypatch):
+    sent = []
+    for copies in (150, 300, 600):
+        groups, moved = hot_cluster(spark, copies, str(tmp_path), monkeypatch)
+        assert groups == 1
+        sent.append(moved)
+    assert sent[1] < 2.3 * sent[0] and sent[2] < 2.3 * sent[1] and sent[2] < 3 * 600
+
+
+def test_sets_unlike_their_leader_still_meet(spark, monkeypatch):
+    """Chains and groups whose smallest set is unlike the others, over several bands and in blocks of a few sets."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 300)
+    rng = random.Random(3)
+    rows, n = [], 0
+    for g in range(12):
+        line = [f"g{g}w{k}" for k in range(rng.choice((40, 70, 110)))]
+        for _ in range(25):
+            line = list(line)
+            for _ in range(rng.randint(0, 2)):
+                line[rng.randrange(len(line))] = f"x{n}"
+            if rng.random() < 0.3:
+                line = line[: len(line) - rng.randint(0, 4)] + [f"y{n}z{i}" for i in range(rng.randint(0, 4))]
+            rows.append((n, " ".join(line)))
+            n += 1
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(jaccard.near_duplicate_groups(df), "doc_id", "n_shingles", "component_id") == components(rows)
