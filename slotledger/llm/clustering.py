@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import discard, new_folder
+from slotledger.llm.common import discard, new_folder, tidied
 
 COMPONENTS = 64
 SCALE = 256
@@ -113,7 +113,7 @@ def _partial_sums(k: int, width: int):
 
 def _summed(state: DataFrame, k: int, width: int) -> list[list[int]]:
     """Exact sums by cluster: components, number, distances. At most k * (width + 2) rows reach the driver."""
-    parts = state.select("v", "cluster", "distance").mapInArrow(_partial_sums(k, width), "cluster int, j int, s string")
+    parts = state.select("v", "cluster", "distance").mapInArrow(tidied(_partial_sums(k, width)), "cluster int, j int, s string")
     out = [[0] * (width + 2) for _ in range(k)]
     for r in parts.groupBy("cluster", "j").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect():
         out[r.cluster][r.j] = int(r.s)
@@ -146,7 +146,7 @@ def cluster(
         return Clustering(spark.createDataFrame([], STATE), [], [], [])
     moved = centroids
     for r in range(rounds + 1):
-        following, path_after = store(state.mapInArrow(_step(moved, centroids), STATE))
+        following, path_after = store(state.mapInArrow(tidied(_step(moved, centroids)), STATE))
         sums = _summed(following, len(start), components)
         discard(spark, path)
         state, path = following, path_after

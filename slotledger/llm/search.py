@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import stored
+from slotledger.llm.common import stored, tidied
 
 TOP = 10
 #: Documents aimed at in a cell and in a block, and most numbers in the matrix of a cell (documents times terms of the items).
 CELL_DOCS, BLOCK_DOCS, CELL_ENTRIES = 4096, 512, 1 << 24
-CELLS_IN_TASK = 8
+CELLS_IN_TASK = 2
 #: Random projections of a sketch; their signs are the place of a document.
 PLANES, SEED = 32, 13
 #: Cells in which an item is scored first.
@@ -61,7 +61,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def item_terms(items: DataFrame) -> DataFrame:
     """(item_id, terms, repeats): each distinct item with its different terms and how often it has them; those without terms go."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).distinct()
-    return rows.mapInArrow(_counted, "item_id long, terms array<binary>, repeats array<long>").filter(F.size("terms") > 0)
+    return rows.mapInArrow(tidied(_counted), "item_id long, terms array<binary>, repeats array<long>").filter(F.size("terms") > 0)
 
 
 def _cost():
@@ -289,7 +289,7 @@ def build_index(docs: DataFrame, batch: Batch, cell_docs: int = CELL_DOCS, block
     """The index of all documents for the terms of a batch; None if no document has a term."""
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    forward = rows.mapInArrow(_forward(context.broadcast(batch.vocabulary)), "doc_id long, n long, terms array<int>, counts array<int>")
+    forward = rows.mapInArrow(tidied(_forward(context.broadcast(batch.vocabulary))), "doc_id long, n long, terms array<int>, counts array<int>")
     forward = stored(forward.filter("n > 0"), "forward")
     number, length, held = forward.agg(F.count("*"), F.sum("n"), F.count_if(F.size("terms") > 0)).first()
     if not held:
@@ -300,11 +300,11 @@ def build_index(docs: DataFrame, batch: Batch, cell_docs: int = CELL_DOCS, block
     tasks = max(-(-held // (cell_docs * CELLS_IN_TASK)), min(context.defaultParallelism, -(-held // 256)))
     plan = plan_of(batch, weights)
     placed = forward.filter(F.size("terms") > 0).mapInArrow(
-        _placed(number, length, context.broadcast(weights)), "doc_id long, terms array<int>, impacts array<int>, place long"
+        tidied(_placed(number, length, context.broadcast(weights))), "doc_id long, terms array<int>, impacts array<int>, place long"
     )
     order = ("place", F.xxhash64("doc_id"))  # copies have one place; the second key parts them
     laid = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("place")
-    cells = stored(laid.mapInArrow(_packed(context.broadcast(plan), cell_docs, block_docs), CELL), "cells")
+    cells = stored(laid.mapInArrow(tidied(_packed(context.broadcast(plan), cell_docs, block_docs)), CELL), "cells")
     return Index(cells, plan)
 
 
@@ -402,16 +402,16 @@ def search(index: Index, batch: Batch, top: int = TOP) -> DataFrame:
     spark = index.cells.sparkSession
     plan = spark.sparkContext.broadcast(index.plan)
     summaries = index.cells.select("cell", "top_terms", "tops", "list_terms", "list_blocks", "maxima")
-    promise = summaries.mapInArrow(_promise(plan), "item int, cell long, bound long")
+    promise = summaries.mapInArrow(tidied(_promise(plan)), "item int, cell long, bound long")
     rank = F.row_number().over(W.partitionBy("item").orderBy(F.desc("bound"), "cell"))
     first = promise.withColumn("rank", rank).filter(F.col("rank") <= FIRST_CELLS).groupBy("cell").agg(F.collect_set("item").alias("items"))
     # FIRST_CELLS rows for each item of the batch at most
     some = index.cells.select("cell", "doc_ids", "ends", "terms", "impacts").join(F.broadcast(first), "cell")
-    tenth = _highest(some.mapInArrow(_scored(plan, None, top), _FOUND), top).filter(F.col("rank") == top)
+    tenth = _highest(some.mapInArrow(tidied(_scored(plan, None, top)), _FOUND), top).filter(F.col("rank") == top)
     least = np.ones(len(batch.terms), dtype=np.int64)
     for r in tenth.select("item", "score").collect():
         least[r.item] = r.score
-    return _highest(index.cells.mapInArrow(_scored(plan, least, top), _FOUND), top)
+    return _highest(index.cells.mapInArrow(tidied(_scored(plan, least, top)), _FOUND), top)
 
 
 def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, cell_docs: int = CELL_DOCS, block_docs: int = BLOCK_DOCS) -> DataFrame:
