@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from array import array
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
@@ -31,6 +32,9 @@ CACHE = 300_000
 BATCH_UNITS = 4_000_000
 
 _BLANK = re.compile("[ \t\n\r]+")
+# ASCII letters and marks after them; the apostrophe, which may open a word of its own, is not among the marks.
+_LETTERS, _MARKS = string.ascii_letters, "".join(c for c in string.punctuation if c != "'")
+_PLAIN_STRETCH = re.compile(f"([A-Za-z]+)([{re.escape(_MARKS)}]*)")
 # Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_OF = {chr(b): b for b in _PLAIN} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
@@ -112,6 +116,7 @@ class Coder:
         self.normalizer, self.words = tokenizer.normalizer, tokenizer.pre_tokenizer
         self.known = Recent(self.word, CACHE)
         self.stretches = Recent(self.section, CACHE) if self._blanks_part(told["pre_tokenizer"]) else None
+        self.letters = self._letters_and_marks() if self.stretches is not None else None
         self.strings = [""] * (1 + max([*self.vocabulary.values(), *special.values()]))
         for token, i in [*self.vocabulary.items(), *special.items()]:
             self.strings[i] = token
@@ -127,6 +132,17 @@ class Coder:
         removes = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
         return bool(removes) and not any(_BLANK.search(s) for s in self.special) and [w for w, _ in self.split("a b\t\n\rc ")] == ["a", "b", "c"]
 
+    def _letters_and_marks(self) -> Callable[[str], str] | None:
+        """What becomes of the letters where a run of letters is one word and the marks after it are another; None where not."""
+        if any(re.fullmatch(f"[A-Za-z]*[{re.escape(_MARKS)}]*", s) for s in self.special):
+            return None
+        words = lambda text: [w for w, _ in self.split(text)]
+        for change in (str.lower, str):
+            asked = [(_LETTERS, [change(_LETTERS)]), (f"aB{_MARKS}", [change("aB"), _MARKS]), *((f"aB{c}{c}", [change("aB"), c + c]) for c in _MARKS)]
+            if all(words(text) == parts for text, parts in asked):
+                return change
+        return None
+
     def split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
@@ -138,6 +154,8 @@ class Coder:
         return array("i", ids).tobytes()
 
     def section(self, text: str) -> bytes:
+        if self.letters is not None and (plain := _PLAIN_STRETCH.fullmatch(text)):
+            return self.known[self.letters(plain[1])] + (self.known[plain[2]] if plain[2] else b"")
         out: list[bytes] = []
         for k, part in enumerate(self.parts.split(text) if self.parts else [text]):
             if k % 2:
