@@ -38,8 +38,8 @@ PRINT_BITS = 14
 PACKED, IN_RANGE = 1 << 20, 1 << 20
 #: The sieve has a bit for each signature that is indexed, up to 2 to the power of this (64 MB); beyond, it lets more pass.
 SIEVE_BITS = 29
-#: Leaders of the sets of one signature that are compared with further ones.
-LEADERS = 64
+#: Leaders of the sets of one signature that are compared with further ones; beyond, unlike sets are tied and cost more to verify.
+LEADERS = 2048
 #: Shingles aimed at in one block of a verification (8 bytes each).
 BLOCK_SHINGLES = 200_000
 
@@ -653,7 +653,7 @@ def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n:
     parts = members.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("parts"))
     own = F.array(F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     places = F.when(F.col("sid") == F.col("cluster"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)
-    spread = sets(members.join(parts, "cluster"), ["sid", "cluster", "parts"]).select("sid", "cluster", F.explode(places).alias("at"), "grams")
+    spread = sets(members.join(small(parts, BROADCAST_KEYS), "cluster"), ["sid", "cluster", "parts"]).select("sid", "cluster", F.explode(places).alias("at"), "grams")
     spread = spread.repartition("cluster", "at").sortWithinPartitions("cluster", "at")
     stars = stored(spread.mapInArrow(tidied(_stars(part)), "a long, b long"), "stars")
 
@@ -661,12 +661,12 @@ def verified_links(docs: DataFrame, measured: DataFrame, clusters: DataFrame, n:
     others = stored(others.withColumn("rest", F.coalesce("rest", F.lit(True))), "others")
     # a single set that is unlike the leader has nothing else to meet
     left = others.groupBy("cluster").agg(F.count("*").alias("sets"), F.bool_or("rest").alias("open")).filter("open and sets > 1").select("cluster")
-    left = others.join(dealt_anew(left, "cluster"), "cluster", "left_semi")
+    left = others.join(small(dealt_anew(left, "cluster"), BROADCAST_KEYS), "cluster", "left_semi")
     maps = _blocks_by_band(left.filter("rest"), "rest_blocks").join(_blocks_by_band(left.filter("not rest"), "other_blocks"), "cluster", "left")
     maps = maps.withColumn("other_blocks", F.coalesce("other_blocks", F.create_map().cast("map<int,int>")))
     columns = ["sid", "cluster", "band", "rest", "rest_blocks", "other_blocks"]
     reach = max(1, math.ceil(math.log(part[1] / part[0]) / math.log(BAND_RATIO)))
-    spread = sets(left.join(maps, "cluster"), columns).select("sid", "cluster", "grams", F.inline(_units(reach)))
+    spread = sets(left.join(small(maps, BROADCAST_KEYS), "cluster"), columns).select("sid", "cluster", "grams", F.inline(_units(reach)))
     spread = spread.repartition(*UNIT).sortWithinPartitions(*UNIT)
     links = stored(spread.mapInArrow(tidied(_verify(part)), "a long, b long").unionByName(stars), "links")
     release(others, stars, members)
