@@ -313,20 +313,21 @@ def outline_places(band: int) -> int:
 
 
 def outline(s: np.ndarray, band: int) -> bytes:
-    """How many shingles a set has in each place, up to 15, two in a byte, after the band.
+    """How many shingles a set has in each place, up to 15, two in a byte, after the band and the size of the set.
 
     The sum of the differences of two outlines is at most the number of shingles in which the sets differ.
     """
     places = outline_places(band)
     counts = np.bincount((s >> np.uint64(65 - places.bit_length())).astype(np.int64), minlength=places)
     counts = np.minimum(counts, 15).astype(np.uint8)
-    return bytes([band]) + (counts[::2] << 4 | counts[1::2]).tobytes()
+    return bytes([band]) + len(s).to_bytes(7, "little") + (counts[::2] << 4 | counts[1::2]).tobytes()
 
 
-def counts_of(outlines: list[bytes]) -> np.ndarray:
-    """Outlines of one band as rows of counts."""
-    packed = np.frombuffer(b"".join(outlines), dtype=np.uint8).reshape(len(outlines), -1)[:, 1:]
-    return np.concatenate([packed >> 4, packed & 15], axis=1).astype(np.int16)
+def counts_of(outlines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The sizes of sets, and their outlines, of one band, as rows of counts."""
+    packed = np.frombuffer(b"".join(outlines), dtype=np.uint8).reshape(len(outlines), -1)
+    sizes = packed[:, :8].copy().view("<u8")[:, 0] >> np.uint64(8)
+    return sizes.astype(np.int64), np.concatenate([packed[:, 8:] >> 4, packed[:, 8:] & 15], axis=1).astype(np.int16)
 
 
 def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve, words: Broadcast):
@@ -359,39 +360,52 @@ def _index(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve,
 class Neighbours:
     """The sets of one signature, seen one after another, tied together where they may be linked.
 
-    A tie has a leader and a radius, the largest distance of a member's outline from the leader's. A set whose outline is
-    farther from a leader than the radius and `h` differs from every member in more than `h` shingles, by the triangle
-    inequality; otherwise it joins. So sets that differ in `h` shingles or fewer are always tied, and only leaders are held.
-    Beyond LEADERS leaders all further sets are tied to the first.
+    A tie has a leader, a radius, the largest distance of a member's outline from the leader's, and the size of its largest set.
+    Linked sets of known sizes differ in so many shingles at most. A set whose outline is farther from a leader than that and the
+    radius together differs from every member in more, by the triangle inequality; otherwise it joins. So linked sets are
+    always tied, and only leaders are held. Beyond LEADERS leaders all further sets are tied to the first.
     """
 
-    def __init__(self, h: int):
-        self.h, self.ids, self.radius = h, [], []
+    def __init__(self, part: tuple[int, int] = PART):
+        self.part, self.ids = part, []
+        self.radius, self.largest = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.outlines: np.ndarray | None = None
 
-    def add(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    def _apart(self, sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """The most shingles in which linked sets of such sizes differ; the other is no larger than a linked one can be."""
+        others = np.minimum(others, sizes * self.part[1] // self.part[0])
+        return (sizes + others) * (self.part[1] - self.part[0]) // (self.part[1] + self.part[0])
+
+    def _lead(self, x: int, size: int, own: np.ndarray) -> None:
+        self.ids.append(x)
+        self.radius, self.largest = np.append(self.radius, 0), np.append(self.largest, size)
+        self.outlines = own[None] if self.outlines is None else np.concatenate([self.outlines, own[None]])
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int]]:
         """Pairs that tie these sets to each other and to those before."""
         start = 0
         if self.outlines is None:
-            self.ids, self.radius, self.outlines = [int(ids[0])], [0], counts[:1]
+            self._lead(int(ids[0]), int(sizes[0]), counts[0])
             start = 1
+            if len(ids) == 1:
+                return
         if len(self.ids) == 1:
             far = np.abs(counts[start:] - self.outlines[0]).sum(axis=1)
-            if far.max(initial=0) <= self.h:
+            if (far <= self.radius[0] + self._apart(sizes[start:], np.full(len(far), self.largest[0]))).all():
                 self.radius[0] = max(self.radius[0], int(far.max(initial=0)))
+                self.largest[0] = max(self.largest[0], int(sizes[start:].max(initial=0)))
                 yield from ((int(x), self.ids[0]) for x in ids[start:])
                 return
-        for x, own in zip(ids[start:].tolist(), counts[start:]):
+        for x, size, own in zip(ids[start:].tolist(), sizes[start:].tolist(), counts[start:]):
             far = np.abs(self.outlines - own).sum(axis=1)
-            near = np.flatnonzero(far <= np.array(self.radius) + self.h)
+            near = np.flatnonzero(far <= self.radius + self._apart(np.full(len(far), size), self.largest))
             if len(near):
                 first = int(near[0])
                 self.radius[first] = max(self.radius[first], int(far[first]))
+                self.largest[first] = max(self.largest[first], size)
                 yield from ((x, self.ids[k]) for k in near.tolist())
             elif len(self.ids) < LEADERS:
-                self.ids.append(x)
-                self.radius.append(0)
-                self.outlines = np.concatenate([self.outlines, own[None]])
+                self._lead(x, size, own)
             else:
                 self.radius[0] = 1 << 30
                 yield x, self.ids[0]
@@ -402,7 +416,7 @@ def _ties(part: tuple[int, int]):
     """(a, b): sets tied by a signature, from rows sorted by it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, found = None, Neighbours(0)
+        now, found = None, Neighbours(part)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -411,10 +425,10 @@ def _ties(part: tuple[int, int]):
             ties: list[tuple[int, int]] = []
             for a, b in zip(edges, edges[1:]):
                 if sig[a] != now:
-                    now, found = sig[a], Neighbours(differences(band_range(outlines[a][0])[1], part))
+                    now, found = sig[a], Neighbours(part)
                     if b - a == 1 and b < len(sig):
                         continue  # alone
-                ties += found.add(sid[a:b], counts_of(outlines[a:b]))
+                ties += found.add(sid[a:b], *counts_of(outlines[a:b]))
             if ties:
                 made = np.unique(np.array(ties, dtype=np.int64), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])

@@ -627,10 +627,11 @@ def test_ties_hold_all_near_sets_together(monkeypatch, leaders):
         sets.append(base)
     order = rng.permutation(len(sets))
     sets = [sets[i] for i in order]
-    counts = jaccard.counts_of([jaccard.outline(s, band) for s in sets])
-    found = jaccard.Neighbours(h)
+    sizes, counts = jaccard.counts_of([jaccard.outline(s, band) for s in sets])
+    assert sizes.tolist() == [len(s) for s in sets]
+    found = jaccard.Neighbours((80, 100))
     ids = np.arange(len(sets))
-    ties = [*found.add(ids[:10], counts[:10]), *found.add(ids[10:], counts[10:])]
+    ties = [*found.add(ids[:10], sizes[:10], counts[:10]), *found.add(ids[10:], sizes[10:], counts[10:])]
     root = list(range(len(sets)))
 
     def find(x):
@@ -644,7 +645,8 @@ def test_ties_hold_all_near_sets_together(monkeypatch, leaders):
         for j in range(i):
             apart = len(np.setxor1d(x, sets[j]))
             assert np.abs(counts[i] - counts[j]).sum() <= apart
-            if apart <= h:
+            both = len(x) + len(sets[j])
+            if 100 * (both - apart) / 2 >= 80 * (both + apart) / 2:
                 assert find(i) == find(j)
 
 
@@ -652,10 +654,10 @@ def test_ties_leave_unlike_sets_apart():
     """Thirty sets of one signature, each with a near copy."""
     rng = np.random.default_rng(7)
     band = jaccard.band_limits(300)
-    found = jaccard.Neighbours(jaccard.differences(jaccard.band_range(band)[1], (80, 100)))
+    found = jaccard.Neighbours((80, 100))
     bases = [np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64)) for _ in range(30)]
     sets = [*bases, *(np.unique(np.append(b[5:], rng.integers(0, 2**64, 5, dtype=np.uint64))) for b in bases)]
-    ties = list(found.add(np.arange(60), jaccard.counts_of([jaccard.outline(s, band) for s in sets])))
+    ties = list(found.add(np.arange(60), *jaccard.counts_of([jaccard.outline(s, band) for s in sets])))
     assert sorted(ties) == [(30 + k, k) for k in range(30)]
 
 
