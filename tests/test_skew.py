@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 
 from frames import COUNTERS, REQUESTS, STORED_EVENTS, frame, ts
+from slotledger.operators import slots
 from slotledger.operators.latest import latest_audits
 from slotledger.operators.rollup import component_rollup
 from slotledger.plans.jobs import events_report, weekly_disk_report
@@ -132,3 +133,35 @@ def test_weekly_disks_of_a_hot_machine(spark):
     ]
     assert len(got) == len(expected)
     assert set(got) == expected
+
+
+def test_windows_meet_the_rows_of_one_bin_in_several_tasks(spark, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 100), ("BLOCK_WINDOWS", 7), ("TASK_PAIRS", 2_000)):
+        monkeypatch.setattr(slots, name, value, raising=False)
+    # equal rows and equal windows, all of one bin but for a few; a row without a time
+    events = spark.range(0, 2_000, 1, 16).selectExpr(
+        "id % 50 AS agentGuid",
+        "CASE WHEN id = 7 THEN NULL WHEN id % 100 = 0 THEN TIMESTAMP_NTZ'2013-02-01 12:00:00' ELSE TIMESTAMP_NTZ'2013-01-05 01:00:00' END AS eventTime",
+    )
+    windows = spark.range(0, 30).selectExpr(
+        "id % 10 AS window_id",
+        "TIMESTAMP_NTZ'2013-01-05 00:59:00' AS window_start",
+        "CASE id % 10 WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP_NTZ'2013-01-05 01:00:00' WHEN 2 THEN TIMESTAMP_NTZ'2013-03-05 00:00:00'"
+        " ELSE TIMESTAMP_NTZ'2013-01-05 01:00:01' END AS window_end",
+    )
+    expected = sorted(
+        (agent, at, *window)
+        for agent, at in events.collect()
+        for window in windows.collect()
+        if at and window[2] and window[1] <= at < window[2]
+    )
+    # a threshold of nothing stands for windows too many to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = slots.join_windows(events, "eventTime", windows)
+        tasks = met.selectExpr("spark_partition_id() AS task").distinct().count()
+        got = sorted(tuple(r) for r in met.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == expected and len(got) > 40_000
+    assert tasks > 4
