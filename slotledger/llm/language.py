@@ -135,15 +135,18 @@ def learn(docs: DataFrame, size: int = PROFILE) -> Profiles:
     return Profiles(names, grams, ranks, size)
 
 
-def prediction(profiles: Profiles) -> Column:
-    """A struct (lang_pred, score) of the text column: `und` and 0 for null and for texts without a letter."""
+def prediction(profiles: Profiles, once: bool = False) -> Column:
+    """A struct (lang_pred, score) of the text column: `und` and 0 for null and for texts without a letter.
+
+    `once`: where rows are filtered by it, Spark is kept from working it out a second time for the filter.
+    """
 
     @F.arrow_udf("lang_pred string, score double")
     def nearest(texts: pa.Array) -> pa.Array:
         found = [profiles.nearest(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang_pred", "score"])
 
-    return nearest(F.col("text"))
+    return (nearest.asNondeterministic() if once else nearest)(F.col("text"))
 
 
 def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
@@ -164,6 +167,6 @@ def with_known_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
     if not profiles.names:
         return docs
     found = fresh_name(docs, "found")
-    told = docs.withColumn(found, prediction(profiles)["lang_pred"])
+    told = docs.withColumn(found, prediction(profiles, once=True)["lang_pred"])
     kept = told.filter(F.col(found) != UNKNOWN)
     return kept.select(*[F.col(found).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from slotledger.llm import language
 from slotledger.llm.queries import QUERIES
 
 NATIVE = ("op4_host_rules", "op5_positional_index", "op7_hierarchical_mixing")
@@ -14,3 +15,12 @@ def test_native_operators_run_no_python_and_no_cross_join(spark, name):
     text = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     for bad in ("NestedLoop", "CartesianProduct", "EvalPython", "InPandas", "InArrow"):
         assert bad not in text
+
+
+def test_the_language_of_a_text_is_worked_out_once(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    learned = spark.createDataFrame([(k, t, l, "web", len(t)) for k, (t, l) in enumerate([("the cat sat", "en"), ("die katze sass", "de")])], schema)
+    rows = [(1, "the cat sat", "de", "web", 11), (1, "the cat sat", "de", "web", 11), (2, "katze", None, "b", 5), (3, "123", "en", "b", 3), (4, None, "en", "b", 0)]
+    kept = language.with_known_language(spark.createDataFrame(rows, schema), language.learn(learned))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "the cat sat", "en", "web", 11)] * 2 + [(2, "katze", "de", "b", 5)]
