@@ -261,7 +261,9 @@ def _prints(plans: dict[int, Plan], n: int, part: tuple[int, int], sieve: Sieve)
     """(range, packed): the signatures of a task's sets, cut short, sorted, and packed by range."""
 
     def packed(held: list[np.ndarray]) -> pa.RecordBatch:
-        values = np.sort(np.concatenate(held) >> np.uint64(64 - sieve.prints))
+        values = np.concatenate(held)
+        values >>= np.uint64(64 - sieve.prints)
+        values.sort()
         of = values >> np.uint64(sieve.prints - sieve.ranges)
         first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         parts = [pack(values[a:b]) for a, b in zip(first, np.append(first[1:], len(values)))]

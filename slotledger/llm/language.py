@@ -25,6 +25,8 @@ UNKNOWN = "und"
 #: More languages than this are refused: the profiles go to every task.
 MAX_LANGUAGES = 2000
 FOLDS = 5
+#: Counts of n-grams (16 bytes each) that a task adds up before it sends sums on.
+HELD = 1 << 22
 
 _letters: list[np.ndarray] = []
 
@@ -96,16 +98,27 @@ class Profiles:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of each language in a task, added up over batches; sent on when HELD counts have come in."""
+    by: dict[str, list[np.ndarray]] = defaultdict(list)
+    held = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, parts in by.items():
+            grams, counts = _added(parts)
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(grams), "gram": pa.array(grams), "n": pa.array(counts)})
+
     for batch in batches:
-        by: dict[str, list[np.ndarray]] = defaultdict(list)
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
             if text.is_valid and len(grams := ngrams(text.as_py())):
                 by[lang].append(np.stack(counted(grams)))
+                held += by[lang][-1].shape[1]
                 if len(by[lang]) >= 256:
                     by[lang] = [_added(by[lang])]
-        for lang, parts in by.items():
-            grams, counts = _added(parts)
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(grams), "gram": pa.array(grams), "n": pa.array(counts)})
+                if held >= HELD:
+                    yield from rows()
+                    by.clear()
+                    held = 0
+    yield from rows()
 
 
 def _added(parts: list[np.ndarray]) -> np.ndarray:
