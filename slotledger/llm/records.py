@@ -21,6 +21,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,9 @@ END_ID = 2
 SHARD_ROWS = 20_000
 #: The sums of at most so many shards are broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_SHARDS = 1_000_000
-#: Distinct pieces whose ids a worker keeps at hand; beyond that it starts afresh, which changes the speed only.
-CACHE_PIECES = 600_000
+#: Distinct pieces of up to so many characters whose ids a worker keeps at hand; beyond that the older half goes, which changes
+#: the speed only. About 160 MB for words of 9 letters.
+CACHE_PIECES, PIECE_CHARS = 1_000_000, 40
 CACHE_MARKS = 10_000
 MASK_DELTA = 0xA282EAD8
 HEAD, CHECK, FRONT = "<Q", "<I", "<qB"
@@ -47,15 +49,15 @@ READ_BYTES = 1 << 20
 MANIFEST = "shard long, file string, record long, doc_id long, offset long, length long, n_tokens long"
 
 # A run of letters ends before these marks, and a run of marks is one token run; the apostrophe is not among them.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%&*#$)]*)")
+_SIMPLE = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%&*#$)]*)")
 # Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 _LITTLE = sys.byteorder == "little"
-_ODD = re.compile(r"[\x00-\x1f\x7f-\xa0\xad]|(?<=.) ")
-# A space before a printable character always opens a new token, so texts may be cut there.
-_CUT = re.compile(r" (?=[!-~À-ɏ])")
-_UNCUT = re.compile(r" (?![!-~À-ɏ])")
+_ODD = re.compile(r"[\x00-\x1f\x7f-\xa0\xad]")
+# A space before a printable character always opens a new token, and a line break there is one: texts may be cut before both.
+_CUT = re.compile(r" (?=[!-~À-ɏ])|(?=\n[!-~À-ɏ])")
+_OPENS = re.compile(r"\n?[!-~À-ɏ]")
 
 
 def masked(crc: int) -> int:
@@ -67,25 +69,34 @@ def frame(payload: bytes) -> bytes:
     return b"".join((head, struct.pack(CHECK, masked(zlib.crc32(head))), payload, struct.pack(CHECK, masked(zlib.crc32(payload)))))
 
 
+class _Uncut(Exception):
+    """A text was cut where no token need begin."""
+
+
 class _Spaced(dict):
-    """The ids of pieces that follow a space, worked out when they are first asked for."""
+    """The ids of pieces that follow a space or begin with a line break, worked out when they are first asked for."""
 
     def __init__(self, codec: Encoder):
         self.codec = codec
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
-            self.clear()
-        word = _SIMPLE.fullmatch(piece)
-        if word is None:
-            ids = self.codec.other(" " + piece)
+            for old in [*islice(self, CACHE_PIECES // 2 + 1)]:  # the frequent ones among them soon come again
+                del self[old]
+        if piece.isascii() and piece.isalpha():
+            ids = self.codec.run("\u0120" + piece)
+        elif (word := _SIMPLE.fullmatch(piece)) is None:
+            if _OPENS.match(piece) is None:
+                raise _Uncut
+            ids = self.codec.plain(piece if piece[0] == "\n" else " " + piece)
         elif word[2]:
             ids = self[word[1]] + self.codec.mark(word[2])
-        elif piece.isascii():
-            ids = array("I", [t.id for t in self.codec.model.tokenize("\u0120" + piece)]).tobytes() if _LITTLE else self.codec.merged(" " + piece)
+        elif piece[0] == "\n":
+            ids = self.codec.mark("\n") + self.codec.merged(piece[1:])
         else:
             ids = self.codec.merged(" " + piece)
-        self[piece] = ids
+        if len(piece) <= PIECE_CHARS:
+            self[piece] = ids
         return ids
 
 
@@ -105,20 +116,24 @@ class Encoder:
         self.spaced = _Spaced(self)
         self.marks: dict[str, bytes] = {}
 
-    def _plain(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def run(self, line: str) -> bytes:
+        """The ids of one token run in the characters of the vocabulary, straight from the merges."""
+        ids = array("I", [t.id for t in self.model.tokenize(line)])
+        if not _LITTLE:
+            ids.byteswap()
+        return ids.tobytes()
+
     def merged(self, word: str) -> bytes:
-        """The ids of one token run of letters or marks, straight from the merges."""
+        """The ids of one token run of letters, after a space or not, or of marks."""
         line = word if word.isascii() else word.encode().decode("latin-1")
         if _ODD.search(line):
             line = line.translate(_BYTES)
         elif line[0] == " ":
             line = "\u0120" + line[1:]
-        ids = array("I", [t.id for t in self.model.tokenize(line)])
-        if not _LITTLE:
-            ids.byteswap()
-        return ids.tobytes()
+        return self.run(line)
 
     def mark(self, marks: str) -> bytes:
         """`merged`, remembered: few runs of marks come again and again."""
@@ -128,28 +143,25 @@ class Encoder:
             ids = self.marks[marks] = self.merged(marks)
         return ids
 
-    def other(self, piece: str) -> bytes:
-        """The ids of a piece that is not one word; single line breaks between words are tokens of their own."""
-        first, *rest = piece.split("\n")
-        lines = [first.removeprefix(" "), *rest]
-        if rest and all(line.split() == [line] for line in lines):
-            return self.merged("\n").join([self.line(first), *map(self.line, rest)])
-        return self._plain(piece)
-
-    def line(self, line: str) -> bytes:
-        if line[:1] == " ":
-            return self.spaced[line[1:]]
-        word = _SIMPLE.fullmatch(line)
-        return self.merged(word[1]) + (self.mark(word[2]) if word[2] else b"") if word else self._plain(line)
+    def first(self, piece: str) -> bytes:
+        """The ids of what a text begins with: as after a line break, without the line break."""
+        if not piece or _SIMPLE.fullmatch(piece) is None:
+            return self.plain(piece)
+        return self.spaced["\n" + piece][len(self.mark("\n")) :]
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.cuts or any(s in text for s in self.special):
-            return self._plain(text)
-        # where every space is followed by a printable character, which is the rule, plain splitting does the same
-        first, *rest = text.split(" ") if _UNCUT.search(text) is None else _CUT.split(text)
-        return self.other(first) + b"".join(map(self.spaced.__getitem__, rest))
+            return self.plain(text)
+        try:  # where every space and line break is followed by a printable character, plain splitting does the same
+            return self.joined(text.replace("\n", " \n").split(" "))
+        except _Uncut:
+            return self.joined(_CUT.split(text))
+
+    def joined(self, pieces: list[str]) -> bytes:
+        first, *rest = pieces
+        return self.first(first) + b"".join(map(self.spaced.__getitem__, rest))
 
 
 _encoders: dict[str, Encoder] = {}

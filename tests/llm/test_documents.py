@@ -536,6 +536,49 @@ def test_pieces_do_not_matter(monkeypatch):
         assert np.frombuffer(codec.encode(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_known_pieces_are_looked_up(monkeypatch):
+    class Counting:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def tokenize(self, line):
+            self.calls += 1
+            return self.model.tokenize(line)
+
+    rng = random.Random(3)
+    words = [f"{w}{m}" for w in ("lorem", "Ipsum", "dolor", "été", "Àla") for m in ("", ",", ".")]
+    codec = records.Encoder(tokenizer_path())
+    codec.model = Counting(codec.model)
+    for sep in (" ", "\n"):
+        codec.encode(sep.join([*words, *words]))
+    known = codec.model.calls
+    for _ in range(20):  # any word may now come after any other, in the same line or in the next
+        codec.encode("".join(w + rng.choice(" \n") for w in rng.choices(words, k=40)) + "lorem")
+    assert codec.model.calls == known
+    # when the cache is full, what came last stays, and a long piece is not kept at all
+    monkeypatch.setattr(records, "CACHE_PIECES", 100)
+    codec = records.Encoder(tokenizer_path())
+    codec.model = Counting(codec.model)
+    many = ["w" + chr(97 + k // 26) + chr(97 + k % 26) for k in range(101)]
+    codec.encode(" ".join(["", *many]))
+    assert codec.model.calls == 101
+    codec.encode(" ".join(["", *many[60:]]))
+    assert codec.model.calls == 101
+    held = len(codec.spaced)
+    codec.encode(" " + "z" * 3000)
+    assert len(codec.spaced) == held
+
+
+def test_texts_cut_anywhere():
+    from tokenizers import Tokenizer
+
+    plain, codec, rng = Tokenizer.from_file(tokenizer_path()), records.Encoder(tokenizer_path()), random.Random(8)
+    parts = [" ", " ", "\n", "\n", "\n\n", "\r\n", "\t", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "\u200b", "a", "Word", "é", "À", "×", "ß,", "it's", "'s", "1", "23", "...", "!?", "\"x\",", "日本", "😀", "e\u0301", "-", "_", "z" * 60]
+    for k in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 12)))
+        assert np.frombuffer(codec.encode(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_shuffled_reads_and_damage(spark, docs, tmp_path):
     folder = f"file://{tmp_path}/records"
     index = records.write_records(docs, folder, tokenizer_path(), shard_rows=5)
