@@ -90,7 +90,10 @@ class _Spaced(dict):
                 raise _Uncut
             ids = self.codec.plain(piece if piece[0] == "\n" else " " + piece)
         elif word[2]:
+            known = word[1] in self
             ids = self[word[1]] + self.codec.mark(word[2])
+            if not known:  # a new word may never come again, with marks or without
+                return ids
         elif piece[0] == "\n":
             ids = self.codec.mark("\n") + self.codec.merged(piece[1:])
         else:

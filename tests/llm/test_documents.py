@@ -555,6 +555,9 @@ def test_known_pieces_are_looked_up(monkeypatch):
     for _ in range(20):  # any word may now come after any other, in the same line or in the next
         codec.encode("".join(w + rng.choice(" \n") for w in rng.choices(words, k=40)) + "lorem")
     assert codec.model.calls == known
+    # a word first met before marks is kept without them
+    codec.encode("a newest, one")
+    assert "newest" in codec.spaced and "newest," not in codec.spaced
     # when the cache is full, what came last stays, and a long piece is not kept at all
     monkeypatch.setattr(records, "CACHE_PIECES", 100)
     codec = records.Encoder(tokenizer_path())
