@@ -43,13 +43,17 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mixed(docs)
 
 
+#: Pieces of text that an encoding worker remembers; fewer than op8, since the stages before have filled the executors' heap.
+PIECES = 300_000
+
+
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids written as binary records and read back: doc_id, start, n_tokens, ids_crc32.
 
     A row for each row, repeated ones too, in ascending doc_id; an empty text is the end id alone.
     """
     ship(spark)
-    return records.encode_and_read_back(docs, tokenizer_path(), new_folder(spark, "corpus"))
+    return records.encode_and_read_back(docs, tokenizer_path(), new_folder(spark, "corpus"), PIECES)
 
 
 STAGES = [

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import new_folder, small
+from slotledger.llm.common import at_hand, new_folder, small, tidied
 
 END_ID = 2
 #: Rows aimed at in one shard.
@@ -38,7 +38,7 @@ SHARD_ROWS = 20_000
 #: The sums of at most so many shards are broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_SHARDS = 1_000_000
 #: Distinct pieces of up to so many characters whose ids a worker keeps at hand; beyond that the older half goes, which changes
-#: the speed only. About 160 MB for words of 9 letters.
+#: the speed only. About 160 MB for words of 9 letters; `pieces` sets another number.
 CACHE_PIECES, PIECE_CHARS = 1_000_000, 40
 CACHE_MARKS = 10_000
 MASK_DELTA = 0xA282EAD8
@@ -76,12 +76,12 @@ class _Uncut(Exception):
 class _Spaced(dict):
     """The ids of pieces that follow a space or begin with a line break, worked out when they are first asked for."""
 
-    def __init__(self, codec: Encoder):
-        self.codec = codec
+    def __init__(self, codec: Encoder, limit: int):
+        self.codec, self.limit = codec, limit
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
-            for old in [*islice(self, CACHE_PIECES // 2 + 1)]:  # the frequent ones among them soon come again
+        if len(self) >= self.limit:
+            for old in [*islice(self, self.limit // 2 + 1)]:  # the frequent ones among them soon come again
                 del self[old]
         if piece.isascii() and piece.isalpha():
             ids = self.codec.run("\u0120" + piece)
@@ -106,7 +106,7 @@ class _Spaced(dict):
 class Encoder:
     """Token ids of whole texts as bytes of 4 per id; pieces that came before are looked up."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -116,7 +116,7 @@ class Encoder:
         words = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
         self.cuts = self.tokenizer.normalizer is None and words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words["add_prefix_space"]
         self.model = self.tokenizer.model
-        self.spaced = _Spaced(self)
+        self.spaced = _Spaced(self, CACHE_PIECES if pieces is None else pieces)
         self.marks: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bytes:
@@ -167,26 +167,26 @@ class Encoder:
         return self.first(first) + b"".join(map(self.spaced.__getitem__, rest))
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int | None], Encoder] = at_hand({})
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, pieces: int | None = None) -> Encoder:
+    if (path, pieces) not in _encoders:
+        _encoders[path, pieces] = Encoder(path, pieces)
+    return _encoders[path, pieces]
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def _writer(tokenizer: str, folder: str, end_id: int):
+def _writer(tokenizer: str, folder: str, end_id: int, pieces: int | None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         shard = TaskContext.get().partitionId()
-        codec, files, path = encoder(tokenizer), *open_folder(folder)
+        codec, files, path = encoder(tokenizer, pieces), *open_folder(folder)
         # a name of its own for every attempt: only files named by the stored index count
         file = f"{shard:06d}-{uuid.uuid4().hex}.rec"
         out, offset, record = None, 0, 0
@@ -215,7 +215,9 @@ _MANIFEST_NAMES = ["shard", "file", "record", "doc_id", "offset", "length", "n_t
 _MANIFEST_TYPES = [pa.int64(), pa.string(), *[pa.int64()] * 5]
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def write_records(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_rows: int = SHARD_ROWS, pieces: int | None = None
+) -> DataFrame:
     """Encodes and writes every row of `docs` to shards in `folder`; returns the stored index.
 
     Null or empty text is the end id alone. A null doc_id comes first. Rows that share a doc_id follow each other, by text.
@@ -230,7 +232,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
     ordered = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     )
-    index = ordered.mapInArrow(_writer(tokenizer, folder, end_id), MANIFEST)
+    index = ordered.mapInArrow(_writer(tokenizer, folder, end_id, pieces), MANIFEST)
     index.write.parquet(f"{folder}/index-parts")
     parts = spark.read.schema(index.schema).parquet(f"{folder}/index-parts")
     sums = parts.groupBy("shard").agg(F.sum("n_tokens").alias("sum"))
@@ -291,7 +293,7 @@ def _reader(folder: str, whole: bool):
         if source is not None:
             source.close()
 
-    return read
+    return tidied(read)
 
 
 def read_records(index: DataFrame, folder: str, whole: bool = True) -> DataFrame:
@@ -303,6 +305,6 @@ def read_records(index: DataFrame, folder: str, whole: bool = True) -> DataFrame
     return index.select("file", "offset", "length", "start").mapInArrow(_reader(folder, whole), schema)
 
 
-def encode_and_read_back(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
+def encode_and_read_back(docs: DataFrame, tokenizer: str, folder: str | None = None, pieces: int | None = None) -> DataFrame:
     folder = folder or new_folder(docs.sparkSession, "records")
-    return read_records(write_records(docs, folder, tokenizer), folder, whole=False)
+    return read_records(write_records(docs, folder, tokenizer, pieces=pieces), folder, whole=False)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -572,6 +573,31 @@ def test_known_pieces_are_looked_up(monkeypatch):
     assert len(codec.spaced) == held
 
 
+def test_encoders_are_given_back_to_other_work():
+    words = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}q" for k in range(400)]
+    for other in (common.tidy, lambda: list(common.tidied(iter)(iter([]))), lambda: list(records._reader("file:///tmp", False)(iter([])))):
+        codec = records.encoder(tokenizer_path(), 50)
+        codec.encode(" ".join(words))
+        assert len(codec.spaced) <= 50
+        assert records.encoder(tokenizer_path(), 50) is codec  # the next task of the same kind has it still
+        gone = weakref.ref(codec.spaced)
+        del codec
+        other()
+        assert gone() is None and not records._encoders
+
+
+def test_pipeline_remembers_fewer_pieces(spark, monkeypatch):
+    import corpus_pipeline
+
+    asked = []
+    monkeypatch.setattr(records, "Encoder", lambda *args: asked.append(args) or "codec")
+    monkeypatch.setattr(records, "_encoders", {})
+    assert records.encoder("words") == records.encoder("words") == "codec"
+    assert records.encoder("words", corpus_pipeline.PIECES) == "codec" and asked == [("words", None), ("words", corpus_pipeline.PIECES)]
+    monkeypatch.setattr(records, "encode_and_read_back", lambda docs, path, folder, pieces: pieces)
+    assert corpus_pipeline.token_records(spark, None, "") == corpus_pipeline.PIECES < records.CACHE_PIECES
+
+
 def test_texts_cut_anywhere():
     from tokenizers import Tokenizer
 
