@@ -165,3 +165,89 @@ def test_windows_meet_the_rows_of_one_bin_in_several_tasks(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == expected and len(got) > 40_000
     assert tasks > 4
+
+
+def _met(events, windows):
+    every = windows.collect()
+    return sorted(
+        (agent, at, *window)
+        for agent, at in events.collect()
+        for window in every
+        if at and window[1] and window[2] and window[1] <= at < window[2]
+    )
+
+
+def _dealt(monkeypatch):
+    """The sides of joins of windows as they are shuffled: rows, then windows."""
+    sides, dealt = [], slots._in_blocks
+    monkeypatch.setattr(slots, "_in_blocks", lambda *args: sides.append(dealt(*args)) or sides[-1])
+    return sides
+
+
+def test_windows_of_several_sizes_take_one_copy_of_each_row(spark, monkeypatch):
+    monkeypatch.setattr(slots, "TASK_PAIRS", 10_000)
+    sides = _dealt(monkeypatch)
+    events = spark.range(0, 20_000, 1, 4).selectExpr("id AS agentGuid", "TIMESTAMP_NTZ'2013-01-01' + make_dt_interval(0, CAST(id % 480 AS INT)) AS eventTime")
+    windows = spark.range(0, 60).selectExpr(
+        "id AS window_id",
+        "TIMESTAMP_NTZ'2013-01-01' + make_dt_interval(0, 0, CAST(id * 397 AS INT)) AS window_start",
+        "TIMESTAMP_NTZ'2013-01-01' + make_dt_interval(0, 0, CAST(id * 397 AS INT) + CASE id % 3 WHEN 0 THEN 90 WHEN 1 THEN 2880 ELSE 17280 END) AS window_end",
+    )
+    met = slots.join_windows(events, "eventTime", windows)
+    rows, placed = (side.count() for side in sides)
+    assert rows == 20_000 and placed < 20_000
+    assert sorted(tuple(r) for r in met.collect()) == _met(events, windows)
+
+
+def test_a_bin_of_many_pairs_is_shuffled_in_few_copies(spark, monkeypatch):
+    sides = _dealt(monkeypatch)
+    events = spark.range(0, 10_000, 1, 4).selectExpr("id AS agentGuid", "TIMESTAMP_NTZ'2013-01-05 01:00:00' AS eventTime")
+    windows = spark.range(0, 10_000, 1, 4).selectExpr(
+        "id AS window_id", "TIMESTAMP_NTZ'2013-01-05 01:00:00' AS window_start", "TIMESTAMP_NTZ'2013-01-05 01:00:01' AS window_end"
+    )
+    slots.join_windows(events, "eventTime", windows)
+    assert sum(side.count() for side in sides) <= 40_000
+
+
+@pytest.mark.parametrize("most", [3, 65_536])
+def test_windows_meet_rows_once_however_they_are_cut(spark, monkeypatch, most):
+    for name, value in (("TASK_PAIRS", 500), ("MAX_BLOCK_PAIRS", 500), ("BLOCK_ROWS", 40), ("BLOCK_WINDOWS", 6), ("MAX_WINDOW_BINS", most)):
+        monkeypatch.setattr(slots, name, value, raising=False)
+    # a minute with a third of the rows, another that no window reaches, rows without a time
+    events = spark.range(0, 1_500, 1, 6).selectExpr(
+        "id % 40 AS agentGuid",
+        "CASE WHEN id % 50 = 3 THEN NULL WHEN id % 3 = 0 THEN TIMESTAMP_NTZ'2013-01-05 01:00:00.5' WHEN id % 7 = 0 THEN TIMESTAMP_NTZ'2019-01-05 01:00:00'"
+        " ELSE TIMESTAMP_NTZ'2013-01-01' + make_dt_interval(0, 0, 0, id * 773 % 864000) END AS eventTime",
+    )
+    # lengths of a second to a month, some before all rows, some of many years, some empty or without a bound
+    windows = spark.range(0, 120).selectExpr("id AS window_id", "TIMESTAMP_NTZ'2013-01-01' + make_dt_interval(0, 0, CAST(id * 131 AS INT), 0.25) AS at").selectExpr(
+        "window_id % 60 AS window_id",
+        "CASE WHEN window_id = 11 THEN NULL WHEN window_id = 12 THEN TIMESTAMP_NTZ'0001-01-01' WHEN window_id % 20 = 4 THEN TIMESTAMP_NTZ'2013-01-05 01:00:00'"
+        " WHEN window_id = 14 THEN TIMESTAMP_NTZ'1990-01-01' ELSE at END AS window_start",
+        "CASE WHEN window_id = 12 THEN TIMESTAMP_NTZ'2013-01-09' WHEN window_id % 20 = 4 THEN TIMESTAMP_NTZ'2013-01-05 01:00:01' WHEN window_id = 14 THEN TIMESTAMP_NTZ'1990-02-01'"
+        " ELSE at + make_dt_interval(0, 0, 0, CAST(element_at(array(0, 1, 50, 4000, 90000, 2600000, -5), CAST(window_id % 7 + 1 AS INT)) AS DOUBLE)) END AS window_end",
+    )
+    for some in (events, events.where("agentGuid < 0")):
+        got = sorted(tuple(r) for r in slots.join_windows(some, "eventTime", windows).collect())
+        assert got == _met(some, windows)
+        assert len(got) > 3_000 or some is not events
+    assert slots.join_windows(events, "eventTime", windows.where("window_id < 0")).count() == 0
+
+
+def test_rows_and_windows_that_meet_nothing_are_not_shuffled_in_bulk(spark, monkeypatch):
+    for name, value in (("TASK_PAIRS", 500), ("BLOCK_ROWS", 100), ("BLOCK_WINDOWS", 10)):
+        monkeypatch.setattr(slots, name, value, raising=False)
+    sides = _dealt(monkeypatch)
+    # the second day has rows only, the third windows only; the last row makes them lie between rows
+    events = spark.range(0, 2_001).selectExpr(
+        "id AS agentGuid",
+        "CASE WHEN id = 2000 THEN TIMESTAMP_NTZ'2013-01-30' WHEN id % 2 = 0 THEN TIMESTAMP_NTZ'2013-01-01' ELSE TIMESTAMP_NTZ'2013-01-02' END AS eventTime",
+    )
+    windows = spark.range(0, 40).selectExpr("id AS window_id", "TIMESTAMP_NTZ'2013-01-01' + make_dt_interval(IF(id % 2 = 0, 0, 2)) AS window_start").selectExpr(
+        "*", "window_start + make_dt_interval(0, 0, 0, 1) AS window_end"
+    )
+    met = slots.join_windows(events, "eventTime", windows)
+    parts = sides[0].selectExpr("date(eventTime) AS day").groupBy("day").count().collect()
+    assert {r["day"].day for r in parts} == {1, 30}
+    assert {r["day"].day for r in sides[1].selectExpr("date(window_start) AS day").distinct().collect()} == {1}
+    assert met.count() == 20_000
